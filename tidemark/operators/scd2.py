@@ -23,8 +23,10 @@ SCD_COLS = ["scd_id", "scd_updated_at", "valid_from", "valid_to"]
 _O, _C = "__open", "__cur"
 
 
-def _scd_id(keys: Sequence[str], at: Column) -> Column:
-    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], at.cast("string")))
+def _scd_id(keys: Sequence[str | Column], at: Column) -> Column:
+    """md5 of the key values and the version start (epoch microseconds)."""
+    parts = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
+    return F.md5(F.concat_ws("|", *parts, F.unix_micros(at.cast("timestamp")).cast("string")))
 
 
 def _version(df: DataFrame, keys: Sequence[str], at: Column) -> DataFrame:
@@ -79,8 +81,7 @@ def _merge(history: DataFrame, cur: DataFrame, keys: Sequence[str], changed: Col
                        end.alias("valid_to"))
     key_cols = [F.col(f"{_C}.{k}") for k in keys]
     new_row = F.struct(*[F.col(f"{_C}.{n}").alias(n) for n in data_cols],
-                       F.md5(F.concat_ws("|", *[k.cast("string") for k in key_cols],
-                                         new_from.cast("string"))).alias("scd_id"),
+                       _scd_id(key_cols, new_from).alias("scd_id"),
                        new_from.alias("scd_updated_at"),
                        new_from.alias("valid_from"),
                        F.lit(None).cast(history.schema["valid_to"].dataType).alias("valid_to"))

@@ -54,7 +54,7 @@ def q_latest_per_key(spark, sf):
 @query("delete_filter")
 def q_delete_filter(spark, sf):
     # 'view' events carry a NULL op (unreadable record): dropped like deletes
-    b = fx.bronze_customers(spark, sf, null_op_on_view=True)
+    b = fx.bronze_customers(spark, sf, view_op=None)
     return live_rows(b, ["customer_id"]).select("customer_id", "full_name", "email", "cdc_op", "ingested_at")
 
 
@@ -62,3 +62,135 @@ def q_delete_filter(spark, sf):
 def q_dim_banks(spark, sf):
     from .gold import dim_banks
     return dim_banks(fx.bronze_banks(spark, sf))
+
+
+# --- as-of joins and gold (C1-C4, B13, B14, H1-H5) ------------------------
+
+def _gold_inputs(spark, sf):
+    from .silver import silver_transaction_legs, silver_transactions
+    txn = silver_transactions(fx.bronze_transactions(spark, sf))
+    legs = silver_transaction_legs(fx.bronze_transaction_legs(spark, sf), order_by=fx.LEG_ORDER)
+    return txn, fx.accounts_history(spark, sf), fx.customers_history(spark, sf), legs
+
+
+@query("asof_account")
+def q_asof_account(spark, sf):
+    from ..operators.asof import as_of_join
+    txn, acc, _, _ = _gold_inputs(spark, sf)
+    j = as_of_join(txn.select("transaction_id", "account_id", "transaction_created_at"), acc,
+                   "account_id", "account_id", "transaction_created_at", as_="a")
+    return j.select("transaction_id", "transaction_created_at",
+                    F.col("a.account_id").alias("account_id"),
+                    F.col("a.account_type").alias("account_type_at_time"),
+                    F.col("a.balance").alias("balance_at_time"),
+                    F.col("a.valid_from").alias("account_valid_from"))
+
+
+@query("asof_customer")
+def q_asof_customer(spark, sf):
+    from .gold import transactions_as_of
+    txn, acc, cus, _ = _gold_inputs(spark, sf)
+    j = transactions_as_of(txn, acc, cus)
+    return j.select("transaction_id", F.col("a.account_id").alias("account_id"),
+                    F.col("c.customer_id").alias("customer_id"),
+                    F.col("c.full_name").alias("customer_name_at_time"),
+                    F.col("c.email").alias("customer_email_at_time"),
+                    F.col("c.valid_from").alias("customer_valid_from"))
+
+
+@query("fct_transactions")
+def q_fct_transactions(spark, sf):
+    from .gold import fct_transactions
+    return fct_transactions(*_gold_inputs(spark, sf))
+
+
+@query("reporting")
+def q_reporting(spark, sf):
+    from .gold import transactions_reporting
+    return transactions_reporting(*_gold_inputs(spark, sf))
+
+
+@query("credit_legs")
+def q_credit_legs(spark, sf):
+    from .gold import credit_legs
+    return credit_legs(_gold_inputs(spark, sf)[3])
+
+
+@query("debit_legs")
+def q_debit_legs(spark, sf):
+    from .gold import debit_legs
+    return debit_legs(_gold_inputs(spark, sf)[3])
+
+
+@query("dim_accounts")
+def q_dim_accounts(spark, sf):
+    from .gold import dim_accounts
+    return dim_accounts(fx.accounts_history(spark, sf))
+
+
+@query("dim_customers")
+def q_dim_customers(spark, sf):
+    from .gold import dim_customers
+    return dim_customers(fx.customers_history(spark, sf))
+
+
+# --- SCD2 snapshots (G1-G4, B15) --------------------------------------------
+
+def _two_runs(spark, sf, table, view_op="u"):
+    """Silver state at the snapshot cut and at the end of the log."""
+    from .silver import build_silver
+    if table == "accounts":
+        bronze = fx.bronze_accounts(spark, sf)
+    else:
+        bronze = fx.bronze_customers(spark, sf, view_op=view_op)
+    cols = fx.SNAPSHOT_COLS[table] + ["cdc_op"]
+    s1 = build_silver(table, fx.before(bronze, fx.SNAPSHOT_CUT)).select(*cols)
+    s2 = build_silver(table, bronze).select(*cols)
+    return s1, s2
+
+
+@query("snapshot_ts_accounts")
+def q_snapshot_ts_accounts(spark, sf):
+    from ..operators.scd2 import snapshot_timestamp
+    s1, s2 = _two_runs(spark, sf, "accounts")
+    h1 = snapshot_timestamp(None, s1, ["account_id"], "account_updated_at")
+    return snapshot_timestamp(h1, s2, ["account_id"], "account_updated_at")
+
+
+@query("snapshot_ts_customers")
+def q_snapshot_ts_customers(spark, sf):
+    from ..operators.scd2 import snapshot_timestamp
+    s1, s2 = _two_runs(spark, sf, "customers")
+    h1 = snapshot_timestamp(None, s1, ["customer_id"], "customer_updated_at")
+    return snapshot_timestamp(h1, s2, ["customer_id"], "customer_updated_at")
+
+
+CUSTOMER_CHECK_COLS = ["full_name", "email", "phone", "nationality"]
+ACCOUNT_CHECK_COLS = ["account_type", "balance", "currency"]
+
+
+@query("snapshot_check_customers")
+def q_snapshot_check_customers(spark, sf):
+    from ..operators.scd2 import snapshot_check
+    s1, s2 = _two_runs(spark, sf, "customers")
+    h1 = snapshot_check(None, s1, ["customer_id"], CUSTOMER_CHECK_COLS, fx.CHECK_RUN_1)
+    return snapshot_check(h1, s2, ["customer_id"], CUSTOMER_CHECK_COLS, fx.CHECK_RUN_2)
+
+
+@query("snapshot_check_accounts")
+def q_snapshot_check_accounts(spark, sf):
+    from ..operators.scd2 import snapshot_check
+    s1, s2 = _two_runs(spark, sf, "accounts")
+    h1 = snapshot_check(None, s1, ["account_id"], ACCOUNT_CHECK_COLS, fx.CHECK_RUN_1)
+    return snapshot_check(h1, s2, ["account_id"], ACCOUNT_CHECK_COLS, fx.CHECK_RUN_2)
+
+
+@query("snapshot_op_filter")
+def q_snapshot_op_filter(spark, sf):
+    """Check snapshot fed only by updates and creates: 'view' changes arrive
+    as snapshot reads ('r') and are left out."""
+    from ..operators.scd2 import snapshot_check
+    s1, s2 = _two_runs(spark, sf, "customers", view_op="r")
+    ops = ("u", "c")
+    h1 = snapshot_check(None, s1, ["customer_id"], CUSTOMER_CHECK_COLS, fx.CHECK_RUN_1, ops=ops)
+    return snapshot_check(h1, s2, ["customer_id"], CUSTOMER_CHECK_COLS, fx.CHECK_RUN_2, ops=ops)

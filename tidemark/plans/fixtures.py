@@ -34,11 +34,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(data_dir(sf_dir, name))
 
 
-def _op_of_event(null_on_view: bool = False) -> Column:
+def _op_of_event(view_op: str | None = "u") -> Column:
+    """signup -> create, error -> delete, others -> update; ``view_op`` sets
+    the op of 'view' events (None: an unreadable record, 'r': a snapshot read)."""
     e = F.col("event_type")
     op = F.when(e == "signup", "c").when(e == "error", "d")
-    if null_on_view:  # an unreadable record: op is NULL
-        op = op.when(e == "view", F.lit(None).cast("string"))
+    if view_op != "u":
+        op = op.when(e == "view", F.lit(view_op).cast("string"))
     return op.otherwise("u")
 
 
@@ -72,7 +74,7 @@ def bronze_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_customers(spark: SparkSession, sf_dir: str, null_op_on_view: bool = False) -> DataFrame:
+def bronze_customers(spark: SparkSession, sf_dir: str, view_op: str | None = "u") -> DataFrame:
     """Customer change log: customer = user_id % 50."""
     e = table(spark, sf_dir, "events")
     uid = F.col("user_id")
@@ -86,7 +88,7 @@ def bronze_customers(spark: SparkSession, sf_dir: str, null_op_on_view: bool = F
          .when(uid % 5 == 3, "Polish").otherwise("Ghanaian").alias("nationality"),
         (ts_to_ms("ts") - F.lit(MONTH_MS)).alias("created_at"),
         ts_to_ms("ts").alias("updated_at"),
-        _op_of_event(null_op_on_view).alias("cdc_op"),
+        _op_of_event(view_op).alias("cdc_op"),
         *_position("ts", F.col("event_id")),
     )
 
@@ -171,3 +173,31 @@ def bronze_banks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def before(df: DataFrame, cut: _dt.datetime, col: str = "ingested_at") -> DataFrame:
     return df.filter(F.col(col) < F.lit(cut).cast("timestamp_ntz"))
+
+
+def accounts_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account versions: every non-purchase change opens a version that lasts
+    until the account's next change."""
+    from ..operators.scd2 import history_from_changes
+    from .silver import MODELS
+    b = bronze_accounts(spark, sf_dir).filter(F.col("account_type") != "purchase")
+    changes = MODELS["accounts"].project(b).select(*SNAPSHOT_COLS["accounts"], "ingested_at")
+    return history_from_changes(changes, ["account_id"], "account_updated_at", ["ingested_at"]).drop("ingested_at")
+
+
+def customers_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer versions: every create (signup) opens a version."""
+    from ..operators.scd2 import history_from_changes
+    from .silver import MODELS
+    b = bronze_customers(spark, sf_dir).filter(F.col("cdc_op") == "c")
+    changes = MODELS["customers"].project(b).select(*SNAPSHOT_COLS["customers"], "ingested_at")
+    return history_from_changes(changes, ["customer_id"], "customer_updated_at", ["ingested_at"]).drop("ingested_at")
+
+
+# Columns each snapshot keeps of its silver table.
+SNAPSHOT_COLS = {
+    "accounts": ["account_id", "customer_id", "bank_id", "account_type", "balance", "currency",
+                 "account_opened_at", "account_updated_at"],
+    "customers": ["customer_id", "full_name", "email", "phone", "nationality",
+                  "customer_created_at", "customer_updated_at"],
+}
