@@ -194,3 +194,245 @@ def q_snapshot_op_filter(spark, sf):
     ops = ("u", "c")
     h1 = snapshot_check(None, s1, ["customer_id"], CUSTOMER_CHECK_COLS, fx.CHECK_RUN_1, ops=ops)
     return snapshot_check(h1, s2, ["customer_id"], CUSTOMER_CHECK_COLS, fx.CHECK_RUN_2, ops=ops)
+
+
+# --- incremental silver (D1, F1, A9) ----------------------------------------
+
+@query("high_water_mark")
+def q_high_water_mark(spark, sf):
+    from .silver import build_silver
+    target = build_silver("accounts", fx.before(fx.bronze_accounts(spark, sf), fx.CUT_1))
+    return target.agg(F.max("ingested_at").alias("mark"))
+
+
+@query("silver_incremental")
+def q_silver_incremental(spark, sf):
+    """Three runs (cut 1, cut 2, end), deletes applied: equals a full refresh."""
+    from .silver import build_silver
+    bronze = fx.bronze_accounts(spark, sf)
+    t1 = build_silver("accounts", fx.before(bronze, fx.CUT_1))
+    t2 = build_silver("accounts", fx.before(bronze, fx.CUT_2), t1)
+    return build_silver("accounts", bronze, t2)
+
+
+@query("silver_upsert")
+def q_silver_upsert(spark, sf):
+    """Original merge behaviour: deletes filtered before the merge, so rows
+    deleted after cut 2 survive."""
+    from .silver import build_silver
+    bronze = fx.bronze_accounts(spark, sf)
+    t1 = build_silver("accounts", fx.before(bronze, fx.CUT_2))
+    return build_silver("accounts", bronze, t1, apply_deletes=False)
+
+
+# --- change parsing (B1-B8, B11) ---------------------------------------------
+
+def _accounts_topic(spark, sf, **kw):
+    from ..config import topic_of
+    from ..functions.cdc import for_topic
+    return for_topic(fx.change_messages(spark, sf, **kw), topic_of("accounts"))
+
+
+ACCOUNT_FIELDS = ["account_id", "customer_id", "bank_id", "account_type", "balance", "currency",
+                  "account_status", "opened_at", "updated_at"]
+
+
+@query("cdc_demux")
+def q_cdc_demux(spark, sf):
+    from ..functions.cdc import table_of
+    m = _accounts_topic(spark, sf)
+    return m.select(table_of("topic").alias("table_name"), F.col("partition").alias("message_partition"),
+                    F.col("offset").alias("message_offset"), F.col("value").isNull().alias("is_tombstone"))
+
+
+@query("cdc_parse")
+def q_cdc_parse(spark, sf):
+    from ..functions.cdc import parse_changes
+    from ..schemas import CHANGE_SCHEMAS
+    return parse_changes(_accounts_topic(spark, sf), CHANGE_SCHEMAS["accounts"])
+
+
+@query("cdc_quarantine")
+def q_cdc_quarantine(spark, sf):
+    from ..functions.cdc import parse_changes, split_corrupt
+    from ..schemas import CHANGE_SCHEMAS
+    parsed = parse_changes(_accounts_topic(spark, sf, corrupt=True), CHANGE_SCHEMAS["accounts"], keep_corrupt=True)
+    _, bad = split_corrupt(parsed)
+    return bad.select("source_partition", "source_offset", "account_id", "balance", "cdc_op")
+
+
+@query("cdc_unwrap")
+def q_cdc_unwrap(spark, sf):
+    from ..functions.cdc import unwrap_envelope
+    from ..schemas import CHANGE_SCHEMAS
+    u = unwrap_envelope(_accounts_topic(spark, sf, envelope=True), CHANGE_SCHEMAS["accounts"])
+    return u.select(F.col("offset").alias("message_offset"), *ACCOUNT_FIELDS,
+                    "__op", "__table", "__source_ts_ms")
+
+
+@query("epoch_ms")
+def q_epoch_ms(spark, sf):
+    from ..functions.time import ms_to_ts, ts_to_ms
+    e = fx.table(spark, sf, "events")
+    return e.select("event_id", ts_to_ms("ts").alias("ts_ms"), ms_to_ts(ts_to_ms("ts")).alias("ts_back"))
+
+
+# --- sinks and loads (A3-A6, A10, K5) ----------------------------------------
+
+def _stamps():
+    return fx.CUT_1, fx.CHECK_RUN_2
+
+
+@query("bronze_append")
+def q_bronze_append(spark, sf):
+    """Two micro-batches (before / after cut 1) ingested with fixed stamps into
+    a date-partitioned bronze; read back with partition discovery."""
+    from ..config import scratch_path
+    from ..sources.tables import read_bronze
+    from ..streaming.ingest import ingest_batch
+    root = scratch_path(spark, "bronze_append")
+    msgs = fx.change_messages(spark, sf)
+    cut = F.lit(fx.CUT_1).cast("timestamp")
+    for i, (part, at) in enumerate(zip((msgs.filter(F.col("timestamp") < cut), msgs.filter(F.col("timestamp") >= cut)),
+                                      _stamps())):
+        ingest_batch(part, i, bronze_root=f"{root}/bronze", dead_letter_root=f"{root}/dead", at=at)
+    b = read_bronze(spark, "accounts", f"{root}/bronze/accounts")
+    return b.drop("ingested_at")
+
+
+@query("dead_letter")
+def q_dead_letter(spark, sf):
+    """A poisoned accounts slice (strict parsing) goes to the dead letters
+    whole; the transactions slice of the same batch still loads."""
+    from ..config import scratch_path
+    from ..streaming.ingest import ingest_batch
+    root = scratch_path(spark, "dead_letter")
+    status = ingest_batch(fx.change_messages(spark, sf, corrupt=True), 0, bronze_root=f"{root}/bronze",
+                          dead_letter_root=f"{root}/dead", parse_mode="FAILFAST")
+    if status.get("transactions") != "ok":
+        raise RuntimeError(f"transactions slice should load: {status}")
+    d = spark.read.parquet(f"{root}/dead/accounts")
+    return d.select("topic", "offset", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+                    F.col("value").isNull().alias("is_tombstone"))
+
+
+@query("replay_dedup")
+def q_replay_dedup(spark, sf):
+    """The same batch delivered twice (at-least-once): duplicates removed on
+    the source position."""
+    from ..config import scratch_path
+    from ..sources.tables import read_bronze
+    from ..streaming.ingest import ingest_batch
+    root = scratch_path(spark, "replay")
+    msgs = fx.change_messages(spark, sf)
+    for i in range(2):
+        ingest_batch(msgs, i, bronze_root=f"{root}/bronze", dead_letter_root=f"{root}/dead", at=fx.CUT_1)
+    b = read_bronze(spark, "accounts", f"{root}/bronze/accounts")
+    return b.dropDuplicates(["source_partition", "source_offset"]).drop("ingested_at", "ingestion_date")
+
+
+@query("bronze_load")
+def q_bronze_load(spark, sf):
+    """Files staged in two waves; three load runs. Each file is loaded once."""
+    from ..config import scratch_path
+    from ..schemas import BRONZE_SCHEMAS
+    from ..sources.files import load_new_files
+    root = scratch_path(spark, "bronze_load")
+    b = fx.bronze_accounts(spark, sf)
+    cut = F.lit(fx.CUT_1).cast("timestamp_ntz")
+    schema = BRONZE_SCHEMAS["accounts"]
+    b.filter(F.col("ingested_at") < cut).select(*schema.fieldNames()).write.parquet(f"{root}/stage/wave1")
+    load_new_files(spark, f"{root}/stage", schema, f"{root}/bronze", f"{root}/ckpt", recursive=True)
+    b.filter(F.col("ingested_at") >= cut).select(*schema.fieldNames()).write.parquet(f"{root}/stage/wave2")
+    load_new_files(spark, f"{root}/stage", schema, f"{root}/bronze", f"{root}/ckpt", recursive=True)
+    again = load_new_files(spark, f"{root}/stage", schema, f"{root}/bronze", f"{root}/ckpt", recursive=True)
+    if again != 0:
+        raise RuntimeError(f"a repeated load read {again} rows")
+    return spark.read.schema(schema).parquet(f"{root}/bronze").select(*schema.fieldNames())
+
+
+@query("load_by_name")
+def q_load_by_name(spark, sf):
+    """Staged files with upper-case names, a missing column, an extra column
+    and an unreadable file: loaded by name against the declared schema."""
+    from ..config import scratch_path
+    from ..schemas import BRONZE_SCHEMAS
+    from ..sources.files import load_new_files
+    root = scratch_path(spark, "load_by_name")
+    schema = BRONZE_SCHEMAS["accounts"]
+    b = fx.bronze_accounts(spark, sf)
+    staged = b.select(*[F.col(c).alias(c.upper()) for c in schema.fieldNames() if c != "currency"],
+                      F.lit("x").alias("UNUSED_EXTRA"))
+    staged.write.parquet(f"{root}/stage/good")
+    _write_junk(spark, f"{root}/stage/bad")
+    load_new_files(spark, f"{root}/stage", schema, f"{root}/bronze", f"{root}/ckpt", recursive=True)
+    return spark.read.schema(schema).parquet(f"{root}/bronze").select(*schema.fieldNames())
+
+
+def _write_junk(spark, path):
+    """One file named like parquet that is not parquet, one text file."""
+    from ..sources.tables import _fs
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    for name, body in (("broken.parquet", "not parquet at all"), ("notes.txt", "ignored by the glob")):
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(p, name), True)
+        out.write(bytearray(body.encode()))
+        out.close()
+
+
+@query("gold_append_twice")
+def q_gold_append_twice(spark, sf):
+    """A gold model published in append mode on two runs holds every row twice."""
+    from ..config import scratch_path
+    from ..sources.tables import publish
+    from .gold import dim_banks
+    path = scratch_path(spark, "gold_append")
+    d = dim_banks(fx.bronze_banks(spark, sf))
+    publish(d, path, mode="append")
+    publish(d, path, mode="append")
+    return spark.read.parquet(path)
+
+
+# --- quality checks (Q1-Q5) ----------------------------------------------------
+
+@query("chk_unique")
+def q_chk_unique(spark, sf):
+    from ..operators.quality import violations_unique
+    return violations_unique(fx.bronze_transaction_legs(spark, sf), ["leg_id"])
+
+
+@query("chk_fk")
+def q_chk_fk(spark, sf):
+    from ..operators.quality import violations_fk
+    orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    lines = fx.table(spark, sf, "lineitem")
+    return violations_fk(orders, lines, ["o_orderkey"], ["l_orderkey"])
+
+
+@query("chk_domain")
+def q_chk_domain(spark, sf):
+    from ..operators.quality import violations_domain
+    from ..config import CHANNELS
+    t = silver_transactions(fx.bronze_transactions(spark, sf))
+    o = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    bad_status = violations_domain(o, "o_orderstatus", ["F", "O"])
+    bad_channel = violations_domain(t, "channel", CHANNELS)
+    return (bad_status.select(F.lit("orders.o_orderstatus").alias("rule"), F.col("o_orderkey").alias("row_key"),
+                              F.col("o_orderstatus").alias("value"))
+            .unionByName(bad_channel.select(F.lit("transactions.channel").alias("rule"),
+                                            F.col("transaction_id").cast("long").alias("row_key"),
+                                            F.col("channel").alias("value"))))
+
+
+@query("chk_balance")
+def q_chk_balance(spark, sf):
+    from ..operators.quality import violations_balance
+    legs = silver_transaction_legs(fx.bronze_transaction_legs(spark, sf), order_by=fx.LEG_ORDER)
+    return violations_balance(legs)
+
+
+@query("chk_fx")
+def q_chk_fx(spark, sf):
+    from ..operators.quality import violations_fx
+    t = silver_transactions(fx.bronze_transactions(spark, sf))
+    return violations_fx(t).select("transaction_id", "amount", "amount_in_usd", "channel")

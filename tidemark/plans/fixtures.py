@@ -54,8 +54,9 @@ def _position(ts: str, offset: Column) -> list[Column]:
     ]
 
 
-def bronze_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Account change log: one change per event of the user."""
+def bronze_accounts(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Account change log: one change per event of the user. ``extra`` event
+    columns are carried along (used by the message renderer)."""
     e = table(spark, sf_dir, "events")
     uid = F.col("user_id")
     return e.select(
@@ -71,6 +72,7 @@ def bronze_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ts_to_ms("ts").alias("updated_at"),
         _op_of_event().alias("cdc_op"),
         *_position("ts", F.col("event_id")),
+        *[F.col(c).alias(f"ev_{c}") for c in extra],
     )
 
 
@@ -93,7 +95,7 @@ def bronze_customers(spark: SparkSession, sf_dir: str, view_op: str | None = "u"
     )
 
 
-def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_transactions(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """Transaction change log: purchase events, one create each."""
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
     eid, uid = F.col("event_id"), F.col("user_id")
@@ -117,6 +119,7 @@ def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         ts_to_ms("ts").alias("updated_at"),
         F.lit("c").alias("cdc_op"),
         *_position("ts", eid),
+        *[F.col(c).alias(f"ev_{c}") for c in extra],
     )
 
 
@@ -201,3 +204,69 @@ SNAPSHOT_COLS = {
     "customers": ["customer_id", "full_name", "email", "phone", "nationality",
                   "customer_created_at", "customer_updated_at"],
 }
+
+
+# --- change messages rendered from the events table --------------------------
+
+STREAM_TABLES = ("accounts", "transactions")
+TRUNCATED_PROPS = '{"k": 13}'   # these account messages lose their tail
+WRONG_TYPE_PROPS = '{"k": 42}'  # these carry a text balance
+
+
+def _rows_with_events(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Bronze change rows of ``table`` plus the event columns the renderer needs."""
+    extra = ("user_id", "props", "event_type", "ts")
+    if table == "accounts":
+        return bronze_accounts(spark, sf_dir, extra).filter(F.col("ev_event_type") != "purchase")
+    return bronze_transactions(spark, sf_dir, extra)
+
+
+def change_messages(spark: SparkSession, sf_dir: str, *, corrupt: bool = False,
+                    envelope: bool = False) -> DataFrame:
+    """Stream-shaped rows (topic, partition, offset, timestamp, value) for the
+    accounts (non-purchase events) and transactions (purchase events) topics.
+    Each message is the flattened change record as JSON (or the unflattened
+    envelope); every account delete is followed by a tombstone (NULL value).
+    Offsets: 2 * event_id for the change, 2 * event_id + 1 for its tombstone.
+    ``corrupt`` truncates some account messages and mistypes a field in others.
+    """
+    from ..config import topic_of
+    from ..schemas import ROW_FIELDS
+    parts = []
+    for t in STREAM_TABLES:
+        r = _rows_with_events(spark, sf_dir, t)
+        row = F.struct(*[F.col(n) for n, _ in ROW_FIELDS[t]])
+        if envelope:
+            is_del = F.col("cdc_op") == "d"
+            body = F.struct(
+                F.when(is_del, row).alias("before"),
+                F.when(~is_del, row).alias("after"),
+                F.col("cdc_op").alias("op"),
+                F.struct(F.lit(t).alias("table"), F.col("source_ts_ms").alias("ts_ms")).alias("source"),
+                F.col("source_ts_ms").alias("ts_ms"))
+        else:
+            body = F.struct(*[F.col(n) for n, _ in ROW_FIELDS[t]],
+                            F.col("cdc_op").alias("__op"), F.lit(t).alias("__table"),
+                            F.col("source_ts_ms").alias("__source_ts_ms"))
+        r = r.withColumn("__text", F.to_json(body))
+        text = F.col("__text")
+        if corrupt and t == "accounts":
+            text = (F.when(F.col("ev_props") == TRUNCATED_PROPS,
+                           F.expr("substring(__text, 1, length(__text) - 5)"))
+                     .when(F.col("ev_props") == WRONG_TYPE_PROPS,
+                           F.regexp_replace(text, r'"balance":[^,}]*', '"balance":"n/a"'))
+                     .otherwise(text))
+        msg = r.select(
+            F.lit(topic_of(t)).alias("topic"),
+            (F.col("ev_user_id") % 4).cast("int").alias("partition"),
+            (F.col("source_offset") * 2).alias("offset"),
+            F.col("ev_ts").cast("timestamp").alias("timestamp"),
+            text.cast("binary").alias("value"),
+            F.col("cdc_op"))
+        if t == "accounts":
+            tomb = msg.filter(F.col("cdc_op") == "d").select(
+                "topic", "partition", (F.col("offset") + 1).alias("offset"), "timestamp",
+                F.lit(None).cast("binary").alias("value"), "cdc_op")
+            msg = msg.unionByName(tomb)
+        parts.append(msg.drop("cdc_op"))
+    return parts[0].unionByName(parts[1])

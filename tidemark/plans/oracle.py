@@ -308,3 +308,119 @@ register("snapshot_op_filter", snapshot_check_sql(
     "customers", "customer_id", ["full_name", "email", "phone", "nationality"],
     BRONZE_CUSTOMERS.replace(OP_OF_EVENT, "CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' WHEN 'view' THEN 'r' ELSE 'u' END"),
     op_filter="cdc_op IN ('u', 'c')"))
+
+
+# --- incremental silver -----------------------------------------------------------
+
+CUT_1 = "TIMESTAMP '2024-01-15 00:00:00'"
+CUT_2 = "TIMESTAMP '2024-01-29 00:00:00'"
+
+
+def _before(src: str, cut: str) -> str:
+    return f"SELECT * FROM ({src}) b WHERE ingested_at < {cut}"
+
+
+register("high_water_mark", f"SELECT max(ingested_at) AS mark FROM ({silver_accounts_sql(_before(BRONZE_ACCOUNTS, CUT_1))}) t")
+register("silver_incremental", silver_accounts_sql())
+register("silver_upsert", f"""
+WITH target AS ({silver_accounts_sql(_before(BRONZE_ACCOUNTS, CUT_2))}),
+     upd AS ({silver_accounts_sql(f"SELECT * FROM ({BRONZE_ACCOUNTS}) b WHERE ingested_at >= (SELECT max(ingested_at) FROM target)")})
+SELECT * FROM upd
+UNION ALL
+SELECT * FROM target WHERE account_id NOT IN (SELECT account_id FROM upd)""")
+
+
+# --- change messages ---------------------------------------------------------------
+
+ACC_FIELDS = "account_id, customer_id, bank_id, account_type, balance, currency, account_status, opened_at, updated_at"
+ACC_MSGS = BRONZE_ACCOUNTS.replace(
+    "\n  FROM events", ", user_id AS ev_user_id, props AS ev_props, event_type AS ev_event_type\n  FROM events")
+ACC_NULLS = ", ".join(f"CAST(NULL AS {t}) AS {n}" for n, t in [
+    ("account_id", "INTEGER"), ("customer_id", "INTEGER"), ("bank_id", "INTEGER"), ("account_type", "VARCHAR"),
+    ("balance", "DOUBLE"), ("currency", "VARCHAR"), ("account_status", "VARCHAR"), ("opened_at", "BIGINT"),
+    ("updated_at", "BIGINT")])
+PART = "CAST(ev_user_id % 4 AS INTEGER)"
+
+
+def _acc_msgs(where: str = "") -> str:
+    w = f" AND ({where})" if where else ""
+    return f"SELECT * FROM ({ACC_MSGS}) m WHERE ev_event_type <> 'purchase'{w}"
+
+
+register("cdc_demux", f"""
+SELECT 'accounts' AS table_name, {PART} AS message_partition, source_offset * 2 AS message_offset,
+       false AS is_tombstone FROM ({_acc_msgs()}) m
+UNION ALL
+SELECT 'accounts', {PART}, source_offset * 2 + 1, true FROM ({_acc_msgs("cdc_op = 'd'")}) m""")
+
+CDC_PARSE = f"""
+SELECT {ACC_FIELDS}, cdc_op, source_ts_ms, {PART} AS source_partition, source_offset * 2 AS source_offset
+FROM ({_acc_msgs()}) m
+UNION ALL
+SELECT {ACC_NULLS}, CAST(NULL AS VARCHAR) AS cdc_op, CAST(NULL AS BIGINT) AS source_ts_ms,
+       {PART} AS source_partition, source_offset * 2 + 1 AS source_offset
+FROM ({_acc_msgs("cdc_op = 'd'")}) m"""
+register("cdc_parse", CDC_PARSE)
+register("replay_dedup", CDC_PARSE)
+
+register("cdc_quarantine", f"""
+SELECT {PART} AS source_partition, source_offset * 2 AS source_offset,
+       CASE WHEN ev_props = '{{"k": 42}}' THEN account_id END AS account_id,
+       CAST(NULL AS DOUBLE) AS balance,
+       CASE WHEN ev_props = '{{"k": 42}}' THEN cdc_op END AS cdc_op
+FROM ({_acc_msgs("ev_props IN ('{\"k\": 13}', '{\"k\": 42}')")}) m""")
+
+register("cdc_unwrap", f"""
+SELECT source_offset * 2 AS message_offset, {ACC_FIELDS}, cdc_op AS __op, 'accounts' AS __table,
+       source_ts_ms AS __source_ts_ms
+FROM ({_acc_msgs()}) m
+UNION ALL
+SELECT source_offset * 2 + 1, {ACC_NULLS}, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT)
+FROM ({_acc_msgs("cdc_op = 'd'")}) m""")
+
+register("epoch_ms", f"""
+SELECT event_id, {ms('ts')} AS ts_ms, make_timestamp_ms({ms('ts')}) AS ts_back FROM events""")
+
+APPEND_DATE = f"CASE WHEN ingested_at < {CUT_1} THEN DATE '2024-01-15' ELSE DATE '2024-02-01' END"
+register("bronze_append", f"""
+SELECT {ACC_FIELDS}, cdc_op, {APPEND_DATE} AS ingestion_date, source_ts_ms, {PART} AS source_partition,
+       source_offset * 2 AS source_offset
+FROM ({_acc_msgs()}) m
+UNION ALL
+SELECT {ACC_NULLS}, CAST(NULL AS VARCHAR), {APPEND_DATE}, CAST(NULL AS BIGINT), {PART}, source_offset * 2 + 1
+FROM ({_acc_msgs("cdc_op = 'd'")}) m""")
+
+register("dead_letter", f"""
+SELECT 'banking.banking.accounts' AS topic, source_offset * 2 AS "offset", ingested_at AS "timestamp",
+       false AS is_tombstone FROM ({_acc_msgs()}) m
+UNION ALL
+SELECT 'banking.banking.accounts', source_offset * 2 + 1, ingested_at, true FROM ({_acc_msgs("cdc_op = 'd'")}) m""")
+
+BRONZE_FIELDS = ACC_FIELDS + ", cdc_op, ingested_at, ingestion_date, source_ts_ms, source_partition, source_offset"
+register("bronze_load", f"SELECT {BRONZE_FIELDS} FROM ({BRONZE_ACCOUNTS}) b")
+register("load_by_name", f"SELECT {BRONZE_FIELDS.replace('currency', 'CAST(NULL AS VARCHAR) AS currency')} FROM ({BRONZE_ACCOUNTS}) b")
+register("gold_append_twice", f"{SQL['dim_banks']} UNION ALL {SQL['dim_banks']}")
+
+
+# --- quality checks -----------------------------------------------------------------
+
+register("chk_unique", f"SELECT leg_id, count(*) AS n_rows FROM ({BRONZE_LEGS}) b GROUP BY leg_id HAVING count(*) > 1")
+register("chk_fk", """
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders o
+WHERE o_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
+register("chk_domain", f"""
+SELECT 'orders.o_orderstatus' AS rule, o_orderkey AS row_key, o_orderstatus AS value FROM orders
+WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O')
+UNION ALL
+SELECT 'transactions.channel', CAST(transaction_id AS BIGINT), channel FROM ({silver_transactions_sql()}) t
+WHERE channel IS NOT NULL AND channel NOT IN ('online', 'mobile', 'atm', 'branch', 'card')""")
+register("chk_balance", f"""
+SELECT transaction_id, CAST(debit_total AS DOUBLE) AS debit_total, CAST(credit_total AS DOUBLE) AS credit_total
+FROM (SELECT transaction_id,
+             SUM(CASE WHEN direction = 'debit' THEN CAST(amount AS DECIMAL(18,2)) END) AS debit_total,
+             SUM(CASE WHEN direction = 'credit' THEN CAST(amount AS DECIMAL(18,2)) END) AS credit_total
+      FROM ({silver_legs_sql()}) l GROUP BY transaction_id) s
+WHERE abs(coalesce(debit_total, 0) - coalesce(credit_total, 0)) > 0.01""")
+register("chk_fx", f"""
+SELECT transaction_id, amount, amount_in_usd, channel FROM ({silver_transactions_sql()}) t
+WHERE abs(amount_in_usd - round(amount * coalesce(exchange_rate, 1.0), 2)) > 0.01""")
