@@ -26,33 +26,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS_PER_GROUP = 2_000_000
-BROADCAST_HOT_KEYS_LIMIT = 100_000
 
-_T, _KIND, _L, _V, _S = "__t", "__kind", "__left", "__ver", "__slice"
+_T, _KIND, _L, _V, _S, _HOT = "__t", "__kind", "__left", "__ver", "__slice", "__hot"
 
 
 def _as_list(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def hot_key_slices(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int):
-    """Hot keys of ``df`` (more than ``max_rows`` rows) with a slicing rule:
-    ``(keys..., __lo, __width, __n)``; slice = floor((ts - lo) / width).
-    Returns None when there is no hot key. ``ts`` must be numeric here."""
-    stats = (df.groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("__cnt"), F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))
-               .filter(F.col("__cnt") > F.lit(max_rows)))
-    n_hot = stats.count()  # bounded: at most total_rows / max_rows
-    if n_hot == 0:
-        return None, 0
+def key_stats(df: DataFrame, keys: Sequence[str], ts: Column) -> DataFrame:
+    """Rows per key and their time range (epoch microseconds): ``(keys...,
+    __cnt, __lo, __hi)``. A partial aggregate over key and time columns only."""
+    return (df.groupBy(*keys)
+              .agg(F.count(F.lit(1)).alias("__cnt"), F.min(ts).alias("__lo"), F.max(ts).alias("__hi")))
+
+
+def hot_key_slices(stats: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
+    """Hot keys (more than ``max_rows`` rows) of a :func:`key_stats` table with
+    their slicing rule ``(keys..., __lo, __width, __n)``: slice =
+    floor((t - lo) / width), ``n`` slices of about ``max_rows`` rows each when
+    the key's rows are spread evenly in time.
+
+    Lazy: it becomes a broadcast stage of the query that uses it, no separate
+    job. Its size is bounded by construction: at most ``total_rows /
+    max_rows`` keys (500 keys per billion rows at the default), each a few
+    dozen bytes."""
+    hot_stats = stats.filter(F.col("__cnt") > F.lit(max_rows))
     n = F.ceil(F.col("__cnt") / F.lit(max_rows)).cast("long")
     width = F.greatest(F.ceil((F.col("__hi") - F.col("__lo") + F.lit(1)) / n), F.lit(1)).cast("long")
-    hot = stats.select(*keys, F.col("__lo"), width.alias("__width"), n.alias("__n"))
-    return hot, n_hot
+    return hot_stats.select(*keys, F.col("__lo"), width.alias("__width"), n.alias("__n"))
+
+
+def micros(c: str | Column) -> Column:
+    """Numeric time (epoch microseconds) used for ordering and slicing."""
+    return F.unix_micros((F.col(c) if isinstance(c, str) else c).cast("timestamp"))
 
 
 def _slice_of(t_col, hot_prefix: str = "") -> F.Column:
@@ -65,40 +76,46 @@ def _slice_of(t_col, hot_prefix: str = "") -> F.Column:
 def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[str],
                right_keys: str | Sequence[str], ts: str, *, as_: str = "v",
                valid_from: str = "valid_from", valid_to: str = "valid_to",
-               max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP) -> DataFrame:
+               max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP,
+               stats: DataFrame | None = None) -> DataFrame:
     """Left rows plus one struct column ``as_`` holding the matching version
     (all its columns), NULL when no version of the key covers ``ts``.
-    NULL keys and NULL times never match, as in SQL."""
+    NULL keys and NULL times never match, as in SQL.
+
+    ``stats`` may supply per-key row counts and time ranges (columns named
+    like ``right_keys`` plus ``__cnt``, ``__lo``, ``__hi`` in epoch
+    microseconds, see :func:`key_stats`) when the caller can derive them more
+    cheaply than an extra pass over ``left`` (e.g. when ``left`` is itself a
+    join result). An over-estimate is harmless: it only splits a key that did
+    not need it. ``max_rows_per_group=None`` disables splitting."""
     lk, rk = _as_list(left_keys), _as_list(right_keys)
     kn = [f"__k{i}" for i in range(len(lk))]
     lcols, vcols = left.columns, versions.columns
-    vtype = versions.select(F.struct(*vcols).alias("s")).schema["s"].dataType
-    ltype = left.select(F.struct(*lcols).alias("s")).schema["s"].dataType
 
-    t_of = lambda c: F.unix_micros(F.col(c).cast("timestamp"))  # noqa: E731 - numeric time for ordering
+    # left rows carry their row in __left, versions theirs in __ver; the
+    # union fills the other payload with a typed NULL
     lpart = left.select(
         *[F.col(a).alias(b) for a, b in zip(lk, kn)],
-        t_of(ts).alias(_T), F.lit(1).alias(_KIND),
-        F.struct(*lcols).alias(_L), F.lit(None).cast(vtype).alias(_V))
-    vvalid = versions.filter(F.col(valid_from).isNotNull())
+        micros(ts).alias(_T), F.lit(1).alias(_KIND), F.struct(*lcols).alias(_L))
+    valid = F.col(valid_from).isNotNull()
     for k in rk:
-        vvalid = vvalid.filter(F.col(k).isNotNull())
-    vpart = vvalid.select(
+        valid = valid & F.col(k).isNotNull()
+    vpart = versions.filter(valid).select(
         *[F.col(a).alias(b) for a, b in zip(rk, kn)],
-        t_of(valid_from).alias(_T), F.lit(0).alias(_KIND),
-        F.lit(None).cast(ltype).alias(_L), F.struct(*vcols).alias(_V))
-    u = lpart.unionByName(vpart)
+        micros(valid_from).alias(_T), F.lit(0).alias(_KIND), F.struct(*vcols).alias(_V))
+    u = lpart.unionByName(vpart, allowMissingColumns=True)
 
-    hot = None
     if max_rows_per_group:
-        hot, n_hot = hot_key_slices(u, kn, _T, max_rows_per_group)
-        if hot is not None:
-            hot_b = F.broadcast(hot) if n_hot <= BROADCAST_HOT_KEYS_LIMIT else hot
-            u = u.join(hot_b, on=kn, how="left")
-            u = u.withColumn(_S, _slice_of(F.col(_T))).drop("__lo", "__width", "__n")
-            carry = _carry_rows(u, hot, kn, vtype, ltype)
-            u = u.unionByName(carry)
-    if hot is None:
+        if stats is None:
+            st = key_stats(u, kn, F.col(_T))
+        else:
+            st = stats.select(*[F.col(a).alias(b) for a, b in zip(rk, kn)], "__cnt", "__lo", "__hi")
+        hot = hot_key_slices(st, kn, max_rows_per_group)
+        u = u.join(F.broadcast(hot), on=kn, how="left").select(
+            *kn, _T, _KIND, _L, _V, _slice_of(F.col(_T)).alias(_S), F.col("__lo").isNotNull().alias(_HOT))
+        carry = _carry_rows(u, hot, kn)
+        u = u.drop(_HOT).unionByName(carry, allowMissingColumns=True)
+    else:
         u = u.withColumn(_S, F.lit(0).cast("long"))
 
     vt_end = F.col(f"{_V}.{valid_to}")
@@ -117,16 +134,17 @@ def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[s
                        F.when(ok, F.col("__m")).alias(as_))
 
 
-def _carry_rows(u: DataFrame, hot: DataFrame, kn: list[str], vtype, ltype) -> DataFrame:
+def _carry_rows(u: DataFrame, hot: DataFrame, kn: list[str]) -> DataFrame:
     """For every slice after the first of a hot key: the newest version that
-    started in an earlier slice, as a row sorting before the slice's rows."""
-    per_slice = (u.filter(F.col(_KIND) == 0)
+    started in an earlier slice, as a row sorting before the slice's rows.
+    Only versions of hot keys take part; the window runs over the slices of
+    one key (at most ``rows / max_rows_per_group`` of them)."""
+    per_slice = (u.filter((F.col(_KIND) == 0) & F.col(_HOT))
                   .groupBy(*kn, _S)
                   .agg(F.max_by(F.col(_V), F.col(_T)).alias("__last")))
     grid = hot.select(*kn, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias(_S))
     w = Window.partitionBy(*kn).orderBy(_S).rowsBetween(Window.unboundedPreceding, -1)
     carried = (grid.join(per_slice, on=kn + [_S], how="left")
-                   .select(*kn, _S, F.last("__last", ignorenulls=True).over(w).alias(_V))
-                   .filter(F.col(_V).isNotNull()))
-    return carried.select(*kn, F.lit(None).cast("long").alias(_T), F.lit(-1).alias(_KIND),
-                          F.lit(None).cast(ltype).alias(_L), _V, _S)
+                   .select(*kn, _S, F.last("__last", ignorenulls=True).over(w).alias(_V)))
+    return carried.filter(F.col(_V).isNotNull()).select(
+        *kn, F.lit(None).cast("long").alias(_T), F.lit(-1).alias(_KIND), _V, _S)

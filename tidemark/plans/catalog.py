@@ -77,7 +77,8 @@ def _gold_inputs(spark, sf):
 def q_asof_account(spark, sf):
     from ..operators.asof import as_of_join
     txn, acc, _, _ = _gold_inputs(spark, sf)
-    j = as_of_join(txn.select("transaction_id", "account_id", "transaction_created_at"), acc,
+    versions = acc.select("account_id", "account_type", "balance", "valid_from", "valid_to")
+    j = as_of_join(txn.select("transaction_id", "account_id", "transaction_created_at"), versions,
                    "account_id", "account_id", "transaction_created_at", as_="a")
     return j.select("transaction_id", "transaction_created_at",
                     F.col("a.account_id").alias("account_id"),

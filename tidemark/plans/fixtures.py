@@ -30,96 +30,108 @@ CHECK_RUN_1 = _dt.datetime(2024, 1, 16)
 CHECK_RUN_2 = _dt.datetime(2024, 2, 1)
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(data_dir(sf_dir, name))
+    """A shared test table; the DataFrame is reused per session and path."""
+    path = data_dir(sf_dir, name)
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
+
+
+MS = "unix_millis(CAST({c} AS TIMESTAMP))"
 
 
-def _op_of_event(view_op: str | None = "u") -> Column:
+def _ms(c: str) -> str:
+    return MS.format(c=c)
+
+
+def _op_of_event(view_op: str | None = "u") -> str:
     """signup -> create, error -> delete, others -> update; ``view_op`` sets
     the op of 'view' events (None: an unreadable record, 'r': a snapshot read)."""
-    e = F.col("event_type")
-    op = F.when(e == "signup", "c").when(e == "error", "d")
-    if view_op != "u":
-        op = op.when(e == "view", F.lit(view_op).cast("string"))
-    return op.otherwise("u")
+    view = "" if view_op == "u" else (
+        "WHEN 'view' THEN CAST(NULL AS STRING) " if view_op is None else f"WHEN 'view' THEN '{view_op}' ")
+    return f"CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' {view}ELSE 'u' END"
 
 
-def _position(ts: str, offset: Column) -> list[Column]:
+def _position(ts: str, offset: str) -> list[str]:
     return [
-        F.col(ts).alias("ingested_at"),
-        F.col(ts).cast("date").alias("ingestion_date"),
-        ts_to_ms(ts).alias("source_ts_ms"),
-        F.lit(None).cast("int").alias("source_partition"),
-        offset.alias("source_offset"),
+        f"{ts} AS ingested_at",
+        f"CAST({ts} AS DATE) AS ingestion_date",
+        f"{_ms(ts)} AS source_ts_ms",
+        "CAST(NULL AS INT) AS source_partition",
+        f"{offset} AS source_offset",
     ]
 
 
+def _extra(extra: tuple[str, ...]) -> list[str]:
+    return [f"{c} AS ev_{c}" for c in extra]
+
+
 def bronze_accounts(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """Account change log: one change per event of the user. ``extra`` event
     columns are carried along (used by the message renderer)."""
-    e = table(spark, sf_dir, "events")
-    uid = F.col("user_id")
-    return e.select(
-        uid.cast("int").alias("account_id"),
-        (uid % 50).cast("int").alias("customer_id"),
-        (uid % 10).cast("int").alias("bank_id"),
-        F.col("event_type").alias("account_type"),
-        F.col("value").alias("balance"),
-        F.when(uid % 3 == 0, "GBP").when(uid % 3 == 1, "EUR").otherwise("USD").alias("currency"),
-        F.when(F.col("event_type") == "error", "frozen")
-         .when(F.col("event_type") == "view", "dormant").otherwise("active").alias("account_status"),
-        (ts_to_ms("ts") - F.lit(MONTH_MS)).alias("opened_at"),
-        ts_to_ms("ts").alias("updated_at"),
-        _op_of_event().alias("cdc_op"),
-        *_position("ts", F.col("event_id")),
-        *[F.col(c).alias(f"ev_{c}") for c in extra],
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(user_id AS INT) AS account_id",
+        "CAST(user_id % 50 AS INT) AS customer_id",
+        "CAST(user_id % 10 AS INT) AS bank_id",
+        "event_type AS account_type",
+        "value AS balance",
+        "CASE WHEN user_id % 3 = 0 THEN 'GBP' WHEN user_id % 3 = 1 THEN 'EUR' ELSE 'USD' END AS currency",
+        "CASE WHEN event_type = 'error' THEN 'frozen' WHEN event_type = 'view' THEN 'dormant' "
+        "ELSE 'active' END AS account_status",
+        f"{_ms('ts')} - {MONTH_MS} AS opened_at",
+        f"{_ms('ts')} AS updated_at",
+        f"{_op_of_event()} AS cdc_op",
+        *_position("ts", "event_id"),
+        *_extra(extra),
     )
 
 
 def bronze_customers(spark: SparkSession, sf_dir: str, view_op: str | None = "u") -> DataFrame:
     """Customer change log: customer = user_id % 50."""
-    e = table(spark, sf_dir, "events")
-    uid = F.col("user_id")
-    return e.select(
-        (uid % 50).cast("int").alias("customer_id"),
-        F.concat(F.lit("cust-"), (uid % 50).cast("string")).alias("full_name"),
-        F.concat(F.lit("u"), uid.cast("string"), F.lit("@mail.test")).alias("email"),
-        F.when(F.col("event_type") == "click", F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("+44-"), uid.cast("string"))).alias("phone"),
-        F.when(uid % 5 == 0, "British").when(uid % 5 == 1, "Nigerian").when(uid % 5 == 2, "Indian")
-         .when(uid % 5 == 3, "Polish").otherwise("Ghanaian").alias("nationality"),
-        (ts_to_ms("ts") - F.lit(MONTH_MS)).alias("created_at"),
-        ts_to_ms("ts").alias("updated_at"),
-        _op_of_event(view_op).alias("cdc_op"),
-        *_position("ts", F.col("event_id")),
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(user_id % 50 AS INT) AS customer_id",
+        "concat('cust-', CAST(user_id % 50 AS STRING)) AS full_name",
+        "concat('u', CAST(user_id AS STRING), '@mail.test') AS email",
+        "CASE WHEN event_type = 'click' THEN CAST(NULL AS STRING) "
+        "ELSE concat('+44-', CAST(user_id AS STRING)) END AS phone",
+        "CASE WHEN user_id % 5 = 0 THEN 'British' WHEN user_id % 5 = 1 THEN 'Nigerian' "
+        "WHEN user_id % 5 = 2 THEN 'Indian' WHEN user_id % 5 = 3 THEN 'Polish' ELSE 'Ghanaian' END AS nationality",
+        f"{_ms('ts')} - {MONTH_MS} AS created_at",
+        f"{_ms('ts')} AS updated_at",
+        f"{_op_of_event(view_op)} AS cdc_op",
+        *_position("ts", "event_id"),
     )
 
 
 def bronze_transactions(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Transaction change log: purchase events, one create each."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
-    eid, uid = F.col("event_id"), F.col("user_id")
-    rate = F.lit(1.27)
-    return e.select(
-        eid.cast("int").alias("transaction_id"),
-        uid.cast("int").alias("account_id"),
-        F.when(eid % 3 == 0, "deposit").when(eid % 3 == 1, "withdrawal").otherwise("transfer").alias("type"),
-        F.col("value").alias("amount"),
-        F.lit("GBP").alias("currency"),
-        rate.alias("exchange_rate"),
-        # planted rule violation: the ATM channel books the amount unconverted
-        F.when(eid % 5 == 2, F.col("value")).otherwise(F.col("value") * rate).alias("amount_in_usd"),
-        F.when(eid % 10 == 0, "failed").when(eid % 10 < 3, "pending").otherwise("completed").alias("status"),
-        F.when(eid % 5 == 0, "online").when(eid % 5 == 1, "mobile").when(eid % 5 == 2, "atm")
-         .when(eid % 5 == 3, "branch").otherwise("card").alias("channel"),
-        F.lit("United Kingdom").alias("country"),
-        F.concat(F.lit("city-"), (uid % 7).cast("string")).alias("city"),
-        F.col("props").alias("description"),
-        ts_to_ms("ts").alias("created_at"),
-        ts_to_ms("ts").alias("updated_at"),
-        F.lit("c").alias("cdc_op"),
-        *_position("ts", eid),
-        *[F.col(c).alias(f"ev_{c}") for c in extra],
+    """Transaction change log: purchase events, one create each. The ATM
+    channel books the amount unconverted: a planted rule violation."""
+    return table(spark, sf_dir, "events").filter("event_type = 'purchase'").selectExpr(
+        "CAST(event_id AS INT) AS transaction_id",
+        "CAST(user_id AS INT) AS account_id",
+        "CASE WHEN event_id % 3 = 0 THEN 'deposit' WHEN event_id % 3 = 1 THEN 'withdrawal' "
+        "ELSE 'transfer' END AS type",
+        "value AS amount",
+        "'GBP' AS currency",
+        "CAST(1.27 AS DOUBLE) AS exchange_rate",
+        "CASE WHEN event_id % 5 = 2 THEN value ELSE value * CAST(1.27 AS DOUBLE) END AS amount_in_usd",
+        "CASE WHEN event_id % 10 = 0 THEN 'failed' WHEN event_id % 10 < 3 THEN 'pending' "
+        "ELSE 'completed' END AS status",
+        "CASE WHEN event_id % 5 = 0 THEN 'online' WHEN event_id % 5 = 1 THEN 'mobile' "
+        "WHEN event_id % 5 = 2 THEN 'atm' WHEN event_id % 5 = 3 THEN 'branch' ELSE 'card' END AS channel",
+        "'United Kingdom' AS country",
+        "concat('city-', CAST(user_id % 7 AS STRING)) AS city",
+        "props AS description",
+        f"{_ms('ts')} AS created_at",
+        f"{_ms('ts')} AS updated_at",
+        "'c' AS cdc_op",
+        *_position("ts", "event_id"),
+        *_extra(extra),
     )
 
 
@@ -131,26 +143,23 @@ LEG_ORDER = ["ingested_at", "source_ts_ms", "source_offset", "amount", "l_quanti
 def bronze_transaction_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leg change log from lineitem: leg = (orderkey, linenumber); status F is
     the debit leg, others the credit leg; return flag R marks a delete."""
-    li = table(spark, sf_dir, "lineitem")
-    debit = F.col("l_linestatus") == "F"
-    return li.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("int").alias("leg_id"),
-        F.col("l_orderkey").cast("int").alias("transaction_id"),
-        F.when(debit, "debit").otherwise("credit").alias("direction"),
-        F.when(debit, F.col("l_partkey").cast("int")).alias("account_id"),
-        F.col("l_suppkey").cast("int").alias("bank_id"),
-        F.when(~debit, F.concat(F.lit("GB"), F.col("l_partkey").cast("string"))).alias("external_account_reference"),
-        F.when(~debit, F.concat(F.lit("name-"), F.col("l_suppkey").cast("string"))).alias("external_account_name"),
-        F.col("l_extendedprice").alias("amount"),
-        F.lit("GBP").alias("currency"),
-        F.when(F.col("l_returnflag") == "R", "d").when(F.col("l_returnflag") == "A", "u")
-         .otherwise("c").alias("cdc_op"),
-        F.col("l_shipdate").alias("ingested_at"),
-        F.col("l_shipdate").cast("date").alias("ingestion_date"),
-        F.col("l_partkey").alias("source_ts_ms"),
-        F.lit(None).cast("int").alias("source_partition"),
-        F.col("l_suppkey").alias("source_offset"),
-        F.col("l_quantity"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(l_orderkey * 8 + l_linenumber AS INT) AS leg_id",
+        "CAST(l_orderkey AS INT) AS transaction_id",
+        "CASE WHEN l_linestatus = 'F' THEN 'debit' ELSE 'credit' END AS direction",
+        "CASE WHEN l_linestatus = 'F' THEN CAST(l_partkey AS INT) END AS account_id",
+        "CAST(l_suppkey AS INT) AS bank_id",
+        "CASE WHEN l_linestatus <> 'F' THEN concat('GB', CAST(l_partkey AS STRING)) END AS external_account_reference",
+        "CASE WHEN l_linestatus <> 'F' THEN concat('name-', CAST(l_suppkey AS STRING)) END AS external_account_name",
+        "l_extendedprice AS amount",
+        "'GBP' AS currency",
+        "CASE WHEN l_returnflag = 'R' THEN 'd' WHEN l_returnflag = 'A' THEN 'u' ELSE 'c' END AS cdc_op",
+        "l_shipdate AS ingested_at",
+        "CAST(l_shipdate AS DATE) AS ingestion_date",
+        "l_partkey AS source_ts_ms",
+        "CAST(NULL AS INT) AS source_partition",
+        "l_suppkey AS source_offset",
+        "l_quantity",
     )
 
 
@@ -159,18 +168,18 @@ def bronze_banks(spark: SparkSession, sf_dir: str) -> DataFrame:
     deleted bank. nation is a fixed 25-row table, so it is broadcast."""
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
-    at = F.lit(BANKS_LOADED_AT).cast("timestamp_ntz")
-    return s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "inner").select(
-        F.col("s_suppkey").cast("int").alias("bank_id"),
-        F.col("s_name").alias("bank_name"),
-        F.col("n_name").alias("country"),
-        F.concat(F.lit("SW"), F.col("s_suppkey").cast("string")).alias("swift_code"),
-        F.when(F.col("s_acctbal") < 0, "d").otherwise("c").alias("cdc_op"),
-        at.alias("ingested_at"),
-        at.cast("date").alias("ingestion_date"),
-        F.lit(None).cast("long").alias("source_ts_ms"),
-        F.lit(None).cast("int").alias("source_partition"),
-        F.col("s_suppkey").alias("source_offset"),
+    at = "CAST(TIMESTAMP_NTZ '2024-01-01 00:00:00' AS TIMESTAMP_NTZ)"
+    return s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "inner").selectExpr(
+        "CAST(s_suppkey AS INT) AS bank_id",
+        "s_name AS bank_name",
+        "n_name AS country",
+        "concat('SW', CAST(s_suppkey AS STRING)) AS swift_code",
+        "CASE WHEN s_acctbal < 0 THEN 'd' ELSE 'c' END AS cdc_op",
+        f"{at} AS ingested_at",
+        f"CAST({at} AS DATE) AS ingestion_date",
+        "CAST(NULL AS BIGINT) AS source_ts_ms",
+        "CAST(NULL AS INT) AS source_partition",
+        "s_suppkey AS source_offset",
     )
 
 
@@ -183,7 +192,7 @@ def accounts_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     until the account's next change."""
     from ..operators.scd2 import history_from_changes
     from .silver import MODELS
-    b = bronze_accounts(spark, sf_dir).filter(F.col("account_type") != "purchase")
+    b = bronze_accounts(spark, sf_dir).filter("account_type <> 'purchase'")
     changes = MODELS["accounts"].project(b).select(*SNAPSHOT_COLS["accounts"], "ingested_at")
     return history_from_changes(changes, ["account_id"], "account_updated_at", ["ingested_at"]).drop("ingested_at")
 
@@ -192,7 +201,7 @@ def customers_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer versions: every create (signup) opens a version."""
     from ..operators.scd2 import history_from_changes
     from .silver import MODELS
-    b = bronze_customers(spark, sf_dir).filter(F.col("cdc_op") == "c")
+    b = bronze_customers(spark, sf_dir).filter("cdc_op = 'c'")
     changes = MODELS["customers"].project(b).select(*SNAPSHOT_COLS["customers"], "ingested_at")
     return history_from_changes(changes, ["customer_id"], "customer_updated_at", ["ingested_at"]).drop("ingested_at")
 
@@ -217,7 +226,7 @@ def _rows_with_events(spark: SparkSession, sf_dir: str, table: str) -> DataFrame
     """Bronze change rows of ``table`` plus the event columns the renderer needs."""
     extra = ("user_id", "props", "event_type", "ts")
     if table == "accounts":
-        return bronze_accounts(spark, sf_dir, extra).filter(F.col("ev_event_type") != "purchase")
+        return bronze_accounts(spark, sf_dir, extra).filter("ev_event_type <> 'purchase'")
     return bronze_transactions(spark, sf_dir, extra)
 
 

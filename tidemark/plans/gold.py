@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.asof import DEFAULT_MAX_ROWS_PER_GROUP, as_of_join
+from ..operators.asof import DEFAULT_MAX_ROWS_PER_GROUP, as_of_join, key_stats, micros
 from ..operators.latest import LATEST_ORDER, live_rows
 from ..operators.scd2 import current
 
@@ -64,11 +64,25 @@ def transactions_as_of(transactions: DataFrame, accounts_history: DataFrame,
     ta = as_of_join(t, acc, "account_id", "account_id", "transaction_created_at", as_="a",
                     max_rows_per_group=max_rows_per_group)
     ta = ta.withColumn("__acust", F.col("a.customer_id"))
+    stats = customer_stats(t, acc, cus) if max_rows_per_group else None
     tac = as_of_join(ta, cus, "__acust", "customer_id", "transaction_created_at", as_="c",
-                     max_rows_per_group=max_rows_per_group)
+                     max_rows_per_group=max_rows_per_group, stats=stats)
     return tac.drop("__acust")
 
 
+def customer_stats(t: DataFrame, acc: DataFrame, cus: DataFrame) -> DataFrame:
+    """Per-customer row estimate for the second as-of join without running the
+    first: transactions per account, summed over every customer the account
+    ever belonged to, plus the customer's own versions. Aggregates of key
+    columns only; an account that changed owner counts for each owner."""
+    per_account = key_stats(t, ["account_id"], micros("transaction_created_at"))
+    owners = acc.select("account_id", "customer_id").distinct()
+    via_accounts = per_account.join(owners, "account_id").drop("account_id")
+    own = key_stats(cus, ["customer_id"], micros("valid_from"))
+    return (via_accounts.unionByName(own).groupBy("customer_id")
+            .agg(F.sum("__cnt").alias("__cnt"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi")))
+
+
 def fct_transactions(transactions: DataFrame, accounts_history: DataFrame,
                      customers_history: DataFrame, legs: DataFrame,
                      max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP) -> DataFrame:
