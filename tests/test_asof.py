@@ -67,3 +67,14 @@ def test_left_columns_and_struct(spark):
     assert out.columns == ["id", "k", "ts", "acct"]
     r = out.first()
     assert r.acct.ver == "a" and r.acct.k == 1
+
+
+@pytest.mark.parametrize("limit", [None, 2, 1000])
+def test_left_join_fanout_equals_left_join(spark, limit):
+    from tidemark.operators.joins import left_join_fanout
+    rnd = random.Random(3)
+    left = spark.createDataFrame([(i, rnd.choice([1, 2, 3, 4, None])) for i in range(50)], "id int, k int")
+    right = spark.createDataFrame([(rnd.choice([1, 1, 1, 2, 5, None]), j) for j in range(40)], "k int, r int")
+    got = sorted(tuple(r) for r in left_join_fanout(left, right, ["k"], limit).select("id", "k", "r").collect())
+    want = sorted(tuple(r) for r in left.join(right, ["k"], "left").select("id", "k", "r").collect())
+    assert sorted(got, key=str) == sorted(want, key=str)

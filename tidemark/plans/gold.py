@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.asof import DEFAULT_MAX_ROWS_PER_GROUP, as_of_join, key_stats, micros
+from ..operators.joins import DEFAULT_MAX_ROWS_PER_KEY, left_join_fanout
 from ..operators.latest import LATEST_ORDER, live_rows
 from ..operators.scd2 import current
 
@@ -83,11 +84,15 @@ def customer_stats(t: DataFrame, acc: DataFrame, cus: DataFrame) -> DataFrame:
             .agg(F.sum("__cnt").alias("__cnt"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi")))
 
 
+def _fanout_limit(max_rows_per_group: int | None) -> int | None:
+    return DEFAULT_MAX_ROWS_PER_KEY if max_rows_per_group else None
+
+
 def fct_transactions(transactions: DataFrame, accounts_history: DataFrame,
                      customers_history: DataFrame, legs: DataFrame,
                      max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP) -> DataFrame:
     tac = transactions_as_of(transactions, accounts_history, customers_history, max_rows_per_group)
-    j = tac.join(credit_legs(legs), on="transaction_id", how="left")
+    j = left_join_fanout(tac, credit_legs(legs), ["transaction_id"], _fanout_limit(max_rows_per_group))
     return j.select(
         *TXN_COLS,
         F.col("a.account_id").alias("account_id"),
@@ -112,8 +117,9 @@ def transactions_reporting(transactions: DataFrame, accounts_history: DataFrame,
     several debit legs, and the row count is part of the result."""
     tac = transactions_as_of(transactions, accounts_history, customers_history, max_rows_per_group)
     dl = debit_legs(legs).select("transaction_id")
-    j = (tac.join(dl, on="transaction_id", how="left")
-            .join(credit_legs(legs), on="transaction_id", how="left"))
+    limit = _fanout_limit(max_rows_per_group)
+    j = left_join_fanout(left_join_fanout(tac, dl, ["transaction_id"], limit),
+                         credit_legs(legs), ["transaction_id"], limit)
     return j.select(
         *TXN_COLS,
         F.col("a.account_id").alias("account_id"),
