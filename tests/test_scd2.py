@@ -75,3 +75,18 @@ def test_history_from_changes(spark):
     got = sorted((r.k, r.name, r.valid_from, r.valid_to) for r in h.collect())
     assert got == [(1, "a", _t(1), _t(4)), (1, "b", _t(4), _t(9)), (1, "c", _t(9), None), (2, "x", _t(2), None)]
     _check_invariants(h)
+
+
+def test_history_from_changes_with_hot_keys(spark):
+    import random
+    rnd = random.Random(5)
+    rows = []
+    for i in range(300):
+        k = 0 if i % 2 else rnd.randrange(1, 6)   # key 0 holds half the changes
+        rows.append((k, f"n{i}", _t(rnd.randrange(0, 60)), "u"))
+    ch = _cur(spark, rows)
+    want = sorted(tuple(r) for r in history_from_changes(ch, ["k"], "upd", ["name"], max_rows_per_group=None)
+                  .select("k", "name", "valid_from", "valid_to").collect())
+    got = sorted(tuple(r) for r in history_from_changes(ch, ["k"], "upd", ["name"], max_rows_per_group=10)
+                 .select("k", "name", "valid_from", "valid_to").collect())
+    assert got == want

@@ -134,18 +134,37 @@ def snapshot_check(history: DataFrame | None, cur: DataFrame, keys: Sequence[str
 
 
 def history_from_changes(changes: DataFrame, keys: Sequence[str], updated_at: str,
-                         tiebreak: Sequence[str] = ()) -> DataFrame:
+                         tiebreak: Sequence[str] = (),
+                         max_rows_per_group: int | None = 2_000_000) -> DataFrame:
     """Full history in one pass over a change log: every change opens a version
     that lasts until the key's next change (``lead`` over the key in
     ``updated_at`` order). Equivalent to running the timestamp snapshot after
-    every change."""
-    order = [F.col(updated_at)] + [F.col(c) for c in tiebreak]
-    w = Window.partitionBy(*keys).orderBy(*order)
+    every change.
+
+    Keys with more than ``max_rows_per_group`` changes are cut into time slices
+    (see :mod:`tidemark.operators.asof`): ``lead`` runs per slice, and the last
+    change of a slice ends where the key's next non-empty slice starts (a
+    per-slice minimum and a window over the slices of one key, both small)."""
+    from .asof import _slice_of, hot_key_slices, key_stats, micros
+
     at = F.col(updated_at)
-    return changes.select(
+    order = [at] + [F.col(c) for c in tiebreak]
+    base = changes.select(
         *changes.columns,
         _scd_id(keys, at).alias("scd_id"),
         at.alias("scd_updated_at"),
-        at.alias("valid_from"),
-        F.lead(at).over(w).alias("valid_to"),
-    )
+        at.alias("valid_from"))
+    if not max_rows_per_group:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return base.withColumn("valid_to", F.lead(at).over(w))
+    hot = hot_key_slices(key_stats(changes, keys, micros(updated_at)), keys, max_rows_per_group)
+    sliced = base.join(F.broadcast(hot), on=list(keys), how="left").select(
+        *base.columns, _slice_of(micros(updated_at)).alias("__slice"), F.col("__lo").isNotNull().alias("__hot"))
+    # where each slice of a hot key ends: the start of the key's next non-empty slice
+    starts = (sliced.filter("__hot").groupBy(*keys, "__slice").agg(F.min(updated_at).alias("__start")))
+    ws = Window.partitionBy(*keys).orderBy("__slice")
+    ends = starts.select(*keys, "__slice", F.lead("__start").over(ws).alias("__next"))
+    w = Window.partitionBy(*keys, "__slice").orderBy(*order)
+    with_lead = sliced.withColumn("__lead", F.lead(at).over(w))
+    joined = with_lead.join(F.broadcast(ends), on=list(keys) + ["__slice"], how="left")
+    return joined.select(*base.columns, F.coalesce("__lead", "__next").alias("valid_to"))

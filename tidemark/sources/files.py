@@ -44,10 +44,17 @@ def load_new_files(spark: SparkSession, source_dir: str, schema: StructType, tar
     return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
 
 
-def write_dead_letter(messages: DataFrame, path: str, error: str) -> None:
-    """Append failed messages with the failure time and error text."""
-    (messages.select(
+def write_dead_letter(messages: DataFrame, path: str, error: str, *,
+                      kafka_servers: str | None = None, topic: str | None = None) -> None:
+    """Append failed messages with the failure time and error text, to a
+    parquet folder, or (``kafka_servers``) as JSON records to ``topic``."""
+    dead = messages.select(
         F.col("topic"), F.col("value"), F.col("offset"), F.col("timestamp"),
         F.current_timestamp().alias("failed_at"),
         F.lit(error[:4000]).alias("error_message"))
-     .write.mode("append").parquet(path))
+    if kafka_servers:
+        (dead.select(F.to_json(F.struct(*[F.col(c) for c in dead.columns])).alias("value"))
+             .write.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
+             .option("topic", topic).save())
+        return
+    dead.write.mode("append").parquet(path)

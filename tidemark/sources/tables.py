@@ -91,3 +91,23 @@ class VersionedTable:
         out = f"{self.path}/v={nxt}"
         df.write.mode("errorifexists").parquet(out)
         return out
+
+
+def merge_into(spark: SparkSession, table: str, updates: DataFrame, keys: list[str], *,
+               delete_op: str | None = "d", op_col: str = "cdc_op") -> None:
+    """Key upsert into a catalog table whose format supports ``MERGE INTO``
+    (Delta, Iceberg): matched rows are replaced, new keys inserted, and with
+    ``delete_op`` a matched row whose newest change is a delete is removed.
+    ``updates`` must hold one row per key (see ``latest_per_key``). Plain
+    parquet tables reject MERGE; use ``VersionedTable`` with ``upsert`` there.
+    Not exercised by the tests here: no such table format is on this class path."""
+    view = f"__tidemark_updates_{abs(hash((table, tuple(keys)))) % 10**8}"
+    updates.createOrReplaceTempView(view)
+    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    delete = (f"WHEN MATCHED AND s.`{op_col}` = '{delete_op}' THEN DELETE "
+              if delete_op and op_col in updates.columns else "")
+    insert_guard = (f"AND (s.`{op_col}` IS NULL OR s.`{op_col}` <> '{delete_op}') "
+                    if delete_op and op_col in updates.columns else "")
+    spark.sql(f"MERGE INTO {table} t USING {view} s ON {on} {delete}"
+              f"WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED {insert_guard}THEN INSERT *")
+    spark.catalog.dropTempView(view)
