@@ -104,9 +104,10 @@ def merge_into(spark: SparkSession, table: str, updates: DataFrame, keys: list[s
     view = f"__tidemark_updates_{abs(hash((table, tuple(keys)))) % 10**8}"
     updates.createOrReplaceTempView(view)
     on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-    delete = (f"WHEN MATCHED AND s.`{op_col}` = '{delete_op}' THEN DELETE "
+    # same three-valued rule as the delete filter: a NULL op removes, never inserts
+    delete = (f"WHEN MATCHED AND coalesce(s.`{op_col}`, '{delete_op}') = '{delete_op}' THEN DELETE "
               if delete_op and op_col in updates.columns else "")
-    insert_guard = (f"AND (s.`{op_col}` IS NULL OR s.`{op_col}` <> '{delete_op}') "
+    insert_guard = (f"AND s.`{op_col}` <> '{delete_op}' "
                     if delete_op and op_col in updates.columns else "")
     spark.sql(f"MERGE INTO {table} t USING {view} s ON {on} {delete}"
               f"WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED {insert_guard}THEN INSERT *")
