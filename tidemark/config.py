@@ -49,6 +49,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "32")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -43,7 +43,7 @@ def q_silver_transactions(spark, sf):
 
 @query("silver_legs")
 def q_silver_legs(spark, sf):
-    return silver_transaction_legs(fx.bronze_transaction_legs(spark, sf), order_by=fx.LEG_ORDER)
+    return silver_transaction_legs(fx.bronze_transaction_legs(spark, sf))
 
 
 @query("latest_per_key")
@@ -69,7 +69,7 @@ def q_dim_banks(spark, sf):
 def _gold_inputs(spark, sf):
     from .silver import silver_transaction_legs, silver_transactions
     txn = silver_transactions(fx.bronze_transactions(spark, sf))
-    legs = silver_transaction_legs(fx.bronze_transaction_legs(spark, sf), order_by=fx.LEG_ORDER)
+    legs = silver_transaction_legs(fx.bronze_transaction_legs(spark, sf))
     return txn, fx.accounts_history(spark, sf), fx.customers_history(spark, sf), legs
 
 
@@ -428,7 +428,7 @@ def q_chk_domain(spark, sf):
 @query("chk_balance")
 def q_chk_balance(spark, sf):
     from ..operators.quality import violations_balance
-    legs = silver_transaction_legs(fx.bronze_transaction_legs(spark, sf), order_by=fx.LEG_ORDER)
+    legs = silver_transaction_legs(fx.bronze_transaction_legs(spark, sf))
     return violations_balance(legs)
 
 
@@ -437,3 +437,24 @@ def q_chk_fx(spark, sf):
     from ..operators.quality import violations_fx
     t = silver_transactions(fx.bronze_transactions(spark, sf))
     return violations_fx(t).select("transaction_id", "amount", "amount_in_usd", "channel")
+
+
+# --- one whole pipeline run (P1) --------------------------------------------
+
+@query("pipeline_run")
+def q_pipeline_run(spark, sf):
+    """Fixture change logs written as the five bronze tables, then one
+    pipeline run (silver, snapshots, gold, checks); returns the gold fact."""
+    from ..config import scratch_path
+    from ..schemas import BRONZE_SCHEMAS
+    from ..sources.tables import backfill_bronze
+    from .pipeline import PipelineConfig, run_pipeline
+    root = scratch_path(spark, "pipeline")
+    logs = {"accounts": fx.bronze_accounts(spark, sf), "customers": fx.bronze_customers(spark, sf),
+            "transactions": fx.bronze_transactions(spark, sf),
+            "transaction_legs": fx.bronze_transaction_legs(spark, sf), "banks": fx.bronze_banks(spark, sf)}
+    for table, df in logs.items():
+        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_SCHEMAS[table].fields])
+        backfill_bronze(rows, f"{root}/bronze/{table}")
+    result = run_pipeline(spark, PipelineConfig(root=root, run_at=fx.CHECK_RUN_2))
+    return spark.read.parquet(result["gold"]["fct_transactions"])

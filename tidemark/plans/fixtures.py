@@ -135,9 +135,9 @@ def bronze_transactions(spark: SparkSession, sf_dir: str, extra: tuple[str, ...]
     )
 
 
-# Total order for the leg change log, newest first. lineitem has no unique row
-# id; these five columns have no ties at any scale.
-LEG_ORDER = ["ingested_at", "source_ts_ms", "source_offset", "amount", "l_quantity"]
+# lineitem has no unique row id, but (shipdate, partkey, suppkey, extendedprice)
+# has no ties at any scale; the source position columns encode the last three,
+# so the standard bronze order (ingested_at, source_ts_ms, source_offset) is total.
 
 
 def bronze_transaction_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,8 +158,7 @@ def bronze_transaction_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(l_shipdate AS DATE) AS ingestion_date",
         "l_partkey AS source_ts_ms",
         "CAST(NULL AS INT) AS source_partition",
-        "l_suppkey AS source_offset",
-        "l_quantity",
+        "l_suppkey * 100000000 + CAST(round(l_extendedprice * 100) AS BIGINT) AS source_offset",
     )
 
 
