@@ -92,6 +92,13 @@ def fct_transactions(transactions: DataFrame, accounts_history: DataFrame,
                      customers_history: DataFrame, legs: DataFrame,
                      max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP) -> DataFrame:
     tac = transactions_as_of(transactions, accounts_history, customers_history, max_rows_per_group)
+    return fct_from_as_of(tac, legs, max_rows_per_group)
+
+
+def fct_from_as_of(tac: DataFrame, legs: DataFrame,
+                   max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP) -> DataFrame:
+    """The fact from :func:`transactions_as_of` output (which a pipeline run
+    writes once and shares with the reporting model)."""
     j = left_join_fanout(tac, credit_legs(legs), ["transaction_id"], _fanout_limit(max_rows_per_group))
     return j.select(
         *TXN_COLS,
@@ -116,6 +123,11 @@ def transactions_reporting(transactions: DataFrame, accounts_history: DataFrame,
     is shown, but the join stays: it multiplies rows when a transaction has
     several debit legs, and the row count is part of the result."""
     tac = transactions_as_of(transactions, accounts_history, customers_history, max_rows_per_group)
+    return reporting_from_as_of(tac, legs, max_rows_per_group)
+
+
+def reporting_from_as_of(tac: DataFrame, legs: DataFrame,
+                         max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP) -> DataFrame:
     dl = debit_legs(legs).select("transaction_id")
     limit = _fanout_limit(max_rows_per_group)
     j = left_join_fanout(left_join_fanout(tac, dl, ["transaction_id"], limit),

@@ -99,10 +99,16 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     banks = _bronze(spark, cfg, "banks")
     if banks is not None:
         put("dim_banks", gold.dim_banks(banks))
-    parts = (silver.get("transactions"), snaps["accounts"], snaps["customers"], silver.get("transaction_legs"))
-    if all(p is not None for p in parts):
-        put("fct_transactions", gold.fct_transactions(*parts))
-        put("gold_transactions_reporting", gold.transactions_reporting(*parts))
+    parts = (silver.get("transactions"), snaps["accounts"], snaps["customers"])
+    legs = silver.get("transaction_legs")
+    if all(p is not None for p in parts) and legs is not None:
+        # both models start from the same two as-of joins: compute them once,
+        # write them (cutting the lineage) and read them back for each model
+        work = cfg.path("gold", "_work", "transactions_as_of")
+        gold.transactions_as_of(*parts).write.mode("overwrite").parquet(work)
+        tac = spark.read.parquet(work)
+        put("fct_transactions", gold.fct_from_as_of(tac, legs))
+        put("gold_transactions_reporting", gold.reporting_from_as_of(tac, legs))
     return out
 
 
