@@ -114,13 +114,13 @@ def q_reporting(spark, sf):
 @query("credit_legs")
 def q_credit_legs(spark, sf):
     from .gold import credit_legs
-    return credit_legs(_gold_inputs(spark, sf)[3])
+    return credit_legs(silver_transaction_legs(fx.bronze_transaction_legs(spark, sf)))
 
 
 @query("debit_legs")
 def q_debit_legs(spark, sf):
     from .gold import debit_legs
-    return debit_legs(_gold_inputs(spark, sf)[3])
+    return debit_legs(silver_transaction_legs(fx.bronze_transaction_legs(spark, sf)))
 
 
 @query("dim_accounts")
