@@ -90,3 +90,37 @@ def test_history_from_changes_with_hot_keys(spark):
     got = sorted(tuple(r) for r in history_from_changes(ch, ["k"], "upd", ["name"], max_rows_per_group=10)
                  .select("k", "name", "valid_from", "valid_to").collect())
     assert got == want
+
+
+def test_history_table_runs_equal_whole_history(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.scd2 import first_snapshot, snapshot_check_open, snapshot_timestamp_open
+    from tidemark.sources.tables import HistoryTable
+    runs = [
+        [(1, "a", _t(1), "c"), (2, "b", _t(1), "c")],
+        [(1, "a2", _t(3), "u"), (3, "c", _t(2), "c")],
+        [(1, "a3", _t(5), "u"), (2, "b2", _t(6), "u"), (3, "c", _t(2), "u")],
+    ]
+    for strategy in ("timestamp", "check"):
+        store = HistoryTable(spark, f"{scratch}/{strategy}")
+        whole = None
+        for i, rows in enumerate(runs):
+            cur, at = _cur(spark, rows), _t(10 * (i + 1))
+            if strategy == "timestamp":
+                whole = snapshot_timestamp(whole, cur, ["k"], "upd")
+                open_ = store.read_open()
+                step = (first_snapshot(cur, ["k"], F.col("upd")) if open_ is None
+                        else snapshot_timestamp_open(open_, cur, ["k"], "upd"))
+            else:
+                whole = snapshot_check(whole, cur, ["k"], ["name"], at)
+                open_ = store.read_open()
+                step = (first_snapshot(cur, ["k"], F.lit(at).cast("timestamp_ntz")) if open_ is None
+                        else snapshot_check_open(open_, cur, ["k"], ["name"], at))
+            store.write_run(step)
+            whole = spark.createDataFrame(whole.collect(), whole.schema)
+        cols = ["k", "name", "upd", "scd_id", "scd_updated_at", "valid_from", "valid_to"]
+        got = sorted(tuple(r) for r in store.read().select(*cols).collect())
+        want = sorted(tuple(r) for r in whole.select(*cols).collect())
+        assert got == want, strategy
+        _check_invariants(store.read())

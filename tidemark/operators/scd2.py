@@ -56,12 +56,25 @@ def _filter_ops(df: DataFrame, ops: Sequence[str] | None, op_col: str) -> DataFr
 
 def _merge(history: DataFrame, cur: DataFrame, keys: Sequence[str], changed: Column,
            new_from: Column, close_at: Column, hard_delete_at: Column | None) -> DataFrame:
-    """Shared run logic. ``changed``/``new_from``/``close_at`` are written over
-    the struct columns ``__open`` and ``__cur`` of the joined row."""
-    cols = [c for c in history.columns]
-    data_cols = [c for c in cols if c not in SCD_COLS]
+    """Shared run logic over a whole history: closed versions pass through,
+    open ones are advanced by :func:`_advance`."""
+    cols = list(history.columns)
     closed = history.filter(F.col("valid_to").isNotNull())
-    open_ = history.filter(F.col("valid_to").isNull())
+    advanced = _advance(history.filter(F.col("valid_to").isNull()), cur, keys, changed,
+                        new_from, close_at, hard_delete_at)
+    return closed.select(*cols).unionByName(advanced.select(*cols))
+
+
+def _advance(open_: DataFrame, cur: DataFrame, keys: Sequence[str], changed: Column,
+             new_from: Column, close_at: Column, hard_delete_at: Column | None) -> DataFrame:
+    """Open versions after one run: per key the open version (closed when the
+    key changed) and the new version. ``changed``/``new_from``/``close_at``
+    are written over the struct columns ``__open`` and ``__cur`` of the
+    joined row. Reads only open versions, so a run costs O(keys), not
+    O(history)."""
+    history = open_
+    cols = list(open_.columns)
+    data_cols = [c for c in cols if c not in SCD_COLS]
     o = open_.select(*[F.col(k) for k in keys], F.struct(*cols).alias(_O))
     c = cur.select(*[F.col(k) for k in keys], F.struct(*data_cols).alias(_C))
     j = o.join(c, on=list(keys), how="full_outer")
@@ -88,7 +101,7 @@ def _merge(history: DataFrame, cur: DataFrame, keys: Sequence[str], changed: Col
     emit_new = has_c & (~has_o | changed)
     rows = F.array(F.when(has_o, old_row), F.when(emit_new, new_row))
     out = j.select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("__r")).select("__r.*")
-    return closed.select(*cols).unionByName(out.select(*cols))
+    return out.select(*cols)
 
 
 def snapshot_timestamp(history: DataFrame | None, cur: DataFrame, keys: Sequence[str],
@@ -113,6 +126,47 @@ def snapshot_timestamp(history: DataFrame | None, cur: DataFrame, keys: Sequence
     return _merge(history, cur, keys, changed, new_at, new_at, hd)
 
 
+def snapshot_timestamp_open(open_: DataFrame, cur: DataFrame, keys: Sequence[str], updated_at: str, *,
+                            ops: Sequence[str] | None = None, op_col: str = "cdc_op",
+                            invalidate_hard_deletes: bool = False,
+                            run_at: _dt.datetime | None = None) -> DataFrame:
+    """One timestamp-strategy run over the *open* versions only; returns the
+    advanced rows (versions closed by this run have ``valid_to`` set, the rest
+    are open). Closed history is untouched and need not be read."""
+    cur = _filter_ops(cur, ops, op_col)
+    if op_col in cur.columns and op_col not in open_.columns:
+        cur = cur.drop(op_col)
+    new_at = F.col(f"{_C}.{updated_at}")
+    changed = new_at > F.col(f"{_O}.valid_from")
+    hd = F.lit(run_at).cast(open_.schema["valid_to"].dataType) if invalidate_hard_deletes else None
+    return _advance(open_, cur, keys, changed, new_at, new_at, hd)
+
+
+def snapshot_check_open(open_: DataFrame, cur: DataFrame, keys: Sequence[str],
+                        check_cols: Sequence[str], run_at: _dt.datetime, *,
+                        ops: Sequence[str] | None = None, op_col: str = "cdc_op",
+                        invalidate_hard_deletes: bool = False) -> DataFrame:
+    """One check-strategy run over the *open* versions only (see
+    :func:`snapshot_timestamp_open`)."""
+    cur = _filter_ops(cur, ops, op_col)
+    if op_col in cur.columns and op_col not in open_.columns:
+        cur = cur.drop(op_col)
+    at = F.lit(run_at).cast("timestamp_ntz")
+    changed = F.lit(False)
+    for c in check_cols:
+        changed = changed | ~F.col(f"{_O}.{c}").eqNullSafe(F.col(f"{_C}.{c}"))
+    return _advance(open_, cur, keys, changed, at, at, at if invalidate_hard_deletes else None)
+
+
+def first_snapshot(cur: DataFrame, keys: Sequence[str], at: Column, *,
+                   ops: Sequence[str] | None = None, op_col: str = "cdc_op") -> DataFrame:
+    """First run of either strategy: one open version per key starting at ``at``."""
+    cur = _filter_ops(cur, ops, op_col)
+    if op_col in cur.columns:
+        cur = cur.drop(op_col)
+    return _version(cur, keys, at)
+
+
 def snapshot_check(history: DataFrame | None, cur: DataFrame, keys: Sequence[str],
                    check_cols: Sequence[str], run_at: _dt.datetime, *,
                    ops: Sequence[str] | None = None, op_col: str = "cdc_op",

@@ -9,12 +9,13 @@ import datetime as _dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import ACCOUNT_TYPES, CHANNELS, DIRECTIONS, STATUSES, TABLES, TRANSACTION_TYPES
 from ..operators.quality import (violations_balance, violations_domain, violations_fk,
                                  violations_fx, violations_unique)
-from ..operators.scd2 import snapshot_check, snapshot_timestamp
-from ..sources.tables import VersionedTable, ensure_bronze, path_exists, publish, read_bronze
+from ..operators.scd2 import first_snapshot, snapshot_check_open, snapshot_timestamp_open
+from ..sources.tables import HistoryTable, VersionedTable, ensure_bronze, path_exists, publish, read_bronze
 from . import gold
 from .silver import build_silver
 
@@ -65,26 +66,35 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     return out
 
 
-def run_snapshots(spark: SparkSession, cfg: PipelineConfig, run_at: _dt.datetime) -> dict[str, str]:
+def run_snapshots(spark: SparkSession, cfg: PipelineConfig, run_at: _dt.datetime) -> dict[str, int]:
+    """Advance each history by one run. Only the open versions are read and
+    rewritten; versions closed by the run are appended."""
     out = {}
     for table, (key, upd, cols, check) in SNAPSHOTS.items():
         silver = VersionedTable(spark, cfg.path("silver", table)).read()
         if silver is None:
             continue
         cur = silver.select(*cols, "cdc_op")
-        vt = VersionedTable(spark, cfg.path("snapshots", table))
-        history = vt.read()
-        if cfg.snapshot_strategy == "check":
-            new = snapshot_check(history, cur, [key], check, run_at, ops=cfg.snapshot_ops)
+        store = HistoryTable(spark, cfg.path("snapshots", table))
+        open_ = store.read_open()
+        if open_ is None:
+            at = F.lit(run_at).cast("timestamp_ntz") if cfg.snapshot_strategy == "check" else F.col(upd)
+            rows = first_snapshot(cur, [key], at, ops=cfg.snapshot_ops)
+        elif cfg.snapshot_strategy == "check":
+            rows = snapshot_check_open(open_, cur, [key], check, run_at, ops=cfg.snapshot_ops)
         else:
-            new = snapshot_timestamp(history, cur, [key], upd, ops=cfg.snapshot_ops)
-        out[table] = vt.write(new)
+            rows = snapshot_timestamp_open(open_, cur, [key], upd, ops=cfg.snapshot_ops)
+        out[table] = store.write_run(rows)
     return out
 
 
+def read_history(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame | None:
+    return HistoryTable(spark, cfg.path("snapshots", table)).read()
+
+
 def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     silver = {t: VersionedTable(spark, cfg.path("silver", t)).read() for t in cfg.silver_tables}
-    snaps = {t: VersionedTable(spark, cfg.path("snapshots", t)).read() for t in SNAPSHOTS}
+    snaps = {t: read_history(spark, cfg, t) for t in SNAPSHOTS}
     out = {}
 
     def put(name: str, df: DataFrame) -> None:

@@ -4,7 +4,11 @@ keyed tables that are rewritten (there is no MERGE on plain files)."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..schemas import BRONZE_SCHEMAS
 
@@ -99,9 +103,13 @@ class VersionedTable:
 
     def write(self, df: DataFrame) -> str:
         v = self.versions()
-        nxt = (v[-1] + 1) if v else 1
-        out = f"{self.path}/v={nxt}"
-        df.write.mode("errorifexists").parquet(out)
+        return self.write_version(df, (v[-1] + 1) if v else 1)
+
+    def write_version(self, df: DataFrame, n: int) -> str:
+        """Write version ``n``; a leftover of a failed attempt (no success
+        marker, so never read) is replaced."""
+        out = f"{self.path}/v={n}"
+        df.write.mode("overwrite").parquet(out)
         return out
 
 
@@ -124,3 +132,96 @@ def merge_into(spark: SparkSession, table: str, updates: DataFrame, keys: list[s
     spark.sql(f"MERGE INTO {table} t USING {view} s ON {on} {delete}"
               f"WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED {insert_guard}THEN INSERT *")
     spark.catalog.dropTempView(view)
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()
+
+
+class HistoryTable:
+    """Storage for an SCD2 history that grows by runs.
+
+    Run ``n`` writes its rows once, to ``run=<n>/state=closed`` (versions this
+    run closed; a closed version never changes again) and
+    ``run=<n>/state=open`` (the open set after the run, one row per key). A
+    run reads only the newest open set, so it costs O(keys), not O(history).
+    A run is committed when ``run=<n>`` has its success marker; readers skip
+    uncommitted runs, and a retried run overwrites its own folder.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    def runs(self) -> list[int]:
+        fs, p = _fs(self.spark, self.path)
+        if not fs.exists(p):
+            return []
+        jvm = self.spark.sparkContext._jvm
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("run=") and \
+                    fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[4:]))
+        return sorted(out)
+
+    def _save_schema(self, schema: StructType) -> None:
+        _write_text(self.spark, f"{self.path}/_schema.json", schema.json())
+
+    def _schema(self) -> StructType:
+        return StructType.fromJson(json.loads(_read_text(self.spark, f"{self.path}/_schema.json")))
+
+    def _state(self, run: int, state: str) -> DataFrame | None:
+        p = f"{self.path}/run={run}/state={state}"
+        return self.spark.read.parquet(p) if path_exists(self.spark, p) else None
+
+    def read_open(self) -> DataFrame | None:
+        runs = self.runs()
+        return self._state(runs[-1], "open") if runs else None
+
+    def read(self) -> DataFrame | None:
+        """The whole history: closed versions of every committed run and the
+        newest open set (an empty DataFrame when no version exists yet)."""
+        runs = self.runs()
+        if not runs:
+            return None
+        parts = [self._state(runs[-1], "open")] + [self._state(r, "closed") for r in runs]
+        parts = [d for d in parts if d is not None]
+        if not parts:
+            return self.spark.createDataFrame([], self._schema())
+        out = parts[0]
+        for d in parts[1:]:
+            out = out.unionByName(d)
+        return out
+
+    def write_run(self, rows: DataFrame) -> int:
+        """Store one run's rows (the output of a ``snapshot_*_open`` step, or
+        of ``first_snapshot``) in a single write."""
+        runs = self.runs()
+        run = (runs[-1] + 1) if runs else 1
+        if not runs:
+            self._save_schema(rows.schema)
+        state = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
+        (rows.withColumn("state", state).write.mode("overwrite")
+             .partitionBy("state").parquet(f"{self.path}/run={run}"))
+        return run
