@@ -8,7 +8,11 @@ Every key has at most one open version.
 A snapshot run joins the *open* versions with the current rows on the key
 (both sides have one row per key, so the join cannot skew) and emits, per key,
 at most two rows: the open version (closed when the key changed) and the new
-version. Closed versions are passed through without a shuffle.
+version. Closed versions never change again: ``snapshot_*_open`` reads and
+returns only the open set plus what the run closed (stored by run in
+:class:`tidemark.sources.tables.HistoryTable`), and the whole-history
+``snapshot_timestamp`` / ``snapshot_check`` pass closed versions through
+without a shuffle.
 """
 
 from __future__ import annotations
@@ -35,12 +39,12 @@ def _version(df: DataFrame, keys: Sequence[str], at: Column) -> DataFrame:
         _scd_id(keys, at).alias("scd_id"),
         at.alias("scd_updated_at"),
         at.alias("valid_from"),
-        F.lit(None).cast(at_type(df, at)).alias("valid_to"),
+        F.lit(None).cast(_type_of(df, at)).alias("valid_to"),
     )
 
 
-def at_type(df: DataFrame, at: Column) -> str:
-    return df.select(at.alias("x")).schema["x"].dataType.simpleString()
+def _type_of(df: DataFrame, c: Column) -> str:
+    return df.select(c.alias("x")).schema["x"].dataType.simpleString()
 
 
 def current(history: DataFrame) -> DataFrame:
@@ -54,17 +58,6 @@ def _filter_ops(df: DataFrame, ops: Sequence[str] | None, op_col: str) -> DataFr
     return df.filter(F.col(op_col).isin(list(ops)))
 
 
-def _merge(history: DataFrame, cur: DataFrame, keys: Sequence[str], changed: Column,
-           new_from: Column, close_at: Column, hard_delete_at: Column | None) -> DataFrame:
-    """Shared run logic over a whole history: closed versions pass through,
-    open ones are advanced by :func:`_advance`."""
-    cols = list(history.columns)
-    closed = history.filter(F.col("valid_to").isNotNull())
-    advanced = _advance(history.filter(F.col("valid_to").isNull()), cur, keys, changed,
-                        new_from, close_at, hard_delete_at)
-    return closed.select(*cols).unionByName(advanced.select(*cols))
-
-
 def _advance(open_: DataFrame, cur: DataFrame, keys: Sequence[str], changed: Column,
              new_from: Column, close_at: Column, hard_delete_at: Column | None) -> DataFrame:
     """Open versions after one run: per key the open version (closed when the
@@ -72,7 +65,6 @@ def _advance(open_: DataFrame, cur: DataFrame, keys: Sequence[str], changed: Col
     are written over the struct columns ``__open`` and ``__cur`` of the
     joined row. Reads only open versions, so a run costs O(keys), not
     O(history)."""
-    history = open_
     cols = list(open_.columns)
     data_cols = [c for c in cols if c not in SCD_COLS]
     o = open_.select(*[F.col(k) for k in keys], F.struct(*cols).alias(_O))
@@ -97,33 +89,50 @@ def _advance(open_: DataFrame, cur: DataFrame, keys: Sequence[str], changed: Col
                        _scd_id(key_cols, new_from).alias("scd_id"),
                        new_from.alias("scd_updated_at"),
                        new_from.alias("valid_from"),
-                       F.lit(None).cast(history.schema["valid_to"].dataType).alias("valid_to"))
+                       F.lit(None).cast(open_.schema["valid_to"].dataType).alias("valid_to"))
     emit_new = has_c & (~has_o | changed)
     rows = F.array(F.when(has_o, old_row), F.when(emit_new, new_row))
     out = j.select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("__r")).select("__r.*")
     return out.select(*cols)
 
 
+def _split(history: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return history.filter(F.col("valid_to").isNotNull()), history.filter(F.col("valid_to").isNull())
+
+
 def snapshot_timestamp(history: DataFrame | None, cur: DataFrame, keys: Sequence[str],
                        updated_at: str, *, ops: Sequence[str] | None = None, op_col: str = "cdc_op",
                        invalidate_hard_deletes: bool = False,
                        run_at: _dt.datetime | None = None) -> DataFrame:
-    """Timestamp strategy: a key gets a new version when its ``updated_at`` is
-    later than the open version's ``valid_from``; the old version is closed at
-    the new ``updated_at``. Equal or older rows change nothing; keys missing
-    from ``cur`` stay open unless ``invalidate_hard_deletes`` (closed at
-    ``run_at``). ``ops`` restricts the input to those change operations.
-    The first run (``history=None``) opens one version per key at its
-    ``updated_at``."""
-    cur = _filter_ops(cur, ops, op_col)
-    if op_col in cur.columns and (history is None or op_col not in history.columns):
-        cur = cur.drop(op_col)
+    """Timestamp strategy over a whole history: a key gets a new version when
+    its ``updated_at`` is later than the open version's ``valid_from``; the old
+    version is closed at the new ``updated_at``. Equal or older rows change
+    nothing; keys missing from ``cur`` stay open unless
+    ``invalidate_hard_deletes`` (closed at ``run_at``). ``ops`` restricts the
+    input to those change operations. The first run (``history=None``) opens
+    one version per key at its ``updated_at``. Closed versions pass through
+    without a shuffle."""
     if history is None:
-        return _version(cur, keys, F.col(updated_at))
-    new_at = F.col(f"{_C}.{updated_at}")
-    changed = new_at > F.col(f"{_O}.valid_from")
-    hd = F.lit(run_at).cast(history.schema["valid_to"].dataType) if invalidate_hard_deletes else None
-    return _merge(history, cur, keys, changed, new_at, new_at, hd)
+        return first_snapshot(cur, keys, F.col(updated_at), ops=ops, op_col=op_col)
+    closed, open_ = _split(history)
+    step = snapshot_timestamp_open(open_, cur, keys, updated_at, ops=ops, op_col=op_col,
+                                   invalidate_hard_deletes=invalidate_hard_deletes, run_at=run_at)
+    return closed.unionByName(step)
+
+
+def snapshot_check(history: DataFrame | None, cur: DataFrame, keys: Sequence[str],
+                   check_cols: Sequence[str], run_at: _dt.datetime, *,
+                   ops: Sequence[str] | None = None, op_col: str = "cdc_op",
+                   invalidate_hard_deletes: bool = False) -> DataFrame:
+    """Check strategy over a whole history: a key gets a new version when any
+    of ``check_cols`` differs from the open version, NULL-safe (NULL -> value
+    and value -> NULL are changes). Versions open and close at ``run_at``."""
+    if history is None:
+        return first_snapshot(cur, keys, F.lit(run_at).cast("timestamp_ntz"), ops=ops, op_col=op_col)
+    closed, open_ = _split(history)
+    step = snapshot_check_open(open_, cur, keys, check_cols, run_at, ops=ops, op_col=op_col,
+                               invalidate_hard_deletes=invalidate_hard_deletes)
+    return closed.unionByName(step)
 
 
 def snapshot_timestamp_open(open_: DataFrame, cur: DataFrame, keys: Sequence[str], updated_at: str, *,
@@ -167,26 +176,6 @@ def first_snapshot(cur: DataFrame, keys: Sequence[str], at: Column, *,
     return _version(cur, keys, at)
 
 
-def snapshot_check(history: DataFrame | None, cur: DataFrame, keys: Sequence[str],
-                   check_cols: Sequence[str], run_at: _dt.datetime, *,
-                   ops: Sequence[str] | None = None, op_col: str = "cdc_op",
-                   invalidate_hard_deletes: bool = False) -> DataFrame:
-    """Check strategy: a key gets a new version when any of ``check_cols``
-    differs from the open version, NULL-safe (NULL -> value and value -> NULL
-    are changes). Versions open and close at the run time ``run_at``."""
-    cur = _filter_ops(cur, ops, op_col)
-    if op_col in cur.columns and (history is None or op_col not in history.columns):
-        cur = cur.drop(op_col)
-    at = F.lit(run_at).cast("timestamp_ntz")
-    if history is None:
-        return _version(cur, keys, at)
-    changed = F.lit(False)
-    for c in check_cols:
-        changed = changed | ~F.col(f"{_O}.{c}").eqNullSafe(F.col(f"{_C}.{c}"))
-    hd = at if invalidate_hard_deletes else None
-    return _merge(history, cur, keys, changed, at, at, hd)
-
-
 def history_from_changes(changes: DataFrame, keys: Sequence[str], updated_at: str,
                          tiebreak: Sequence[str] = (),
                          max_rows_per_group: int | None = 2_000_000) -> DataFrame:
