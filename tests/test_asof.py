@@ -78,3 +78,12 @@ def test_left_join_fanout_equals_left_join(spark, limit):
     got = sorted(tuple(r) for r in left_join_fanout(left, right, ["k"], limit).select("id", "k", "r").collect())
     want = sorted(tuple(r) for r in left.join(right, ["k"], "left").select("id", "k", "r").collect())
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_zero_length_versions_across_slices(spark):
+    # key 1 is hot (max 3 rows per group); a zero-length version [5,5) shares its
+    # start with [5, None): the open one must win, in every slice
+    v = _versions(spark, [(1, "z", 5, 5), (1, "open", 5, None), (1, "early", 0, 5)])
+    left = _left(spark, [(i, 1, m) for i, m in enumerate([1, 4, 5, 6, 50, 90, 120, 200, 300, 400])])
+    got = as_of_join(left, v, "k", "k", "ts", as_="a", max_rows_per_group=3).selectExpr("id", "a.ver")
+    assert _pairs(got) == _pairs(_sql_join(spark, left, v))

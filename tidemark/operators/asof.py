@@ -113,7 +113,7 @@ def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[s
         hot = hot_key_slices(st, kn, max_rows_per_group)
         u = u.join(F.broadcast(hot), on=kn, how="left").select(
             *kn, _T, _KIND, _L, _V, _slice_of(F.col(_T)).alias(_S), F.col("__lo").isNotNull().alias(_HOT))
-        carry = _carry_rows(u, hot, kn)
+        carry = _carry_rows(u, hot, kn, valid_to)
         u = u.drop(_HOT).unionByName(carry, allowMissingColumns=True)
     else:
         u = u.withColumn(_S, F.lit(0).cast("long"))
@@ -134,14 +134,16 @@ def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[s
                        F.when(ok, F.col("__m")).alias(as_))
 
 
-def _carry_rows(u: DataFrame, hot: DataFrame, kn: list[str]) -> DataFrame:
+def _carry_rows(u: DataFrame, hot: DataFrame, kn: list[str], valid_to: str) -> DataFrame:
     """For every slice after the first of a hot key: the newest version that
     started in an earlier slice, as a row sorting before the slice's rows.
-    Only versions of hot keys take part; the window runs over the slices of
-    one key (at most ``rows / max_rows_per_group`` of them)."""
+    "Newest" is the scan's own order: start, then end (open last). Only
+    versions of hot keys take part; the window runs over the slices of one
+    key (at most ``rows / max_rows_per_group`` of them)."""
+    end = F.coalesce(micros(F.col(f"{_V}.{valid_to}")), F.lit(2**63 - 1))
     per_slice = (u.filter((F.col(_KIND) == 0) & F.col(_HOT))
                   .groupBy(*kn, _S)
-                  .agg(F.max_by(F.col(_V), F.col(_T)).alias("__last")))
+                  .agg(F.max_by(F.col(_V), F.struct(F.col(_T), end)).alias("__last")))
     grid = hot.select(*kn, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias(_S))
     w = Window.partitionBy(*kn).orderBy(_S).rowsBetween(Window.unboundedPreceding, -1)
     carried = (grid.join(per_slice, on=kn + [_S], how="left")
