@@ -349,7 +349,7 @@ def q_bronze_load(spark, sf):
     again = load_new_files(spark, f"{root}/stage", schema, f"{root}/bronze", f"{root}/ckpt", recursive=True)
     if again != 0:
         raise RuntimeError(f"a repeated load read {again} rows")
-    return spark.read.schema(schema).parquet(f"{root}/bronze").select(*schema.fieldNames())
+    return _loaded(spark, f"{root}/bronze", schema)
 
 
 @query("load_by_name")
@@ -367,7 +367,13 @@ def q_load_by_name(spark, sf):
     staged.write.parquet(f"{root}/stage/good")
     _write_junk(spark, f"{root}/stage/bad")
     load_new_files(spark, f"{root}/stage", schema, f"{root}/bronze", f"{root}/ckpt", recursive=True)
-    return spark.read.schema(schema).parquet(f"{root}/bronze").select(*schema.fieldNames())
+    return _loaded(spark, f"{root}/bronze", schema)
+
+
+def _loaded(spark, path, schema):
+    """A loaded bronze table, with the wall-clock ingestion time of the staged rows."""
+    b = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    return b.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
 
 
 def _write_junk(spark, path):
