@@ -462,5 +462,8 @@ def q_pipeline_run(spark, sf):
     for table, df in logs.items():
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_SCHEMAS[table].fields])
         backfill_bronze(rows, f"{root}/bronze/{table}")
-    result = run_pipeline(spark, PipelineConfig(root=root, run_at=fx.CHECK_RUN_2))
+    # transactions use the partitioned silver layout (ids grow with time), the rest versioned tables
+    cfg = PipelineConfig(root=root, run_at=fx.CHECK_RUN_2,
+                         silver_partitions={"transactions": "floor(transaction_id / 10000)"})
+    result = run_pipeline(spark, cfg)
     return spark.read.parquet(result["gold"]["fct_transactions"])

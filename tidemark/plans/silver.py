@@ -79,6 +79,17 @@ MODELS = {
 }
 
 
+def silver_changes(table: str, bronze: DataFrame, target: DataFrame | None = None, *,
+                   order_by: OrderSpec = LATEST_ORDER, strict_mark: bool = False,
+                   lookback: _dt.timedelta | None = None) -> DataFrame:
+    """The newest change per key among the bronze rows not yet in ``target``
+    (all of bronze when there is no target), projected to the silver columns.
+    Deletes are kept, so the caller decides how they apply."""
+    model = MODELS[table]
+    slice_, _ = new_rows(bronze, target, strict=strict_mark, lookback=lookback)
+    return model.project(latest_per_key(slice_, list(model.keys), order_by))
+
+
 def build_silver(table: str, bronze: DataFrame, target: DataFrame | None = None, *,
                  order_by: OrderSpec = LATEST_ORDER, apply_deletes: bool = True,
                  strict_mark: bool = False, lookback: _dt.timedelta | None = None) -> DataFrame:
@@ -94,16 +105,13 @@ def build_silver(table: str, bronze: DataFrame, target: DataFrame | None = None,
     ``strict_mark=True`` uses the original ``> mark``; ``lookback`` re-reads a
     window below the mark and then only lets newer changes win.
     """
-    model = MODELS[table]
-    keys = list(model.keys)
-    slice_, _ = new_rows(bronze, target, strict=strict_mark, lookback=lookback)
-    latest = latest_per_key(slice_, keys, order_by)
+    keys = list(MODELS[table].keys)
+    changes = silver_changes(table, bronze, target, order_by=order_by, strict_mark=strict_mark,
+                             lookback=lookback)
     if target is None:
-        return model.project(drop_deleted(latest))
-    if apply_deletes:
-        changes = model.project(latest)
-    else:
-        changes = model.project(drop_deleted(latest))
+        return drop_deleted(changes)
+    if not apply_deletes:
+        changes = drop_deleted(changes)
     if lookback is not None:
         merged = upsert_ordered(target, changes, keys, order_by)
     else:

@@ -68,6 +68,40 @@ def publish(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def upsert_partitions(spark: SparkSession, path: str, changes: DataFrame, keys: list[str],
+                      part_col: str, *, op_col: str = "cdc_op", delete_op: str = "d") -> None:
+    """Key upsert into a parquet table partitioned by ``part_col`` (a function
+    of the key, so a key never changes partition) that rewrites only the
+    partitions the changes touch.
+
+    The rows of the touched partitions that no change replaces are kept, the
+    live changes are added, and the result is written with dynamic partition
+    overwrite: Spark writes it to a staging folder and swaps in only those
+    partitions at commit, so an incremental run costs O(touched partitions),
+    not O(table). A change whose op is a delete (or NULL) removes its key; a
+    touched partition left without rows is removed. The touched-partition list
+    is bounded by the table's partition count, hence broadcast.
+
+    The swap is per partition, not atomic across partitions; a run that fails
+    during commit is repaired by re-running it (its changes are idempotent) or
+    by a full refresh from bronze."""
+    target = spark.read.parquet(path)
+    touched = changes.select(part_col).distinct()
+    keep = (target.join(F.broadcast(touched), on=part_col, how="left_semi")
+                  .join(changes.select(*keys), on=keys, how="left_anti"))
+    live = changes.filter(F.col(op_col) != F.lit(delete_op))
+    out = keep.unionByName(live.select(*target.columns))
+    # touched partitions the output leaves empty (every row deleted): found
+    # before the write, from key and partition columns only
+    emptied = [r[0] for r in touched.join(out.select(part_col).distinct(), on=part_col, how="left_anti").collect()]
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(part_col).parquet(path))
+    fs, _ = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    for value in emptied:  # at most the touched partitions
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{part_col}={value}"), True)
+
+
 class VersionedTable:
     """A keyed table that is rewritten as a whole on each run.
 
