@@ -62,9 +62,12 @@ def high_water_mark(target: DataFrame, col: str = "ingested_at"):
     return target.agg(F.max(col).alias("mark")).first()["mark"]
 
 
+AUTO = object()  # new_rows: take the mark from the target
+
+
 def new_rows(bronze: DataFrame, target: DataFrame | None, *, col: str = "ingested_at",
              date_col: str | None = "ingestion_date", strict: bool = False,
-             lookback: _dt.timedelta | None = None):
+             lookback: _dt.timedelta | None = None, mark=AUTO):
     """Rows of ``bronze`` not yet reflected in ``target``.
 
     * no target, or an empty one (NULL mark) -> everything (full load);
@@ -72,13 +75,17 @@ def new_rows(bronze: DataFrame, target: DataFrame | None, *, col: str = "ingeste
       original, which can skip rows that share the mark's timestamp);
     * ``lookback`` lowers the mark for loads that may arrive late.
 
+    The mark is ``MAX(col)`` of the target unless given: a pipeline that
+    records the newest ingestion time it processed passes it as ``mark`` and
+    never scans the target for it (and a delete-only batch advances it too).
     Beside the timestamp predicate a date predicate on the partition column is
     added, so the scan prunes whole ``ingestion_date`` partitions.
     Returns ``(rows, mark)``.
     """
     if target is None:
         return bronze, None
-    mark = high_water_mark(target, col)
+    if mark is AUTO:
+        mark = high_water_mark(target, col)
     if mark is None:
         return bronze, None
     if lookback is not None:

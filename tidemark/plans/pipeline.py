@@ -6,6 +6,7 @@ can be re-run on its own."""
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,9 @@ from ..config import ACCOUNT_TYPES, CHANNELS, DIRECTIONS, STATUSES, TABLES, TRAN
 from ..operators.quality import (violations_balance, violations_domain, violations_fk,
                                  violations_fx, violations_unique)
 from ..operators.scd2 import first_snapshot, snapshot_check_open, snapshot_timestamp_open
-from ..operators.latest import drop_deleted
+from ..operators.latest import AUTO, drop_deleted, new_rows
 from ..sources.tables import (HistoryTable, VersionedTable, ensure_bronze, path_exists, publish, read_bronze,
-                              upsert_partitions)
+                              read_text, upsert_partitions, write_text)
 from . import gold
 from .silver import MODELS, build_silver, silver_changes
 
@@ -70,30 +71,59 @@ def read_silver(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFra
     return VersionedTable(spark, cfg.path("silver", table)).read()
 
 
+def _mark_file(cfg: PipelineConfig, table: str) -> str:
+    return cfg.path("silver", f"_{table}_mark.json")
+
+
+def read_mark(spark: SparkSession, cfg: PipelineConfig, table: str):
+    """Newest bronze ingestion time a committed silver run has processed, or
+    AUTO (take it from the silver table) when none was recorded."""
+    p = _mark_file(cfg, table)
+    if not path_exists(spark, p):
+        return AUTO
+    value = json.loads(read_text(spark, p))["mark"]
+    return _dt.datetime.fromisoformat(value) if value else AUTO
+
+
+def _record_mark(spark: SparkSession, cfg: PipelineConfig, table: str, bronze: DataFrame, mark) -> None:
+    """After a committed run: the newest ingestion time among the rows it read
+    (one column of the partition-pruned slice)."""
+    slice_, _ = new_rows(bronze, None if mark is AUTO else bronze, mark=mark)
+    newest = slice_.agg(F.max("ingested_at").alias("m")).first()["m"]
+    if newest is not None:
+        write_text(spark, _mark_file(cfg, table), json.dumps({"mark": newest.isoformat()}))
+
+
 def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     """Bring every silver table up to date with its bronze log. Versioned
     tables are rewritten as a new version; partitioned ones (see
-    ``PipelineConfig.silver_partitions``) only in the partitions touched."""
+    ``PipelineConfig.silver_partitions``) only in the partitions touched.
+    The high-water mark of each table is recorded after its run, so the next
+    run reads only newer bronze partitions without scanning silver."""
     out = {}
     for table in cfg.silver_tables:
         bronze = _bronze(spark, cfg, table)
         if bronze is None:
             continue
+        mark = read_mark(spark, cfg, table) if not cfg.strict_mark else AUTO
         if table in cfg.silver_partitions:
-            out[table] = _run_partitioned_silver(spark, cfg, table, bronze)
-            continue
-        vt = VersionedTable(spark, cfg.path("silver", table))
-        target = vt.read()
-        new = build_silver(table, bronze, target, apply_deletes=cfg.apply_deletes, strict_mark=cfg.strict_mark)
-        out[table] = vt.write(new)
+            out[table] = _run_partitioned_silver(spark, cfg, table, bronze, mark)
+        else:
+            vt = VersionedTable(spark, cfg.path("silver", table))
+            target = vt.read()
+            new = build_silver(table, bronze, target, apply_deletes=cfg.apply_deletes,
+                               strict_mark=cfg.strict_mark, mark=mark)
+            out[table] = vt.write(new)
+        _record_mark(spark, cfg, table, bronze, mark)
     return out
 
 
-def _run_partitioned_silver(spark: SparkSession, cfg: PipelineConfig, table: str, bronze: DataFrame) -> str:
+def _run_partitioned_silver(spark: SparkSession, cfg: PipelineConfig, table: str, bronze: DataFrame,
+                            mark=AUTO) -> str:
     path = cfg.path("silver", table)
     exists = path_exists(spark, f"{path}/_SUCCESS")
     target = spark.read.parquet(path) if exists else None
-    changes = silver_changes(table, bronze, target, strict_mark=cfg.strict_mark).withColumn(
+    changes = silver_changes(table, bronze, target, strict_mark=cfg.strict_mark, mark=mark).withColumn(
         SILVER_PART, F.expr(cfg.silver_partitions[table]))
     if target is None:
         drop_deleted(changes).write.mode("overwrite").partitionBy(SILVER_PART).parquet(path)

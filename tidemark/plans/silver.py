@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import ms_to_ts
 from ..operators.latest import (
+    AUTO,
     OrderSpec,
     drop_deleted,
     latest_per_key,
@@ -81,18 +82,20 @@ MODELS = {
 
 def silver_changes(table: str, bronze: DataFrame, target: DataFrame | None = None, *,
                    order_by: OrderSpec = LATEST_ORDER, strict_mark: bool = False,
-                   lookback: _dt.timedelta | None = None) -> DataFrame:
+                   lookback: _dt.timedelta | None = None, mark=AUTO) -> DataFrame:
     """The newest change per key among the bronze rows not yet in ``target``
     (all of bronze when there is no target), projected to the silver columns.
-    Deletes are kept, so the caller decides how they apply."""
+    Deletes are kept, so the caller decides how they apply. ``mark``: see
+    :func:`tidemark.operators.latest.new_rows`."""
     model = MODELS[table]
-    slice_, _ = new_rows(bronze, target, strict=strict_mark, lookback=lookback)
+    slice_, _ = new_rows(bronze, target, strict=strict_mark, lookback=lookback, mark=mark)
     return model.project(latest_per_key(slice_, list(model.keys), order_by))
 
 
 def build_silver(table: str, bronze: DataFrame, target: DataFrame | None = None, *,
                  order_by: OrderSpec = LATEST_ORDER, apply_deletes: bool = True,
-                 strict_mark: bool = False, lookback: _dt.timedelta | None = None) -> DataFrame:
+                 strict_mark: bool = False, lookback: _dt.timedelta | None = None,
+                 mark=AUTO) -> DataFrame:
     """Silver table for one captured table.
 
     ``target=None`` is a full refresh: latest change per key, deletes removed.
@@ -107,7 +110,7 @@ def build_silver(table: str, bronze: DataFrame, target: DataFrame | None = None,
     """
     keys = list(MODELS[table].keys)
     changes = silver_changes(table, bronze, target, order_by=order_by, strict_mark=strict_mark,
-                             lookback=lookback)
+                             lookback=lookback, mark=mark)
     if target is None:
         return drop_deleted(changes)
     if not apply_deletes:

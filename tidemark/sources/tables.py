@@ -168,14 +168,14 @@ def merge_into(spark: SparkSession, table: str, updates: DataFrame, keys: list[s
     spark.catalog.dropTempView(view)
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _fs(spark, path)
     out = fs.create(p, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
+def read_text(spark: SparkSession, path: str) -> str:
     jvm = spark.sparkContext._jvm
     fs, p = _fs(spark, path)
     stream = fs.open(p)
@@ -220,10 +220,10 @@ class HistoryTable:
         return sorted(out)
 
     def _save_schema(self, schema: StructType) -> None:
-        _write_text(self.spark, f"{self.path}/_schema.json", schema.json())
+        write_text(self.spark, f"{self.path}/_schema.json", schema.json())
 
     def _schema(self) -> StructType:
-        return StructType.fromJson(json.loads(_read_text(self.spark, f"{self.path}/_schema.json")))
+        return StructType.fromJson(json.loads(read_text(self.spark, f"{self.path}/_schema.json")))
 
     def _state(self, run: int, state: str) -> DataFrame | None:
         p = f"{self.path}/run={run}/state={state}"
