@@ -34,7 +34,7 @@ def topic_of(table: str) -> str:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "tidemark", driver_memory: str = "8g") -> SparkSession:
+                  app: str = "tidemark", driver_memory: str = "8g", tz: str = "UTC") -> SparkSession:
     """Session for tests and local benchmarks. A cluster job builds its own
     session; the library itself never creates one."""
     builder = (
@@ -42,7 +42,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", tz)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -29,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.time import epoch_us, is_ntz, ts_to_us
+
 DEFAULT_MAX_ROWS_PER_GROUP = 2_000_000
 
 _T, _KIND, _L, _V, _S, _HOT = "__t", "__kind", "__left", "__ver", "__slice", "__hot"
@@ -61,11 +63,6 @@ def hot_key_slices(stats: DataFrame, keys: Sequence[str], max_rows: int) -> Data
     return hot_stats.select(*keys, F.col("__lo"), width.alias("__width"), n.alias("__n"))
 
 
-def micros(c: str | Column) -> Column:
-    """Numeric time (epoch microseconds) used for ordering and slicing."""
-    return F.unix_micros((F.col(c) if isinstance(c, str) else c).cast("timestamp"))
-
-
 def _slice_of(t_col, hot_prefix: str = "") -> F.Column:
     lo, width, n = F.col(f"{hot_prefix}__lo"), F.col(f"{hot_prefix}__width"), F.col(f"{hot_prefix}__n")
     s = F.floor((t_col - lo) / width).cast("long")
@@ -96,13 +93,14 @@ def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[s
     # union fills the other payload with a typed NULL
     lpart = left.select(
         *[F.col(a).alias(b) for a, b in zip(lk, kn)],
-        micros(ts).alias(_T), F.lit(1).alias(_KIND), F.struct(*lcols).alias(_L))
+        epoch_us(left, ts).alias(_T), F.lit(1).alias(_KIND), F.struct(*lcols).alias(_L))
     valid = F.col(valid_from).isNotNull()
     for k in rk:
         valid = valid & F.col(k).isNotNull()
     vpart = versions.filter(valid).select(
         *[F.col(a).alias(b) for a, b in zip(rk, kn)],
-        micros(valid_from).alias(_T), F.lit(0).alias(_KIND), F.struct(*vcols).alias(_V))
+        epoch_us(versions, valid_from).alias(_T), F.lit(0).alias(_KIND), F.struct(*vcols).alias(_V))
+    end_ntz = is_ntz(versions, valid_to)
     u = lpart.unionByName(vpart, allowMissingColumns=True)
 
     if max_rows_per_group:
@@ -113,14 +111,14 @@ def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[s
         hot = hot_key_slices(st, kn, max_rows_per_group)
         u = u.join(F.broadcast(hot), on=kn, how="left").select(
             *kn, _T, _KIND, _L, _V, _slice_of(F.col(_T)).alias(_S), F.col("__lo").isNotNull().alias(_HOT))
-        carry = _carry_rows(u, hot, kn, valid_to)
+        carry = _carry_rows(u, hot, kn, valid_to, end_ntz)
         u = u.drop(_HOT).unionByName(carry, allowMissingColumns=True)
     else:
         u = u.withColumn(_S, F.lit(0).cast("long"))
 
-    vt_end = F.col(f"{_V}.{valid_to}")
+    vt_end = ts_to_us(F.col(f"{_V}.{valid_to}"), end_ntz)
     w = (Window.partitionBy(*kn, _S)
-               .orderBy(F.col(_T).asc_nulls_first(), F.col(_KIND), F.unix_micros(vt_end.cast("timestamp")).asc_nulls_last())
+               .orderBy(F.col(_T).asc_nulls_first(), F.col(_KIND), vt_end.asc_nulls_last())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     m = F.last(F.col(_V), ignorenulls=True).over(w)
     scanned = u.select(_T, _KIND, _L, *kn, m.alias("__m"))
@@ -128,19 +126,19 @@ def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[s
     keys_ok = F.lit(True)
     for k in kn:
         keys_ok = keys_ok & F.col(k).isNotNull()
-    end_ok = F.col(f"__m.{valid_to}").isNull() | (F.col(_T) < F.unix_micros(F.col(f"__m.{valid_to}").cast("timestamp")))
+    end_ok = F.col(f"__m.{valid_to}").isNull() | (F.col(_T) < ts_to_us(F.col(f"__m.{valid_to}"), end_ntz))
     ok = keys_ok & F.col(_T).isNotNull() & F.col("__m").isNotNull() & end_ok
     return rows.select(*[F.col(f"{_L}.{c}").alias(c) for c in lcols],
                        F.when(ok, F.col("__m")).alias(as_))
 
 
-def _carry_rows(u: DataFrame, hot: DataFrame, kn: list[str], valid_to: str) -> DataFrame:
+def _carry_rows(u: DataFrame, hot: DataFrame, kn: list[str], valid_to: str, end_ntz: bool) -> DataFrame:
     """For every slice after the first of a hot key: the newest version that
     started in an earlier slice, as a row sorting before the slice's rows.
     "Newest" is the scan's own order: start, then end (open last). Only
     versions of hot keys take part; the window runs over the slices of one
     key (at most ``rows / max_rows_per_group`` of them)."""
-    end = F.coalesce(micros(F.col(f"{_V}.{valid_to}")), F.lit(2**63 - 1))
+    end = F.coalesce(ts_to_us(F.col(f"{_V}.{valid_to}"), end_ntz), F.lit(2**63 - 1))
     per_slice = (u.filter((F.col(_KIND) == 0) & F.col(_HOT))
                   .groupBy(*kn, _S)
                   .agg(F.max_by(F.col(_V), F.struct(F.col(_T), end)).alias("__last")))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import OP_DELETE
+from ..functions.time import max_ts, ts_lit, type_name
 from ..schemas import LATEST_ORDER
 
 _RN = "__row_num"
@@ -57,9 +58,9 @@ def live_rows(df: DataFrame, keys: Sequence[str], order_by: OrderSpec = LATEST_O
 
 
 def high_water_mark(target: DataFrame, col: str = "ingested_at"):
-    """``MAX(col)`` of the target, or None when the target is empty.
-    A one-row aggregate; only the scalar reaches the driver."""
-    return target.agg(F.max(col).alias("mark")).first()["mark"]
+    """``MAX(col)`` of the target (its wall clock), or None when the target is
+    empty. A one-row aggregate; only the scalar reaches the driver."""
+    return max_ts(target, col)
 
 
 AUTO = object()  # new_rows: take the mark from the target
@@ -90,7 +91,7 @@ def new_rows(bronze: DataFrame, target: DataFrame | None, *, col: str = "ingeste
         return bronze, None
     if lookback is not None:
         mark = mark - lookback
-    m = F.lit(mark)
+    m = ts_lit(mark, type_name(bronze, col))
     cond = F.col(col) > m if strict else F.col(col) >= m
     if date_col and date_col in bronze.columns:
         cond = (F.col(date_col) >= F.to_date(m)) & cond

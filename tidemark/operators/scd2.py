@@ -23,14 +23,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.time import epoch_us, ts_lit, ts_to_us
+
 SCD_COLS = ["scd_id", "scd_updated_at", "valid_from", "valid_to"]
 _O, _C = "__open", "__cur"
 
 
 def _scd_id(keys: Sequence[str | Column], at: Column) -> Column:
-    """md5 of the key values and the version start (epoch microseconds)."""
+    """md5 of the key values and the version start (epoch microseconds of its
+    wall clock, independent of the session zone)."""
     parts = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
-    return F.md5(F.concat_ws("|", *parts, F.unix_micros(at.cast("timestamp")).cast("string")))
+    return F.md5(F.concat_ws("|", *parts, ts_to_us(at.cast("timestamp_ntz")).cast("string")))
 
 
 def _version(df: DataFrame, keys: Sequence[str], at: Column) -> DataFrame:
@@ -128,7 +131,7 @@ def snapshot_check(history: DataFrame | None, cur: DataFrame, keys: Sequence[str
     of ``check_cols`` differs from the open version, NULL-safe (NULL -> value
     and value -> NULL are changes). Versions open and close at ``run_at``."""
     if history is None:
-        return first_snapshot(cur, keys, F.lit(run_at).cast("timestamp_ntz"), ops=ops, op_col=op_col)
+        return first_snapshot(cur, keys, ts_lit(run_at), ops=ops, op_col=op_col)
     closed, open_ = _split(history)
     step = snapshot_check_open(open_, cur, keys, check_cols, run_at, ops=ops, op_col=op_col,
                                invalidate_hard_deletes=invalidate_hard_deletes)
@@ -147,7 +150,7 @@ def snapshot_timestamp_open(open_: DataFrame, cur: DataFrame, keys: Sequence[str
         cur = cur.drop(op_col)
     new_at = F.col(f"{_C}.{updated_at}")
     changed = new_at > F.col(f"{_O}.valid_from")
-    hd = F.lit(run_at).cast(open_.schema["valid_to"].dataType) if invalidate_hard_deletes else None
+    hd = ts_lit(run_at, open_.schema["valid_to"].dataType.simpleString()) if invalidate_hard_deletes else None
     return _advance(open_, cur, keys, changed, new_at, new_at, hd)
 
 
@@ -160,7 +163,7 @@ def snapshot_check_open(open_: DataFrame, cur: DataFrame, keys: Sequence[str],
     cur = _filter_ops(cur, ops, op_col)
     if op_col in cur.columns and op_col not in open_.columns:
         cur = cur.drop(op_col)
-    at = F.lit(run_at).cast("timestamp_ntz")
+    at = ts_lit(run_at)
     changed = F.lit(False)
     for c in check_cols:
         changed = changed | ~F.col(f"{_O}.{c}").eqNullSafe(F.col(f"{_C}.{c}"))
@@ -188,7 +191,7 @@ def history_from_changes(changes: DataFrame, keys: Sequence[str], updated_at: st
     (see :mod:`tidemark.operators.asof`): ``lead`` runs per slice, and the last
     change of a slice ends where the key's next non-empty slice starts (a
     per-slice minimum and a window over the slices of one key, both small)."""
-    from .asof import _slice_of, hot_key_slices, key_stats, micros
+    from .asof import _slice_of, hot_key_slices, key_stats
 
     at = F.col(updated_at)
     order = [at] + [F.col(c) for c in tiebreak]
@@ -200,9 +203,10 @@ def history_from_changes(changes: DataFrame, keys: Sequence[str], updated_at: st
     if not max_rows_per_group:
         w = Window.partitionBy(*keys).orderBy(*order)
         return base.withColumn("valid_to", F.lead(at).over(w))
-    hot = hot_key_slices(key_stats(changes, keys, micros(updated_at)), keys, max_rows_per_group)
+    t_us = epoch_us(changes, updated_at)
+    hot = hot_key_slices(key_stats(changes, keys, t_us), keys, max_rows_per_group)
     sliced = base.join(F.broadcast(hot), on=list(keys), how="left").select(
-        *base.columns, _slice_of(micros(updated_at)).alias("__slice"), F.col("__lo").isNotNull().alias("__hot"))
+        *base.columns, _slice_of(t_us).alias("__slice"), F.col("__lo").isNotNull().alias("__hot"))
     # where each slice of a hot key ends: the start of the key's next non-empty slice
     starts = (sliced.filter("__hot").groupBy(*keys, "__slice").agg(F.min(updated_at).alias("__start")))
     ws = Window.partitionBy(*keys).orderBy("__slice")

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.time import ts_lit
 from ..operators.latest import latest_per_key, live_rows
 from . import fixtures as fx
 from .silver import silver_accounts, silver_customers, silver_transaction_legs, silver_transactions
@@ -293,7 +294,7 @@ def q_bronze_append(spark, sf):
     from ..streaming.ingest import ingest_batch
     root = scratch_path(spark, "bronze_append")
     msgs = fx.change_messages(spark, sf)
-    cut = F.lit(fx.CUT_1).cast("timestamp")
+    cut = ts_lit(fx.CUT_1, "timestamp")
     for i, (part, at) in enumerate(zip((msgs.filter(F.col("timestamp") < cut), msgs.filter(F.col("timestamp") >= cut)),
                                       _stamps())):
         ingest_batch(part, i, bronze_root=f"{root}/bronze", dead_letter_root=f"{root}/dead", at=at)
@@ -339,12 +340,12 @@ def q_bronze_load(spark, sf):
     from ..schemas import BRONZE_SCHEMAS
     from ..sources.files import load_new_files
     root = scratch_path(spark, "bronze_load")
-    b = fx.bronze_accounts(spark, sf)
-    cut = F.lit(fx.CUT_1).cast("timestamp_ntz")
     schema = BRONZE_SCHEMAS["accounts"]
-    b.filter(F.col("ingested_at") < cut).select(*schema.fieldNames()).write.parquet(f"{root}/stage/wave1")
+    b = _as_bronze(fx.bronze_accounts(spark, sf), schema)
+    cut = ts_lit(fx.CUT_1, "timestamp")
+    b.filter(F.col("ingested_at") < cut).write.parquet(f"{root}/stage/wave1")
     load_new_files(spark, f"{root}/stage", schema, f"{root}/bronze", f"{root}/ckpt", recursive=True)
-    b.filter(F.col("ingested_at") >= cut).select(*schema.fieldNames()).write.parquet(f"{root}/stage/wave2")
+    b.filter(F.col("ingested_at") >= cut).write.parquet(f"{root}/stage/wave2")
     load_new_files(spark, f"{root}/stage", schema, f"{root}/bronze", f"{root}/ckpt", recursive=True)
     again = load_new_files(spark, f"{root}/stage", schema, f"{root}/bronze", f"{root}/ckpt", recursive=True)
     if again != 0:
@@ -361,7 +362,7 @@ def q_load_by_name(spark, sf):
     from ..sources.files import load_new_files
     root = scratch_path(spark, "load_by_name")
     schema = BRONZE_SCHEMAS["accounts"]
-    b = fx.bronze_accounts(spark, sf)
+    b = _as_bronze(fx.bronze_accounts(spark, sf), schema)
     staged = b.select(*[F.col(c).alias(c.upper()) for c in schema.fieldNames() if c != "currency"],
                       F.lit("x").alias("UNUSED_EXTRA"))
     staged.write.parquet(f"{root}/stage/good")
@@ -370,6 +371,11 @@ def q_load_by_name(spark, sf):
     return _loaded(spark, f"{root}/bronze", schema)
 
 
+def _as_bronze(df, schema):
+    """Fixture rows in the declared bronze types (ingestion time is zoned)."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
 def _loaded(spark, path, schema):
     """A loaded bronze table, with the wall-clock ingestion time of the staged rows."""
     b = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

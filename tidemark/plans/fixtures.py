@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import data_dir
-from ..functions.time import ts_to_ms
+from ..functions.time import ts_lit, type_name
 
 MONTH_MS = 30 * 24 * 3600 * 1000
 BANKS_LOADED_AT = _dt.datetime(2024, 1, 1)
@@ -42,7 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _READS[key]
 
 
-MS = "unix_millis(CAST({c} AS TIMESTAMP))"
+MS = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c})"  # UTC wall clock, any session zone
 
 
 def _ms(c: str) -> str:
@@ -183,7 +183,7 @@ def bronze_banks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def before(df: DataFrame, cut: _dt.datetime, col: str = "ingested_at") -> DataFrame:
-    return df.filter(F.col(col) < F.lit(cut).cast("timestamp_ntz"))
+    return df.filter(F.col(col) < ts_lit(cut, type_name(df, col)))
 
 
 def accounts_history(spark: SparkSession, sf_dir: str) -> DataFrame:

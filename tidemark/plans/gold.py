@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.asof import DEFAULT_MAX_ROWS_PER_GROUP, as_of_join, key_stats, micros
+from ..functions.time import epoch_us
+from ..operators.asof import DEFAULT_MAX_ROWS_PER_GROUP, as_of_join, key_stats
 from ..operators.joins import DEFAULT_MAX_ROWS_PER_KEY, left_join_fanout
 from ..operators.latest import LATEST_ORDER, live_rows
 from ..operators.scd2 import current
@@ -76,10 +77,10 @@ def customer_stats(t: DataFrame, acc: DataFrame, cus: DataFrame) -> DataFrame:
     first: transactions per account, summed over every customer the account
     ever belonged to, plus the customer's own versions. Aggregates of key
     columns only; an account that changed owner counts for each owner."""
-    per_account = key_stats(t, ["account_id"], micros("transaction_created_at"))
+    per_account = key_stats(t, ["account_id"], epoch_us(t, "transaction_created_at"))
     owners = acc.select("account_id", "customer_id").distinct()
     via_accounts = per_account.join(owners, "account_id").drop("account_id")
-    own = key_stats(cus, ["customer_id"], micros("valid_from"))
+    own = key_stats(cus, ["customer_id"], epoch_us(cus, "valid_from"))
     return (via_accounts.unionByName(own).groupBy("customer_id")
             .agg(F.sum("__cnt").alias("__cnt"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi")))
 

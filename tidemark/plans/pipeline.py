@@ -16,6 +16,7 @@ from ..config import ACCOUNT_TYPES, CHANNELS, DIRECTIONS, STATUSES, TABLES, TRAN
 from ..operators.quality import (violations_balance, violations_domain, violations_fk,
                                  violations_fx, violations_unique)
 from ..operators.scd2 import first_snapshot, snapshot_check_open, snapshot_timestamp_open
+from ..functions.time import max_ts, ts_lit
 from ..operators.latest import AUTO, drop_deleted, new_rows
 from ..sources.tables import (HistoryTable, VersionedTable, ensure_bronze, path_exists, publish, read_bronze,
                               read_text, upsert_partitions, write_text)
@@ -89,7 +90,7 @@ def _record_mark(spark: SparkSession, cfg: PipelineConfig, table: str, bronze: D
     """After a committed run: the newest ingestion time among the rows it read
     (one column of the partition-pruned slice)."""
     slice_, _ = new_rows(bronze, None if mark is AUTO else bronze, mark=mark)
-    newest = slice_.agg(F.max("ingested_at").alias("m")).first()["m"]
+    newest = max_ts(slice_, "ingested_at")
     if newest is not None:
         write_text(spark, _mark_file(cfg, table), json.dumps({"mark": newest.isoformat()}))
 
@@ -146,7 +147,7 @@ def run_snapshots(spark: SparkSession, cfg: PipelineConfig, run_at: _dt.datetime
         store = HistoryTable(spark, cfg.path("snapshots", table))
         open_ = store.read_open()
         if open_ is None:
-            at = F.lit(run_at).cast("timestamp_ntz") if cfg.snapshot_strategy == "check" else F.col(upd)
+            at = ts_lit(run_at) if cfg.snapshot_strategy == "check" else F.col(upd)
             rows = first_snapshot(cur, [key], at, ops=cfg.snapshot_ops)
         elif cfg.snapshot_strategy == "check":
             rows = snapshot_check_open(open_, cur, [key], check, run_at, ops=cfg.snapshot_ops)
