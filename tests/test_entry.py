@@ -37,3 +37,28 @@ def test_every_query_matches_its_oracle(spark):
         if sorted(cols) != sorted(ocols) or digest(rows, cols)[0] != digest(orows, ocols)[0]:
             bad.append(name)
     assert bad == []
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark):
+    import __spark_entry__ as E
+    from oracle_check import TABLES, digest
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{SF}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    qs, sql = E.queries(), E.oracle_sql()
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        bad = []
+        for name in ["epoch_ms", "silver_accounts", "asof_customer", "snapshot_check_customers",
+                     "silver_upsert", "bronze_append", "load_by_name"]:
+            df = qs[name](spark, SF)
+            cur = con.execute(sql[name])
+            ocols = [d[0] for d in cur.description]
+            if digest([tuple(r) for r in df.collect()], df.columns)[0] != digest(cur.fetchall(), ocols)[0]:
+                bad.append(name)
+        assert bad == []
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

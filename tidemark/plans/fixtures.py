@@ -30,16 +30,18 @@ CHECK_RUN_1 = _dt.datetime(2024, 1, 16)
 CHECK_RUN_2 = _dt.datetime(2024, 2, 1)
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A shared test table; the DataFrame is reused per session and path."""
+    """A shared test table; the DataFrame is reused per session and path
+    (the session is kept with it, so a reused id cannot match another one)."""
     path = data_dir(sf_dir, name)
     key = (id(spark), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    hit = _READS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = _READS[key] = (spark, spark.read.parquet(path))
+    return hit[1]
 
 
 MS = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c})"  # UTC wall clock, any session zone
