@@ -9,10 +9,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import ts_lit
+from ..config import CHANNELS, scratch_path, topic_of
+from ..functions.cdc import for_topic, parse_changes, split_corrupt, table_of, unwrap_envelope
+from ..functions.time import ms_to_ts, ts_lit, ts_to_ms
+from ..operators.asof import as_of_join
 from ..operators.latest import latest_per_key, live_rows
+from ..operators.quality import (violations_balance, violations_domain, violations_fk, violations_fx,
+                                 violations_unique)
+from ..operators.scd2 import snapshot_check, snapshot_timestamp
+from ..schemas import BRONZE_SCHEMAS, CHANGE_SCHEMAS
+from ..sources.files import load_new_files
+from ..sources.tables import backfill_bronze, publish, read_bronze, write_text
+from ..streaming.ingest import ingest_batch
 from . import fixtures as fx
-from .silver import silver_accounts, silver_customers, silver_transaction_legs, silver_transactions
+from .gold import (credit_legs, debit_legs, dim_accounts, dim_banks, dim_customers, fct_transactions,
+                   transactions_as_of, transactions_reporting)
+from .pipeline import PipelineConfig, run_pipeline
+from .silver import (build_silver, silver_accounts, silver_customers, silver_transaction_legs,
+                     silver_transactions)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,14 +75,12 @@ def q_delete_filter(spark, sf):
 
 @query("dim_banks")
 def q_dim_banks(spark, sf):
-    from .gold import dim_banks
     return dim_banks(fx.bronze_banks(spark, sf))
 
 
 # --- as-of joins and gold (C1-C4, B13, B14, H1-H5) ------------------------
 
 def _gold_inputs(spark, sf):
-    from .silver import silver_transaction_legs, silver_transactions
     txn = silver_transactions(fx.bronze_transactions(spark, sf))
     legs = silver_transaction_legs(fx.bronze_transaction_legs(spark, sf))
     return txn, fx.accounts_history(spark, sf), fx.customers_history(spark, sf), legs
@@ -76,7 +88,6 @@ def _gold_inputs(spark, sf):
 
 @query("asof_account")
 def q_asof_account(spark, sf):
-    from ..operators.asof import as_of_join
     txn, acc, _, _ = _gold_inputs(spark, sf)
     versions = acc.select("account_id", "account_type", "balance", "valid_from", "valid_to")
     j = as_of_join(txn.select("transaction_id", "account_id", "transaction_created_at"), versions,
@@ -90,7 +101,6 @@ def q_asof_account(spark, sf):
 
 @query("asof_customer")
 def q_asof_customer(spark, sf):
-    from .gold import transactions_as_of
     txn, acc, cus, _ = _gold_inputs(spark, sf)
     j = transactions_as_of(txn, acc, cus)
     return j.select("transaction_id", F.col("a.account_id").alias("account_id"),
@@ -102,37 +112,31 @@ def q_asof_customer(spark, sf):
 
 @query("fct_transactions")
 def q_fct_transactions(spark, sf):
-    from .gold import fct_transactions
     return fct_transactions(*_gold_inputs(spark, sf))
 
 
 @query("reporting")
 def q_reporting(spark, sf):
-    from .gold import transactions_reporting
     return transactions_reporting(*_gold_inputs(spark, sf))
 
 
 @query("credit_legs")
 def q_credit_legs(spark, sf):
-    from .gold import credit_legs
     return credit_legs(silver_transaction_legs(fx.bronze_transaction_legs(spark, sf)))
 
 
 @query("debit_legs")
 def q_debit_legs(spark, sf):
-    from .gold import debit_legs
     return debit_legs(silver_transaction_legs(fx.bronze_transaction_legs(spark, sf)))
 
 
 @query("dim_accounts")
 def q_dim_accounts(spark, sf):
-    from .gold import dim_accounts
     return dim_accounts(fx.accounts_history(spark, sf))
 
 
 @query("dim_customers")
 def q_dim_customers(spark, sf):
-    from .gold import dim_customers
     return dim_customers(fx.customers_history(spark, sf))
 
 
@@ -140,7 +144,6 @@ def q_dim_customers(spark, sf):
 
 def _two_runs(spark, sf, table, view_op="u"):
     """Silver state at the snapshot cut and at the end of the log."""
-    from .silver import build_silver
     if table == "accounts":
         bronze = fx.bronze_accounts(spark, sf)
     else:
@@ -153,7 +156,6 @@ def _two_runs(spark, sf, table, view_op="u"):
 
 @query("snapshot_ts_accounts")
 def q_snapshot_ts_accounts(spark, sf):
-    from ..operators.scd2 import snapshot_timestamp
     s1, s2 = _two_runs(spark, sf, "accounts")
     h1 = snapshot_timestamp(None, s1, ["account_id"], "account_updated_at")
     return snapshot_timestamp(h1, s2, ["account_id"], "account_updated_at")
@@ -161,7 +163,6 @@ def q_snapshot_ts_accounts(spark, sf):
 
 @query("snapshot_ts_customers")
 def q_snapshot_ts_customers(spark, sf):
-    from ..operators.scd2 import snapshot_timestamp
     s1, s2 = _two_runs(spark, sf, "customers")
     h1 = snapshot_timestamp(None, s1, ["customer_id"], "customer_updated_at")
     return snapshot_timestamp(h1, s2, ["customer_id"], "customer_updated_at")
@@ -173,7 +174,6 @@ ACCOUNT_CHECK_COLS = ["account_type", "balance", "currency"]
 
 @query("snapshot_check_customers")
 def q_snapshot_check_customers(spark, sf):
-    from ..operators.scd2 import snapshot_check
     s1, s2 = _two_runs(spark, sf, "customers")
     h1 = snapshot_check(None, s1, ["customer_id"], CUSTOMER_CHECK_COLS, fx.CHECK_RUN_1)
     return snapshot_check(h1, s2, ["customer_id"], CUSTOMER_CHECK_COLS, fx.CHECK_RUN_2)
@@ -181,7 +181,6 @@ def q_snapshot_check_customers(spark, sf):
 
 @query("snapshot_check_accounts")
 def q_snapshot_check_accounts(spark, sf):
-    from ..operators.scd2 import snapshot_check
     s1, s2 = _two_runs(spark, sf, "accounts")
     h1 = snapshot_check(None, s1, ["account_id"], ACCOUNT_CHECK_COLS, fx.CHECK_RUN_1)
     return snapshot_check(h1, s2, ["account_id"], ACCOUNT_CHECK_COLS, fx.CHECK_RUN_2)
@@ -191,7 +190,6 @@ def q_snapshot_check_accounts(spark, sf):
 def q_snapshot_op_filter(spark, sf):
     """Check snapshot fed only by updates and creates: 'view' changes arrive
     as snapshot reads ('r') and are left out."""
-    from ..operators.scd2 import snapshot_check
     s1, s2 = _two_runs(spark, sf, "customers", view_op="r")
     ops = ("u", "c")
     h1 = snapshot_check(None, s1, ["customer_id"], CUSTOMER_CHECK_COLS, fx.CHECK_RUN_1, ops=ops)
@@ -202,7 +200,6 @@ def q_snapshot_op_filter(spark, sf):
 
 @query("high_water_mark")
 def q_high_water_mark(spark, sf):
-    from .silver import build_silver
     target = build_silver("accounts", fx.before(fx.bronze_accounts(spark, sf), fx.CUT_1))
     return target.agg(F.max("ingested_at").alias("mark"))
 
@@ -210,7 +207,6 @@ def q_high_water_mark(spark, sf):
 @query("silver_incremental")
 def q_silver_incremental(spark, sf):
     """Three runs (cut 1, cut 2, end), deletes applied: equals a full refresh."""
-    from .silver import build_silver
     bronze = fx.bronze_accounts(spark, sf)
     t1 = build_silver("accounts", fx.before(bronze, fx.CUT_1))
     t2 = build_silver("accounts", fx.before(bronze, fx.CUT_2), t1)
@@ -221,7 +217,6 @@ def q_silver_incremental(spark, sf):
 def q_silver_upsert(spark, sf):
     """Original merge behaviour: deletes filtered before the merge, so rows
     deleted after cut 2 survive."""
-    from .silver import build_silver
     bronze = fx.bronze_accounts(spark, sf)
     t1 = build_silver("accounts", fx.before(bronze, fx.CUT_2))
     return build_silver("accounts", bronze, t1, apply_deletes=False)
@@ -230,8 +225,6 @@ def q_silver_upsert(spark, sf):
 # --- change parsing (B1-B8, B11) ---------------------------------------------
 
 def _accounts_topic(spark, sf, **kw):
-    from ..config import topic_of
-    from ..functions.cdc import for_topic
     return for_topic(fx.change_messages(spark, sf, **kw), topic_of("accounts"))
 
 
@@ -241,7 +234,6 @@ ACCOUNT_FIELDS = ["account_id", "customer_id", "bank_id", "account_type", "balan
 
 @query("cdc_demux")
 def q_cdc_demux(spark, sf):
-    from ..functions.cdc import table_of
     m = _accounts_topic(spark, sf)
     return m.select(table_of("topic").alias("table_name"), F.col("partition").alias("message_partition"),
                     F.col("offset").alias("message_offset"), F.col("value").isNull().alias("is_tombstone"))
@@ -249,15 +241,11 @@ def q_cdc_demux(spark, sf):
 
 @query("cdc_parse")
 def q_cdc_parse(spark, sf):
-    from ..functions.cdc import parse_changes
-    from ..schemas import CHANGE_SCHEMAS
     return parse_changes(_accounts_topic(spark, sf), CHANGE_SCHEMAS["accounts"])
 
 
 @query("cdc_quarantine")
 def q_cdc_quarantine(spark, sf):
-    from ..functions.cdc import parse_changes, split_corrupt
-    from ..schemas import CHANGE_SCHEMAS
     parsed = parse_changes(_accounts_topic(spark, sf, corrupt=True), CHANGE_SCHEMAS["accounts"], keep_corrupt=True)
     _, bad = split_corrupt(parsed)
     return bad.select("source_partition", "source_offset", "account_id", "balance", "cdc_op")
@@ -265,8 +253,6 @@ def q_cdc_quarantine(spark, sf):
 
 @query("cdc_unwrap")
 def q_cdc_unwrap(spark, sf):
-    from ..functions.cdc import unwrap_envelope
-    from ..schemas import CHANGE_SCHEMAS
     u = unwrap_envelope(_accounts_topic(spark, sf, envelope=True), CHANGE_SCHEMAS["accounts"])
     return u.select(F.col("offset").alias("message_offset"), *ACCOUNT_FIELDS,
                     "__op", "__table", "__source_ts_ms")
@@ -274,7 +260,6 @@ def q_cdc_unwrap(spark, sf):
 
 @query("epoch_ms")
 def q_epoch_ms(spark, sf):
-    from ..functions.time import ms_to_ts, ts_to_ms
     e = fx.table(spark, sf, "events")
     return e.select("event_id", ts_to_ms("ts").alias("ts_ms"), ms_to_ts(ts_to_ms("ts")).alias("ts_back"))
 
@@ -289,9 +274,6 @@ def _stamps():
 def q_bronze_append(spark, sf):
     """Two micro-batches (before / after cut 1) ingested with fixed stamps into
     a date-partitioned bronze; read back with partition discovery."""
-    from ..config import scratch_path
-    from ..sources.tables import read_bronze
-    from ..streaming.ingest import ingest_batch
     root = scratch_path(spark, "bronze_append")
     msgs = fx.change_messages(spark, sf)
     cut = ts_lit(fx.CUT_1, "timestamp")
@@ -306,8 +288,6 @@ def q_bronze_append(spark, sf):
 def q_dead_letter(spark, sf):
     """A poisoned accounts slice (strict parsing) goes to the dead letters
     whole; the transactions slice of the same batch still loads."""
-    from ..config import scratch_path
-    from ..streaming.ingest import ingest_batch
     root = scratch_path(spark, "dead_letter")
     status = ingest_batch(fx.change_messages(spark, sf, corrupt=True), 0, bronze_root=f"{root}/bronze",
                           dead_letter_root=f"{root}/dead", parse_mode="FAILFAST")
@@ -322,9 +302,6 @@ def q_dead_letter(spark, sf):
 def q_replay_dedup(spark, sf):
     """The same batch delivered twice (at-least-once): duplicates removed on
     the source position."""
-    from ..config import scratch_path
-    from ..sources.tables import read_bronze
-    from ..streaming.ingest import ingest_batch
     root = scratch_path(spark, "replay")
     msgs = fx.change_messages(spark, sf)
     for i in range(2):
@@ -336,9 +313,6 @@ def q_replay_dedup(spark, sf):
 @query("bronze_load")
 def q_bronze_load(spark, sf):
     """Files staged in two waves; three load runs. Each file is loaded once."""
-    from ..config import scratch_path
-    from ..schemas import BRONZE_SCHEMAS
-    from ..sources.files import load_new_files
     root = scratch_path(spark, "bronze_load")
     schema = BRONZE_SCHEMAS["accounts"]
     b = _as_bronze(fx.bronze_accounts(spark, sf), schema)
@@ -357,9 +331,6 @@ def q_bronze_load(spark, sf):
 def q_load_by_name(spark, sf):
     """Staged files with upper-case names, a missing column, an extra column
     and an unreadable file: loaded by name against the declared schema."""
-    from ..config import scratch_path
-    from ..schemas import BRONZE_SCHEMAS
-    from ..sources.files import load_new_files
     root = scratch_path(spark, "load_by_name")
     schema = BRONZE_SCHEMAS["accounts"]
     b = _as_bronze(fx.bronze_accounts(spark, sf), schema)
@@ -384,21 +355,13 @@ def _loaded(spark, path, schema):
 
 def _write_junk(spark, path):
     """One file named like parquet that is not parquet, one text file."""
-    from ..sources.tables import _fs
-    fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    for name, body in (("broken.parquet", "not parquet at all"), ("notes.txt", "ignored by the glob")):
-        out = fs.create(jvm.org.apache.hadoop.fs.Path(p, name), True)
-        out.write(bytearray(body.encode()))
-        out.close()
+    write_text(spark, f"{path}/broken.parquet", "not parquet at all")
+    write_text(spark, f"{path}/notes.txt", "ignored by the file-name pattern")
 
 
 @query("gold_append_twice")
 def q_gold_append_twice(spark, sf):
     """A gold model published in append mode on two runs holds every row twice."""
-    from ..config import scratch_path
-    from ..sources.tables import publish
-    from .gold import dim_banks
     path = scratch_path(spark, "gold_append")
     d = dim_banks(fx.bronze_banks(spark, sf))
     publish(d, path, mode="append")
@@ -410,13 +373,11 @@ def q_gold_append_twice(spark, sf):
 
 @query("chk_unique")
 def q_chk_unique(spark, sf):
-    from ..operators.quality import violations_unique
     return violations_unique(fx.bronze_transaction_legs(spark, sf), ["leg_id"])
 
 
 @query("chk_fk")
 def q_chk_fk(spark, sf):
-    from ..operators.quality import violations_fk
     orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     lines = fx.table(spark, sf, "lineitem")
     return violations_fk(orders, lines, ["o_orderkey"], ["l_orderkey"])
@@ -424,8 +385,6 @@ def q_chk_fk(spark, sf):
 
 @query("chk_domain")
 def q_chk_domain(spark, sf):
-    from ..operators.quality import violations_domain
-    from ..config import CHANNELS
     t = silver_transactions(fx.bronze_transactions(spark, sf))
     o = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     bad_status = violations_domain(o, "o_orderstatus", ["F", "O"])
@@ -439,14 +398,12 @@ def q_chk_domain(spark, sf):
 
 @query("chk_balance")
 def q_chk_balance(spark, sf):
-    from ..operators.quality import violations_balance
     legs = silver_transaction_legs(fx.bronze_transaction_legs(spark, sf))
     return violations_balance(legs)
 
 
 @query("chk_fx")
 def q_chk_fx(spark, sf):
-    from ..operators.quality import violations_fx
     t = silver_transactions(fx.bronze_transactions(spark, sf))
     return violations_fx(t).select("transaction_id", "amount", "amount_in_usd", "channel")
 
@@ -457,10 +414,6 @@ def q_chk_fx(spark, sf):
 def q_pipeline_run(spark, sf):
     """Fixture change logs written as the five bronze tables, then one
     pipeline run (silver, snapshots, gold, checks); returns the gold fact."""
-    from ..config import scratch_path
-    from ..schemas import BRONZE_SCHEMAS
-    from ..sources.tables import backfill_bronze
-    from .pipeline import PipelineConfig, run_pipeline
     root = scratch_path(spark, "pipeline")
     logs = {"accounts": fx.bronze_accounts(spark, sf), "customers": fx.bronze_customers(spark, sf),
             "transactions": fx.bronze_transactions(spark, sf),
