@@ -41,10 +41,17 @@ def ts_to_us(c: Column | str, ntz: bool = True) -> Column:
     return F.unix_micros(_col(c))
 
 
+def _type(df: DataFrame, col: str):
+    """Type of a column; plain names come from the DataFrame's cached schema
+    (no new analysis), dotted ones are resolved by Spark."""
+    if col in df.columns:
+        return df.schema[col].dataType
+    return df.select(F.col(col).alias("x")).schema["x"].dataType
+
+
 def is_ntz(df: DataFrame, col: str) -> bool:
     """Whether a (possibly nested, dotted) column of ``df`` is TIMESTAMP_NTZ."""
-    t = df.select(F.col(col).alias("x")).schema["x"].dataType
-    return isinstance(t, TimestampNTZType)
+    return isinstance(_type(df, col), TimestampNTZType)
 
 
 def epoch_us(df: DataFrame, col: str) -> Column:
@@ -64,7 +71,7 @@ def ts_lit(value, dtype: str = "timestamp_ntz") -> Column:
 
 
 def type_name(df: DataFrame, col: str) -> str:
-    return df.select(F.col(col).alias("x")).schema["x"].dataType.simpleString()
+    return _type(df, col).simpleString()
 
 
 def max_ts(df: DataFrame, col: str):

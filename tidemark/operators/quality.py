@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,3 +55,18 @@ def violations_fx(txn: DataFrame, tolerance: float = 0.01) -> DataFrame:
     rate = F.coalesce(F.col("exchange_rate"), F.lit(1.0))
     expected = F.round(F.col("amount") * rate, 2)
     return txn.filter(F.abs(F.col("amount_in_usd") - expected) > F.lit(tolerance))
+
+
+def violations_overlap(history: DataFrame, keys: Sequence[str], valid_from: str = "valid_from",
+                       valid_to: str = "valid_to") -> DataFrame:
+    """Versions whose interval overlaps the previous version of the same key
+    (the previous one is open, or ends after this one starts), and keys with
+    more than one open version. SCD2 histories must have none: the as-of join
+    relies on it. One window over each key's versions, which a history holds
+    one per run."""
+    w = Window.partitionBy(*keys).orderBy(F.col(valid_from), F.col(valid_to).asc_nulls_last())
+    prev_to = F.lag(F.col(valid_to)).over(w)
+    prev_from = F.lag(F.col(valid_from)).over(w)
+    flagged = history.select(*history.columns, prev_from.alias("__pf"), prev_to.alias("__pt"))
+    overlap = F.col("__pf").isNotNull() & (F.col("__pt").isNull() | (F.col("__pt") > F.col(valid_from)))
+    return flagged.filter(overlap).drop("__pf", "__pt")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import ACCOUNT_TYPES, CHANNELS, DIRECTIONS, STATUSES, TABLES, TRANSACTION_TYPES
 from ..operators.quality import (violations_balance, violations_domain, violations_fk,
-                                 violations_fx, violations_unique)
+                                 violations_fx, violations_overlap, violations_unique)
 from ..operators.scd2 import first_snapshot, snapshot_check_open, snapshot_timestamp_open
 from ..functions.time import max_ts, ts_lit
 from ..operators.latest import AUTO, drop_deleted, new_rows
@@ -219,6 +219,10 @@ def run_checks(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
         checks["balance"] = violations_balance(legs)
         if s.get("transactions") is not None:
             checks["fk_leg_transaction"] = violations_fk(legs, s["transactions"], ["transaction_id"])
+    for table, (key, *_rest) in SNAPSHOTS.items():
+        history = read_history(spark, cfg, table)
+        if history is not None:
+            checks[f"overlap_{table}_history"] = violations_overlap(history, [key])
     if not checks:
         return {}
     counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check"), "n")
