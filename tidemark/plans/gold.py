@@ -63,26 +63,35 @@ def transactions_as_of(transactions: DataFrame, accounts_history: DataFrame,
                                   "currency", "valid_from", "valid_to")
     cus = customers_history.select("customer_id", "full_name", "nationality", "email",
                                    "valid_from", "valid_to")
+    acc_stats = cus_stats = None
+    if max_rows_per_group:
+        per_account = key_stats(t, ["account_id"], epoch_us(t, "transaction_created_at"))
+        acc_stats = _sum_stats(per_account.unionByName(
+            key_stats(acc, ["account_id"], epoch_us(acc, "valid_from"))), "account_id")
+        cus_stats = customer_stats(per_account, acc, cus)
     ta = as_of_join(t, acc, "account_id", "account_id", "transaction_created_at", as_="a",
-                    max_rows_per_group=max_rows_per_group)
+                    max_rows_per_group=max_rows_per_group, stats=acc_stats)
     ta = ta.withColumn("__acust", F.col("a.customer_id"))
-    stats = customer_stats(t, acc, cus) if max_rows_per_group else None
     tac = as_of_join(ta, cus, "__acust", "customer_id", "transaction_created_at", as_="c",
-                     max_rows_per_group=max_rows_per_group, stats=stats)
+                     max_rows_per_group=max_rows_per_group, stats=cus_stats)
     return tac.drop("__acust")
 
 
-def customer_stats(t: DataFrame, acc: DataFrame, cus: DataFrame) -> DataFrame:
+def _sum_stats(stats: DataFrame, key: str) -> DataFrame:
+    return stats.groupBy(key).agg(F.sum("__cnt").alias("__cnt"), F.min("__lo").alias("__lo"),
+                                  F.max("__hi").alias("__hi"))
+
+
+def customer_stats(per_account: DataFrame, acc: DataFrame, cus: DataFrame) -> DataFrame:
     """Per-customer row estimate for the second as-of join without running the
-    first: transactions per account, summed over every customer the account
-    ever belonged to, plus the customer's own versions. Aggregates of key
-    columns only; an account that changed owner counts for each owner."""
-    per_account = key_stats(t, ["account_id"], epoch_us(t, "transaction_created_at"))
+    first: transactions per account (``per_account``, a :func:`key_stats`
+    table), summed over every customer the account ever belonged to, plus the
+    customer's own versions. Aggregates of key columns only; an account that
+    changed owner counts for each owner."""
     owners = acc.select("account_id", "customer_id").distinct()
     via_accounts = per_account.join(owners, "account_id").drop("account_id")
     own = key_stats(cus, ["customer_id"], epoch_us(cus, "valid_from"))
-    return (via_accounts.unionByName(own).groupBy("customer_id")
-            .agg(F.sum("__cnt").alias("__cnt"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi")))
+    return _sum_stats(via_accounts.unionByName(own), "customer_id")
 
 
 def _fanout_limit(max_rows_per_group: int | None) -> int | None:
