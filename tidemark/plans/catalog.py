@@ -15,7 +15,7 @@ from ..functions.time import ms_to_ts, ts_lit, ts_to_ms
 from ..operators.asof import as_of_join
 from ..operators.latest import latest_per_key, live_rows
 from ..operators.quality import (violations_balance, violations_domain, violations_fk, violations_fx,
-                                 violations_unique)
+                                 violations_overlap, violations_unique)
 from ..operators.scd2 import snapshot_check, snapshot_timestamp
 from ..schemas import BRONZE_SCHEMAS, CHANGE_SCHEMAS
 from ..sources.files import load_new_files
@@ -426,3 +426,13 @@ def q_pipeline_run(spark, sf):
                          silver_partitions={"transactions": "floor(transaction_id / 10000)"})
     result = run_pipeline(spark, cfg)
     return spark.read.parquet(result["gold"]["fct_transactions"])
+
+
+@query("chk_overlap")
+def q_chk_overlap(spark, sf):
+    """Overlap check over a history whose versions each last one hour from the
+    change: changes of one customer less than an hour apart overlap."""
+    b = fx.bronze_customers(spark, sf)
+    h = b.selectExpr("customer_id", "source_offset", "ingested_at AS valid_from",
+                     "timestampadd(HOUR, 1, ingested_at) AS valid_to")
+    return violations_overlap(h, ["customer_id"]).select("customer_id", "source_offset", "valid_from")

@@ -444,3 +444,12 @@ SELECT {TXN_SEL},
       cl.receiver_bank_id
 FROM t {ASOF_A} {ASOF_C}
 LEFT JOIN credit_legs cl ON t.transaction_id = cl.transaction_id""")
+
+register("chk_overlap", f"""
+SELECT customer_id, source_offset, valid_from FROM (
+  SELECT customer_id, source_offset, valid_from, valid_to,
+         lag(valid_from) OVER w AS prev_from, lag(valid_to) OVER w AS prev_to
+  FROM (SELECT customer_id, source_offset, ingested_at AS valid_from, ingested_at + INTERVAL 1 HOUR AS valid_to
+        FROM ({BRONZE_CUSTOMERS}) b) h
+  WINDOW w AS (PARTITION BY customer_id ORDER BY valid_from, valid_to NULLS LAST)) x
+WHERE prev_from IS NOT NULL AND (prev_to IS NULL OR prev_to > valid_from)""")
