@@ -87,3 +87,14 @@ def test_zero_length_versions_across_slices(spark):
     left = _left(spark, [(i, 1, m) for i, m in enumerate([1, 4, 5, 6, 50, 90, 120, 200, 300, 400])])
     got = as_of_join(left, v, "k", "k", "ts", as_="a", max_rows_per_group=3).selectExpr("id", "a.ver")
     assert _pairs(got) == _pairs(_sql_join(spark, left, v))
+
+
+@pytest.mark.parametrize("max_rows", [None, 4])
+def test_hot_key_burst_at_one_timestamp(spark, max_rows):
+    # key 1: 60 left rows at one instant plus a few spread ones, three versions
+    v = _versions(spark, [(1, "a", 0, 10), (1, "b", 10, 10), (1, "c", 10, None), (2, "x", 0, None)])
+    rows = [(i, 1, 10) for i in range(60)] + [(100 + i, 1, m) for i, m in enumerate([-1, 0, 5, 9, 11, 30])]
+    rows += [(200, 2, 3), (201, None, 10)]
+    left = _left(spark, rows)
+    got = as_of_join(left, v, "k", "k", "ts", as_="a", max_rows_per_group=max_rows).selectExpr("id", "a.ver")
+    assert _pairs(got) == _pairs(_sql_join(spark, left, v))

@@ -12,7 +12,9 @@ A key that holds a large share of all rows would put all of them in one task,
 so keys with more than ``max_rows_per_group`` rows are split into time slices
 of about that many rows each. Each slice starts with a *carry* row that holds
 the version valid at the slice start; the carry rows come from a per-slice
-aggregate and a window over the slices of one key, both small. The table of hot
+aggregate and a window over the slices of one key, both small. A slice that
+still holds too many left rows (a burst; rows sharing one timestamp) is salted:
+its left rows are spread over buckets, its versions copied into each. The table of hot
 keys is at most ``total_rows / max_rows_per_group`` rows, and it is broadcast
 only after its size has been checked.
 
@@ -33,7 +35,7 @@ from ..functions.time import epoch_us, is_ntz, ts_to_us
 
 DEFAULT_MAX_ROWS_PER_GROUP = 2_000_000
 
-_T, _KIND, _L, _V, _S, _HOT = "__t", "__kind", "__left", "__ver", "__slice", "__hot"
+_T, _KIND, _L, _V, _S, _HOT, _SALT = "__t", "__kind", "__left", "__ver", "__slice", "__hot", "__salt"
 
 
 def _as_list(x: str | Sequence[str]) -> list[str]:
@@ -112,12 +114,14 @@ def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[s
         u = u.join(F.broadcast(hot), on=kn, how="left").select(
             *kn, _T, _KIND, _L, _V, _slice_of(F.col(_T)).alias(_S), F.col("__lo").isNotNull().alias(_HOT))
         carry = _carry_rows(u, hot, kn, valid_to, end_ntz)
+        salts = _slice_salts(u, kn, max_rows_per_group)
         u = u.drop(_HOT).unionByName(carry, allowMissingColumns=True)
+        u = _salt(u, salts, kn)
     else:
-        u = u.withColumn(_S, F.lit(0).cast("long"))
+        u = u.withColumn(_S, F.lit(0).cast("long")).withColumn(_SALT, F.lit(0))
 
     vt_end = ts_to_us(F.col(f"{_V}.{valid_to}"), end_ntz)
-    w = (Window.partitionBy(*kn, _S)
+    w = (Window.partitionBy(*kn, _S, _SALT)
                .orderBy(F.col(_T).asc_nulls_first(), F.col(_KIND), vt_end.asc_nulls_last())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     m = F.last(F.col(_V), ignorenulls=True).over(w)
@@ -148,3 +152,26 @@ def _carry_rows(u: DataFrame, hot: DataFrame, kn: list[str], valid_to: str, end_
                    .select(*kn, _S, F.last("__last", ignorenulls=True).over(w).alias(_V)))
     return carried.filter(F.col(_V).isNotNull()).select(
         *kn, F.lit(None).cast("long").alias(_T), F.lit(-1).alias(_KIND), _V, _S)
+
+
+def _slice_salts(u: DataFrame, kn: list[str], max_rows: int) -> DataFrame:
+    """Slices of hot keys that still hold more than ``max_rows`` left rows (a
+    burst, or a key whose rows share one timestamp) and how many salt buckets
+    each needs. Exact per-slice counts over hot rows only; at most
+    ``rows / max_rows`` entries, hence broadcast."""
+    counts = (u.filter(F.col(_HOT) & (F.col(_KIND) == 1))
+               .groupBy(*kn, _S).agg(F.count(F.lit(1)).alias("__n")))
+    return (counts.filter(F.col("__n") > F.lit(max_rows))
+                  .select(*kn, _S, F.ceil(F.col("__n") / F.lit(max_rows)).cast("int").alias("__m")))
+
+
+def _salt(u: DataFrame, salts: DataFrame, kn: list[str]) -> DataFrame:
+    """Spread the left rows of over-full slices over ``__m`` buckets by a hash
+    of the row (deterministic, so a re-run task buckets alike) and copy the
+    slice's versions and carry row into every bucket: each left row is in
+    exactly one group, together with every version it can match."""
+    j = u.join(F.broadcast(salts), on=kn + [_S], how="left")
+    m = F.coalesce(F.col("__m"), F.lit(1))
+    left_bucket = F.pmod(F.xxhash64(F.col(_L)), m.cast("long")).cast("int")
+    bucket = F.when(F.col(_KIND) == 1, F.array(left_bucket)).otherwise(F.sequence(F.lit(0), m - 1))
+    return j.select(*[c for c in u.columns], F.explode(bucket).alias(_SALT))
