@@ -12,9 +12,11 @@ A key that holds a large share of all rows would put all of them in one task,
 so keys with more than ``max_rows_per_group`` rows are split into time slices
 of about that many rows each. Each slice starts with a *carry* row that holds
 the version valid at the slice start; the carry rows come from a per-slice
-aggregate and a window over the slices of one key, both small. A slice that
-still holds too many left rows (a burst; rows sharing one timestamp) is salted:
-its left rows are spread over buckets, its versions copied into each. The table of hot
+aggregate and a window over the slices of one key, both small. Within a slice
+the left rows of a hot key are further spread over a few hash buckets, with
+the slice's versions copied into each: that absorbs bursts, and a key whose
+rows share one timestamp (which time cannot split) gets one bucket per
+``max_rows_per_group`` rows. The table of hot
 keys is at most ``total_rows / max_rows_per_group`` rows, and it is broadcast
 only after its size has been checked.
 
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from ..functions.time import epoch_us, is_ntz, ts_to_us
 
 DEFAULT_MAX_ROWS_PER_GROUP = 2_000_000
+BURST_SALTS = 4
 
 _T, _KIND, _L, _V, _S, _HOT, _SALT = "__t", "__kind", "__left", "__ver", "__slice", "__hot", "__salt"
 
@@ -61,8 +64,13 @@ def hot_key_slices(stats: DataFrame, keys: Sequence[str], max_rows: int) -> Data
     dozen bytes."""
     hot_stats = stats.filter(F.col("__cnt") > F.lit(max_rows))
     n = F.ceil(F.col("__cnt") / F.lit(max_rows)).cast("long")
-    width = F.greatest(F.ceil((F.col("__hi") - F.col("__lo") + F.lit(1)) / n), F.lit(1)).cast("long")
-    return hot_stats.select(*keys, F.col("__lo"), width.alias("__width"), n.alias("__n"))
+    span = F.col("__hi") - F.col("__lo") + F.lit(1)
+    width = F.greatest(F.ceil(span / n), F.lit(1)).cast("long")
+    # salt buckets per slice: a key whose rows cannot be spread in time (its
+    # span is shorter than its slice count, e.g. one shared timestamp) gets one
+    # bucket per max_rows rows; others a fixed headroom for bursts
+    m = F.when(span < n, n).otherwise(F.least(n, F.lit(BURST_SALTS))).cast("int")
+    return hot_stats.select(*keys, F.col("__lo"), width.alias("__width"), n.alias("__n"), m.alias("__nsalt"))
 
 
 def _slice_of(t_col, hot_prefix: str = "") -> F.Column:
@@ -112,11 +120,10 @@ def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[s
             st = stats.select(*[F.col(a).alias(b) for a, b in zip(rk, kn)], "__cnt", "__lo", "__hi")
         hot = hot_key_slices(st, kn, max_rows_per_group)
         u = u.join(F.broadcast(hot), on=kn, how="left").select(
-            *kn, _T, _KIND, _L, _V, _slice_of(F.col(_T)).alias(_S), F.col("__lo").isNotNull().alias(_HOT))
+            *kn, _T, _KIND, _L, _V, _slice_of(F.col(_T)).alias(_S), F.col("__lo").isNotNull().alias(_HOT),
+            F.coalesce(F.col("__nsalt"), F.lit(1)).alias("__nsalt"))
         carry = _carry_rows(u, hot, kn, valid_to, end_ntz)
-        salts = _slice_salts(u, kn, max_rows_per_group)
-        u = u.drop(_HOT).unionByName(carry, allowMissingColumns=True)
-        u = _salt(u, salts, kn)
+        u = _salt(u.drop(_HOT).unionByName(carry, allowMissingColumns=True))
     else:
         u = u.withColumn(_S, F.lit(0).cast("long")).withColumn(_SALT, F.lit(0))
 
@@ -146,32 +153,21 @@ def _carry_rows(u: DataFrame, hot: DataFrame, kn: list[str], valid_to: str, end_
     per_slice = (u.filter((F.col(_KIND) == 0) & F.col(_HOT))
                   .groupBy(*kn, _S)
                   .agg(F.max_by(F.col(_V), F.struct(F.col(_T), end)).alias("__last")))
-    grid = hot.select(*kn, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias(_S))
+    grid = hot.select(*kn, "__nsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias(_S))
     w = Window.partitionBy(*kn).orderBy(_S).rowsBetween(Window.unboundedPreceding, -1)
     carried = (grid.join(per_slice, on=kn + [_S], how="left")
-                   .select(*kn, _S, F.last("__last", ignorenulls=True).over(w).alias(_V)))
+                   .select(*kn, _S, "__nsalt", F.last("__last", ignorenulls=True).over(w).alias(_V)))
     return carried.filter(F.col(_V).isNotNull()).select(
-        *kn, F.lit(None).cast("long").alias(_T), F.lit(-1).alias(_KIND), _V, _S)
-
-
-def _slice_salts(u: DataFrame, kn: list[str], max_rows: int) -> DataFrame:
-    """Slices of hot keys that still hold more than ``max_rows`` left rows (a
-    burst, or a key whose rows share one timestamp) and how many salt buckets
-    each needs. Exact per-slice counts over hot rows only; at most
-    ``rows / max_rows`` entries, hence broadcast."""
-    counts = (u.filter(F.col(_HOT) & (F.col(_KIND) == 1))
-               .groupBy(*kn, _S).agg(F.count(F.lit(1)).alias("__n")))
-    return (counts.filter(F.col("__n") > F.lit(max_rows))
-                  .select(*kn, _S, F.ceil(F.col("__n") / F.lit(max_rows)).cast("int").alias("__m")))
-
-
-def _salt(u: DataFrame, salts: DataFrame, kn: list[str]) -> DataFrame:
-    """Spread the left rows of over-full slices over ``__m`` buckets by a hash
-    of the row (deterministic, so a re-run task buckets alike) and copy the
-    slice's versions and carry row into every bucket: each left row is in
-    exactly one group, together with every version it can match."""
-    j = u.join(F.broadcast(salts), on=kn + [_S], how="left")
-    m = F.coalesce(F.col("__m"), F.lit(1))
+        *kn, F.lit(None).cast("long").alias(_T), F.lit(-1).alias(_KIND), _V, _S, "__nsalt")
+
+
+def _salt(u: DataFrame) -> DataFrame:
+    """Spread the left rows of a hot key's slices over ``__nsalt`` buckets by a
+    hash of the row (deterministic, so a re-run task buckets alike) and copy
+    the slice's versions and carry row into every bucket: each left row is in
+    exactly one group, together with every version it can match. Versions of
+    hot keys are copied ``__nsalt`` times; left rows are not copied."""
+    m = F.col("__nsalt")
     left_bucket = F.pmod(F.xxhash64(F.col(_L)), m.cast("long")).cast("int")
     bucket = F.when(F.col(_KIND) == 1, F.array(left_bucket)).otherwise(F.sequence(F.lit(0), m - 1))
-    return j.select(*[c for c in u.columns], F.explode(bucket).alias(_SALT))
+    return u.select(*[c for c in u.columns if c != "__nsalt"], F.explode(bucket).alias(_SALT))
