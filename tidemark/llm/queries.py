@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import data_dir
 from . import mix
+from .shard import histogram_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,3 +35,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op6(spark, sf):
     mixed = mix.systematic_mix(table(spark, sf, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op10_shard")
+def op10(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return histogram_shards(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
