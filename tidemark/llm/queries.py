@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import data_dir
-from . import mix
+from . import decontaminate, mix, simhash, toxicity
 from .shard import histogram_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,12 +31,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(data_dir(sf_dir, name))
 
 
+@query("op4_decontaminate")
+def op4(spark, sf):
+    found = decontaminate.hits(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op5_simhash")
+def op5(spark, sf):
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query("op6_mix_sources", mix.SQL)
 def op6(spark, sf):
     mixed = mix.systematic_mix(table(spark, sf, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op7_toxicity")
+def op7(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return toxicity.score_documents(docs, table(spark, sf, "labels")).drop("text")
+
+
 @query("op10_shard")
 def op10(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
