@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import data_dir
-from . import decontaminate, mix, simhash, toxicity
+from . import decontaminate, mix, quality, simhash, toxicity
 from .shard import histogram_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,12 @@ def op7(spark, sf):
     return toxicity.score_documents(docs, table(spark, sf, "labels")).drop("text")
 
 
+@query("op9_quality")
+def op9(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return quality.score_documents(docs, table(spark, sf, "labels")).drop("text")
+
+
 @query("op10_shard")
 def op10(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Chunk, chunks, grams, mix64, words
+from .common import ALNUM, Chunk, chunks, grams, held_out, labelled_sample, mix64, words
 
 BITS = 20
 TRAIN_ROWS = 8_000
@@ -48,20 +48,6 @@ def features(c: Chunk, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     return (h >> np.uint64(64 - bits)).astype(np.int64), np.concatenate([w.doc, w.doc[ok2], w.doc[ok3]])
 
 
-def held_out(id_col: str, folds: int, fold: int):
-    """Whether an id falls in the fold that labels are not learned from."""
-    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == fold, F.lit(False))
-
-
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """``(id, y, text)`` of at most ``rows`` labelled ids for which ``learn`` holds."""
-    ids = (labels.filter(learn & F.col(label).isNotNull() & F.col(id_col).isNotNull())
-           .groupBy(F.col(id_col).alias("__id")).agg(F.max(label).cast("int").alias("y"))
-           .orderBy(F.xxhash64("__id"), "__id").limit(rows))
-    return (docs.select(F.col(id_col).alias("__doc"), F.col(text_col).cast("string").alias("text"))
-            .join(F.broadcast(ids), F.col("__doc") == F.col("__id")).select(F.col("__id").alias("id"), "y", "text"))
-
-
 def fit_ftrl(examples: list[tuple[np.ndarray, int]], *, bits: int = BITS, epochs: int = EPOCHS, alpha: float = ALPHA,
              beta: float = BETA, l1: float = L1, l2: float = L2) -> tuple[np.ndarray, float]:
     """Weights and intercept from ``(distinct features, label)`` in order."""
