@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import data_dir
-from . import decontaminate, mix, quality, simhash, toxicity
+from . import chat, decontaminate, mix, pii, quality, simhash, topk, toxicity
+from .common import cut
 from .shard import histogram_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(data_dir(sf_dir, name))
 
 
+@query("op1_topk_hamming", topk.SQL)
+def op1(spark, sf):
+    codes = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), topk.sign_codes(F.col("embedding")).alias("code"))
+    codes = cut(codes, "codes")
+    found = topk.search(codes, codes.filter("id % 50 = 0"))
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
+
+
+PROBE = "</s>[INST] ok [/INST]"
+
+
+@query("op2_chat_format")
+def op2(spark, sf):
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], turns.schema)
+    return chat.read_back(cut(chat.format_conversations(turns.unionByName(probe)), "chat"))
+
+
+@query("op3_pii")
+def op3(spark, sf):
+    found = pii.find_personal_data(table(spark, sf, "documents"))
+    joined = lambda s: F.concat_ws(",", F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])))
+    count = lambda k: F.size(F.filter("spans", lambda x: x["base"] & (x["kind"] == k))).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", *[count(k) for k in pii.KINDS[: pii.BASE]],
+                        F.sha2(joined(F.filter("spans", lambda x: x["base"])), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 @query("op4_decontaminate")
 def op4(spark, sf):
     found = decontaminate.hits(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
