@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import data_dir
-from . import chat, decontaminate, mix, pii, quality, simhash, topk, toxicity
+from . import chat, decontaminate, mix, pii, quality, simhash, token_blocks, topk, toxicity
 from .common import cut
 from .shard import histogram_shards
 
@@ -86,6 +86,12 @@ def op7(spark, sf):
     return toxicity.score_documents(docs, table(spark, sf, "labels")).drop("text")
 
 
+@query("op8_token_blocks")
+def op8(spark, sf):
+    import public_tokenizers
+    return token_blocks.token_table(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op9_quality")
 def op9(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
