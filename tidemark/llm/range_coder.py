@@ -32,6 +32,8 @@ WORD = np.uint64(16)
 STEPS, LANES = 256, 4096
 TABLE = 20
 GAIN = 32
+#: Confidence after a miss and after a hit, by the confidence before.
+NEXT = np.array([0, 0, 1, 2, 1, 2, 3, 3], np.int8)
 
 
 class _Models:
@@ -98,14 +100,19 @@ class _Models:
         return out
 
     def update(self, s: np.ndarray, width: np.ndarray) -> None:
-        share = np.stack([(m << SHARES) // width for m in (self.m0, self.m1, self.m2)], axis=1)
-        for k in range(3):
-            self.mixed[:, k] += np.bincount(self.case, share[:, k], 32)
+        # shares of the ids' probability, in whole 2^-SHARES; order 0 has the rest
+        per = float(1 << SHARES) / width
+        one = np.bincount(self.case, np.floor(self.m1 * per), 32)
+        two = np.bincount(self.case, np.floor(self.m2 * per), 32)
+        self.mixed[:, 0] += np.bincount(self.case, minlength=32) * float(1 << SHARES) - one - two
+        self.mixed[:, 1] += one
+        self.mixed[:, 2] += two
         self.fresh += np.bincount(s, minlength=self.n)
         for key, table, sure, p in ((self.prev, self.one, self.sure1, self.p1), (self.slot, self.two, self.sure2, self.p2)):
-            hit, c = p == s, sure[key]
-            table[key] = np.where(hit | (c > 0), p, s)
-            sure[key] = np.where(hit, np.minimum(c + 1, 3), np.maximum(c - 1, 0))
+            c = sure[key]
+            state = c + ((p == s) << 2)
+            table[key] = np.where(state > 0, p, s)
+            sure[key] = NEXT[state]
         self.prev2, self.prev = self.prev, s
 
 
@@ -125,8 +132,14 @@ def _due(low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def encode_block(ids: np.ndarray) -> bytes:
     """Bytes of one block. ``ids``: unsigned 32-bit integers."""
     ids = np.ascontiguousarray(ids, "<u4")
-    alphabet, ranks = np.unique(ids, return_inverse=True)
     n = len(ids)
+    if n and ids.max() < 1 << 20:
+        seen = np.zeros(int(ids.max()) + 1, bool)
+        seen[ids] = True
+        alphabet = np.flatnonzero(seen).astype("<u4")
+        ranks = (np.cumsum(seen) - 1)[ids]
+    else:
+        alphabet, ranks = np.unique(ids, return_inverse=True)
     names = zlib.compress(np.diff(alphabet, prepend=np.uint32(0)).astype("<u4").tobytes())
     lanes, steps = _layout(n) if n else (0, 0)
     lens, words = np.zeros(0, "<u4"), np.zeros(0, "<u2")
