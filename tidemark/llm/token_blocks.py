@@ -9,7 +9,9 @@ lost executor leaves no half-written block; blocks are read independently.
 
 The tokenizer drops white space and never joins across it, so a text's ids are
 those of its space-separated pieces in order. Pieces are encoded once for each
-worker and looked up afterwards (a bounded table, started anew when full).
+worker and looked up afterwards (a bounded table, started anew when full). New
+pieces are encoded many at once with a special token between them, which the
+tokenizer splits off before anything else, so each piece's ids are its own.
 
 Defined results: null and empty texts have the end id only; repeated rows are
 rows of their own; a null document id stands first; an empty table gives an
@@ -32,8 +34,9 @@ from .range_coder import decode_block, encode_block
 
 END_ID = 1
 BLOCK_IDS = 1 << 20
-PIECES = 400_000
-CHUNK_CHARS = 1 << 20
+PIECES = 150_000
+CHUNK_CHARS = 1 << 19
+TOGETHER = 500
 
 
 class Encoder:
@@ -42,6 +45,8 @@ class Encoder:
     def __init__(self, path: str, pieces: int = PIECES):
         from tokenizers import Tokenizer
         self.tokenizer, self.limit = Tokenizer.from_file(path), pieces
+        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
+        self.between = special[-1] if special else None
         self.clear()
 
     def clear(self) -> None:
@@ -49,18 +54,38 @@ class Encoder:
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
+    def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and how many belong to each piece."""
+        if self.between is None:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            lens = np.fromiter(map(len, ids), np.int64, len(ids))
+            return np.fromiter((i for x in ids for i in x), np.uint32, int(lens.sum())), lens
+        token, text = self.between
+        joined = [text.join(pieces[lo : lo + TOGETHER]) + text for lo in range(0, len(pieces), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        flat = np.concatenate([np.array(e.ids, np.uint32) for e in found])
+        stop = flat == token
+        ends = np.flatnonzero(stop)
+        return flat[~stop], np.diff(ends, prepend=-1) - 1
+
     def _learn(self, new: list[str]) -> None:
+        if self.between is not None and any(self.between[1] in p for p in new):
+            # a piece that holds the token between is encoded by itself
+            odd = [p for p in new if self.between[1] in p]
+            new = [p for p in new if self.between[1] not in p]
+            kept, self.between = self.between, None
+            self._learn(odd)
+            self.between = kept
         for lo in range(0, len(new), 20_000):
             part = new[lo : lo + 20_000]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            lens = np.fromiter(map(len, ids), np.int64, len(ids))
-            n, total = len(self.number), int(lens.sum())
+            ids, lens = self._ids(part)
+            n, total = len(self.number), len(ids)
             while self.used + total > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
             while n + len(part) > len(self.start):
                 self.start = np.concatenate([self.start, np.zeros_like(self.start)])
                 self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-            self.flat[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
+            self.flat[self.used : self.used + total] = ids
             self.start[n : n + len(part)] = self.used + np.cumsum(lens) - lens
             self.size[n : n + len(part)] = lens
             self.number.update(zip(part, range(n, n + len(part))))
