@@ -42,7 +42,7 @@ from .common import cut
 SEED = 42
 SHINGLE = 3
 MAX_BITS = 2
-BUCKET_ROWS = 32
+BUCKET_ROWS = 64
 SAMPLE = 2048
 
 
@@ -153,8 +153,9 @@ def plan(fps: DataFrame, rows: int, max_bits: int = MAX_BITS, sample: int = SAMP
     pairs = together(fps)
     picked = [r[0] for r in fps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()]
     some = np.array(picked, np.int64).view(np.uint64)
-    i, j = np.triu_indices(len(some), 1)
-    diff = some[i] ^ some[j]
+    diff = some[:, None] ^ some[None, :]
+    # what a row can cost at most: beyond it, its bucket goes to midpoints
+    most = ball(64, (max_bits + 1) // 2)
     best = None
     for parts in range(1, max_bits + 3):
         groups = group_bits(pairs, rows, parts)
@@ -163,9 +164,9 @@ def plan(fps: DataFrame, rows: int, max_bits: int = MAX_BITS, sample: int = SAMP
             far = np.bitwise_count(diff & np.uint64(mask_of(g)))
             row = []
             for t in range(max_bits + 1):
-                seen = (float((far <= t).sum()) + 0.5) / max(len(far), 1)
-                share = max(seen if len(far) else 0.0, ball(len(g), t) / 2.0 ** len(g))
-                row.append(rows * (1 + ball(len(g), t)) + share * rows * rows / 2)
+                chance = ball(len(g), t) / 2.0 ** len(g)
+                others = ((far <= t).sum(axis=1) - 1) / max(len(some) - 1, 1) + chance if len(some) else np.zeros(1)
+                row.append(rows * (1 + ball(len(g), t)) + rows * float(np.minimum(others * rows / 2, most).mean()))
             cost.append(row)
         c, ts = allocate(cost, max_bits)
         if best is None or c < best[0]:
