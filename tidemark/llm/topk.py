@@ -121,7 +121,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         new = F.lit(True)
         for i, d in enumerate(apart):
             new = new & F.when(F.col("seg") > i, d > r).otherwise(d >= r)
-        met = (probes.join(index, ["seg", "value"]).filter(new)
+        # there are many more probes than the queries that Spark sizes them by
+        met = (probes.hint("merge").join(index.hint("merge"), ["seg", "value"]).filter(new)
                .select("q", F.explode("ids").alias("id"), F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("distance")))
         order = Window.partitionBy("q").orderBy("distance", "id")
         best = cut(best.unionByName(met).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
