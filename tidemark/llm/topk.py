@@ -4,14 +4,17 @@ A code's 64 bits are cut into ``m`` segments. Round ``r`` probes, for each
 query and segment, the index entries whose segment differs from the query's in
 exactly ``r`` bits, and verifies the full Hamming distance. After round ``r``
 every code within m * (r + 1) - 1 bits has been found, since a code farther
-than ``r`` in every segment differs in at least that many plus one. A query ends
-when its k-th verified distance is that small; the others go to the next round.
+than ``r`` in every segment differs in at least that many plus one; each
+segment of a round covers one more bit. So a query goes into the next round
+with only as many segments as its k-th verified distance, which can only get
+smaller, still needs, and ends when that distance is covered.
 
 Equal codes are one index entry with their ``k`` smallest ids (found over salted
 groups, so a code that a third of the rows share is no hot task), and equal
 queries are searched once. Each candidate is met once: in the first round and
-segment that reach it. Segments are about as wide as the logarithm of the
-number of codes, so a probe meets about one code on average.
+segment that reach it. Segments are about three quarters as wide as the
+logarithm of the number of codes: a probe then meets some codes, and fewer
+rounds, whose probes grow with the width to the power of the radius, are needed.
 
 Ties in distance are broken by the smaller id. Defined results: rows with a null
 code or id are neither found nor queries; repeated rows (same id and code) are
@@ -61,25 +64,25 @@ def sign_codes(embedding):
 
 def segments(codes: int) -> list[int]:
     """Masks of the segments for an index of so many codes."""
-    width = min(21, max(8, round(log2(max(codes, 2)))))
+    width = min(21, max(8, round(0.75 * log2(max(codes, 2)))))
     m = -(-64 // width)
     bounds = [64 * i // m for i in range(m + 1)]
     return [sum(1 << b for b in range(lo, hi)) for lo, hi in zip(bounds, bounds[1:])]
 
 
 def _probes(masks: list[int], r: int):
-    """Rows ``(q)`` -> ``(q, seg, value)``: each segment's value with exactly
-    ``r`` of its bits flipped."""
+    """Rows ``(q, need)`` -> ``(q, seg, value)``: the values of the first
+    ``need`` segments with exactly ``r`` of their bits flipped."""
 
     def probe(batches):
         flips = [np.array([sum(1 << b for b in c) for c in combinations([b for b in range(64) if x >> b & 1], r)], np.uint64)
                  for x in masks]
         for batch in batches:
-            every = batch.column(0).to_numpy().view(np.uint64)
+            every, need = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
             for lo in range(0, len(every), 256):
-                q = every[lo : lo + 256]
                 for i, (x, flip) in enumerate(zip(masks, flips)):
-                    if len(flip):
+                    q = every[lo : lo + 256][need[lo : lo + 256] > i]
+                    if len(flip) and len(q):
                         value = ((q & np.uint64(x))[:, None] ^ flip).ravel()
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.repeat(q, len(flip)).view(np.int64)), pa.array(np.full(len(value), i, np.int32)),
@@ -108,15 +111,16 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     index = cut(entries.select("code", "ids", F.explode(cuts).alias("s")).select("s.seg", "s.value", "code", "ids"), "mih-index")
     asked = cut(queries.filter("id IS NOT NULL AND code IS NOT NULL").select(F.col("id").alias("query_id"), F.col("code").alias("q")).distinct(),
                 "mih-queries")
-    active = asked.select("q").distinct() if enough else asked.select("q").limit(0)
+    active = asked.select("q").distinct().withColumn("need", F.lit(m))
+    if not enough:
+        active = active.limit(0)
     best = spark.createDataFrame([], f"q long, id {rows.schema['id'].dataType.simpleString()}, distance int")
     done = []
     widest = max(bin(x).count("1") for x in masks)
     for r in range(widest + 1):
-        active = cut(active, "mih-active")
         if not active.limit(1).count():
             break
-        probes = active.select("q").mapInArrow(_probes(masks, r), "q long, seg int, value long")
+        probes = active.select("q", "need").mapInArrow(_probes(masks, r), "q long, seg int, value long")
         apart = [F.bit_count(F.col("q").bitwiseXOR(F.col("code")).bitwiseAND(F.lit(_signed(x)))) for x in masks]
         new = F.lit(True)
         for i, d in enumerate(apart):
@@ -127,12 +131,15 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         order = Window.partitionBy("q").orderBy("distance", "id")
         best = cut(best.unionByName(met).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
                    .select("q", "id", "distance"), "mih-best")
-        covered = m * (r + 1) - 1
-        closed = best.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far")).filter(
-            (F.col("n") >= enough) & ((F.col("far") <= covered) | F.lit(r == widest)))
-        done.append(best.join(closed.select("q"), "q", "left_semi"))
-        active = active.join(closed.select("q"), "q", "left_anti")
-        best = best.join(closed.select("q"), "q", "left_anti")
+        # covered so far: all of round r - 1, and one more bit for each segment of this round
+        state = active.join(best.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far")), "q", "left")
+        state = cut(state.select("q", ((F.coalesce("n", F.lit(0)) >= enough) & (F.col("far") <= m * r - 1 + F.col("need"))
+                                       | F.lit(r == widest)).alias("closed"),
+                                 F.when(F.coalesce("n", F.lit(0)) >= enough, F.least(F.lit(m), F.col("far") - (m * (r + 1) - 1)))
+                                 .otherwise(F.lit(m)).alias("need")), "mih-state")
+        closed, active = state.filter("closed").select("q"), state.filter("NOT closed").select("q", "need")
+        done.append(best.join(closed, "q", "left_semi"))
+        best = best.join(active.select("q"), "q", "left_semi")
     found = done[0] if done else best
     for d in done[1:]:
         found = found.unionByName(d)
