@@ -71,22 +71,24 @@ def segments(codes: int) -> list[int]:
 
 
 def _probes(masks: list[int], r: int):
-    """Rows ``(q, need)`` -> ``(q, seg, value)``: the values of the first
-    ``need`` segments with exactly ``r`` of their bits flipped."""
+    """Rows ``(q, need, far)`` -> ``(q, far, seg, value)``: the values of the
+    first ``need`` segments with exactly ``r`` of their bits flipped."""
 
     def probe(batches):
         flips = [np.array([sum(1 << b for b in c) for c in combinations([b for b in range(64) if x >> b & 1], r)], np.uint64)
                  for x in masks]
         for batch in batches:
-            every, need = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            every, need, far = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for lo in range(0, len(every), 256):
                 for i, (x, flip) in enumerate(zip(masks, flips)):
-                    q = every[lo : lo + 256][need[lo : lo + 256] > i]
+                    use = need[lo : lo + 256] > i
+                    q, bound = every[lo : lo + 256][use], far[lo : lo + 256][use]
                     if len(flip) and len(q):
                         value = ((q & np.uint64(x))[:, None] ^ flip).ravel()
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.repeat(q, len(flip)).view(np.int64)), pa.array(np.full(len(value), i, np.int32)),
-                             pa.array(value.view(np.int64))], names=["q", "seg", "value"])
+                            [pa.array(np.repeat(q, len(flip)).view(np.int64)), pa.array(np.repeat(bound, len(flip)), pa.int32()),
+                             pa.array(np.full(len(value), i, np.int32)), pa.array(value.view(np.int64))],
+                            names=["q", "far", "seg", "value"])
 
     return probe
 
@@ -111,7 +113,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     index = cut(entries.select("code", "ids", F.explode(cuts).alias("s")).select("s.seg", "s.value", "code", "ids"), "mih-index")
     asked = cut(queries.filter("id IS NOT NULL AND code IS NOT NULL").select(F.col("id").alias("query_id"), F.col("code").alias("q")).distinct(),
                 "mih-queries")
-    active = asked.select("q").distinct().withColumn("need", F.lit(m))
+    active = asked.select("q").distinct().withColumn("need", F.lit(m)).withColumn("far", F.lit(64))
     if not enough:
         active = active.limit(0)
     best = spark.createDataFrame([], f"q long, id {rows.schema['id'].dataType.simpleString()}, distance int")
@@ -120,9 +122,10 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     for r in range(widest + 1):
         if not active.limit(1).count():
             break
-        probes = active.select("q", "need").mapInArrow(_probes(masks, r), "q long, seg int, value long")
+        probes = active.select("q", "need", "far").mapInArrow(_probes(masks, r), "q long, far int, seg int, value long")
         apart = [F.bit_count(F.col("q").bitwiseXOR(F.col("code")).bitwiseAND(F.lit(_signed(x)))) for x in masks]
-        new = F.lit(True)
+        # met for the first time, and no farther than the k-th so far
+        new = F.bit_count(F.col("q").bitwiseXOR(F.col("code"))) <= F.col("far")
         for i, d in enumerate(apart):
             new = new & F.when(F.col("seg") > i, d > r).otherwise(d >= r)
         # there are many more probes than the queries that Spark sizes them by
@@ -132,12 +135,13 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         best = cut(best.unionByName(met).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
                    .select("q", "id", "distance"), "mih-best")
         # covered so far: all of round r - 1, and one more bit for each segment of this round
-        state = active.join(best.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far")), "q", "left")
+        state = active.select("q", "need").join(best.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far")), "q", "left")
         state = cut(state.select("q", ((F.coalesce("n", F.lit(0)) >= enough) & (F.col("far") <= m * r - 1 + F.col("need"))
                                        | F.lit(r == widest)).alias("closed"),
                                  F.when(F.coalesce("n", F.lit(0)) >= enough, F.least(F.lit(m), F.col("far") - (m * (r + 1) - 1)))
-                                 .otherwise(F.lit(m)).alias("need")), "mih-state")
-        closed, active = state.filter("closed").select("q"), state.filter("NOT closed").select("q", "need")
+                                 .otherwise(F.lit(m)).alias("need"),
+                                 F.when(F.col("n") >= enough, F.col("far")).otherwise(F.lit(64)).alias("far")), "mih-state")
+        closed, active = state.filter("closed").select("q"), state.filter("NOT closed").select("q", "need", "far")
         done.append(best.join(closed, "q", "left_semi"))
         best = best.join(active.select("q"), "q", "left_semi")
     found = done[0] if done else best
