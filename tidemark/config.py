@@ -61,8 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system folder and
-    is used as is. Only when it is unset (local tests) a private folder is
-    created and registered.
+    is used as is. Only on a local master (tests) may it be unset: a private
+    folder is then created and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -73,6 +73,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

@@ -79,6 +79,8 @@ def new_rows(bronze: DataFrame, target: DataFrame | None, *, col: str = "ingeste
     The mark is ``MAX(col)`` of the target unless given: a pipeline that
     records the newest ingestion time it processed passes it as ``mark`` and
     never scans the target for it (and a delete-only batch advances it too).
+    A mark is a wall clock or, for a zoned column, epoch microseconds, which
+    mean the same in every session zone.
     Beside the timestamp predicate a date predicate on the partition column is
     added, so the scan prunes whole ``ingestion_date`` partitions.
     Returns ``(rows, mark)``.
@@ -90,11 +92,12 @@ def new_rows(bronze: DataFrame, target: DataFrame | None, *, col: str = "ingeste
     if mark is None:
         return bronze, None
     if lookback is not None:
-        mark = mark - lookback
-    m = ts_lit(mark, type_name(bronze, col))
+        mark = mark - (lookback // _dt.timedelta(microseconds=1) if isinstance(mark, int) else lookback)
+    m = F.timestamp_micros(F.lit(mark)) if isinstance(mark, int) else ts_lit(mark, type_name(bronze, col))
     cond = F.col(col) > m if strict else F.col(col) >= m
     if date_col and date_col in bronze.columns:
-        cond = (F.col(date_col) >= F.to_date(m)) & cond
+        # the partition may have been dated in another zone than this session's
+        cond = (F.col(date_col) >= F.date_sub(F.to_date(m), 2)) & cond
     return bronze.filter(cond), mark
 
 

@@ -327,6 +327,22 @@ def q_bronze_load(spark, sf):
     return _loaded(spark, f"{root}/bronze", schema)
 
 
+@query("bronze_mixed_load")
+def q_bronze_mixed_load(spark, sf):
+    """Appends and a file load on one bronze table: append up to cut 1, load
+    the rows up to cut 2 from files, append the rest; every row is read back."""
+    root = scratch_path(spark, "bronze_mixed")
+    schema = BRONZE_SCHEMAS["accounts"]
+    b = _as_bronze(fx.bronze_accounts(spark, sf), schema)
+    cut_1, cut_2 = ts_lit(fx.CUT_1, "timestamp"), ts_lit(fx.CUT_2, "timestamp")
+    at = F.col("ingested_at")
+    backfill_bronze(b.filter(at < cut_1), f"{root}/bronze")
+    b.filter((at >= cut_1) & (at < cut_2)).write.parquet(f"{root}/stage/wave")
+    load_new_files(spark, f"{root}/stage", schema, f"{root}/bronze", f"{root}/ckpt", recursive=True)
+    backfill_bronze(b.filter(at >= cut_2), f"{root}/bronze")
+    return _loaded(spark, f"{root}/bronze", schema)
+
+
 @query("load_by_name")
 def q_load_by_name(spark, sf):
     """Staged files with upper-case names, a missing column, an extra column

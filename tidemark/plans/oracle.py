@@ -38,8 +38,7 @@ BRONZE_CUSTOMERS = f"""
          'cust-' || CAST(user_id % 50 AS VARCHAR) AS full_name,
          'u' || CAST(user_id AS VARCHAR) || '@mail.test' AS email,
          CASE WHEN event_type = 'click' THEN NULL ELSE '+44-' || CAST(user_id AS VARCHAR) END AS phone,
-         CASE WHEN user_id % 5 = 0 THEN 'British' WHEN user_id % 5 = 1 THEN 'Nigerian'
-              WHEN user_id % 5 = 2 THEN 'Indian' WHEN user_id % 5 = 3 THEN 'Polish' ELSE 'Ghanaian' END AS nationality,
+         'nation-' || CAST(user_id % 25 AS VARCHAR) AS nationality,
          {ms('ts')} - 2592000000 AS created_at,
          {ms('ts')} AS updated_at,
          {OP_OF_EVENT} AS cdc_op,
@@ -396,6 +395,7 @@ SELECT 'banking.banking.accounts', source_offset * 2 + 1, ingested_at, true FROM
 
 BRONZE_FIELDS = ACC_FIELDS + ", cdc_op, ingested_at, ingestion_date, source_ts_ms, source_partition, source_offset"
 register("bronze_load", f"SELECT {BRONZE_FIELDS} FROM ({BRONZE_ACCOUNTS}) b")
+register("bronze_mixed_load", f"SELECT {BRONZE_FIELDS} FROM ({BRONZE_ACCOUNTS}) b")
 register("load_by_name", f"SELECT {BRONZE_FIELDS.replace('currency', 'CAST(NULL AS VARCHAR) AS currency')} FROM ({BRONZE_ACCOUNTS}) b")
 register("gold_append_twice", f"{SQL['dim_banks']} UNION ALL {SQL['dim_banks']}")
 

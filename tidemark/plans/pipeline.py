@@ -16,7 +16,7 @@ from ..config import ACCOUNT_TYPES, CHANNELS, DIRECTIONS, STATUSES, TABLES, TRAN
 from ..operators.quality import (violations_balance, violations_domain, violations_fk,
                                  violations_fx, violations_overlap, violations_unique)
 from ..operators.scd2 import first_snapshot, snapshot_check_open, snapshot_timestamp_open
-from ..functions.time import max_ts, ts_lit
+from ..functions.time import max_ts, ts_lit, type_name
 from ..operators.latest import AUTO, drop_deleted, new_rows
 from ..sources.tables import (HistoryTable, VersionedTable, ensure_bronze, path_exists, publish, read_bronze,
                               read_text, upsert_partitions, write_text)
@@ -42,6 +42,7 @@ class PipelineConfig:
     run_at: _dt.datetime | None = None       # run time (check strategy, hard deletes)
     apply_deletes: bool = True               # False: original merge, deletes survive until a full refresh
     strict_mark: bool = False                # True: original "> mark"
+    lookback: _dt.timedelta | None = None    # re-read this far below the mark (files loaded late)
     snapshot_strategy: str = "timestamp"     # or "check"
     snapshot_ops: tuple[str, ...] | None = None   # e.g. ("u", "c")
     gold_mode: str = "overwrite"             # "append" reproduces key-less incremental gold
@@ -82,14 +83,23 @@ def read_mark(spark: SparkSession, cfg: PipelineConfig, table: str):
     p = _mark_file(cfg, table)
     if not path_exists(spark, p):
         return AUTO
-    value = json.loads(read_text(spark, p))["mark"]
-    return _dt.datetime.fromisoformat(value) if value else AUTO
+    text = read_text(spark, p)
+    recorded = json.loads(text) if text.strip() else {}
+    if "micros" in recorded:
+        return int(recorded["micros"])
+    return _dt.datetime.fromisoformat(recorded["mark"]) if recorded.get("mark") else AUTO
 
 
 def _record_mark(spark: SparkSession, cfg: PipelineConfig, table: str, bronze: DataFrame, mark) -> None:
     """After a committed run: the newest ingestion time among the rows it read
     (one column of the partition-pruned slice)."""
     slice_, _ = new_rows(bronze, None if mark is AUTO else bronze, mark=mark)
+    if type_name(slice_, "ingested_at") == "timestamp":
+        # epoch microseconds: the same instant whatever zone the next run's session has
+        micros = slice_.agg(F.unix_micros(F.max("ingested_at"))).first()[0]
+        if micros is not None:
+            write_text(spark, _mark_file(cfg, table), json.dumps({"micros": micros}))
+        return
     newest = max_ts(slice_, "ingested_at")
     if newest is not None:
         write_text(spark, _mark_file(cfg, table), json.dumps({"mark": newest.isoformat()}))
@@ -113,7 +123,7 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
             vt = VersionedTable(spark, cfg.path("silver", table))
             target = vt.read()
             new = build_silver(table, bronze, target, apply_deletes=cfg.apply_deletes,
-                               strict_mark=cfg.strict_mark, mark=mark)
+                               strict_mark=cfg.strict_mark, lookback=cfg.lookback, mark=mark)
             out[table] = vt.write(new)
         _record_mark(spark, cfg, table, bronze, mark)
     return out
@@ -124,7 +134,7 @@ def _run_partitioned_silver(spark: SparkSession, cfg: PipelineConfig, table: str
     path = cfg.path("silver", table)
     exists = path_exists(spark, f"{path}/_SUCCESS")
     target = spark.read.parquet(path) if exists else None
-    changes = silver_changes(table, bronze, target, strict_mark=cfg.strict_mark, mark=mark).withColumn(
+    changes = silver_changes(table, bronze, target, strict_mark=cfg.strict_mark, lookback=cfg.lookback, mark=mark).withColumn(
         SILVER_PART, F.expr(cfg.silver_partitions[table]))
     if target is None:
         drop_deleted(changes).write.mode("overwrite").partitionBy(SILVER_PART).parquet(path)

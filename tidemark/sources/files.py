@@ -2,46 +2,87 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .tables import append_bronze, path_exists
+
+
+#: Staged files are loaded however old they are when they are first seen.
+MAX_FILE_AGE = "36500d"
+
 
 def load_new_files(spark: SparkSession, source_dir: str, schema: StructType, target: str,
                    checkpoint: str, *, glob: str = "*.parquet", ignore_corrupt: bool = True,
-                   partition_by: str | None = "ingestion_date", max_files_per_trigger: int | None = None,
+                   table: str | None = None, max_files_per_trigger: int = 1000,
                    recursive: bool = False) -> int:
-    """Load every parquet file of ``source_dir`` into ``target`` exactly once.
+    """Load every parquet file of ``source_dir`` into the bronze table ``target``
+    once.
 
     A file-source stream run with ``availableNow``: the checkpoint remembers
-    which files were read, so a second run loads only files added since; the
-    source files are left in place. Columns are matched by name against the
-    declared ``schema`` (case-insensitively, with the default
+    which files were read, so a second run loads only files added since,
+    however old their modification time; the source files are left in place.
+    Each micro-batch is appended like an ingested one (:func:`append_bronze`,
+    to the catalog table ``table`` if given), so rows written by other means
+    stay readable beside it. Columns are matched by name against the declared
+    ``schema`` (case-insensitively, with the default
     ``spark.sql.caseSensitive=false``); a missing column reads as NULL and an
-    extra one is ignored. Unreadable files are skipped (``ignore_corrupt``).
-    ``recursive`` also reads files in sub-folders (staging areas with one
-    folder per upload); partition columns are then not discovered.
+    extra one is ignored. Unreadable files are skipped (``ignore_corrupt``) and
+    listed by :func:`skipped_files`. ``recursive`` also reads files in
+    sub-folders; partition columns are then not discovered.
+
+    The names of the files that gave rows go to ``<checkpoint>_files``, one
+    folder per batch; a batch that finds its folder there was appended before
+    and is not appended again. A failure between the two writes repeats that
+    batch, which the latest-per-key logic downstream absorbs.
     Returns the number of rows loaded by this run.
     """
-    reader = (spark.readStream.schema(schema)
+    stream = (spark.readStream.schema(schema)
               .option("pathGlobFilter", glob)
-              .option("ignoreCorruptFiles", str(ignore_corrupt).lower()))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    stream = reader.parquet(source_dir)
-    writer = (stream.writeStream.format("parquet")
-              .option("checkpointLocation", checkpoint)
-              .option("path", target)
-              .trigger(availableNow=True))
-    if partition_by and partition_by in schema.fieldNames():
-        writer = writer.partitionBy(partition_by)
-    q = writer.start()
+              .option("ignoreCorruptFiles", str(ignore_corrupt).lower())
+              .option("maxFileAge", MAX_FILE_AGE)
+              .option("maxFilesPerTrigger", str(max_files_per_trigger))
+              .option("recursiveFileLookup", str(recursive).lower())
+              .parquet(source_dir)
+              .withColumn("__file", F.col("_metadata.file_path")))
+    loaded = 0
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        nonlocal loaded
+        done = f"{_files(checkpoint)}/batch={batch_id}"
+        if path_exists(spark, f"{done}/_SUCCESS"):
+            return
+        seen = Observation(f"load_{batch_id}")
+        # at most the files of one batch are named
+        rows = batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("__file").alias("files"))
+        append_bronze(rows.drop("__file"), target, table)
+        loaded += seen.get["rows"]
+        names = spark.createDataFrame([(f,) for f in seen.get["files"]], "file string")
+        names.coalesce(1).write.mode("overwrite").parquet(done)
+
+    q = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
+    return loaded
+
+
+def _files(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}_files"
+
+
+def skipped_files(spark: SparkSession, source_dir: str, checkpoint: str, *, glob: str = "*.parquet",
+                  recursive: bool = False) -> DataFrame:
+    """``(file)``: staged files that have given no rows: unreadable, empty, or
+    not loaded yet."""
+    staged = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+              .option("recursiveFileLookup", str(recursive).lower()).load(source_dir).select(F.col("path").alias("file")))
+    if not path_exists(spark, _files(checkpoint)):
+        return staged
+    loaded = spark.read.schema("file string").parquet(_files(checkpoint)).select("file")
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")  # noqa: E731  both spellings of a local path
+    return staged.join(loaded.select(plain(F.col("file")).alias("__f")), plain(F.col("file")) == F.col("__f"), "left_anti")
 
 
 def write_dead_letter(messages: DataFrame, path: str, error: str, *,
@@ -51,7 +92,7 @@ def write_dead_letter(messages: DataFrame, path: str, error: str, *,
     dead = messages.select(
         F.col("topic"), F.col("value"), F.col("offset"), F.col("timestamp"),
         F.current_timestamp().alias("failed_at"),
-        F.lit(error[:4000]).alias("error_message"))
+        F.lit(error).alias("error_message"))
     if kafka_servers:
         (dead.select(F.to_json(F.struct(*[F.col(c) for c in dead.columns])).alias("value"))
              .write.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
