@@ -127,6 +127,13 @@ def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[s
     else:
         u = u.withColumn(_S, F.lit(0).cast("long")).withColumn(_SALT, F.lit(0))
 
+    # left rows without a key match nothing: each goes to a group of few by a
+    # hash of the row, so that they don't all meet in the group of NULL
+    lost = F.lit(False)
+    for k in kn:
+        lost = lost | F.col(k).isNull()
+    u = u.withColumn(_S, F.when((F.col(_KIND) == 1) & lost, F.pmod(F.xxhash64(F.col(_L)), F.lit(1 << 20))).otherwise(F.col(_S)))
+
     vt_end = ts_to_us(F.col(f"{_V}.{valid_to}"), end_ntz)
     w = (Window.partitionBy(*kn, _S, _SALT)
                .orderBy(F.col(_T).asc_nulls_first(), F.col(_KIND), vt_end.asc_nulls_last())
