@@ -131,17 +131,20 @@ def transactions_reporting(transactions: DataFrame, accounts_history: DataFrame,
                            max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP) -> DataFrame:
     """As the fact, with other names, plus the debit-leg join. No debit column
     is shown, but the join stays: it multiplies rows when a transaction has
-    several debit legs, and the row count is part of the result."""
+    several debit legs, and the row count is part of the result. Only counts of
+    debit legs are joined: one row per transaction, and each result row is
+    repeated that often."""
     tac = transactions_as_of(transactions, accounts_history, customers_history, max_rows_per_group)
     return reporting_from_as_of(tac, legs, max_rows_per_group)
 
 
 def reporting_from_as_of(tac: DataFrame, legs: DataFrame,
                          max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP) -> DataFrame:
-    dl = debit_legs(legs).select("transaction_id")
+    debits = debit_legs(legs).groupBy("transaction_id").agg(F.count(F.lit(1)).cast("int").alias("__debits"))
     limit = _fanout_limit(max_rows_per_group)
-    j = left_join_fanout(left_join_fanout(tac, dl, ["transaction_id"], limit),
-                         credit_legs(legs), ["transaction_id"], limit)
+    times = F.sequence(F.lit(1), F.coalesce("__debits", F.lit(1)))
+    j = left_join_fanout(tac.join(debits, "transaction_id", "left"), credit_legs(legs), ["transaction_id"], limit)
+    j = j.withColumn("__n", F.explode(times))
     return j.select(
         *TXN_COLS,
         F.col("a.account_id").alias("account_id"),

@@ -50,15 +50,14 @@ def append_bronze(df: DataFrame, path: str, table: str | None = None) -> None:
     df.write.mode("append").partitionBy(PARTITION_COL).parquet(path)
 
 
-def backfill_bronze(df: DataFrame, path: str, partitions: int | None = None) -> None:
+def backfill_bronze(df: DataFrame, path: str) -> None:
     """Append a historical change log that spans many ingestion dates.
 
-    Rows are range-partitioned by date first, so each task writes a
-    contiguous run of whole dates (about one file per date) instead of every
-    task opening a file in every date it happens to hold. Streaming batches do
-    not need this: all rows of one batch share one ingestion date."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, PARTITION_COL)
+    Rows are rebalanced by date first: a task writes few dates instead of a
+    file in every date it happens to hold, and adaptive execution splits a date
+    too large for one task over several. Streaming batches do not need this:
+    all rows of one batch share one ingestion date."""
+    (df.hint("rebalance", PARTITION_COL)
        .write.mode("append").partitionBy(PARTITION_COL).parquet(path))
 
 
