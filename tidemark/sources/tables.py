@@ -50,14 +50,15 @@ def append_bronze(df: DataFrame, path: str, table: str | None = None) -> None:
     df.write.mode("append").partitionBy(PARTITION_COL).parquet(path)
 
 
-def backfill_bronze(df: DataFrame, path: str) -> None:
+def backfill_bronze(df: DataFrame, path: str, partitions: int | None = None) -> None:
     """Append a historical change log that spans many ingestion dates.
 
     Rows are rebalanced by date first: a task writes few dates instead of a
     file in every date it happens to hold, and adaptive execution splits a date
     too large for one task over several. Streaming batches do not need this:
-    all rows of one batch share one ingestion date."""
-    (df.hint("rebalance", PARTITION_COL)
+    all rows of one batch share one ingestion date. ``partitions``: how many
+    partitions to start from."""
+    (df.hint("rebalance", *([partitions] if partitions else []), PARTITION_COL)
        .write.mode("append").partitionBy(PARTITION_COL).parquet(path))
 
 
