@@ -17,8 +17,9 @@ the left rows of a hot key are further spread over a few hash buckets, with
 the slice's versions copied into each: that absorbs bursts, and a key whose
 rows share one timestamp (which time cannot split) gets one bucket per
 ``max_rows_per_group`` rows. The table of hot
-keys is at most ``total_rows / max_rows_per_group`` rows, and it is broadcast
-only after its size has been checked.
+keys holds at most ``total_rows / max_rows_per_group`` rows and is broadcast on
+that bound alone; its size is not checked at run time. Left rows without a key
+match nothing and are spread over groups by a hash.
 
 Precondition: the versions of one key do not overlap (SCD2 histories built by
 :mod:`tidemark.operators.scd2` satisfy it). Then the result equals the SQL
