@@ -12,14 +12,15 @@ A key that holds a large share of all rows would put all of them in one task,
 so keys with more than ``max_rows_per_group`` rows are split into time slices
 of about that many rows each. Each slice starts with a *carry* row that holds
 the version valid at the slice start; the carry rows come from a per-slice
-aggregate and a window over the slices of one key, both small. Within a slice
-the left rows of a hot key are further spread over a few hash buckets, with
-the slice's versions copied into each: that absorbs bursts, and a key whose
-rows share one timestamp (which time cannot split) gets one bucket per
-``max_rows_per_group`` rows. The table of hot
-keys holds at most ``total_rows / max_rows_per_group`` rows and is broadcast on
-that bound alone; its size is not checked at run time. Left rows without a key
-match nothing and are spread over groups by a hash.
+aggregate and a window over the slices of one key, both small. A slice that
+still holds more than ``max_rows_per_group`` left rows (a burst, or rows that
+share one timestamp, which time cannot split) spreads them over one hash bucket
+per that many counted rows, with the slice's versions copied into each. The
+tables of hot keys and of full slices are written to the shared scratch folder
+when the join is built, and broadcast only up to a counted size (see
+:mod:`tidemark.operators.skew`); without hot keys the plan is the plain scan.
+Left rows without a key or a time match nothing and are spread over groups by
+a hash.
 
 Precondition: the versions of one key do not overlap (SCD2 histories built by
 :mod:`tidemark.operators.scd2` satisfy it). Then the result equals the SQL
@@ -35,9 +36,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_us, is_ntz, ts_to_us
+from .skew import settle, small
 
 DEFAULT_MAX_ROWS_PER_GROUP = 2_000_000
-BURST_SALTS = 4
 
 _T, _KIND, _L, _V, _S, _HOT, _SALT = "__t", "__kind", "__left", "__ver", "__slice", "__hot", "__salt"
 
@@ -59,19 +60,13 @@ def hot_key_slices(stats: DataFrame, keys: Sequence[str], max_rows: int) -> Data
     floor((t - lo) / width), ``n`` slices of about ``max_rows`` rows each when
     the key's rows are spread evenly in time.
 
-    Lazy: it becomes a broadcast stage of the query that uses it, no separate
-    job. Its size is bounded by construction: at most ``total_rows /
-    max_rows`` keys (500 keys per billion rows at the default), each a few
-    dozen bytes."""
-    hot_stats = stats.filter(F.col("__cnt") > F.lit(max_rows))
+    At most ``total_rows / max_rows`` keys (500 keys per billion rows at the
+    default), each a few dozen bytes. Rows without a key are never hot."""
+    hot_stats = stats.filter(F.col("__cnt") > F.lit(max_rows)).dropna(subset=list(keys))
     n = F.ceil(F.col("__cnt") / F.lit(max_rows)).cast("long")
     span = F.col("__hi") - F.col("__lo") + F.lit(1)
     width = F.greatest(F.ceil(span / n), F.lit(1)).cast("long")
-    # salt buckets per slice: a key whose rows cannot be spread in time (its
-    # span is shorter than its slice count, e.g. one shared timestamp) gets one
-    # bucket per max_rows rows; others a fixed headroom for bursts
-    m = F.when(span < n, n).otherwise(F.least(n, F.lit(BURST_SALTS))).cast("int")
-    return hot_stats.select(*keys, F.col("__lo"), width.alias("__width"), n.alias("__n"), m.alias("__nsalt"))
+    return hot_stats.select(*keys, F.col("__lo"), width.alias("__width"), n.alias("__n"))
 
 
 def _slice_of(t_col, hot_prefix: str = "") -> F.Column:
@@ -119,18 +114,22 @@ def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[s
             st = key_stats(u, kn, F.col(_T))
         else:
             st = stats.select(*[F.col(a).alias(b) for a, b in zip(rk, kn)], "__cnt", "__lo", "__hi")
-        hot = hot_key_slices(st, kn, max_rows_per_group)
-        u = u.join(F.broadcast(hot), on=kn, how="left").select(
-            *kn, _T, _KIND, _L, _V, _slice_of(F.col(_T)).alias(_S), F.col("__lo").isNotNull().alias(_HOT),
-            F.coalesce(F.col("__nsalt"), F.lit(1)).alias("__nsalt"))
+        hot, n_hot = settle(hot_key_slices(st, kn, max_rows_per_group), "asof-hot-keys")
+    else:
+        n_hot = 0
+    if n_hot:
+        u = u.join(small(hot, n_hot), on=kn, how="left").select(
+            *kn, _T, _KIND, _L, _V, _slice_of(F.col(_T)).alias(_S), F.col("__lo").isNotNull().alias(_HOT))
+        full, n_full = settle(_full_slices(u, kn, max_rows_per_group), "asof-full-slices")
         carry = _carry_rows(u, hot, kn, valid_to, end_ntz)
-        u = _salt(u.drop(_HOT).unionByName(carry, allowMissingColumns=True))
+        u = u.drop(_HOT).unionByName(carry, allowMissingColumns=True)
+        u = _salt(u, full, n_full, kn) if n_full else u.withColumn(_SALT, F.lit(0))
     else:
         u = u.withColumn(_S, F.lit(0).cast("long")).withColumn(_SALT, F.lit(0))
 
-    # left rows without a key match nothing: each goes to a group of few by a
-    # hash of the row, so that they don't all meet in the group of NULL
-    lost = F.lit(False)
+    # left rows without a key or a time match nothing: each goes to a group of
+    # few by a hash of the row, so that they don't all meet in one group
+    lost = F.col(_T).isNull()
     for k in kn:
         lost = lost | F.col(k).isNull()
     u = u.withColumn(_S, F.when((F.col(_KIND) == 1) & lost, F.pmod(F.xxhash64(F.col(_L)), F.lit(1 << 20))).otherwise(F.col(_S)))
@@ -161,21 +160,30 @@ def _carry_rows(u: DataFrame, hot: DataFrame, kn: list[str], valid_to: str, end_
     per_slice = (u.filter((F.col(_KIND) == 0) & F.col(_HOT))
                   .groupBy(*kn, _S)
                   .agg(F.max_by(F.col(_V), F.struct(F.col(_T), end)).alias("__last")))
-    grid = hot.select(*kn, "__nsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias(_S))
+    grid = hot.select(*kn, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias(_S))
     w = Window.partitionBy(*kn).orderBy(_S).rowsBetween(Window.unboundedPreceding, -1)
     carried = (grid.join(per_slice, on=kn + [_S], how="left")
-                   .select(*kn, _S, "__nsalt", F.last("__last", ignorenulls=True).over(w).alias(_V)))
+                   .select(*kn, _S, F.last("__last", ignorenulls=True).over(w).alias(_V)))
     return carried.filter(F.col(_V).isNotNull()).select(
-        *kn, F.lit(None).cast("long").alias(_T), F.lit(-1).alias(_KIND), _V, _S, "__nsalt")
+        *kn, F.lit(None).cast("long").alias(_T), F.lit(-1).alias(_KIND), _V, _S)
+
+
+def _full_slices(u: DataFrame, kn: list[str], max_rows: int) -> DataFrame:
+    """Slices of hot keys with more than ``max_rows`` left rows, and the buckets
+    that many rows need: ``(keys..., __slice, __nsalt)``."""
+    return (u.filter(F.col(_HOT) & (F.col(_KIND) == 1)).groupBy(*kn, _S).agg(F.count(F.lit(1)).alias("__cnt"))
+             .filter(F.col("__cnt") > F.lit(max_rows))
+             .select(*kn, _S, F.ceil(F.col("__cnt") / F.lit(max_rows)).cast("int").alias("__nsalt")))
 
 
-def _salt(u: DataFrame) -> DataFrame:
-    """Spread the left rows of a hot key's slices over ``__nsalt`` buckets by a
-    hash of the row (deterministic, so a re-run task buckets alike) and copy
-    the slice's versions and carry row into every bucket: each left row is in
+def _salt(u: DataFrame, full: DataFrame, n_full: int, kn: list[str]) -> DataFrame:
+    """Spread the left rows of full slices over ``__nsalt`` buckets by a hash of
+    the row (deterministic, so a re-run task buckets alike) and copy the
+    slice's versions and carry row into every bucket: each left row is in
     exactly one group, together with every version it can match. Versions of
-    hot keys are copied ``__nsalt`` times; left rows are not copied."""
-    m = F.col("__nsalt")
+    full slices are copied ``__nsalt`` times; left rows are not copied."""
+    u = u.join(small(full, n_full), on=kn + [_S], how="left")
+    m = F.coalesce(F.col("__nsalt"), F.lit(1))
     left_bucket = F.pmod(F.xxhash64(F.col(_L)), m.cast("long")).cast("int")
     bucket = F.when(F.col(_KIND) == 1, F.array(left_bucket)).otherwise(F.sequence(F.lit(0), m - 1))
     return u.select(*[c for c in u.columns if c != "__nsalt"], F.explode(bucket).alias(_SALT))

@@ -44,6 +44,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: OrderSpec = LAT
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
+def drop_replays(df: DataFrame, partition: str = "source_partition", offset: str = "source_offset") -> DataFrame:
+    """One row for each source position: a batch delivered twice counts once.
+    Rows without a position (backfills) stay as they are."""
+    placed = F.col(partition).isNotNull() & F.col(offset).isNotNull()
+    return df.filter(placed).dropDuplicates([partition, offset]).unionByName(df.filter(~placed))
+
+
 def drop_deleted(df: DataFrame, op_col: str = "cdc_op") -> DataFrame:
     """Keep rows whose op is not a delete. Three-valued on purpose: a NULL op
     (tombstone, malformed record) is dropped too."""

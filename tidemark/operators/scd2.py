@@ -192,6 +192,7 @@ def history_from_changes(changes: DataFrame, keys: Sequence[str], updated_at: st
     change of a slice ends where the key's next non-empty slice starts (a
     per-slice minimum and a window over the slices of one key, both small)."""
     from .asof import _slice_of, hot_key_slices, key_stats
+    from .skew import settle, small
 
     at = F.col(updated_at)
     order = [at] + [F.col(c) for c in tiebreak]
@@ -200,18 +201,20 @@ def history_from_changes(changes: DataFrame, keys: Sequence[str], updated_at: st
         _scd_id(keys, at).alias("scd_id"),
         at.alias("scd_updated_at"),
         at.alias("valid_from"))
-    if not max_rows_per_group:
+    t_us = epoch_us(changes, updated_at)
+    n_hot = 0
+    if max_rows_per_group:
+        hot, n_hot = settle(hot_key_slices(key_stats(changes, keys, t_us), keys, max_rows_per_group), "history-hot-keys")
+    if not n_hot:
         w = Window.partitionBy(*keys).orderBy(*order)
         return base.withColumn("valid_to", F.lead(at).over(w))
-    t_us = epoch_us(changes, updated_at)
-    hot = hot_key_slices(key_stats(changes, keys, t_us), keys, max_rows_per_group)
-    sliced = base.join(F.broadcast(hot), on=list(keys), how="left").select(
+    sliced = base.join(small(hot, n_hot), on=list(keys), how="left").select(
         *base.columns, _slice_of(t_us).alias("__slice"), F.col("__lo").isNotNull().alias("__hot"))
     # where each slice of a hot key ends: the start of the key's next non-empty slice
     starts = (sliced.filter("__hot").groupBy(*keys, "__slice").agg(F.min(updated_at).alias("__start")))
     ws = Window.partitionBy(*keys).orderBy("__slice")
-    ends = starts.select(*keys, "__slice", F.lead("__start").over(ws).alias("__next"))
+    ends, n_ends = settle(starts.select(*keys, "__slice", F.lead("__start").over(ws).alias("__next")), "history-slice-ends")
     w = Window.partitionBy(*keys, "__slice").orderBy(*order)
     with_lead = sliced.withColumn("__lead", F.lead(at).over(w))
-    joined = with_lead.join(F.broadcast(ends), on=list(keys) + ["__slice"], how="left")
+    joined = with_lead.join(small(ends, n_ends), on=list(keys) + ["__slice"], how="left")
     return joined.select(*base.columns, F.coalesce("__lead", "__next").alias("valid_to"))

@@ -13,7 +13,7 @@ from ..config import CHANNELS, scratch_path, topic_of
 from ..functions.cdc import for_topic, parse_changes, split_corrupt, table_of, unwrap_envelope
 from ..functions.time import ms_to_ts, ts_lit, ts_to_ms
 from ..operators.asof import as_of_join
-from ..operators.latest import latest_per_key, live_rows
+from ..operators.latest import drop_replays, latest_per_key, live_rows
 from ..operators.quality import (violations_balance, violations_domain, violations_fk, violations_fx,
                                  violations_overlap, violations_unique)
 from ..operators.scd2 import snapshot_check, snapshot_timestamp
@@ -24,7 +24,7 @@ from ..streaming.ingest import ingest_batch
 from . import fixtures as fx
 from .gold import (credit_legs, debit_legs, dim_accounts, dim_banks, dim_customers, fct_transactions,
                    transactions_as_of, transactions_reporting)
-from .pipeline import PipelineConfig, run_pipeline
+from .pipeline import PipelineConfig, check_counts, read_gold, run_pipeline
 from .silver import (build_silver, silver_accounts, silver_customers, silver_transaction_legs,
                      silver_transactions)
 
@@ -307,7 +307,29 @@ def q_replay_dedup(spark, sf):
     for i in range(2):
         ingest_batch(msgs, i, bronze_root=f"{root}/bronze", dead_letter_root=f"{root}/dead", at=fx.CUT_1)
     b = read_bronze(spark, "accounts", f"{root}/bronze/accounts")
-    return b.dropDuplicates(["source_partition", "source_offset"]).drop("ingested_at", "ingestion_date")
+    return drop_replays(b).drop("ingested_at", "ingestion_date")
+
+
+@query("ingest_quarantine")
+def q_ingest_quarantine(spark, sf):
+    """Malformed and mistyped messages go to the quarantine, the rest of the
+    slice to bronze."""
+    root = scratch_path(spark, "quarantine")
+    ingest_batch(fx.change_messages(spark, sf, corrupt=True), 0, bronze_root=f"{root}/bronze",
+                 dead_letter_root=f"{root}/dead", quarantine_root=f"{root}/bad", at=fx.CUT_1)
+    good = read_bronze(spark, "accounts", f"{root}/bronze/accounts").select(
+        F.lit("bronze").alias("place"), "source_partition", "source_offset", "account_id", "cdc_op")
+    bad = spark.read.parquet(f"{root}/bad/accounts").select(F.lit("quarantine").alias("place"), "source_partition", "source_offset")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+@query("ingest_envelope")
+def q_ingest_envelope(spark, sf):
+    """Unflattened change events through the same ingest."""
+    root = scratch_path(spark, "envelope")
+    ingest_batch(fx.change_messages(spark, sf, envelope=True), 0, bronze_root=f"{root}/bronze",
+                 dead_letter_root=f"{root}/dead", envelope=True, at=fx.CUT_1)
+    return read_bronze(spark, "accounts", f"{root}/bronze/accounts").drop("ingested_at", "ingestion_date")
 
 
 @query("bronze_load")
@@ -428,20 +450,38 @@ def q_chk_fx(spark, sf):
 
 @query("pipeline_run")
 def q_pipeline_run(spark, sf):
-    """Fixture change logs written as the five bronze tables, then one
-    pipeline run (silver, snapshots, gold, checks); returns the gold fact."""
+    """Fixture change logs staged as files of the five tables, then one
+    pipeline run (load, silver, snapshots, gold, checks); returns the gold fact."""
+    cfg, result = _staged_run(spark, sf)
+    return spark.read.parquet(result["gold"]["fct_transactions"])
+
+
+@query("pipeline_reporting")
+def q_pipeline_reporting(spark, sf):
+    """The reporting model of the same run."""
+    cfg, _ = _staged_run(spark, sf)
+    return read_gold(spark, cfg, "gold_transactions_reporting")
+
+
+@query("pipeline_checks")
+def q_pipeline_checks(spark, sf):
+    """Violations of every constraint after the same run."""
+    cfg, _ = _staged_run(spark, sf)
+    return check_counts(spark, cfg)
+
+
+def _staged_run(spark, sf):
     root = scratch_path(spark, "pipeline")
     logs = {"accounts": fx.bronze_accounts(spark, sf), "customers": fx.bronze_customers(spark, sf),
             "transactions": fx.bronze_transactions(spark, sf),
             "transaction_legs": fx.bronze_transaction_legs(spark, sf), "banks": fx.bronze_banks(spark, sf)}
     for table, df in logs.items():
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_SCHEMAS[table].fields])
-        backfill_bronze(rows, f"{root}/bronze/{table}")
+        rows.write.parquet(f"{root}/staged/{table}")
     # transactions use the partitioned silver layout (ids grow with time), the rest versioned tables
-    cfg = PipelineConfig(root=root, run_at=fx.CHECK_RUN_2,
+    cfg = PipelineConfig(root=root, staged=f"{root}/staged", run_at=fx.CHECK_RUN_2,
                          silver_partitions={"transactions": "floor(transaction_id / 10000)"})
-    result = run_pipeline(spark, cfg)
-    return spark.read.parquet(result["gold"]["fct_transactions"])
+    return cfg, run_pipeline(spark, cfg)
 
 
 @query("chk_overlap")

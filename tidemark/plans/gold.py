@@ -41,8 +41,12 @@ def dim_banks(bronze_banks: DataFrame, order_by=LATEST_ORDER) -> DataFrame:
 
 
 def credit_legs(legs: DataFrame) -> DataFrame:
+    return _credit_legs(legs).drop("leg_id")
+
+
+def _credit_legs(legs: DataFrame) -> DataFrame:
     return legs.filter(F.col("direction") == "credit").select(
-        "transaction_id", "external_account_reference", "external_account_name",
+        "leg_id", "transaction_id", "external_account_reference", "external_account_name",
         F.col("bank_id").alias("receiver_bank_id"))
 
 
@@ -109,7 +113,7 @@ def fct_from_as_of(tac: DataFrame, legs: DataFrame,
                    max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP) -> DataFrame:
     """The fact from :func:`transactions_as_of` output (which a pipeline run
     writes once and shares with the reporting model)."""
-    j = left_join_fanout(tac, credit_legs(legs), ["transaction_id"], _fanout_limit(max_rows_per_group))
+    j = left_join_fanout(tac, _credit_legs(legs), ["transaction_id"], _fanout_limit(max_rows_per_group), ["leg_id"])
     return j.select(
         *TXN_COLS,
         F.col("a.account_id").alias("account_id"),
@@ -143,7 +147,7 @@ def reporting_from_as_of(tac: DataFrame, legs: DataFrame,
     debits = debit_legs(legs).groupBy("transaction_id").agg(F.count(F.lit(1)).cast("int").alias("__debits"))
     limit = _fanout_limit(max_rows_per_group)
     times = F.sequence(F.lit(1), F.coalesce("__debits", F.lit(1)))
-    j = left_join_fanout(tac.join(debits, "transaction_id", "left"), credit_legs(legs), ["transaction_id"], limit)
+    j = left_join_fanout(tac.join(debits, "transaction_id", "left"), _credit_legs(legs), ["transaction_id"], limit, ["leg_id"])
     j = j.withColumn("__n", F.explode(times))
     return j.select(
         *TXN_COLS,

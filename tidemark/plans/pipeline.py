@@ -7,17 +7,20 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ACCOUNT_TYPES, CHANNELS, DIRECTIONS, STATUSES, TABLES, TRANSACTION_TYPES
+from ..config import ACCOUNT_STATUSES, ACCOUNT_TYPES, CHANNELS, DIRECTIONS, STATUSES, TABLES, TRANSACTION_TYPES
 from ..operators.quality import (violations_balance, violations_domain, violations_fk,
                                  violations_fx, violations_overlap, violations_unique)
 from ..operators.scd2 import first_snapshot, snapshot_check_open, snapshot_timestamp_open
 from ..functions.time import max_ts, ts_lit, type_name
 from ..operators.latest import AUTO, drop_deleted, new_rows
+from ..schemas import BRONZE_SCHEMAS
+from ..sources.files import load_new_files, skipped_files
 from ..sources.tables import (HistoryTable, VersionedTable, ensure_bronze, path_exists, publish, read_bronze,
                               read_text, upsert_partitions, write_text)
 from . import gold
@@ -39,6 +42,7 @@ SNAPSHOTS = {
 @dataclass
 class PipelineConfig:
     root: str                                # shared folder for all layers
+    staged: str | None = None                # folder of staged change files, one sub-folder per table
     run_at: _dt.datetime | None = None       # run time (check strategy, hard deletes)
     apply_deletes: bool = True               # False: original merge, deletes survive until a full refresh
     strict_mark: bool = False                # True: original "> mark"
@@ -62,6 +66,24 @@ def _bronze(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame |
     return read_bronze(spark, table, p) if path_exists(spark, p) else None
 
 
+def run_load(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
+    """Load the files staged for each table since the last run into its bronze
+    table; returns the rows loaded. The streams of the five tables run side by
+    side. Files that gave no rows: :func:`read_skipped`."""
+    def load(table: str) -> int:
+        return load_new_files(spark, f"{cfg.staged.rstrip('/')}/{table}", BRONZE_SCHEMAS[table], cfg.path("bronze", table),
+                              cfg.path("_load", table), recursive=True)
+
+    present = [t for t in TABLES if path_exists(spark, f"{cfg.staged.rstrip('/')}/{t}")]
+    with ThreadPoolExecutor(len(TABLES)) as pool:
+        return dict(zip(present, pool.map(load, present)))
+
+
+def read_skipped(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame:
+    """Staged files of ``table`` that have given no rows."""
+    return skipped_files(spark, f"{cfg.staged.rstrip('/')}/{table}", cfg.path("_load", table), recursive=True)
+
+
 SILVER_PART = "silver_part"
 
 
@@ -137,7 +159,7 @@ def _run_partitioned_silver(spark: SparkSession, cfg: PipelineConfig, table: str
     changes = silver_changes(table, bronze, target, strict_mark=cfg.strict_mark, lookback=cfg.lookback, mark=mark).withColumn(
         SILVER_PART, F.expr(cfg.silver_partitions[table]))
     if target is None:
-        drop_deleted(changes).write.mode("overwrite").partitionBy(SILVER_PART).parquet(path)
+        drop_deleted(changes).hint("rebalance", SILVER_PART).write.mode("overwrite").partitionBy(SILVER_PART).parquet(path)
         return path
     if not cfg.apply_deletes:
         changes = drop_deleted(changes)
@@ -174,17 +196,21 @@ def read_history(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFr
 def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     silver = {t: read_silver(spark, cfg, t) for t in cfg.silver_tables}
     snaps = {t: read_history(spark, cfg, t) for t in SNAPSHOTS}
+    opened = {t: HistoryTable(spark, cfg.path("snapshots", t)).read_open() for t in SNAPSHOTS}
     out = {}
 
     def put(name: str, df: DataFrame) -> None:
         p = cfg.path("gold", name)
-        publish(df, p, cfg.gold_mode)
-        out[name] = p
+        if cfg.gold_mode == "overwrite":
+            out[name] = VersionedTable(spark, p).write(df)
+        else:
+            publish(df, p, cfg.gold_mode)
+            out[name] = p
 
-    if snaps["customers"] is not None:
-        put("dim_customers", gold.dim_customers(snaps["customers"]))
-    if snaps["accounts"] is not None:
-        put("dim_accounts", gold.dim_accounts(snaps["accounts"]))
+    if opened["customers"] is not None:
+        put("dim_customers", gold.dim_customers(opened["customers"]))
+    if opened["accounts"] is not None:
+        put("dim_accounts", gold.dim_accounts(opened["accounts"]))
     banks = _bronze(spark, cfg, "banks")
     if banks is not None:
         put("dim_banks", gold.dim_banks(banks))
@@ -203,20 +229,40 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
 
 def run_checks(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     """Constraint checks on silver, returned as violation counts (the
-    violating rows come from the same ``violations_*`` calls). All checks run
-    as one job: a union of one-row counts, so at most one row per check
-    reaches the driver."""
+    violating rows come from the same ``violations_*`` calls). At most one row
+    per check reaches the driver."""
+    counts = check_counts(spark, cfg)
+    return {} if counts is None else {r["check"]: r["n"] for r in counts.collect()}
+
+
+#: Unique columns, and (child, column, parent) of each foreign key.
+UNIQUE = {"unique_transactions": ("transactions", "transaction_id"), "unique_customers": ("customers", "customer_id"),
+          "unique_accounts": ("accounts", "account_id"), "unique_transaction_legs": ("transaction_legs", "leg_id"),
+          "unique_customer_email": ("customers", "email"), "unique_banks": ("banks", "bank_id"),
+          "unique_bank_swift_code": ("banks", "swift_code")}
+FOREIGN = {"fk_account_customer": ("accounts", "customer_id", "customers"), "fk_account_bank": ("accounts", "bank_id", "banks"),
+           "fk_transaction_account": ("transactions", "account_id", "accounts"),
+           "fk_leg_transaction": ("transaction_legs", "transaction_id", "transactions"),
+           "fk_leg_account": ("transaction_legs", "account_id", "accounts"),
+           "fk_leg_bank": ("transaction_legs", "bank_id", "banks")}
+
+
+def check_counts(spark: SparkSession, cfg: PipelineConfig) -> DataFrame | None:
+    """``(check, n)``: the violations of every constraint whose tables exist,
+    one job over all of them. A NULL is no duplicate of another NULL."""
     s = {t: read_silver(spark, cfg, t) for t in cfg.silver_tables}
+    banks = _bronze(spark, cfg, "banks")
+    s["banks"] = None if banks is None else gold.dim_banks(banks)
     checks: dict[str, DataFrame] = {}
-    keys = {"transactions": "transaction_id", "customers": "customer_id", "accounts": "account_id",
-            "transaction_legs": "leg_id"}
-    for t, k in keys.items():
+    for name, (t, k) in UNIQUE.items():
         if s.get(t) is not None:
-            checks[f"unique_{t}"] = violations_unique(s[t], [k])
+            checks[name] = violations_unique(s[t].dropna(subset=[k]), [k])
+    for name, (child, k, parent) in FOREIGN.items():
+        if s.get(child) is not None and s.get(parent) is not None:
+            checks[name] = violations_fk(s[child], s[parent], [k])
     if s.get("accounts") is not None:
         checks["domain_account_type"] = violations_domain(s["accounts"], "account_type", ACCOUNT_TYPES)
-        if s.get("customers") is not None:
-            checks["fk_account_customer"] = violations_fk(s["accounts"], s["customers"], ["customer_id"])
+        checks["domain_account_status"] = violations_domain(s["accounts"], "account_status", ACCOUNT_STATUSES)
     if s.get("transactions") is not None:
         t = s["transactions"]
         checks["domain_channel"] = violations_domain(t, "channel", CHANNELS)
@@ -227,31 +273,31 @@ def run_checks(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
         legs = s["transaction_legs"]
         checks["domain_direction"] = violations_domain(legs, "direction", DIRECTIONS)
         checks["balance"] = violations_balance(legs)
-        if s.get("transactions") is not None:
-            checks["fk_leg_transaction"] = violations_fk(legs, s["transactions"], ["transaction_id"])
     for table, (key, *_rest) in SNAPSHOTS.items():
         history = read_history(spark, cfg, table)
         if history is not None:
             checks[f"overlap_{table}_history"] = violations_overlap(history, [key])
     if not checks:
-        return {}
+        return None
     counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check"), "n")
               for name, df in checks.items()]
     union = counts[0]
     for c in counts[1:]:
         union = union.unionByName(c)
-    return {r["check"]: r["n"] for r in union.collect()}
+    return union
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
-    """Silver, snapshots, gold and checks over the bronze tables under
-    ``cfg.root/bronze`` (written by the stream ingest or a file load). Bronze
+    """Load of the staged files (with ``cfg.staged``), then silver, snapshots,
+    gold and checks over the bronze tables under ``cfg.root/bronze``, which the
+    load, the stream ingest and backfills may all write. Bronze
     tables that do not exist yet are created empty with their fixed schema,
     so every model runs (on no rows) before its first change arrives."""
     run_at = cfg.run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     for table in TABLES:
         ensure_bronze(spark, table, cfg.path("bronze", table))
-    result = {"silver": run_silver(spark, cfg)}
+    result: dict = {"loaded": run_load(spark, cfg) if cfg.staged else {}}
+    result["silver"] = run_silver(spark, cfg)
     result["snapshots"] = run_snapshots(spark, cfg, run_at)
     result["gold"] = run_gold(spark, cfg)
     result["checks"] = run_checks(spark, cfg)
@@ -259,4 +305,6 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
 
 
 def read_gold(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
-    return spark.read.parquet(cfg.path("gold", name))
+    """A gold table as the last run left it."""
+    p = cfg.path("gold", name)
+    return VersionedTable(spark, p).read() if cfg.gold_mode == "overwrite" else spark.read.parquet(p)

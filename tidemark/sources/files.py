@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .tables import append_bronze, path_exists
+from ..functions.cdc import CORRUPT
+from .tables import PARTITION_COL, append_bronze, path_exists
 
 
 #: Staged files are loaded however old they are when they are first seen.
@@ -54,7 +55,10 @@ def load_new_files(spark: SparkSession, source_dir: str, schema: StructType, tar
         if path_exists(spark, f"{done}/_SUCCESS"):
             return
         seen = Observation(f"load_{batch_id}")
-        # at most the files of one batch are named
+        if PARTITION_COL in batch.columns:  # staged files may span many dates: see backfill_bronze
+            batch = batch.hint("rebalance", PARTITION_COL)
+        # at most the files of one batch are named; observed above the exchange,
+        # which an empty batch would otherwise remove together with its metrics
         rows = batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("__file").alias("files"))
         append_bronze(rows.drop("__file"), target, table)
         loaded += seen.get["rows"]
@@ -85,6 +89,13 @@ def skipped_files(spark: SparkSession, source_dir: str, checkpoint: str, *, glob
     return staged.join(loaded.select(plain(F.col("file")).alias("__f")), plain(F.col("file")) == F.col("__f"), "left_anti")
 
 
+def write_quarantine(bad: DataFrame, path: str) -> None:
+    """Append the raw text of malformed messages with their source position
+    (the second half of :func:`tidemark.functions.cdc.split_corrupt`)."""
+    (bad.select(F.col(CORRUPT).alias("value"), "source_partition", "source_offset", F.current_timestamp().alias("quarantined_at"))
+        .write.mode("append").parquet(path))
+
+
 def write_dead_letter(messages: DataFrame, path: str, error: str, *,
                       kafka_servers: str | None = None, topic: str | None = None) -> None:
     """Append failed messages with the failure time and error text, to a

@@ -5,10 +5,11 @@ keyed tables that are rewritten (there is no MERGE on plain files)."""
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from ..schemas import BRONZE_SCHEMAS
 
@@ -26,6 +27,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file, if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The numbers ``n`` of the folders ``<prefix><n>`` under ``path``, ascending."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+
+
 def ensure_bronze(spark: SparkSession, table: str, path: str) -> None:
     """Create an empty partitioned bronze table with the fixed schema when
     absent, so that readers see the schema before the first change arrives."""
@@ -63,8 +79,9 @@ def backfill_bronze(df: DataFrame, path: str, partitions: int | None = None) ->
 
 
 def publish(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a gold table. ``overwrite`` (default) replaces it; ``append``
-    adds the rows again on every run, like an incremental model without key."""
+    """Write a table. ``overwrite`` (default) replaces it; ``append`` adds the
+    rows again on every run, like an incremental model without key. A failed
+    overwrite leaves no table: see :class:`VersionedTable`."""
     df.write.mode(mode).parquet(path)
 
 
@@ -74,32 +91,36 @@ def upsert_partitions(spark: SparkSession, path: str, changes: DataFrame, keys:
     of the key, so a key never changes partition) that rewrites only the
     partitions the changes touch.
 
-    The rows of the touched partitions that no change replaces are kept, the
-    live changes are added, and the result is written with dynamic partition
-    overwrite: Spark writes it to a staging folder and swaps in only those
-    partitions at commit, so an incremental run costs O(touched partitions),
-    not O(table). A change whose op is a delete (or NULL) removes its key; a
-    touched partition left without rows is removed. The touched-partition list
-    is bounded by the table's partition count, hence broadcast.
+    The changes are written once to ``<path>_changes``. The rows of the touched
+    partitions that no change replaces are kept, the live changes are added,
+    and the result is written with dynamic partition overwrite: Spark writes it
+    to a staging folder and swaps in only those partitions at commit, so an
+    incremental run costs O(touched partitions), not O(table). Rows are
+    rebalanced by partition, so a task opens few files and a large partition is
+    split over tasks. A change whose op is a delete (or NULL) removes its key; a
+    touched partition left without rows is removed. The names of the touched
+    partitions, at most as many as the table has folders, pass through the
+    driver and prune its scan.
 
     The swap is per partition, not atomic across partitions; a run that fails
     during commit is repaired by re-running it (its changes are idempotent) or
     by a full refresh from bronze."""
+    staged = f"{path.rstrip('/')}_changes"
+    changes.write.mode("overwrite").parquet(staged)
+    changes = spark.read.schema(changes.schema).parquet(staged)
+    touched = [r[0] for r in changes.select(part_col).distinct().dropna().collect()]
+    if not touched:
+        return
     target = spark.read.parquet(path)
-    touched = changes.select(part_col).distinct()
-    keep = (target.join(F.broadcast(touched), on=part_col, how="left_semi")
-                  .join(changes.select(*keys), on=keys, how="left_anti"))
+    keep = target.filter(F.col(part_col).isin(touched)).join(changes.select(*keys), on=keys, how="left_anti")
     live = changes.filter(F.col(op_col) != F.lit(delete_op))
     out = keep.unionByName(live.select(*target.columns))
-    # touched partitions the output leaves empty (every row deleted): found
-    # before the write, from key and partition columns only
-    emptied = [r[0] for r in touched.join(out.select(part_col).distinct(), on=part_col, how="left_anti").collect()]
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part_col).parquet(path))
-    fs, _ = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    for value in emptied:  # at most the touched partitions
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{part_col}={value}"), True)
+    seen = Observation("upsert_partitions")
+    (out.hint("rebalance", part_col).observe(seen, F.collect_set(part_col).alias("parts"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
+    # touched partitions the output leaves empty: every row was deleted
+    for value in set(touched).difference(seen.get["parts"]):
+        remove(spark, f"{path}/{part_col}={value}")
 
 
 class VersionedTable:
@@ -107,12 +128,14 @@ class VersionedTable:
 
     Each write goes to a new ``v=<n>`` folder; readers take the newest folder
     that has a success marker, so a path is never overwritten while it is being
-    read, and a failed write leaves the previous version current.
+    read, and a failed write leaves the previous version current. After a write
+    only the newest ``keep`` versions stay.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, keep: int = 3):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.keep = keep
 
     def versions(self) -> list[int]:
         fs, p = _fs(self.spark, self.path)
@@ -137,7 +160,10 @@ class VersionedTable:
 
     def write(self, df: DataFrame) -> str:
         v = self.versions()
-        return self.write_version(df, (v[-1] + 1) if v else 1)
+        out = self.write_version(df, (v[-1] + 1) if v else 1)
+        for old in self.versions()[: -self.keep]:
+            remove(self.spark, f"{self.path}/v={old}")
+        return out
 
     def write_version(self, df: DataFrame, n: int) -> str:
         """Write version ``n``; a leftover of a failed attempt (no success
@@ -169,10 +195,18 @@ def merge_into(spark: SparkSession, table: str, updates: DataFrame, keys: list[s
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
+    """Replace a small text file in one step: written under a new name beside
+    it, then renamed over it."""
+    part = f"{path}.{uuid.uuid4().hex[:8]}.tmp"
+    fs, new = _fs(spark, part)
+    out = fs.create(new, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    how = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    how[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    context = hadoop.FileContext.getFileContext(new.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(new, hadoop.Path(path), how)
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -194,68 +228,62 @@ def read_text(spark: SparkSession, path: str) -> str:
 class HistoryTable:
     """Storage for an SCD2 history that grows by runs.
 
-    Run ``n`` writes its rows once, to ``run=<n>/state=closed`` (versions this
-    run closed; a closed version never changes again) and
-    ``run=<n>/state=open`` (the open set after the run, one row per key). A
-    run reads only the newest open set, so it costs O(keys), not O(history).
-    A run is committed when ``run=<n>`` has its success marker; readers skip
-    uncommitted runs, and a retried run overwrites its own folder.
+    Run ``n`` writes its rows once, to ``state=closed/run=<n>`` (versions this
+    run closed; a closed version never changes again) and ``state=open/run=<n>``
+    (the open set after the run, one row per key). The newest committed run is
+    named in ``_committed.json``, replaced in one step after the write, so
+    readers never see a run in part and a retried run first removes what its
+    failed attempt left. The history is one scan, pruned by those two folders,
+    however many runs it has. A run reads only the newest open set, so it costs
+    O(keys), not O(history); open sets older than the last ``keep`` are removed.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, keep: int = 2):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.keep = keep
 
-    def runs(self) -> list[int]:
-        fs, p = _fs(self.spark, self.path)
-        if not fs.exists(p):
-            return []
-        jvm = self.spark.sparkContext._jvm
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("run=") and \
-                    fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[4:]))
-        return sorted(out)
-
-    def _save_schema(self, schema: StructType) -> None:
-        write_text(self.spark, f"{self.path}/_schema.json", schema.json())
+    def _committed(self) -> dict | None:
+        p = f"{self.path}/_committed.json"
+        return json.loads(read_text(self.spark, p)) if path_exists(self.spark, p) else None
 
-    def _schema(self) -> StructType:
-        return StructType.fromJson(json.loads(read_text(self.spark, f"{self.path}/_schema.json")))
+    def last_run(self) -> int:
+        """The newest committed run, 0 before the first."""
+        found = self._committed()
+        return found["run"] if found else 0
 
-    def _state(self, run: int, state: str) -> DataFrame | None:
-        p = f"{self.path}/run={run}/state={state}"
-        return self.spark.read.parquet(p) if path_exists(self.spark, p) else None
+    def _rows(self, committed: dict) -> DataFrame:
+        schema = StructType.fromJson(committed["schema"])
+        names = schema.fieldNames()
+        full = schema.add("state", StringType()).add("run", IntegerType())
+        return self.spark.read.schema(full).parquet(self.path).select(*names, "state", "run")
 
     def read_open(self) -> DataFrame | None:
-        runs = self.runs()
-        return self._state(runs[-1], "open") if runs else None
+        found = self._committed()
+        if found is None:
+            return None
+        return self._rows(found).filter((F.col("state") == "open") & (F.col("run") == found["run"])).drop("state", "run")
 
     def read(self) -> DataFrame | None:
         """The whole history: closed versions of every committed run and the
-        newest open set (an empty DataFrame when no version exists yet)."""
-        runs = self.runs()
-        if not runs:
+        newest open set."""
+        found = self._committed()
+        if found is None:
             return None
-        parts = [self._state(runs[-1], "open")] + [self._state(r, "closed") for r in runs]
-        parts = [d for d in parts if d is not None]
-        if not parts:
-            return self.spark.createDataFrame([], self._schema())
-        out = parts[0]
-        for d in parts[1:]:
-            out = out.unionByName(d)
-        return out
+        state, run, last = F.col("state"), F.col("run"), F.lit(found["run"])
+        return self._rows(found).filter(((state == "closed") & (run <= last)) | ((state == "open") & (run == last))).drop("state", "run")
 
     def write_run(self, rows: DataFrame) -> int:
         """Store one run's rows (the output of a ``snapshot_*_open`` step, or
         of ``first_snapshot``) in a single write."""
-        runs = self.runs()
-        run = (runs[-1] + 1) if runs else 1
-        if not runs:
-            self._save_schema(rows.schema)
+        run = self.last_run() + 1
+        for state in ("open", "closed"):
+            remove(self.spark, f"{self.path}/state={state}/run={run}")
         state = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
-        (rows.withColumn("state", state).write.mode("overwrite")
-             .partitionBy("state").parquet(f"{self.path}/run={run}"))
+        (rows.withColumn("state", state).withColumn("run", F.lit(run))
+             .write.mode("append").partitionBy("state", "run").parquet(self.path))
+        write_text(self.spark, f"{self.path}/_committed.json", json.dumps({"run": run, "schema": rows.schema.jsonValue()}))
+        for old in _numbers(self.spark, f"{self.path}/state=open", "run="):
+            if old <= run - self.keep:
+                remove(self.spark, f"{self.path}/state=open/run={old}")
         return run
