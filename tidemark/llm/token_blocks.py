@@ -20,6 +20,7 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -43,6 +44,9 @@ class Encoder:
     """Ids of texts by way of their pieces."""
 
     def __init__(self, path: str, pieces: int = PIECES):
+        # one thread for each task: the library's own threads would take the
+        # cores of other tasks, and memory for each
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.limit = Tokenizer.from_file(path), pieces
         special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
