@@ -3,6 +3,7 @@ results for nulls, empty and long texts, ties, repeated rows, empty tables and
 extra columns with clashing names."""
 
 import hashlib
+import os
 import re
 import zlib
 
@@ -85,6 +86,40 @@ def test_chat_round_trip_and_rewriting_template(spark):
     assert "".join(p for p, _ in chat.render_spans(turns, first)) == first(turns)
 
 
+CHAT_TEMPLATES = {
+    "keep_last_10": lambda turns: "".join(f"<{r}>{t}" for r, t in turns[-10:]),
+    "header_from_turn_9": lambda turns: ("[long]" if len(turns) >= 9 else "") + "".join(f"<{r}>{t}" for r, t in turns),
+    "system_into_newest_user": lambda turns: "".join(
+        f"<{r}>" + "".join(x for q, x in turns if q == "system" and r == "user" and all(z != "user" for z, _ in turns[i + 1 :])) + t
+        for i, (r, t) in enumerate(turns) if r != "system"),
+    "first_turn_repeated_at_20": lambda turns: "".join(f"<{r}>{t}" + (turns[0][1] if i == 20 else "") for i, (r, t) in enumerate(turns)),
+    "marked_turns": chat.marked_turns,
+}
+
+
+@pytest.mark.parametrize("name", CHAT_TEMPLATES)
+def test_chat_spans_equal_brute_force_prefixes(spark, name):
+    template = CHAT_TEMPLATES[name]
+    roles = ["system", "user", *["user", "assistant"] * 19]
+    turns = [(r, f"{i} words of turn {i % 7}") for i, r in enumerate(roles)]
+    want = []
+    for n in range(1, len(turns) + 1):
+        a, b = template(turns[: n - 1]), template(turns[:n])
+        keep = len(os.path.commonprefix([a, b]))
+        want.append((b[keep:], keep < len(a)))
+    assert list(chat.render_spans(turns, template)) == want
+    t = spark.createDataFrame([(1, i, *turn) for i, turn in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    got = chat.format_conversations(t, template).orderBy("seq").collect()
+    assert [(r["piece"], r["rewrites"]) for r in got] == want
+
+
+def test_chat_template_that_breaks_its_declaration_raises():
+    template = lambda turns: "".join(f"[{i}]{x}" for i, (_, x) in enumerate(turns))
+    template.local = True
+    with pytest.raises(ValueError, match="declares itself local"):
+        list(chat.render_spans([("user", str(i)) for i in range(40)], template))
+
+
 # --- 3 -----------------------------------------------------------------------
 
 def test_pii_base_spans_equal_the_patterns(spark, odd, none):

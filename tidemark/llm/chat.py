@@ -7,10 +7,13 @@ not begin with the one before it, the template rewrites history there; the
 turn is marked and its span starts where the outputs part.
 
 Turns of a conversation are streamed in order through one task, after a sort
-that can spill; at most ``window`` turns are rendered at a time. When the
-window slides, the last turn is rendered again from the shorter prefix; if it
-comes out differently, the template looks further back and the window keeps
-growing for this conversation.
+that can spill. Every prefix is rendered whole: the turns of a conversation are
+held until it ends, and its renders grow with the square of its length. Only
+for a template that declares itself local (``template.local = True``: each
+turn's piece is the same whatever turns stand before it) at most ``window``
+turns are rendered at a time. No run of turns can show that a template is
+local, so none is taken to be; one that is seen to break its declaration
+raises an error.
 
 Output: one row per turn with its piece of the formatted text. A conversation's
 text is its pieces in order, so no row holds a whole conversation.
@@ -52,6 +55,9 @@ def marked_turns(turns: list[tuple[str, str]]) -> str:
     return "".join(f"<s>[INST] {escape(r)}[/INST]{escape(t)}</s>" for r, t in turns)
 
 
+marked_turns.local = True
+
+
 def common_prefix(a: str, b: str) -> int:
     if b.startswith(a):
         return len(a)
@@ -65,7 +71,7 @@ def common_prefix(a: str, b: str) -> int:
 def render_spans(turns, template: Template, window: int = WINDOW) -> Iterator[tuple[str, bool]]:
     """``(piece, rewrites)`` for each turn of one conversation, in order."""
     seen: list[tuple[str, str]] = []
-    before, slides = template([]), True
+    before, local = template([]), getattr(template, "local", False)
     for turn in turns:
         seen.append(turn)
         now = template(seen)
@@ -73,13 +79,12 @@ def render_spans(turns, template: Template, window: int = WINDOW) -> Iterator[tu
         piece, rewrites = now[keep:], keep < len(before)
         yield (before + piece if len(seen) == 1 and not rewrites else piece), rewrites
         before = now
-        if slides and len(seen) >= window:
+        if local and len(seen) >= window:
             tail = seen[-(window // 2):]
             short, shorter = template(tail), template(tail[:-1])
-            if not rewrites and short.startswith(shorter) and short[len(shorter):] == piece:
-                seen, before = list(tail), short
-            else:
-                slides = False
+            if rewrites or short != shorter + piece:
+                raise ValueError("the template declares itself local, but a turn's piece depends on the turns before it")
+            seen, before = tail, short
 
 
 def _conversations(batches) -> Iterator[tuple]:
