@@ -6,12 +6,14 @@ import hashlib
 import os
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, mix, pii, quality, range_coder, shard, simhash, token_blocks, topk, toxicity
+from tidemark.llm import chat, common, decontaminate, mix, pii, quality, range_coder, shard, simhash, token_blocks, topk, toxicity
 
 DOCS = "doc_id long, text string, source string, size long, score string, key int, shard string"
 LONG = "one two three four five six seven eight nine ten " * 3000
@@ -304,3 +306,87 @@ def test_pipeline_runs_end_to_end(spark):
     import corpus_pipeline as C
     out = C.run(spark, "/root/testdata/sf0.001")
     assert {"doc_id", "text", "lang", "source", "n_chars", "shard", "slot"} <= set(out.columns) and out.count() > 0
+
+
+def _mild(docs, spark, sf):
+    """Rows whose score, summed up for each text alone, is below the threshold."""
+    at, weights, b = toxicity.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    weight = dict(zip(at.tolist(), weights.tolist()))
+
+    def score(text):
+        found = {f for c in common.chunks(pa.array([text or ""])) for f in toxicity.features(c)[0].tolist()}
+        return 1 / (1 + np.exp(-(b + sum(weight.get(f, 0.0) for f in found))))
+
+    return Counter(r for r in _rows(docs) if score(r[1]) < 0.7)
+
+
+def _one_of_each(docs, spark, sf):
+    """The smallest id of each component of all pairs of fingerprints (null last)."""
+    rows = simhash.near_duplicates(docs.withColumn("doc_id", F.struct("doc_id", "text"))).collect()
+    assert Counter(tuple(r["doc_id"]) for r in rows) == Counter(_rows(docs))
+    fps = np.array(sorted({r["fp"] for r in rows}), np.int64).view(np.uint64)
+    root = {int(x): int(x) for x in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, x in enumerate(fps):
+        for y in fps[:i][np.bitwise_count(fps[:i] ^ x) <= simhash.MAX_BITS]:
+            root[find(int(x))] = find(int(y))
+    best = {}
+    for r in rows:
+        k, own = find(r["fp"] % 2**64), tuple(r["doc_id"])
+        if k not in best or (own[0] is None, own[0] or 0) < (best[k][0] is None, best[k][0] or 0):
+            best[k] = own
+    return Counter(best.values())
+
+
+def _clean(docs, spark, sf):
+    """Rows without a window of a benchmark item under their id, window by window."""
+    windows = set()
+    for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect():
+        w = _words(r["text"])
+        n = min(10, len(w))
+        windows |= {tuple(w[i : i + n]) for i in range(len(w) - n + 1 if n else 0)}
+    sizes = {len(w) for w in windows}
+    bad = set()
+    for i, t in _rows(docs):
+        w = _words(t)
+        if any(tuple(w[s : s + n]) in windows for n in sizes for s in range(len(w) - n + 1)):
+            bad.add(i)
+    return Counter(r for r in _rows(docs) if r[0] not in bad)
+
+
+def _copies(docs, spark, sf):
+    """Rows as often as the mix says."""
+    return Counter((r["doc_id"], r["text"]) for r in mix.systematic_mix(docs).collect() for _ in range(r["copies"]))
+
+
+def _rows(df):
+    return [tuple(r) for r in df.select("doc_id", "text").collect()]
+
+
+def test_pipeline_stages_equal_plain_versions(spark, tmp_path):
+    import corpus_pipeline as C
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    item = next(r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect() if len(_words(r["text"])) > 12)
+    planted = [(900001, None), (900002, ""), (None, "a row without an id stands here alone"), (900003, f"Before it {item.upper()} and after"),
+               (900004, "one id with two texts of which this one is clean"), (900004, f"and this one is not: {item}"),
+               (900005, "a repeated row of seven words here"), (900005, "a repeated row of seven words here")]
+    docs = docs.unionByName(spark.createDataFrame([(i, t, "en", "planted", 0) for i, t in planted],
+                                                  "doc_id long, text string, lang string, source string, n_chars long")
+                            .select(*[F.col(f.name).cast(f.dataType) for f in docs.schema]))
+    plain = [_mild, _one_of_each, _clean, _copies, lambda d, *_: Counter(_rows(d))]
+    docs.write.parquet(f"{tmp_path}/planted")
+    docs = spark.read.parquet(f"{tmp_path}/planted")
+    for (name, stage), want in zip(C.STAGES, plain, strict=True):
+        stage(spark, docs, sf).write.parquet(f"{tmp_path}/{name}")
+        out, expected = spark.read.parquet(f"{tmp_path}/{name}"), want(docs, spark, sf)
+        assert Counter(i for i, _ in _rows(out)) == Counter(i for i, _ in expected.elements()), name
+        if name != "near_duplicates":  # any of the rows that repeat an id may stay there
+            assert Counter(_rows(out)) == expected, name
+        assert (expected == Counter(_rows(docs))) == (name == "shard"), f"{name} has nothing to do on these rows"
+        docs = out
