@@ -62,3 +62,20 @@ def test_results_do_not_depend_on_the_session_time_zone(spark):
         assert bad == []
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_ingest_queries_cover_the_transactions_topic(spark):
+    import __spark_entry__ as E
+    from oracle_check import digest
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF}/events.parquet')")
+    df = E.queries()["ingest_transactions"](spark, SF)
+    rows, cur = [tuple(r) for r in df.collect()], con.execute(E.oracle_sql()["ingest_transactions"])
+    want, columns = cur.fetchall(), [d[0] for d in cur.description]
+    assert sorted(df.columns) == sorted(columns)
+    assert digest(rows, df.columns)[0] == digest(want, columns)[0]
+    purchases = con.execute("SELECT count(*) FROM events WHERE event_type = 'purchase'").fetchone()[0]
+    run = df.columns.index("run")
+    assert purchases > 0
+    for name in ("append", "replay", "quarantine", "envelope"):
+        assert sum(r[run] == name for r in rows) == purchases, name

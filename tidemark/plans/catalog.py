@@ -332,6 +332,35 @@ def q_ingest_envelope(spark, sf):
     return read_bronze(spark, "accounts", f"{root}/bronze/accounts").drop("ingested_at", "ingestion_date")
 
 
+@query("ingest_transactions")
+def q_ingest_transactions(spark, sf):
+    """The transactions half of the ingests of ``bronze_append``,
+    ``replay_dedup``, ``ingest_quarantine`` and ``ingest_envelope``, which
+    return the accounts half: whole rows, by ingest and place."""
+    root = scratch_path(spark, "ingest_transactions")
+    msgs = fx.change_messages(spark, sf)
+    cut = ts_lit(fx.CUT_1, "timestamp")
+    first, second = _stamps()
+    early, late = msgs.filter(F.col("timestamp") < cut), msgs.filter(F.col("timestamp") >= cut)
+    for run, batches, options in [
+            ("append", [(early, first), (late, second)], {}),
+            ("replay", [(msgs, first), (msgs, first)], {}),
+            ("quarantine", [(fx.change_messages(spark, sf, corrupt=True), first)], {"quarantine_root": f"{root}/quarantine/bad"}),
+            ("envelope", [(fx.change_messages(spark, sf, envelope=True), first)], {"envelope": True})]:
+        for i, (part, at) in enumerate(batches):
+            ingest_batch(part, i, bronze_root=f"{root}/{run}/bronze", dead_letter_root=f"{root}/{run}/dead", at=at, **options)
+
+    def rows(run):
+        return read_bronze(spark, "transactions", f"{root}/{run}/bronze/transactions").drop("ingested_at")
+
+    bad = spark.read.parquet(f"{root}/quarantine/bad/transactions").select("source_partition", "source_offset")
+    out = bad.select(F.lit("quarantine").alias("run"), F.lit("quarantine").alias("place"), "*")
+    for run, df in [("append", rows("append")), ("replay", drop_replays(rows("replay"))),
+                    ("quarantine", rows("quarantine")), ("envelope", rows("envelope"))]:
+        out = out.unionByName(df.withColumns({"run": F.lit(run), "place": F.lit("bronze")}), allowMissingColumns=True)
+    return out
+
+
 @query("bronze_load")
 def q_bronze_load(spark, sf):
     """Files staged in two waves; three load runs. Each file is loaded once."""
