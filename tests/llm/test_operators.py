@@ -141,6 +141,24 @@ def test_pii_base_spans_equal_the_patterns(spark, odd, none):
     assert pii.find_personal_data(none).count() == 0
 
 
+def test_pii_numbers_beside_other_spans_are_found():
+    numbers = lambda t: [t[a:b] for k, a, b in pii.loose_spans(t, pii.base_spans(t)) if k == 5]
+    assert numbers("1.2.3.4 5551234567") == ["5551234567"]
+    assert numbers("5551234567 1.2.3.4 98765432") == ["5551234567", "98765432"]
+    assert numbers("5551234567 12a@b.c") == ["5551234567"]
+    assert numbers("abcdefghijklmnopqrst1 55512345") == ["55512345"]
+    assert numbers("1.2.3.4 5551") == [] and numbers("") == []
+    rng = np.random.default_rng(5)
+    parts = ["1.2.3.4", "5551234567", "a1@b.c", "+1 (017) 555-7713", "4111 1111 1111 1111", "abcdefghijklmnopqrst12", "77", "x"]
+    for _ in range(500):
+        t = "".join(str(rng.choice(parts)) + str(rng.choice([" ", "-", ".", "  ", "/", ", "])) for _ in range(8))
+        found = pii.loose_spans(t, pii.base_spans(t))
+        rest = t
+        for a, b in [x[1:] for x in pii.base_spans(t) + found if x[0] != 5]:
+            rest = rest[:a] + "#" * (b - a) + rest[b:]
+        assert [x[1:] for x in found if x[0] == 5] == [m.span() for m in pii.NUMBER.finditer(rest)], t
+
+
 # --- 4 -----------------------------------------------------------------------
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

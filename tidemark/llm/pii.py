@@ -127,9 +127,11 @@ def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
             out.append((4, a, b))
             taken.append((a, b))
     taken.sort()
-    for m in NUMBER.finditer(text):
-        if free(*m.span()):
-            out.append((5, *m.span()))
+    at = 0
+    for a, b in [*taken, (len(text), len(text))]:
+        # the end of a gap ends a number too, so none reaches into a span
+        out += [(5, *m.span()) for m in NUMBER.finditer(text, at, max(at, a))]
+        at = max(at, b)
     return out
 
 
