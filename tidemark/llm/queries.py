@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import data_dir
-from . import chat, decontaminate, mix, pii, quality, simhash, token_blocks, topk, toxicity
+from . import chat, collocations, conversation_repair, decontaminate, mix, pii, quality, sentence_pieces, simhash, token_blocks, topk, toxicity
 from .common import cut
 from .shard import histogram_shards
 
@@ -102,3 +102,29 @@ def op9(spark, sf):
 def op10(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return histogram_shards(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+@query("op11_repair_conversations")
+def op11(spark, sf):
+    hurt = conversation_repair.damage(table(spark, sf, "conversations"))
+    report = cut(conversation_repair.repair(hurt, dropped=F.col("dropped")), "repair-report")
+    fixed = conversation_repair.apply_repairs(hurt, report, dropped=F.col("dropped"))
+    shas = conversation_repair.text_digests(fixed).withColumnRenamed("conv_id", "id")
+    return report.join(shas, report["conv_id"].eqNullSafe(shas["id"]), "left").select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query("op12_collocations", collocations.SQL)
+def op12(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
+@query("op13_sentence_pieces")
+def op13(spark, sf):
+    import public_tokenizers
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    decoded = sentence_pieces.decode_ids(sentence_pieces.encode_texts(table(spark, sf, "documents"), model), model)
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                          F.sha2("text", 256).alias("decoded_sha256"))
