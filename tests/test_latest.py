@@ -1,9 +1,11 @@
 import datetime as dt
 import random
 
+import pytest
+
 from tidemark.operators.latest import (drop_deleted, high_water_mark, latest_per_key, live_rows,
                                        new_rows, upsert)
-from tidemark.plans.silver import build_silver
+from tidemark.plans.silver import build_silver, live, silver_state
 
 T0 = dt.datetime(2024, 1, 1)
 COLS = "k int, v string, cdc_op string, ingested_at timestamp_ntz, source_ts_ms long, source_offset long"
@@ -71,11 +73,30 @@ def test_strict_mark_skips_rows_sharing_the_mark(spark):
 
 
 def test_lookback_does_not_let_stale_rows_win(spark):
-    b = _bronze_accounts(spark, [(1, 10.0, "c", 1, 1), (1, 12.0, "u", 10, 2)])
-    target = build_silver("accounts", b)
-    late = _bronze_accounts(spark, [(1, 10.0, "c", 1, 1), (1, 12.0, "u", 10, 2), (1, 99.0, "u", 9, 3)])
-    out = build_silver("accounts", late, target, lookback=dt.timedelta(hours=5)).collect()
-    assert [(r.account_id, r.balance) for r in out] == [(1, 12.0)]
+    b = _bronze_accounts(spark, [(1, 10.0, "c", 1, 1), (1, 12.0, "u", 10, 2), (2, 5.0, "c", 1, 4), (2, 5.0, "d", 10, 5)])
+    state = silver_state("accounts", b)
+    late = _bronze_accounts(spark, [(1, 10.0, "c", 1, 1), (1, 12.0, "u", 10, 2), (1, 99.0, "u", 9, 3), (2, 7.0, "u", 9, 6)])
+    out = live(silver_state("accounts", late, state, lookback=dt.timedelta(hours=5))).collect()
+    assert [(r.account_id, r.balance) for r in out] == [(1, 12.0)]  # nor over a newer delete
+
+
+def test_order_columns_must_be_there(spark):
+    rows = _df(spark, [(1, "a", "u", _t(1), 1, 1)])
+    with pytest.raises(ValueError, match="source_offset"):
+        latest_per_key(rows.drop("source_offset"), ["k"])
+    assert latest_per_key(rows.drop("source_offset"), ["k"], ["ingested_at"]).count() == 1
+
+
+def test_silver_state_in_any_order_of_arrival_equals_a_full_refresh(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.randrange(12), float(off), rnd.choice(["c", "u", "u", "d", None]), rnd.randrange(60), off) for off in range(200)]
+    full = sorted(tuple(r) for r in build_silver("accounts", _bronze_accounts(spark, rows)).collect())
+    rnd.shuffle(rows)
+    state = None
+    for k in range(4):
+        state = silver_state("accounts", _bronze_accounts(spark, rows[k * 50 : k * 50 + 50]), state, mark=_t(-1))
+        state = spark.createDataFrame(state.collect(), state.schema)
+    assert sorted(tuple(r) for r in live(state).collect()) == full
 
 
 def test_upsert_replaces_by_key(spark):

@@ -11,7 +11,9 @@ from tidemark.operators.latest import drop_replays
 from tidemark.operators.scd2 import first_snapshot, history_from_changes, snapshot_timestamp_open
 from tidemark.plans.pipeline import PipelineConfig, read_gold, read_skipped, run_pipeline
 from tidemark.schemas import BRONZE_SCHEMAS
-from tidemark.sources.tables import HistoryTable, VersionedTable, write_text
+from tidemark.sources import commit, tables
+from tidemark.sources.files import load_new_files, read_rejects, skipped_files
+from tidemark.sources.tables import HistoryTable, PartitionedTable, VersionedTable, write_text
 
 
 def _cur(spark, n, day):
@@ -135,12 +137,135 @@ def test_history_of_a_hot_key_equals_the_plain_one(spark):
     assert plain.exceptAll(cut).count() == 0 and cut.count() == 300
 
 
-def test_a_partitioned_upsert_may_delete_everything(spark, scratch):
-    from tidemark.sources.tables import upsert_partitions
-    path = f"{scratch}/p"
-    rows = spark.createDataFrame([(1, 0, "c"), (2, 0, "c"), (3, 1, "c")], "id int, part long, cdc_op string")
-    rows.write.partitionBy("part").parquet(path)
-    upsert_partitions(spark, path, rows.filter("part = 0").withColumn("cdc_op", F.lit("d")), ["id"], "part")
-    assert [r.id for r in spark.read.parquet(path).collect()] == [3] and not os.path.exists(f"{path}/part=0")
-    upsert_partitions(spark, path, rows.limit(0), ["id"], "part")
-    assert spark.read.parquet(path).count() == 1
+def _kept(old, new):
+    gone = old.join(new, "id", "left_anti")
+    return gone.unionByName(new.filter("cdc_op <> 'd'"))
+
+
+def _parts(spark, rows):
+    return spark.createDataFrame(rows, "id int, v string, part long, cdc_op string")
+
+
+def test_partitioned_merge_rewrites_only_touched_partitions(spark, scratch):
+    table = PartitionedTable(spark, f"{scratch}/p", "part")
+    assert table.read() is None and table.commit() is None
+    assert table.merge(_parts(spark, [(1, "a", 0, "c"), (2, "a", 0, "c"), (3, "a", 1, "c")]), _kept) == 1
+    table.merge(_parts(spark, [(1, "b", 0, "u"), (5, "b", 2, "c")]), _kept)
+    assert table.commit()["parts"] == {"part=0": 2, "part=1": 1, "part=2": 2}
+    assert sorted(map(tuple, table.read().select("id", "v").collect())) == [(1, "b"), (2, "a"), (3, "a"), (5, "b")]
+    # a partition left without rows goes; no changes, no run
+    table.merge(_parts(spark, [(1, "b", 0, "d"), (2, "b", 0, "d")]), _kept)
+    assert table.commit()["parts"] == {"part=1": 1, "part=2": 2}
+    assert table.merge(_parts(spark, []), _kept) == 3
+    # folders that only dropped commits name are gone
+    assert not os.path.exists(f"{scratch}/p/run=1/part=0") and os.path.exists(f"{scratch}/p/run=1/part=1")
+    table.merge(_parts(spark, [(3, "b", 1, "d"), (5, "b", 2, "d")]), _kept)
+    assert table.read().count() == 0 and table.read().columns == ["id", "v", "part", "cdc_op"]
+
+
+def test_a_failed_partitioned_merge_leaves_the_table(spark, scratch, monkeypatch):
+    table = PartitionedTable(spark, f"{scratch}/p", "part")
+    table.merge(_parts(spark, [(1, "a", 0, "c"), (3, "a", 1, "c")]), _kept)
+    before = sorted(map(tuple, table.read().collect()))
+    change = _parts(spark, [(1, "b", 0, "u"), (3, "b", 1, "u"), (4, "b", 4, "c")])
+    write = tables.write_text
+    monkeypatch.setattr(tables, "write_text", lambda *a: 1 / 0)  # killed after the rows, before the commit
+    for _ in range(2):
+        try:
+            table.merge(change, _kept)
+        except ZeroDivisionError:
+            pass
+        assert sorted(map(tuple, PartitionedTable(spark, f"{scratch}/p", "part").read().collect())) == before
+    monkeypatch.setattr(tables, "write_text", write)
+    assert table.merge(change, _kept) == 2
+    assert sorted(map(tuple, table.read().select("id", "v").collect())) == [(1, "b"), (3, "b"), (4, "b")]
+
+
+def test_a_units_outputs_appear_together_and_once(spark, scratch, monkeypatch):
+    a, b, ledger = f"{scratch}/a", f"{scratch}/b", f"{scratch}/ledger"
+
+    def attempt(stop=None):
+        unit = commit.Unit(spark, ledger, "batch-0")
+        if unit.committed() is None:
+            spark.range(5).withColumn("day", F.col("id") % 2).write.partitionBy("day").parquet(unit.stage(a))
+            if stop == "between":
+                raise RuntimeError("killed")
+            spark.range(3).coalesce(1).write.parquet(unit.stage(b))
+            unit.commit(rows=5)
+
+    def rows():
+        return [spark.read.schema("id long").parquet(p).count() if os.path.exists(p) and any(not x.startswith("_") for x in os.listdir(p)) else 0
+                for p in (a, b)]
+
+    try:
+        attempt("between")
+    except RuntimeError:
+        pass
+    assert rows() == [0, 0]
+    # killed in the middle of the moves: the next attempt finishes them
+    fs_of, moved = commit._fs, []
+
+    def one_move(spark, path):
+        if "/_staged/" in path and "part-" in path:
+            moved.append(path)
+            if len(moved) == 2:
+                raise RuntimeError("killed")
+        return fs_of(spark, path)
+
+    monkeypatch.setattr(commit, "_fs", one_move)
+    monkeypatch.setattr(commit, "MOVES", 1)
+    try:
+        attempt()
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(commit, "_fs", fs_of)
+    assert rows() != [5, 3]
+    for _ in range(3):
+        attempt()
+        assert rows() == [5, 3]
+    assert not os.path.exists(f"{a}/_staged/batch-0") and sorted(x for x in os.listdir(a) if "=" in x) == ["day=0", "day=1"]
+
+
+def test_staged_files_of_other_types_give_rows_and_rejects(spark, scratch):
+    schema = BRONZE_SCHEMAS["accounts"]
+
+    def stage(name, **cols):
+        have = {"account_id": "id", "cdc_op": "'c'", "ingested_at": "timestamp_seconds(1700000000)", "ingestion_date": "DATE'2023-11-14'"} | cols
+        spark.range(4).coalesce(1).selectExpr(*[f"{e} AS {n}" for n, e in have.items()]).write.parquet(f"{scratch}/stage/{name}")
+
+    stage("plain", account_id="CAST(id AS INT)", balance="1.5D")
+    stage("wide", balance="CAST(2 AS FLOAT)")                              # account_id is a long
+    stage("text", account_id="CASE WHEN id = 3 THEN 99999999999 ELSE id + 10 END", balance="CASE WHEN id = 1 THEN 'n/a' ELSE '2.5' END")
+    stage("nested", account_id="CAST(id + 20 AS INT)", balance="named_struct('x', id)")
+    write_text(spark, f"{scratch}/stage/broken.parquet", "no parquet")
+    loaded = load_new_files(spark, f"{scratch}/stage", schema, f"{scratch}/bronze", f"{scratch}/ck", recursive=True)
+    got = spark.read.schema(schema).parquet(f"{scratch}/bronze")
+    assert loaded == 10 and sorted((r.account_id, r.balance) for r in got.collect()) == sorted(
+        [(i, 1.5) for i in range(4)] + [(i, 2.0) for i in range(4)] + [(10, 2.5), (12, 2.5)])
+    bad = read_rejects(spark, f"{scratch}/ck").collect()
+    assert sorted((r["column"], r["value"]) for r in bad) == sorted(
+        [("account_id", "99999999999"), ("balance", "n/a")] + [("balance", f'{{"x":{i}}}') for i in range(4)])
+    assert all(("/text/" in r["file"]) != ("/nested/" in r["file"]) and '"cdc_op":"c"' in r["row"] for r in bad)
+    assert sorted(os.path.basename(r[0])[:6] for r in skipped_files(spark, f"{scratch}/stage", f"{scratch}/ck", recursive=True).collect()) == [
+        "broken", "part-0"]  # all of the nested file's rows are rejects
+    assert load_new_files(spark, f"{scratch}/stage", schema, f"{scratch}/bronze", f"{scratch}/ck", recursive=True) == 0
+
+
+def test_a_load_delivered_again_is_not_loaded_again(spark, scratch, monkeypatch):
+    schema = BRONZE_SCHEMAS["accounts"]
+    rows = spark.range(6).selectExpr("CAST(id AS INT) AS account_id", "DATE'2023-11-14' AS ingestion_date")
+    rows.coalesce(1).write.parquet(f"{scratch}/stage/a")
+    done = commit.Unit.commit
+
+    def killed(self, **info):
+        done(self, **info)
+        raise RuntimeError("killed")  # after the commit, before the stream records its batch
+
+    monkeypatch.setattr(commit.Unit, "commit", killed)
+    try:
+        load_new_files(spark, f"{scratch}/stage", schema, f"{scratch}/bronze", f"{scratch}/ck", recursive=True)
+    except Exception:  # noqa: BLE001
+        pass
+    monkeypatch.setattr(commit.Unit, "commit", done)
+    assert load_new_files(spark, f"{scratch}/stage", schema, f"{scratch}/bronze", f"{scratch}/ck", recursive=True) == 0
+    assert spark.read.schema(schema).parquet(f"{scratch}/bronze").count() == 6

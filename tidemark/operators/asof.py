@@ -40,6 +40,8 @@ from .skew import settle, small
 
 DEFAULT_MAX_ROWS_PER_GROUP = 2_000_000
 
+#: Quantiles that split a crowded slice at a time, and rounds of splitting.
+PARTS, ROUNDS = 1000, 4
 _T, _KIND, _L, _V, _S, _HOT, _SALT = "__t", "__kind", "__left", "__ver", "__slice", "__hot", "__salt"
 
 
@@ -100,7 +102,8 @@ def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[s
     lpart = left.select(
         *[F.col(a).alias(b) for a, b in zip(lk, kn)],
         epoch_us(left, ts).alias(_T), F.lit(1).alias(_KIND), F.struct(*lcols).alias(_L))
-    valid = F.col(valid_from).isNotNull()
+    # a version that holds at no time would only hide the one that does
+    valid = F.col(valid_from).isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from)))
     for k in rk:
         valid = valid & F.col(k).isNotNull()
     vpart = versions.filter(valid).select(
@@ -120,8 +123,15 @@ def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[s
     if n_hot:
         u = u.join(small(hot, n_hot), on=kn, how="left").select(
             *kn, _T, _KIND, _L, _V, _slice_of(F.col(_T)).alias(_S), F.col("__lo").isNotNull().alias(_HOT))
+        grid = hot.select(*kn, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias(_S))
+        for _ in range(ROUNDS):
+            crowded, n_crowded = settle(_crowded_slices(u, kn, max_rows_per_group), "asof-crowded-slices")
+            if not n_crowded:
+                break
+            u = _split_by_rank(u, crowded, n_crowded, kn)
+            grid = u.filter(F.col(_HOT)).select(*kn, _S).distinct()
         full, n_full = settle(_full_slices(u, kn, max_rows_per_group), "asof-full-slices")
-        carry = _carry_rows(u, hot, kn, valid_to, end_ntz)
+        carry = _carry_rows(u, grid, kn, valid_to, end_ntz)
         u = u.drop(_HOT).unionByName(carry, allowMissingColumns=True)
         u = _salt(u, full, n_full, kn) if n_full else u.withColumn(_SALT, F.lit(0))
     else:
@@ -150,17 +160,39 @@ def as_of_join(left: DataFrame, versions: DataFrame, left_keys: str | Sequence[s
                        F.when(ok, F.col("__m")).alias(as_))
 
 
-def _carry_rows(u: DataFrame, hot: DataFrame, kn: list[str], valid_to: str, end_ntz: bool) -> DataFrame:
-    """For every slice after the first of a hot key: the newest version that
-    started in an earlier slice, as a row sorting before the slice's rows.
-    "Newest" is the scan's own order: start, then end (open last). Only
-    versions of hot keys take part; the window runs over the slices of one
-    key (at most ``rows / max_rows_per_group`` of them)."""
+def _crowded_slices(u: DataFrame, kn: list[str], max_rows: int) -> DataFrame:
+    """Slices of hot keys with more than ``max_rows`` versions, and the times
+    that split them into parts of about that many: ``(keys..., __slice,
+    __bounds)``. At most ``PARTS`` numbers per slice; starts of versions of one
+    key differ, so every split makes parts smaller."""
+    probs = [i / PARTS for i in range(1, PARTS)]
+    found = (u.filter(F.col(_HOT) & (F.col(_KIND) == 0)).groupBy(*kn, _S)
+              .agg(F.count(F.lit(1)).alias("__cnt"), F.min(_T).alias("__first"), F.percentile_approx(_T, probs, 10 * PARTS).alias("__q"))
+              .filter(F.col("__cnt") > F.lit(max_rows)))
+    parts = F.least(F.ceil(F.col("__cnt") / F.lit(max_rows)), F.lit(PARTS)).cast("int")
+    bounds = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.element_at("__q", F.greatest(F.floor(i * PARTS / parts), F.lit(1)).cast("int")))
+    return (found.select(*kn, _S, F.filter(F.array_distinct(bounds), lambda x: x > F.col("__first")).alias("__bounds"))
+                 .filter(F.size("__bounds") > 0))
+
+
+def _split_by_rank(u: DataFrame, crowded: DataFrame, n_crowded: int, kn: list[str]) -> DataFrame:
+    """Every row of a crowded slice in its part; slices keep their order."""
+    u = u.join(small(crowded, n_crowded), on=kn + [_S], how="left")
+    part = F.coalesce(F.size(F.filter("__bounds", lambda x: x <= F.col(_T))), F.lit(0))
+    part = F.when(F.col("__bounds").isNull(), F.lit(0)).otherwise(part)
+    return u.withColumn(_S, F.col(_S) * F.lit(1024).cast("long") + part).drop("__bounds")
+
+
+def _carry_rows(u: DataFrame, grid: DataFrame, kn: list[str], valid_to: str, end_ntz: bool) -> DataFrame:
+    """For every slice of ``grid`` after the first of a hot key: the newest
+    version that started in an earlier slice, as a row sorting before the
+    slice's rows. "Newest" is the scan's own order: start, then end (open last).
+    Only versions of hot keys take part; the window runs over the slices of one
+    key (about ``rows / max_rows_per_group`` of them)."""
     end = F.coalesce(ts_to_us(F.col(f"{_V}.{valid_to}"), end_ntz), F.lit(2**63 - 1))
     per_slice = (u.filter((F.col(_KIND) == 0) & F.col(_HOT))
                   .groupBy(*kn, _S)
                   .agg(F.max_by(F.col(_V), F.struct(F.col(_T), end)).alias("__last")))
-    grid = hot.select(*kn, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias(_S))
     w = Window.partitionBy(*kn).orderBy(_S).rowsBetween(Window.unboundedPreceding, -1)
     carried = (grid.join(per_slice, on=kn + [_S], how="left")
                    .select(*kn, _S, F.last("__last", ignorenulls=True).over(w).alias(_V)))

@@ -23,9 +23,10 @@ def _newest_first(order_by: OrderSpec) -> list[Column]:
     return [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order_by]
 
 
-def _present(df: DataFrame, order_by: OrderSpec) -> list[Column | str]:
-    names = set(df.columns)
-    return [c for c in order_by if not isinstance(c, str) or c in names]
+def _check_order(df: DataFrame, order_by: OrderSpec) -> None:
+    missing = [c for c in order_by if isinstance(c, str) and c not in df.columns]
+    if missing:
+        raise ValueError(f"no order without the columns {missing}: rows of equal {[c for c in order_by if c not in missing]} have no first")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: OrderSpec = LATEST_ORDER) -> DataFrame:
@@ -37,9 +38,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: OrderSpec = LAT
     holds a third of all rows costs one row per task in the exchange, not a
     third of the data in one reducer. ``order_by`` must be a total order for a
     deterministic result; the bronze default is ingestion time, then source
-    commit time, then source offset.
+    commit time, then source offset. A table without one of the named columns
+    is refused.
     """
-    order = _newest_first(_present(df, order_by))
+    _check_order(df, order_by)
+    order = _newest_first(order_by)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
@@ -124,7 +127,9 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
 def upsert_ordered(target: DataFrame, updates: DataFrame, keys: Sequence[str],
                    order_by: OrderSpec = LATEST_ORDER) -> DataFrame:
     """Upsert in which an update replaces a target row only if it is not older
-    (used with a look-back window, where re-read rows may be stale)."""
+    (rows that arrive late, or are read again, may be stale). The target must
+    hold the order columns, and its deleted keys as rows: else a change older
+    than a key's delete would bring the key back."""
     cols = target.columns
     both = target.select(*cols).unionByName(updates.select(*cols))
     return latest_per_key(both, keys, order_by)

@@ -4,8 +4,9 @@ the data is clean), so a pipeline can count, store or fail on them."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,7 +33,11 @@ def violations_fk(child: DataFrame, parent: DataFrame, child_keys: Sequence[str]
 
 def violations_domain(df: DataFrame, col: str, allowed: Sequence[str]) -> DataFrame:
     """Rows whose non-NULL value is outside the accepted values."""
-    return df.filter(F.col(col).isNotNull() & ~F.col(col).isin(list(allowed)))
+    return df.filter(outside(col, allowed))
+
+
+def outside(col: str, allowed: Sequence[str]) -> Column:
+    return F.col(col).isNotNull() & ~F.col(col).isin(list(allowed))
 
 
 def violations_balance(legs: DataFrame, key: str = "transaction_id", amount: str = "amount",
@@ -52,9 +57,12 @@ def violations_balance(legs: DataFrame, key: str = "transaction_id", amount: str
 def violations_fx(txn: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Transactions whose USD amount is not ``round(amount * rate, 2)``; a
     missing rate counts as 1."""
+    return txn.filter(fx_differs(tolerance))
+
+
+def fx_differs(tolerance: float = 0.01) -> Column:
     rate = F.coalesce(F.col("exchange_rate"), F.lit(1.0))
-    expected = F.round(F.col("amount") * rate, 2)
-    return txn.filter(F.abs(F.col("amount_in_usd") - expected) > F.lit(tolerance))
+    return F.abs(F.col("amount_in_usd") - F.round(F.col("amount") * rate, 2)) > F.lit(tolerance)
 
 
 def violations_overlap(history: DataFrame, keys: Sequence[str], valid_from: str = "valid_from",
@@ -70,3 +78,112 @@ def violations_overlap(history: DataFrame, keys: Sequence[str], valid_from: str
     flagged = history.select(*history.columns, prev_from.alias("__pf"), prev_to.alias("__pt"))
     overlap = F.col("__pf").isNotNull() & (F.col("__pt").isNull() | (F.col("__pt") > F.col(valid_from)))
     return flagged.filter(overlap).drop("__pf", "__pt")
+
+
+# --- many rules in one pass ----------------------------------------------------
+
+@dataclass(frozen=True)
+class Unique:
+    """No value of ``col`` stands in two rows (counted: values that do)."""
+    name: str
+    table: str
+    col: str
+
+
+@dataclass(frozen=True)
+class Foreign:
+    """Every value of ``col`` is one of ``parent_col`` (counted: rows without)."""
+    name: str
+    table: str
+    col: str
+    parent: str
+    parent_col: str
+
+
+@dataclass(frozen=True)
+class Rule:
+    """No row meets ``broken`` (counted: rows that do)."""
+    name: str
+    table: str
+    broken: Column
+
+
+@dataclass(frozen=True)
+class Balance:
+    """Per ``key``, debits equal credits (counted: keys that differ)."""
+    name: str
+    table: str
+    key: str
+    amount: str = "amount"
+    direction: str = "direction"
+    tolerance: float = 0.01
+
+
+def count_violations(tables: dict[str, DataFrame], rules: Sequence[Unique | Foreign | Rule | Balance]) -> DataFrame | None:
+    """``(check, n)`` of every rule whose tables are given, with one scan of
+    each table.
+
+    A row becomes one entry for each role it plays: it *holds* a key that must
+    be unique or that others refer to, it *refers* to a key, it books an amount
+    under a key, or it breaks a row rule. Entries of all tables meet in one
+    aggregate by key space and key, partial before the shuffle, so a key that a
+    third of all rows refer to is one row per task; its result is counted in a
+    second aggregate, of one row per rule. Row rules are keys without a value.
+    """
+    rules = [r for r in rules if r.table in tables and (not isinstance(r, Foreign) or r.parent in tables)]
+    if not rules:
+        return None
+    held = {(r.table, r.col) for r in rules if isinstance(r, Unique)} | {(r.parent, r.parent_col) for r in rules if isinstance(r, Foreign)}
+    place = {space: i for i, space in enumerate(sorted(held))}
+    refs = {r.name: i for i, r in enumerate(r for r in rules if isinstance(r, Foreign))}
+    sums = {r.name: len(place) + i for i, r in enumerate(r for r in rules if isinstance(r, Balance))}
+    broken = {r.name: len(place) + len(sums) + i for i, r in enumerate(r for r in rules if isinstance(r, Rule))}
+
+    def entry(space: int, key: Column, holds: int = 0, ref: int | None = None, debit: Column | None = None,
+              credit: Column | None = None) -> Column:
+        none = F.lit(None).cast("decimal(18,2)")
+        return F.struct(F.lit(space).alias("space"), key.cast("string").alias("key"), F.lit(holds).alias("holds"),
+                        F.lit(ref).cast("int").alias("ref"), (none if debit is None else debit).alias("debit"),
+                        (none if credit is None else credit).alias("credit"))
+
+    parts = None
+    for t, df in tables.items():
+        own = []
+        for (table, col), space in place.items():
+            if table == t:
+                own.append(F.when(F.col(col).isNotNull(), entry(space, F.col(col), holds=1)))
+        for r in rules:
+            if r.table != t:
+                continue
+            if isinstance(r, Foreign):
+                own.append(F.when(F.col(r.col).isNotNull(), entry(place[r.parent, r.parent_col], F.col(r.col), ref=refs[r.name])))
+            elif isinstance(r, Balance):
+                amount = F.col(r.amount).cast("decimal(18,2)")
+                side = lambda d, r=r, amount=amount: F.when(F.col(r.direction) == d, amount)
+                own.append(entry(sums[r.name], F.col(r.key), debit=side("debit"), credit=side("credit")))
+            elif isinstance(r, Rule):
+                own.append(F.when(r.broken, entry(broken[r.name], F.lit(None), holds=1)))
+        if own:
+            rows = df.select(F.explode(F.filter(F.array(*own), lambda x: x.isNotNull())).alias("e")).select("e.*")
+            parts = rows if parts is None else parts.unionByName(rows)
+    by_key = parts.groupBy("space", "key").agg(
+        F.sum("holds").alias("holds"), F.sum("debit").alias("debit"), F.sum("credit").alias("credit"),
+        *[F.count(F.when(F.col("ref") == i, 1)).alias(f"r{i}") for i in refs.values()])
+    d, c = F.coalesce("debit", F.lit(0)), F.coalesce("credit", F.lit(0))
+    counts = []
+    for r in rules:
+        space = {Unique: lambda: place[r.table, r.col], Foreign: lambda: place[r.parent, r.parent_col],
+                 Balance: lambda: sums[r.name], Rule: lambda: broken[r.name]}[type(r)]()
+        here = F.col("space") == space
+        if isinstance(r, Unique):
+            n = F.count(F.when(here & (F.col("holds") > 1), 1))
+        elif isinstance(r, Foreign):
+            n = F.coalesce(F.sum(F.when(here & (F.col("holds") == 0), F.col(f"r{refs[r.name]}"))), F.lit(0))
+        elif isinstance(r, Balance):
+            n = F.count(F.when(here & (F.abs(d - c) > F.lit(r.tolerance)), 1))
+        else:
+            n = F.coalesce(F.sum(F.when(here, F.col("holds"))), F.lit(0))
+        counts.append(n.cast("long").alias(r.name))
+    one = by_key.agg(*counts)
+    each = F.array(*[F.struct(F.lit(r.name).alias("check"), F.col(r.name).alias("n")) for r in rules])
+    return one.select(F.explode(each).alias("x")).select("x.check", "x.n")

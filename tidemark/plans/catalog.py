@@ -4,29 +4,32 @@ is in :mod:`tidemark.plans.oracle`."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CHANNELS, scratch_path, topic_of
+from ..config import CHANNELS, TABLES, scratch_path, topic_of
 from ..functions.cdc import for_topic, parse_changes, split_corrupt, table_of, unwrap_envelope
 from ..functions.time import ms_to_ts, ts_lit, ts_to_ms
 from ..operators.asof import as_of_join
-from ..operators.latest import drop_replays, latest_per_key, live_rows
+from ..operators.latest import drop_replays, high_water_mark, latest_per_key, live_rows
 from ..operators.quality import (violations_balance, violations_domain, violations_fk, violations_fx,
                                  violations_overlap, violations_unique)
 from ..operators.scd2 import snapshot_check, snapshot_timestamp
-from ..schemas import BRONZE_SCHEMAS, CHANGE_SCHEMAS
-from ..sources.files import load_new_files
+from ..schemas import BRONZE_SCHEMAS, CHANGE_SCHEMAS, ROW_FIELDS
+from ..sources.files import load_new_files, read_rejects
 from ..sources.tables import backfill_bronze, publish, read_bronze, write_text
 from ..streaming.ingest import ingest_batch
 from . import fixtures as fx
 from .gold import (credit_legs, debit_legs, dim_accounts, dim_banks, dim_customers, fct_transactions,
                    transactions_as_of, transactions_reporting)
-from .pipeline import PipelineConfig, check_counts, read_gold, run_pipeline
-from .silver import (build_silver, silver_accounts, silver_customers, silver_transaction_legs,
-                     silver_transactions)
+from .pipeline import (PipelineConfig, check_counts, read_gold, read_history, read_silver, run_gold, run_load, run_pipeline,
+                       run_silver, run_snapshots)
+from .silver import (build_silver, live, silver_accounts, silver_customers, silver_state,
+                     silver_transaction_legs, silver_transactions)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -201,7 +204,8 @@ def q_snapshot_op_filter(spark, sf):
 @query("high_water_mark")
 def q_high_water_mark(spark, sf):
     target = build_silver("accounts", fx.before(fx.bronze_accounts(spark, sf), fx.CUT_1))
-    return target.agg(F.max("ingested_at").alias("mark"))
+    mark = high_water_mark(target)
+    return spark.range(1).select((ts_lit(mark) if mark is not None else F.lit(None).cast("timestamp_ntz")).alias("mark"))
 
 
 @query("silver_incremental")
@@ -222,6 +226,49 @@ def q_silver_upsert(spark, sf):
     return build_silver("accounts", bronze, t1, apply_deletes=False)
 
 
+def _late(df):
+    """Changes that reach bronze late: every seventh, whatever its time."""
+    return df.filter(F.col("source_offset") % 7 == 0)
+
+
+def _on_time(df):
+    return df.filter(F.col("source_offset") % 7 != 0)
+
+
+@query("silver_late")
+def q_silver_late(spark, sf):
+    """Accounts and transactions staged as files in two waves, the second with
+    older ingestion times than the newest of the first; load and silver run
+    after each, without a look-back: equals a full refresh. Transactions use the
+    partitioned layout."""
+    root = scratch_path(spark, "silver_late")
+    cfg = PipelineConfig(root=root, staged=f"{root}/staged", silver_tables=("accounts", "transactions"),
+                         silver_partitions={"transactions": "floor(transaction_id / 10000)"})
+    logs = {"accounts": fx.bronze_accounts(spark, sf), "transactions": fx.bronze_transactions(spark, sf)}
+    for wave, part in (("first", _on_time), ("late", _late)):
+        for table, df in logs.items():
+            _stage(part(df), table, f"{root}/staged/{table}/{wave}")
+        run_load(spark, cfg)
+        run_silver(spark, cfg)
+    keep = ["amount_or_balance", "cdc_op", "ingested_at", "ingestion_date"]
+    acc = read_silver(spark, cfg, "accounts").withColumns({"table_name": F.lit("accounts"), "row_key": F.col("account_id"),
+                                                           "amount_or_balance": F.col("balance")})
+    txn = read_silver(spark, cfg, "transactions").withColumns({"table_name": F.lit("transactions"), "row_key": F.col("transaction_id"),
+                                                               "amount_or_balance": F.col("amount")})
+    out = acc.select("table_name", "row_key", *keep).unionByName(txn.select("table_name", "row_key", *keep))
+    return out.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
+
+
+@query("silver_lookback")
+def q_silver_lookback(spark, sf):
+    """By mark, with a look-back: the late changes of the time before cut 2
+    arrive after it and are found by reading two months below the mark. Stale
+    ones do not win, nor bring deleted keys back: equals a full refresh."""
+    bronze = fx.bronze_accounts(spark, sf)
+    state = silver_state("accounts", fx.before(_on_time(bronze), fx.CUT_2))
+    return live(silver_state("accounts", bronze, state, lookback=dt.timedelta(days=62)))
+
+
 # --- change parsing (B1-B8, B11) ---------------------------------------------
 
 def _accounts_topic(spark, sf, **kw):
@@ -361,6 +408,53 @@ def q_ingest_transactions(spark, sf):
     return out
 
 
+@query("ingest_envelope_quarantine")
+def q_ingest_envelope_quarantine(spark, sf):
+    """Unflattened events, some truncated, some with a field of the wrong type:
+    both kinds go to the quarantine, the rest to bronze."""
+    root = scratch_path(spark, "envelope_quarantine")
+    ingest_batch(fx.change_messages(spark, sf, corrupt=True, envelope=True), 0, bronze_root=f"{root}/bronze",
+                 dead_letter_root=f"{root}/dead", quarantine_root=f"{root}/bad", envelope=True, at=fx.CUT_1)
+    out = None
+    for t, key in (("accounts", "account_id"), ("transactions", "transaction_id")):
+        good = read_bronze(spark, t, f"{root}/bronze/{t}").select(
+            F.lit("bronze").alias("place"), F.lit(t).alias("table_name"), "source_partition", "source_offset",
+            F.col(key).alias("row_key"), "cdc_op")
+        bad = spark.read.parquet(f"{root}/bad/{t}").select(
+            F.lit("quarantine").alias("place"), F.lit(t).alias("table_name"), "source_partition", "source_offset",
+            F.lit(None).cast("int").alias("row_key"), F.lit(None).cast("string").alias("cdc_op"))
+        both = good.unionByName(bad)
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+@query("ingest_all_topics")
+def q_ingest_all_topics(spark, sf):
+    """The messages of all five topics, delivered twice under one batch number:
+    bronze and the quarantine hold each once; and again with strict parsing,
+    where the accounts slice goes to the dead letters, once. All outputs."""
+    root = scratch_path(spark, "all_topics")
+    msgs = fx.change_messages(spark, sf, corrupt=True, tables=tuple(TABLES)).persist(StorageLevel.MEMORY_AND_DISK)
+    for _ in range(2):
+        ingest_batch(msgs, 0, bronze_root=f"{root}/bronze", dead_letter_root=f"{root}/dead", at=fx.CUT_1,
+                     quarantine_root=f"{root}/bad", ledger=f"{root}/units")
+        ingest_batch(msgs, 0, bronze_root=f"{root}/strict/bronze", dead_letter_root=f"{root}/dead", at=fx.CUT_1,
+                     topics=[topic_of("accounts"), topic_of("banks")], parse_mode="FAILFAST", ledger=f"{root}/strict/units")
+    msgs.unpersist()
+    out = None
+    for t, fields in ROW_FIELDS.items():
+        for place in ("bronze", *(["strict/bronze"] if t == "banks" else [])):
+            b = read_bronze(spark, t, f"{root}/{place}/{t}").select(
+                F.lit(place).alias("place"), F.lit(t).alias("table_name"), F.col(fields[0][0]).alias("row_key"), "cdc_op", "source_ts_ms",
+                "source_partition", "source_offset", "ingestion_date")
+            out = b if out is None else out.unionByName(b)
+    bad = spark.read.parquet(f"{root}/bad/accounts").select(F.lit("quarantine").alias("place"), F.lit("accounts").alias("table_name"),
+                                                          "source_partition", "source_offset")
+    dead = spark.read.parquet(f"{root}/dead/accounts").select(F.lit("dead_letter").alias("place"), F.lit("accounts").alias("table_name"),
+                                                            F.col("offset").alias("source_offset"))
+    return out.unionByName(bad, allowMissingColumns=True).unionByName(dead, allowMissingColumns=True)
+
+
 @query("bronze_load")
 def q_bronze_load(spark, sf):
     """Files staged in two waves; three load runs. Each file is loaded once."""
@@ -409,6 +503,29 @@ def q_load_by_name(spark, sf):
     return _loaded(spark, f"{root}/bronze", schema)
 
 
+@query("load_rejects")
+def q_load_rejects(spark, sf):
+    """Staged account files in three shapes: as declared; with ids as text and
+    balances as text, some of them no numbers; without a balance. Rows whose
+    values cannot be cast are rejected by value, all others are loaded."""
+    root = scratch_path(spark, "load_rejects")
+    schema = BRONZE_SCHEMAS["accounts"]
+    b = _as_bronze(fx.bronze_accounts(spark, sf), schema)
+    part = F.col("source_offset") % 3
+    b.filter(part == 0).write.parquet(f"{root}/stage/plain")
+    text = F.when(F.col("account_type") == "click", "n/a").otherwise(F.col("source_ts_ms").cast("string"))
+    (b.filter(part == 1).withColumns({"account_id": F.col("account_id").cast("string"), "source_ts_ms": text})
+      .write.parquet(f"{root}/stage/text"))
+    b.filter(part == 2).drop("balance").write.parquet(f"{root}/stage/short")
+    load_new_files(spark, f"{root}/stage", schema, f"{root}/bronze", f"{root}/ckpt", recursive=True)
+    good = spark.read.schema(schema).parquet(f"{root}/bronze").select(
+        F.lit("bronze").alias("place"), "account_id", "balance", "source_ts_ms", "source_offset")
+    bad = read_rejects(spark, f"{root}/ckpt").select(
+        F.lit("rejects").alias("place"), F.col("column").alias("reject_column"), F.col("value").alias("reject_value"),
+        F.regexp_extract("file", "/stage/([a-z]+)/", 1).alias("staged"), F.get_json_object("row", "$.source_offset").cast("long").alias("source_offset"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 def _as_bronze(df, schema):
     """Fixture rows in the declared bronze types (ingestion time is zoned)."""
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
@@ -499,14 +616,60 @@ def q_pipeline_checks(spark, sf):
     return check_counts(spark, cfg)
 
 
+@query("pipeline_tables")
+def q_pipeline_tables(spark, sf):
+    """Snapshots and dimensions of the same run, by table."""
+    cfg, _ = _staged_run(spark, sf)
+    acc, cus = (read_history(spark, cfg, t).withColumn("table_name", F.lit(f"snapshot_{t}")) for t in ("accounts", "customers"))
+    out = acc.select("table_name", F.col("account_id").alias("row_key"), F.col("account_type").alias("label"), "scd_id", "valid_from", "valid_to")
+    out = out.unionByName(cus.select("table_name", F.col("customer_id").alias("row_key"), F.col("email").alias("label"), "scd_id", "valid_from", "valid_to"))
+    for name, key, label in (("dim_accounts", "account_id", "account_type"), ("dim_customers", "customer_id", "email"), ("dim_banks", "bank_id", "swift_code")):
+        out = out.unionByName(read_gold(spark, cfg, name).select(F.lit(name).alias("table_name"), F.col(key).alias("row_key"),
+                                                                F.col(label).alias("label")), allowMissingColumns=True)
+    return out
+
+
+@query("gold_incremental")
+def q_gold_incremental(spark, sf):
+    """The fact after two runs, of which the second rewrites only the partitions
+    that late and new changes reach: account and customer versions of both
+    runs, transactions and legs that arrive late."""
+    root = scratch_path(spark, "gold_incremental")
+    cfg = PipelineConfig(root=root, run_at=fx.CHECK_RUN_2, gold_partitions="floor(transaction_id / 1000)",
+                         silver_partitions={"transactions": "floor(transaction_id / 10000)"})
+    acc, cus = fx.bronze_accounts(spark, sf), fx.bronze_customers(spark, sf)
+    txn, legs, banks = fx.bronze_transactions(spark, sf), _by_month(fx.bronze_transaction_legs(spark, sf)), fx.bronze_banks(spark, sf)
+    cut = lambda df: F.col("ingested_at") < ts_lit(fx.SNAPSHOT_CUT)
+    waves = [{"accounts": acc.filter(cut(acc)), "customers": cus.filter(cut(cus)), "transactions": _on_time(txn),
+              "transaction_legs": _on_time(legs), "banks": banks},
+             {"accounts": acc.filter(~cut(acc)), "customers": cus.filter(~cut(cus)), "transactions": _late(txn),
+              "transaction_legs": _late(legs)}]
+    for wave in waves:
+        for table, df in wave.items():
+            backfill_bronze(_as_bronze(df, BRONZE_SCHEMAS[table]), cfg.path("bronze", table))
+        run_silver(spark, cfg)
+        run_snapshots(spark, cfg, cfg.run_at)
+        run_gold(spark, cfg)
+    return read_gold(spark, cfg, "fct_transactions")
+
+
+def _by_month(df):
+    """Leg changes filed under their month: the fixture's legs span 2,500 days
+    of a few rows each, and a folder for each day is all that a run would write."""
+    return df.withColumn("ingestion_date", F.trunc("ingestion_date", "MONTH"))
+
+
+def _stage(df, table, path):
+    df.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_SCHEMAS[table].fields]).write.parquet(path)
+
+
 def _staged_run(spark, sf):
     root = scratch_path(spark, "pipeline")
     logs = {"accounts": fx.bronze_accounts(spark, sf), "customers": fx.bronze_customers(spark, sf),
             "transactions": fx.bronze_transactions(spark, sf),
-            "transaction_legs": fx.bronze_transaction_legs(spark, sf), "banks": fx.bronze_banks(spark, sf)}
+            "transaction_legs": _by_month(fx.bronze_transaction_legs(spark, sf)), "banks": fx.bronze_banks(spark, sf)}
     for table, df in logs.items():
-        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_SCHEMAS[table].fields])
-        rows.write.parquet(f"{root}/staged/{table}")
+        _stage(df, table, f"{root}/staged/{table}")
     # transactions use the partitioned silver layout (ids grow with time), the rest versioned tables
     cfg = PipelineConfig(root=root, staged=f"{root}/staged", run_at=fx.CHECK_RUN_2,
                          silver_partitions={"transactions": "floor(transaction_id / 10000)"})

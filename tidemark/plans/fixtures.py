@@ -94,7 +94,7 @@ def bronze_accounts(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (
     )
 
 
-def bronze_customers(spark: SparkSession, sf_dir: str, view_op: str | None = "u") -> DataFrame:
+def bronze_customers(spark: SparkSession, sf_dir: str, view_op: str | None = "u", extra: tuple[str, ...] = ()) -> DataFrame:
     """Customer change log: customer = user_id % 50."""
     return table(spark, sf_dir, "events").selectExpr(
         "CAST(user_id % 50 AS INT) AS customer_id",
@@ -107,6 +107,7 @@ def bronze_customers(spark: SparkSession, sf_dir: str, view_op: str | None = "u"
         f"{_ms('ts')} AS updated_at",
         f"{_op_of_event(view_op)} AS cdc_op",
         *_position("ts", "event_id"),
+        *_extra(extra),
     )
 
 
@@ -223,28 +224,43 @@ TRUNCATED_PROPS = '{"k": 13}'   # these account messages lose their tail
 WRONG_TYPE_PROPS = '{"k": 42}'  # these carry a text balance
 
 
-def _rows_with_events(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """Bronze change rows of ``table`` plus the event columns the renderer needs."""
+def _message_rows(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Bronze change rows of ``table`` with the stream position of their
+    messages: ``__partition``, ``__offset``, ``__at``, and ``__props``."""
     extra = ("user_id", "props", "event_type", "ts")
     if table == "accounts":
-        return bronze_accounts(spark, sf_dir, extra).filter("ev_event_type <> 'purchase'")
-    return bronze_transactions(spark, sf_dir, extra)
+        r = bronze_accounts(spark, sf_dir, extra).filter("ev_event_type <> 'purchase'")
+    elif table == "customers":
+        r = bronze_customers(spark, sf_dir, extra=extra)
+    elif table == "transactions":
+        r = bronze_transactions(spark, sf_dir, extra)
+    elif table == "transaction_legs":
+        r = bronze_transaction_legs(spark, sf_dir)
+        return r.withColumns({"__partition": (F.col("transaction_id") % 4).cast("int"), "__offset": F.col("source_offset") * 2,
+                              "__at": F.col("ingested_at").cast("timestamp"), "__props": F.lit(None).cast("string")})
+    else:
+        r = bronze_banks(spark, sf_dir)
+        return r.withColumns({"__partition": F.lit(0), "__offset": F.col("source_offset").cast("long") * 2,
+                              "__at": F.col("ingested_at").cast("timestamp"), "__props": F.lit(None).cast("string")})
+    return r.withColumns({"__partition": (F.col("ev_user_id") % 4).cast("int"), "__offset": F.col("source_offset") * 2,
+                          "__at": F.col("ev_ts").cast("timestamp"), "__props": F.col("ev_props")})
 
 
 def change_messages(spark: SparkSession, sf_dir: str, *, corrupt: bool = False,
-                    envelope: bool = False) -> DataFrame:
+                    envelope: bool = False, tables: tuple[str, ...] = STREAM_TABLES) -> DataFrame:
     """Stream-shaped rows (topic, partition, offset, timestamp, value) for the
-    accounts (non-purchase events) and transactions (purchase events) topics.
-    Each message is the flattened change record as JSON (or the unflattened
-    envelope); every account delete is followed by a tombstone (NULL value).
-    Offsets: 2 * event_id for the change, 2 * event_id + 1 for its tombstone.
-    ``corrupt`` truncates some account messages and mistypes a field in others.
+    topics of ``tables`` (default: accounts, from non-purchase events, and
+    transactions, from purchase events). Each message is the flattened change
+    record as JSON (or the unflattened envelope); every account delete is
+    followed by a tombstone (NULL value). Offsets: twice the change's, and one
+    more for its tombstone. ``corrupt`` truncates some account messages and
+    mistypes a field in others.
     """
     from ..config import topic_of
     from ..schemas import ROW_FIELDS
     parts = []
-    for t in STREAM_TABLES:
-        r = _rows_with_events(spark, sf_dir, t)
+    for t in tables:
+        r = _message_rows(spark, sf_dir, t)
         row = F.struct(*[F.col(n) for n, _ in ROW_FIELDS[t]])
         if envelope:
             is_del = F.col("cdc_op") == "d"
@@ -261,16 +277,16 @@ def change_messages(spark: SparkSession, sf_dir: str, *, corrupt: bool = False,
         r = r.withColumn("__text", F.to_json(body))
         text = F.col("__text")
         if corrupt and t == "accounts":
-            text = (F.when(F.col("ev_props") == TRUNCATED_PROPS,
+            text = (F.when(F.col("__props") == TRUNCATED_PROPS,
                            F.expr("substring(__text, 1, length(__text) - 5)"))
-                     .when(F.col("ev_props") == WRONG_TYPE_PROPS,
+                     .when(F.col("__props") == WRONG_TYPE_PROPS,
                            F.regexp_replace(text, r'"balance":[^,}]*', '"balance":"n/a"'))
                      .otherwise(text))
         msg = r.select(
             F.lit(topic_of(t)).alias("topic"),
-            (F.col("ev_user_id") % 4).cast("int").alias("partition"),
-            (F.col("source_offset") * 2).alias("offset"),
-            F.col("ev_ts").cast("timestamp").alias("timestamp"),
+            F.col("__partition").alias("partition"),
+            F.col("__offset").alias("offset"),
+            F.col("__at").alias("timestamp"),
             text.cast("binary").alias("value"),
             F.col("cdc_op"))
         if t == "accounts":
@@ -279,4 +295,7 @@ def change_messages(spark: SparkSession, sf_dir: str, *, corrupt: bool = False,
                 F.lit(None).cast("binary").alias("value"), "cdc_op")
             msg = msg.unionByName(tomb)
         parts.append(msg.drop("cdc_op"))
-    return parts[0].unionByName(parts[1])
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

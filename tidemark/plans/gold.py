@@ -16,6 +16,7 @@ from ..functions.time import epoch_us
 from ..operators.asof import DEFAULT_MAX_ROWS_PER_GROUP, as_of_join, key_stats
 from ..operators.joins import DEFAULT_MAX_ROWS_PER_KEY, left_join_fanout
 from ..operators.latest import LATEST_ORDER, live_rows
+from ..operators.overlap import overlap_histories, shared_points
 from ..operators.scd2 import current
 
 TXN_COLS = ["transaction_id", "transaction_type", "amount", "currency", "exchange_rate",
@@ -58,15 +59,30 @@ def debit_legs(legs: DataFrame) -> DataFrame:
 
 def transactions_as_of(transactions: DataFrame, accounts_history: DataFrame,
                        customers_history: DataFrame,
-                       max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP) -> DataFrame:
+                       max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP, *,
+                       combined: bool | None = False) -> DataFrame:
     """Transactions with struct columns ``a`` (account version at the
     transaction time) and ``c`` (customer version, found through the matched
-    account's customer_id, at the same time)."""
+    account's customer_id, at the same time).
+
+    Two ways give the same rows. ``combined``: the two histories are overlapped
+    into one (:func:`~tidemark.operators.overlap.overlap_histories`) and the
+    transactions pass one as-of join: one shuffle and sort of the fact. Else
+    they pass two, which is right where the overlap would be larger than the
+    fact: many accounts that share customers with many versions. None: counted
+    and decided here (for tables that are read from files)."""
     t = transactions.select(*TXN_COLS, "account_id")
     acc = accounts_history.select("account_id", "customer_id", "account_type", "balance",
                                   "currency", "valid_from", "valid_to")
     cus = customers_history.select("customer_id", "full_name", "nationality", "email",
                                    "valid_from", "valid_to")
+    if combined is None:
+        combined = shared_points(acc, cus, "account_id", "customer_id") + acc.count() <= transactions.count()
+    if combined:
+        both = overlap_histories(acc, cus, "account_id", "customer_id", left_as="a", right_as="c")
+        found = as_of_join(t, both, "account_id", "account_id", "transaction_created_at", as_="__both",
+                           max_rows_per_group=max_rows_per_group)
+        return found.select(*t.columns, F.col("__both.a").alias("a"), F.col("__both.c").alias("c"))
     acc_stats = cus_stats = None
     if max_rows_per_group:
         per_account = key_stats(t, ["account_id"], epoch_us(t, "transaction_created_at"))

@@ -494,3 +494,82 @@ SELECT customer_id, source_offset, valid_from FROM (
         FROM ({BRONZE_CUSTOMERS}) b) h
   WINDOW w AS (PARTITION BY customer_id ORDER BY valid_from, valid_to NULLS LAST)) x
 WHERE prev_from IS NOT NULL AND (prev_to IS NULL OR prev_to > valid_from)""")
+
+
+# --- late changes, rejects, all topics -------------------------------------------------
+
+register("silver_late", f"""
+SELECT 'accounts' AS table_name, account_id AS row_key, balance AS amount_or_balance, cdc_op, ingested_at, ingestion_date
+FROM ({silver_accounts_sql()}) a
+UNION ALL
+SELECT 'transactions', transaction_id, amount, cdc_op, ingested_at, ingestion_date FROM ({silver_transactions_sql()}) t""")
+register("silver_lookback", silver_accounts_sql())
+
+register("load_rejects", f"""
+SELECT 'bronze' AS place, account_id, CASE WHEN source_offset % 3 <> 2 THEN balance END AS balance, source_ts_ms, source_offset,
+       CAST(NULL AS VARCHAR) AS reject_column, CAST(NULL AS VARCHAR) AS reject_value, CAST(NULL AS VARCHAR) AS staged
+FROM ({BRONZE_ACCOUNTS}) b WHERE NOT (source_offset % 3 = 1 AND account_type = 'click')
+UNION ALL
+SELECT 'rejects', NULL, NULL, NULL, source_offset, 'source_ts_ms', 'n/a', 'text'
+FROM ({BRONZE_ACCOUNTS}) b WHERE source_offset % 3 = 1 AND account_type = 'click'""")
+
+register("ingest_envelope_quarantine", f"""
+SELECT 'bronze' AS place, 'accounts' AS table_name, {PART} AS source_partition, source_offset * 2 AS source_offset,
+       account_id AS row_key, cdc_op
+FROM ({_acc_msgs(f"({BAD_PROPS}) IS NOT TRUE")}) m
+UNION ALL
+SELECT 'bronze', 'accounts', {PART}, source_offset * 2 + 1, NULL, NULL FROM ({_acc_msgs("cdc_op = 'd'")}) m
+UNION ALL
+SELECT 'quarantine', 'accounts', {PART}, source_offset * 2, NULL, NULL FROM ({_acc_msgs(BAD_PROPS)}) m
+UNION ALL
+SELECT 'bronze', 'transactions', account_id % 4, source_offset * 2, transaction_id, cdc_op FROM ({BRONZE_TRANSACTIONS}) t""")
+
+AT = "DATE '2024-01-15'"
+CUS_MSGS = BRONZE_CUSTOMERS.replace("\n  FROM events", ", user_id AS ev_user_id\n  FROM events")
+BANK_ROWS = f"bank_id, cdc_op, source_ts_ms, 0, source_offset * 2, {AT} FROM ({BRONZE_BANKS}) b"
+register("ingest_all_topics", f"""
+SELECT 'bronze' AS place, 'accounts' AS table_name, account_id AS row_key, cdc_op, source_ts_ms, {PART} AS source_partition,
+       source_offset * 2 AS source_offset, {AT} AS ingestion_date
+FROM ({_acc_msgs(f"({BAD_PROPS}) IS NOT TRUE")}) m
+UNION ALL
+SELECT 'bronze', 'accounts', NULL, NULL, NULL, {PART}, source_offset * 2 + 1, {AT} FROM ({_acc_msgs("cdc_op = 'd'")}) m
+UNION ALL
+SELECT 'bronze', 'customers', customer_id, cdc_op, source_ts_ms, {PART}, source_offset * 2, {AT} FROM ({CUS_MSGS}) c
+UNION ALL
+SELECT 'bronze', 'transactions', transaction_id, cdc_op, source_ts_ms, account_id % 4, source_offset * 2, {AT} FROM ({BRONZE_TRANSACTIONS}) t
+UNION ALL
+SELECT 'bronze', 'transaction_legs', leg_id, cdc_op, source_ts_ms, transaction_id % 4, source_offset * 2, {AT} FROM ({BRONZE_LEGS}) l
+UNION ALL
+SELECT 'bronze', 'banks', {BANK_ROWS}
+UNION ALL
+SELECT 'strict/bronze', 'banks', {BANK_ROWS}
+UNION ALL
+SELECT 'quarantine', 'accounts', NULL, NULL, NULL, {PART}, source_offset * 2, NULL FROM ({_acc_msgs(BAD_PROPS)}) m
+UNION ALL
+SELECT 'dead_letter', 'accounts', NULL, NULL, NULL, NULL, source_offset * 2, NULL FROM ({_acc_msgs()}) m
+UNION ALL
+SELECT 'dead_letter', 'accounts', NULL, NULL, NULL, NULL, source_offset * 2 + 1, NULL FROM ({_acc_msgs("cdc_op = 'd'")}) m""")
+
+_SNAP = "CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP)"
+register("pipeline_tables", f"""{RUN_CTES}
+SELECT 'snapshot_accounts' AS table_name, account_id AS row_key, account_type AS label, {scd_id(['account_id'], 'valid_from')} AS scd_id,
+       valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM a
+UNION ALL
+SELECT 'snapshot_customers', customer_id, email, {scd_id(['customer_id'], 'valid_from')}, valid_from, NULL FROM c
+UNION ALL SELECT 'dim_accounts', account_id, account_type, {_SNAP} FROM a
+UNION ALL SELECT 'dim_customers', customer_id, email, {_SNAP} FROM c
+UNION ALL SELECT 'dim_banks', bank_id, swift_code, {_SNAP} FROM banks""")
+
+# versions of both runs; a version of the first may end long before the second opens none
+register("gold_incremental", f"""
+WITH t AS ({silver_transactions_sql()}),
+     ah AS ({SQL['snapshot_ts_accounts']}),
+     ch AS ({SQL['snapshot_ts_customers']}),
+     legs AS ({silver_legs_sql()})
+SELECT {TXN_SEL}, {FACT_SEL}, {RECEIVER}
+FROM t
+LEFT JOIN ah a ON a.account_id = t.account_id AND a.valid_from <= t.transaction_created_at
+  AND (a.valid_to IS NULL OR a.valid_to > t.transaction_created_at)
+LEFT JOIN ch c ON c.customer_id = a.customer_id AND c.valid_from <= t.transaction_created_at
+  AND (c.valid_to IS NULL OR c.valid_to > t.transaction_created_at)
+{CREDITS}""")

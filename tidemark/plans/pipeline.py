@@ -1,12 +1,24 @@
 """One pipeline run: bronze -> silver -> snapshots -> gold -> checks, strictly
-in that order. Every layer is written before the next one reads it, so each
-stage starts from files (the lineage is cut at every layer) and a failed stage
-can be re-run on its own."""
+in that order; the tables of a layer are brought up to date side by side. Every
+layer is written before the next one reads it, so each stage starts from files
+(the lineage is cut at every layer).
+
+Silver follows bronze as a change source: every bronze file is read once,
+whenever it appears and whatever ingestion times its rows carry, and a row only
+replaces an older one. Gold is recomputed, or (``gold_partitions``) only in the
+partitions of the fact that the run's changes reach.
+
+A run keeps a ledger of the outputs its stages committed and of its run time. A
+run that was killed is taken up by the next call: finished stages are not done
+again, and a stage that had committed without being recorded finds that out.
+"""
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import threading
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -14,17 +26,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ACCOUNT_STATUSES, ACCOUNT_TYPES, CHANNELS, DIRECTIONS, STATUSES, TABLES, TRANSACTION_TYPES
-from ..operators.quality import (violations_balance, violations_domain, violations_fk,
-                                 violations_fx, violations_overlap, violations_unique)
+from ..operators.latest import AUTO, drop_deleted, new_rows
+from ..operators.quality import Balance, Foreign, Rule, Unique, count_violations, fx_differs, outside, violations_overlap
 from ..operators.scd2 import first_snapshot, snapshot_check_open, snapshot_timestamp_open
 from ..functions.time import max_ts, ts_lit, type_name
-from ..operators.latest import AUTO, drop_deleted, new_rows
 from ..schemas import BRONZE_SCHEMAS
-from ..sources.files import load_new_files, skipped_files
-from ..sources.tables import (HistoryTable, VersionedTable, ensure_bronze, path_exists, publish, read_bronze,
-                              read_text, upsert_partitions, write_text)
+from ..sources.commit import Unit
+from ..sources.files import follow_table, load_new_files, skipped_files
+from ..sources.tables import (HistoryTable, PartitionedTable, VersionedTable, ensure_bronze, path_exists,
+                              numbered, read_bronze, read_text, write_text)
 from . import gold
-from .silver import MODELS, build_silver, silver_changes
+from .silver import STATE_EXTRA, live, newer_of, newest_changes
 
 SNAPSHOTS = {
     # table: (key, updated_at column, snapshotted columns, check columns)
@@ -45,8 +57,9 @@ class PipelineConfig:
     staged: str | None = None                # folder of staged change files, one sub-folder per table
     run_at: _dt.datetime | None = None       # run time (check strategy, hard deletes)
     apply_deletes: bool = True               # False: original merge, deletes survive until a full refresh
-    strict_mark: bool = False                # True: original "> mark"
-    lookback: _dt.timedelta | None = None    # re-read this far below the mark (files loaded late)
+    silver_source: str = "changes"           # every bronze file once; "mark": rows above a high-water mark
+    strict_mark: bool = False                # original "> mark" (reads by mark)
+    lookback: _dt.timedelta | None = None    # re-read this far below the mark (reads by mark)
     snapshot_strategy: str = "timestamp"     # or "check"
     snapshot_ops: tuple[str, ...] | None = None   # e.g. ("u", "c")
     gold_mode: str = "overwrite"             # "append" reproduces key-less incremental gold
@@ -55,11 +68,71 @@ class PipelineConfig:
     # it and rewrite only touched partitions per run (e.g. for append-mostly
     # tables with increasing ids: {"transactions": "floor(transaction_id / 1000000)"})
     silver_partitions: dict[str, str] = field(default_factory=dict)
-    extra: dict = field(default_factory=dict)
+    # SQL expression of transaction_id (a whole number) by which the fact and
+    # the reporting table are partitioned: a run then rewrites only the
+    # partitions its changes reach. None: both are recomputed.
+    gold_partitions: str | None = None
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
+    @property
+    def by_mark(self) -> bool:
+        return self.silver_source == "mark" or self.strict_mark or self.lookback is not None
+
+
+def side_by_side(work: dict[str, Callable]) -> dict:
+    """Results of independent stages, run at once; the first failure is raised
+    after all have ended."""
+    if not work:
+        return {}
+    with ThreadPoolExecutor(len(work)) as pool:
+        found = {name: pool.submit(do) for name, do in work.items()}
+    return {name: f.result() for name, f in found.items()}
+
+
+class RunLedger:
+    """Progress of one pipeline run, in ``<root>/_run.json`` (replaced in one
+    step): its number, run time, and what each finished stage gave."""
+
+    def __init__(self, spark: SparkSession, cfg: PipelineConfig):
+        self.spark, self.file, self.lock = spark, cfg.path("_run.json"), threading.Lock()
+        found = json.loads(read_text(spark, self.file)) if path_exists(spark, self.file) else None
+        if found is None or found["finished"]:
+            at = cfg.run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+            found = {"run": found["run"] + 1 if found else 1, "run_at": at.isoformat(), "done": {}, "finished": False}
+            self.state = found
+            self._write()
+        self.state = found
+
+    @property
+    def run(self) -> int:
+        return self.state["run"]
+
+    @property
+    def run_at(self) -> _dt.datetime:
+        return _dt.datetime.fromisoformat(self.state["run_at"])
+
+    @property
+    def tag(self) -> str:
+        return f"run-{self.run}"
+
+    def _write(self) -> None:
+        write_text(self.spark, self.file, json.dumps(self.state))
+
+    def stage(self, name: str, do: Callable):
+        """The result of ``do()``, or what the stage gave before it was cut off."""
+        if name not in self.state["done"]:
+            out = do()
+            with self.lock:
+                self.state["done"][name] = out
+                self._write()
+        return self.state["done"][name]
+
+    def finish(self) -> None:
+        self.state["finished"] = True
+        self._write()
+
 
 def _bronze(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame | None:
     p = cfg.path("bronze", table)
@@ -70,13 +143,11 @@ def run_load(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     """Load the files staged for each table since the last run into its bronze
     table; returns the rows loaded. The streams of the five tables run side by
     side. Files that gave no rows: :func:`read_skipped`."""
-    def load(table: str) -> int:
-        return load_new_files(spark, f"{cfg.staged.rstrip('/')}/{table}", BRONZE_SCHEMAS[table], cfg.path("bronze", table),
-                              cfg.path("_load", table), recursive=True)
+    def load(table: str) -> Callable[[], int]:
+        return lambda: load_new_files(spark, f"{cfg.staged.rstrip('/')}/{table}", BRONZE_SCHEMAS[table], cfg.path("bronze", table),
+                                      cfg.path("_load", table), recursive=True)
 
-    present = [t for t in TABLES if path_exists(spark, f"{cfg.staged.rstrip('/')}/{t}")]
-    with ThreadPoolExecutor(len(TABLES)) as pool:
-        return dict(zip(present, pool.map(load, present)))
+    return side_by_side({t: load(t) for t in TABLES if path_exists(spark, f"{cfg.staged.rstrip('/')}/{t}")})
 
 
 def read_skipped(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame:
@@ -84,15 +155,62 @@ def read_skipped(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFr
     return skipped_files(spark, f"{cfg.staged.rstrip('/')}/{table}", cfg.path("_load", table), recursive=True)
 
 
-SILVER_PART = "silver_part"
+SILVER_PART, STATE, LIVE, DELETED = "silver_part", "state", "live", "deleted"
+
+
+class SilverStore:
+    """State of one silver table (see :func:`.silver.silver_state`): a versioned
+    table in which ``state=live`` is silver, or a partitioned one."""
+
+    def __init__(self, spark: SparkSession, cfg: PipelineConfig, table: str):
+        self.spark, self.table, self.path = spark, table, cfg.path("silver", table)
+        self.expr = cfg.silver_partitions.get(table)
+        self.parts = PartitionedTable(spark, self.path, SILVER_PART)
+        self.versions = VersionedTable(spark, self.path)
+        self.cfg = cfg
+
+    def _schema(self):
+        empty = newest_changes(self.table, self.spark.createDataFrame([], BRONZE_SCHEMAS[self.table]))
+        return empty.withColumn(STATE, F.lit("")).schema
+
+    def read(self) -> DataFrame | None:
+        """The newest change of every key, deletes included."""
+        if self.expr:
+            found = self.parts.read()
+            return None if found is None else found.drop(SILVER_PART)
+        at = self.versions.current_path()
+        return None if at is None else self.spark.read.schema(self._schema()).parquet(at).drop(STATE)
+
+    def read_live(self) -> DataFrame | None:
+        if self.expr:
+            found = self.read()
+            return None if found is None else live(found)
+        at = self.versions.current_path()
+        if at is None:
+            return None
+        return self.spark.read.schema(self._schema()).parquet(at).filter(F.col(STATE) == LIVE).drop(STATE, *STATE_EXTRA)
+
+    def merge(self, changes: DataFrame) -> None:
+        """Let the changes win over older ones."""
+        if self.expr:
+            self.parts.merge(changes.withColumn(SILVER_PART, F.expr(self.expr)), newer_of(self.table))
+            return
+        state = self.read()
+        merged = changes if state is None else newer_of(self.table)(state, changes)
+        flag = F.when(F.col("cdc_op") != F.lit("d"), LIVE).otherwise(DELETED)
+        self.versions.write(merged.withColumn(STATE, flag), [STATE])
+
+    def place(self) -> str | None:
+        """Folder of the live rows (the table's, if partitioned)."""
+        if self.expr:
+            return self.path
+        at = self.versions.current_path()
+        return None if at is None else f"{at}/{STATE}={LIVE}"
 
 
 def read_silver(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame | None:
     """Current silver table, whichever layout it is stored in."""
-    if table in cfg.silver_partitions:
-        p = cfg.path("silver", table)
-        return spark.read.parquet(p).drop(SILVER_PART) if path_exists(spark, f"{p}/_SUCCESS") else None
-    return VersionedTable(spark, cfg.path("silver", table)).read()
+    return SilverStore(spark, cfg, table).read_live()
 
 
 def _mark_file(cfg: PipelineConfig, table: str) -> str:
@@ -127,56 +245,100 @@ def _record_mark(spark: SparkSession, cfg: PipelineConfig, table: str, bronze: D
         write_text(spark, _mark_file(cfg, table), json.dumps({"mark": newest.isoformat()}))
 
 
-def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
-    """Bring every silver table up to date with its bronze log. Versioned
-    tables are rewritten as a new version; partitioned ones (see
-    ``PipelineConfig.silver_partitions``) only in the partitions touched.
-    The high-water mark of each table is recorded after its run, so the next
-    run reads only newer bronze partitions without scanning silver."""
-    out = {}
-    for table in cfg.silver_tables:
+def run_silver(spark: SparkSession, cfg: PipelineConfig, ledger: RunLedger | None = None) -> dict[str, str]:
+    """Bring every silver table up to date with its bronze log: by the bronze
+    files not read before or, if asked for, by the rows above a recorded mark.
+    Versioned tables are rewritten as a new version; partitioned ones (see
+    ``PipelineConfig.silver_partitions``) only in the partitions touched."""
+    def bring(table: str) -> str | None:
         bronze = _bronze(spark, cfg, table)
         if bronze is None:
-            continue
-        mark = read_mark(spark, cfg, table) if not cfg.strict_mark else AUTO
-        if table in cfg.silver_partitions:
-            out[table] = _run_partitioned_silver(spark, cfg, table, bronze, mark)
+            return None
+        store = SilverStore(spark, cfg, table)
+        if cfg.by_mark:
+            _silver_by_mark(spark, cfg, store, bronze)
         else:
-            vt = VersionedTable(spark, cfg.path("silver", table))
-            target = vt.read()
-            new = build_silver(table, bronze, target, apply_deletes=cfg.apply_deletes,
-                               strict_mark=cfg.strict_mark, lookback=cfg.lookback, mark=mark)
-            out[table] = vt.write(new)
-        _record_mark(spark, cfg, table, bronze, mark)
-    return out
-
-
-def _run_partitioned_silver(spark: SparkSession, cfg: PipelineConfig, table: str, bronze: DataFrame,
-                            mark=AUTO) -> str:
-    path = cfg.path("silver", table)
-    exists = path_exists(spark, f"{path}/_SUCCESS")
-    target = spark.read.parquet(path) if exists else None
-    changes = silver_changes(table, bronze, target, strict_mark=cfg.strict_mark, lookback=cfg.lookback, mark=mark).withColumn(
-        SILVER_PART, F.expr(cfg.silver_partitions[table]))
-    if target is None:
-        drop_deleted(changes).hint("rebalance", SILVER_PART).write.mode("overwrite").partitionBy(SILVER_PART).parquet(path)
-        return path
-    if not cfg.apply_deletes:
-        changes = drop_deleted(changes)
-    upsert_partitions(spark, path, changes, list(MODELS[table].keys), SILVER_PART)
-    return path
-
-
-def run_snapshots(spark: SparkSession, cfg: PipelineConfig, run_at: _dt.datetime) -> dict[str, int]:
+            follow_table(spark, cfg.path("bronze", table), BRONZE_SCHEMAS[table], f"{store.path}/_checkpoint",
+                         lambda rows, n: _merge_changes(spark, cfg, store, rows, n))
+        if store.read() is None:  # no file yet: an empty table
+            store.merge(_changes(cfg, table, bronze))
+        return store.place()
+
+    work = {t: (lambda t=t: bring(t)) for t in cfg.silver_tables}
+    if ledger is not None:
+        work = {t: (lambda t=t, do=do: ledger.stage(f"silver/{t}", do)) for t, do in work.items()}
+    return {t: p for t, p in side_by_side(work).items() if p is not None}
+
+
+def _changes(cfg: PipelineConfig, table: str, rows: DataFrame) -> DataFrame:
+    changes = newest_changes(table, rows)
+    return changes if cfg.apply_deletes else drop_deleted(changes)
+
+
+def _merge_changes(spark: SparkSession, cfg: PipelineConfig, store: SilverStore, rows: DataFrame, batch: int) -> None:
+    """One batch of new bronze rows. Merging it again changes nothing, as only
+    newer rows win. The newest changes are written once and read for the merge
+    and for the feed that gold follows."""
+    path = f"{store.path}/_new"
+    _changes(cfg, store.table, rows).write.mode("overwrite").parquet(path)
+    changes = spark.read.parquet(path)
+    if cfg.gold_partitions:
+        _feed(spark, cfg, store, changes, batch)
+    store.merge(changes)
+
+
+def _silver_by_mark(spark: SparkSession, cfg: PipelineConfig, store: SilverStore, bronze: DataFrame) -> None:
+    """The original's way: rows above the newest ingestion time seen; rows that
+    arrive later with an older one are missed unless ``lookback`` reaches them."""
+    state = store.read()
+    mark = AUTO if cfg.strict_mark else read_mark(spark, cfg, store.table)
+    rows, _ = new_rows(bronze, state, strict=cfg.strict_mark, lookback=cfg.lookback, mark=mark)
+    _merge_changes(spark, cfg, store, rows, len(fed(spark, cfg, store.table)))
+    _record_mark(spark, cfg, store.table, bronze, mark)
+
+
+GOLD_PART = "gold_part"
+
+
+def _gold_part(cfg: PipelineConfig):
+    """Partition of the fact that a transaction id belongs to."""
+    return F.coalesce(F.expr(cfg.gold_partitions).cast("long"), F.lit(-1).cast("long")).alias(GOLD_PART)
+
+
+def fed(spark: SparkSession, cfg: PipelineConfig, table: str) -> list[int]:
+    """Numbers of the change batches recorded for gold."""
+    return numbered(spark, cfg.path("_feed", table), "batch=")
+
+
+def _feed(spark: SparkSession, cfg: PipelineConfig, store: SilverStore, changes: DataFrame, batch: int) -> None:
+    """Record the fact partitions that a batch of changes reaches, before it is
+    merged: those of its transactions, or of its legs' transactions as they are
+    and as they were. At most as many rows as the fact has partitions."""
+    if store.table not in ("transactions", "transaction_legs"):
+        return
+    path = cfg.path("_feed", store.table, f"batch={batch}")
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return  # delivered again: the state it was compared with is gone
+    parts = changes.select(_gold_part(cfg))
+    state = store.read() if store.table == "transaction_legs" else None
+    if state is not None:
+        parts = parts.unionByName(state.join(changes.select("leg_id"), "leg_id", "left_semi").select(_gold_part(cfg)))
+    parts.distinct().write.mode("overwrite").parquet(path)
+
+
+def run_snapshots(spark: SparkSession, cfg: PipelineConfig, run_at: _dt.datetime, ledger: RunLedger | None = None) -> dict[str, int]:
     """Advance each history by one run. Only the open versions are read and
-    rewritten; versions closed by the run are appended."""
-    out = {}
-    for table, (key, upd, cols, check) in SNAPSHOTS.items():
+    rewritten; versions closed by the run are appended. A history that a run
+    cut off before had already advanced stays as it is."""
+    def advance(table: str) -> int | None:
+        key, upd, cols, check = SNAPSHOTS[table]
         silver = read_silver(spark, cfg, table)
         if silver is None:
-            continue
-        cur = silver.select(*cols, "cdc_op")
+            return None
         store = HistoryTable(spark, cfg.path("snapshots", table))
+        if ledger is not None and store.tagged(ledger.tag) is not None:
+            return store.tagged(ledger.tag)
+        cur = silver.select(*cols, "cdc_op")
         open_ = store.read_open()
         if open_ is None:
             at = ts_lit(run_at) if cfg.snapshot_strategy == "check" else F.col(upd)
@@ -185,46 +347,152 @@ def run_snapshots(spark: SparkSession, cfg: PipelineConfig, run_at: _dt.datetime
             rows = snapshot_check_open(open_, cur, [key], check, run_at, ops=cfg.snapshot_ops)
         else:
             rows = snapshot_timestamp_open(open_, cur, [key], upd, ops=cfg.snapshot_ops)
-        out[table] = store.write_run(rows)
-    return out
+        return store.write_run(rows, ledger.tag if ledger is not None else None)
+
+    work = {t: (lambda t=t: advance(t)) for t in SNAPSHOTS}
+    if ledger is not None:
+        work = {t: (lambda t=t, do=do: ledger.stage(f"snapshots/{t}", do)) for t, do in work.items()}
+    return {t: n for t, n in side_by_side(work).items() if n is not None}
 
 
 def read_history(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame | None:
     return HistoryTable(spark, cfg.path("snapshots", table)).read()
 
 
-def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
+FACTS = {"fct_transactions": gold.fct_from_as_of, "gold_transactions_reporting": gold.reporting_from_as_of}
+
+
+def run_gold(spark: SparkSession, cfg: PipelineConfig, ledger: RunLedger | None = None) -> dict[str, str]:
+    """The gold models; dimensions side by side, then the fact and the
+    reporting table from one as-of join that is written once. With
+    ``gold_partitions`` see :func:`_run_facts`."""
     silver = {t: read_silver(spark, cfg, t) for t in cfg.silver_tables}
     snaps = {t: read_history(spark, cfg, t) for t in SNAPSHOTS}
     opened = {t: HistoryTable(spark, cfg.path("snapshots", t)).read_open() for t in SNAPSHOTS}
-    out = {}
+    stage = ledger.stage if ledger is not None else lambda name, do: do()
 
-    def put(name: str, df: DataFrame) -> None:
+    def put(name: str, df: DataFrame) -> str:
         p = cfg.path("gold", name)
         if cfg.gold_mode == "overwrite":
-            out[name] = VersionedTable(spark, p).write(df)
-        else:
-            publish(df, p, cfg.gold_mode)
-            out[name] = p
-
+            return VersionedTable(spark, p).write(df)
+        # appended once by each run, also by one that is taken up again
+        unit = Unit(spark, cfg.path("_gold_units"), f"{name}-{ledger.tag if ledger is not None else _dt.datetime.now().timestamp()}")
+        if unit.committed() is None:
+            df.write.parquet(unit.stage(p))
+            unit.commit()
+        return p
+
+    work = {}
     if opened["customers"] is not None:
-        put("dim_customers", gold.dim_customers(opened["customers"]))
+        work["dim_customers"] = lambda: put("dim_customers", gold.dim_customers(opened["customers"]))
     if opened["accounts"] is not None:
-        put("dim_accounts", gold.dim_accounts(opened["accounts"]))
+        work["dim_accounts"] = lambda: put("dim_accounts", gold.dim_accounts(opened["accounts"]))
     banks = _bronze(spark, cfg, "banks")
     if banks is not None:
-        put("dim_banks", gold.dim_banks(banks))
+        work["dim_banks"] = lambda: put("dim_banks", gold.dim_banks(banks))
+    out = side_by_side({n: (lambda n=n, do=do: stage(f"gold/{n}", do)) for n, do in work.items()})
     parts = (silver.get("transactions"), snaps["accounts"], snaps["customers"])
     legs = silver.get("transaction_legs")
-    if all(p is not None for p in parts) and legs is not None:
-        # both models start from the same two as-of joins: compute them once,
-        # write them (cutting the lineage) and read them back for each model
+    if any(p is None for p in parts) or legs is None:
+        return out
+    if cfg.gold_partitions and cfg.gold_mode == "overwrite":
+        return out | stage("gold/facts", lambda: _run_facts(spark, cfg, *parts, legs))
+
+    def work_table() -> str:
         work = cfg.path("gold", "_work", "transactions_as_of")
-        gold.transactions_as_of(*parts).write.mode("overwrite").parquet(work)
-        tac = spark.read.parquet(work)
-        put("fct_transactions", gold.fct_from_as_of(tac, legs))
-        put("gold_transactions_reporting", gold.reporting_from_as_of(tac, legs))
-    return out
+        gold.transactions_as_of(*parts, combined=None).write.mode("overwrite").parquet(work)
+        return work
+
+    tac = spark.read.parquet(stage("gold/_work", work_table))
+    return out | side_by_side({n: (lambda n=n, make=make: stage(f"gold/{n}", lambda: put(n, make(tac, legs)))) for n, make in FACTS.items()})
+
+
+def _run_facts(spark: SparkSession, cfg: PipelineConfig, txn: DataFrame, accounts: DataFrame, customers: DataFrame,
+               legs: DataFrame) -> dict[str, str]:
+    """The fact and the reporting table by partitions of the transaction id.
+
+    What a run must do again follows from what changed since the tables' last
+    commit: transactions and legs by the feed that the silver merges left;
+    account and customer versions by comparing the open sets and the versions
+    closed since, which gives, per account, the time from which its
+    transactions may see another version. Only partitions that hold such rows
+    are computed and replaced, all or nothing; without any, none is written. The
+    first run, or one whose earlier open set is gone, computes all."""
+    stores = {n: PartitionedTable(spark, cfg.path("gold", n), GOLD_PART) for n in FACTS}
+    histories = {t: HistoryTable(spark, cfg.path("snapshots", t)) for t in SNAPSHOTS}
+    now = {"feed": {t: fed(spark, cfg, t)[-1:] for t in ("transactions", "transaction_legs")},
+           "snapshots": {t: h.last_run() for t, h in histories.items()}, "by": cfg.gold_partitions}
+    done = [s.commit() for s in stores.values()]
+    values = None
+    if all(c is not None and c["info"].get("by") == cfg.gold_partitions for c in done):
+        if all(c["info"] == now for c in done):
+            return {n: s.path for n, s in stores.items()}
+        # both tables were committed one after the other: start from the older
+        last = min((c["info"] for c in done), key=lambda i: (i["snapshots"]["accounts"], i["feed"]["transactions"]))
+        reached = _reached(spark, cfg, last, txn, accounts, histories)
+        if reached is not None:
+            values = sorted(r[0] for r in reached.distinct().collect())  # at most one row per partition
+    own = _gold_part(cfg)
+    if values is not None:
+        if not values:
+            for s in stores.values():
+                s.replace(spark.createDataFrame([], "x int"), [], now)
+            return {n: s.path for n, s in stores.items()}
+        txn, legs = txn.filter(own.isin(values)), legs.filter(own.isin(values))
+    work = cfg.path("gold", "_work", "transactions_as_of")
+    gold.transactions_as_of(txn, accounts, customers, combined=None).write.mode("overwrite").parquet(work)
+    tac = spark.read.parquet(work)
+
+    def put(name: str) -> str:
+        rows = FACTS[name](tac, legs).withColumn(GOLD_PART, own)
+        if values is None:
+            stores[name].write(rows, now)
+        else:
+            stores[name].replace(rows, [f"{GOLD_PART}={v}" for v in values], now)
+        return stores[name].path
+
+    return side_by_side({n: (lambda n=n: put(n)) for n in FACTS})
+
+
+def _reached(spark: SparkSession, cfg: PipelineConfig, last: dict, txn: DataFrame, accounts: DataFrame,
+             histories: dict[str, HistoryTable]) -> DataFrame | None:
+    """``(gold_part)`` of the rows that changes since ``last`` may alter, None
+    if that cannot be told."""
+    found = spark.createDataFrame([], f"{GOLD_PART} long")
+    for table, seen in last["feed"].items():
+        new = [n for n in fed(spark, cfg, table) if not seen or n > seen[0]]
+        if new:
+            found = found.unionByName(spark.read.parquet(*[cfg.path("_feed", table, f"batch={n}") for n in new]))
+    since = {}
+    for table, h in histories.items():
+        run = last["snapshots"][table]
+        if h.last_run() == run:
+            continue
+        before = h.open_at(run)
+        if before is None:
+            return None
+        since[table] = changed_since(before, h.read_open(), h.closed_after(run), SNAPSHOTS[table][0])
+    moved = since.get("accounts")
+    if "customers" in since:
+        owners = accounts.select("account_id", "customer_id").distinct()
+        through = owners.join(since["customers"], "customer_id").select("account_id", "since")
+        moved = through if moved is None else moved.unionByName(through)
+    if moved is not None:
+        moved = moved.groupBy("account_id").agg(F.min("since").alias("since"))
+        hit = txn.select("transaction_id", "account_id", "transaction_created_at").join(moved, "account_id")
+        found = found.unionByName(hit.filter(F.col("transaction_created_at") >= F.col("since")).select(_gold_part(cfg)))
+    return found
+
+
+def changed_since(before: DataFrame, opened: DataFrame, closed: DataFrame, key: str) -> DataFrame:
+    """``(key, since)``: keys whose versions changed, with the earliest time at
+    which another version holds: the start of a version that was not open
+    before, or the end of one that was and is closed."""
+    old = before.select(key, "valid_from", F.lit(True).alias("__was"))
+    new = opened.select(key, "valid_from", "valid_to").unionByName(closed.select(key, "valid_from", "valid_to"))
+    j = new.join(old, [key, "valid_from"], "left")
+    since = F.when(F.col("__was").isNull(), F.col("valid_from")).otherwise(F.col("valid_to"))
+    return j.select(key, since.alias("since")).filter(F.col("since").isNotNull()).groupBy(key).agg(F.min("since").alias("since"))
 
 
 def run_checks(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
@@ -245,46 +513,36 @@ FOREIGN = {"fk_account_customer": ("accounts", "customer_id", "customers"), "fk_
            "fk_leg_transaction": ("transaction_legs", "transaction_id", "transactions"),
            "fk_leg_account": ("transaction_legs", "account_id", "accounts"),
            "fk_leg_bank": ("transaction_legs", "bank_id", "banks")}
+def rules() -> list:
+    return [
+        *[Unique(name, t, k) for name, (t, k) in UNIQUE.items()],
+        *[Foreign(name, child, k, parent, k) for name, (child, k, parent) in FOREIGN.items()],
+        Rule("domain_account_type", "accounts", outside("account_type", ACCOUNT_TYPES)),
+        Rule("domain_account_status", "accounts", outside("account_status", ACCOUNT_STATUSES)),
+        Rule("domain_channel", "transactions", outside("channel", CHANNELS)),
+        Rule("domain_type", "transactions", outside("transaction_type", TRANSACTION_TYPES)),
+        Rule("domain_status", "transactions", outside("status", STATUSES)),
+        Rule("fx", "transactions", fx_differs()),
+        Rule("domain_direction", "transaction_legs", outside("direction", DIRECTIONS)),
+        Balance("balance", "transaction_legs", "transaction_id"),
+    ]
 
 
 def check_counts(spark: SparkSession, cfg: PipelineConfig) -> DataFrame | None:
-    """``(check, n)``: the violations of every constraint whose tables exist,
-    one job over all of them. A NULL is no duplicate of another NULL."""
+    """``(check, n)``: the violations of every constraint whose tables exist:
+    one scan of each table for all of its rules, and one of each history. A NULL
+    is no duplicate of another NULL."""
     s = {t: read_silver(spark, cfg, t) for t in cfg.silver_tables}
     banks = _bronze(spark, cfg, "banks")
     s["banks"] = None if banks is None else gold.dim_banks(banks)
-    checks: dict[str, DataFrame] = {}
-    for name, (t, k) in UNIQUE.items():
-        if s.get(t) is not None:
-            checks[name] = violations_unique(s[t].dropna(subset=[k]), [k])
-    for name, (child, k, parent) in FOREIGN.items():
-        if s.get(child) is not None and s.get(parent) is not None:
-            checks[name] = violations_fk(s[child], s[parent], [k])
-    if s.get("accounts") is not None:
-        checks["domain_account_type"] = violations_domain(s["accounts"], "account_type", ACCOUNT_TYPES)
-        checks["domain_account_status"] = violations_domain(s["accounts"], "account_status", ACCOUNT_STATUSES)
-    if s.get("transactions") is not None:
-        t = s["transactions"]
-        checks["domain_channel"] = violations_domain(t, "channel", CHANNELS)
-        checks["domain_type"] = violations_domain(t, "transaction_type", TRANSACTION_TYPES)
-        checks["domain_status"] = violations_domain(t, "status", STATUSES)
-        checks["fx"] = violations_fx(t)
-    if s.get("transaction_legs") is not None:
-        legs = s["transaction_legs"]
-        checks["domain_direction"] = violations_domain(legs, "direction", DIRECTIONS)
-        checks["balance"] = violations_balance(legs)
+    found = count_violations({t: df for t, df in s.items() if df is not None}, rules())
     for table, (key, *_rest) in SNAPSHOTS.items():
         history = read_history(spark, cfg, table)
         if history is not None:
-            checks[f"overlap_{table}_history"] = violations_overlap(history, [key])
-    if not checks:
-        return None
-    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check"), "n")
-              for name, df in checks.items()]
-    union = counts[0]
-    for c in counts[1:]:
-        union = union.unionByName(c)
-    return union
+            n = violations_overlap(history, [key]).agg(F.count(F.lit(1)).alias("n"))
+            n = n.select(F.lit(f"overlap_{table}_history").alias("check"), "n")
+            found = n if found is None else found.unionByName(n)
+    return found
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
@@ -292,19 +550,28 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     gold and checks over the bronze tables under ``cfg.root/bronze``, which the
     load, the stream ingest and backfills may all write. Bronze
     tables that do not exist yet are created empty with their fixed schema,
-    so every model runs (on no rows) before its first change arrives."""
-    run_at = cfg.run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    so every model runs (on no rows) before its first change arrives.
+
+    A run that did not end is taken up where it stopped, with its run time; its
+    result then holds what its finished stages gave (``loaded``: the rows of
+    the call that finished the load)."""
+    ledger = RunLedger(spark, cfg)
     for table in TABLES:
         ensure_bronze(spark, table, cfg.path("bronze", table))
-    result: dict = {"loaded": run_load(spark, cfg) if cfg.staged else {}}
-    result["silver"] = run_silver(spark, cfg)
-    result["snapshots"] = run_snapshots(spark, cfg, run_at)
-    result["gold"] = run_gold(spark, cfg)
-    result["checks"] = run_checks(spark, cfg)
+    result: dict = {"loaded": ledger.stage("load", lambda: run_load(spark, cfg)) if cfg.staged else {}}
+    result["silver"] = run_silver(spark, cfg, ledger)
+    result["snapshots"] = run_snapshots(spark, cfg, ledger.run_at, ledger)
+    result["gold"] = run_gold(spark, cfg, ledger)
+    result["checks"] = ledger.stage("checks", lambda: run_checks(spark, cfg))
+    ledger.finish()
     return result
 
 
 def read_gold(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
     """A gold table as the last run left it."""
     p = cfg.path("gold", name)
-    return VersionedTable(spark, p).read() if cfg.gold_mode == "overwrite" else spark.read.parquet(p)
+    if cfg.gold_mode != "overwrite":
+        return spark.read.parquet(p)
+    if cfg.gold_partitions and name in FACTS:
+        return PartitionedTable(spark, p, GOLD_PART).read().drop(GOLD_PART)
+    return VersionedTable(spark, p).read()

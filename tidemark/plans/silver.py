@@ -4,7 +4,7 @@ either as a full refresh or incrementally on top of the previous silver table.""
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,48 +27,48 @@ from ..schemas import LATEST_ORDER
 class SilverModel:
     name: str
     keys: tuple[str, ...]
-    project: Callable[[DataFrame], DataFrame]
+    project: Callable[..., DataFrame]
 
 
 def _tail() -> list[Column]:
     return [F.col("cdc_op"), F.col("ingested_at"), F.col("ingestion_date")]
 
 
-def _transactions(df: DataFrame) -> DataFrame:
+def _transactions(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(
         "transaction_id", "account_id", F.col("type").alias("transaction_type"), "amount",
         "currency", "exchange_rate", "amount_in_usd", "status", "channel", "country", "city",
         "description", "cdc_op",
         ms_to_ts("created_at").alias("transaction_created_at"),
         ms_to_ts("updated_at").alias("transaction_updated_at"),
-        "ingested_at", "ingestion_date",
+        "ingested_at", "ingestion_date", *extra,
     )
 
 
-def _customers(df: DataFrame) -> DataFrame:
+def _customers(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(
         "customer_id", "full_name", "email", "phone", "nationality",
         ms_to_ts("created_at").alias("customer_created_at"),
         ms_to_ts("updated_at").alias("customer_updated_at"),
-        *_tail(),
+        *_tail(), *extra,
     )
 
 
-def _accounts(df: DataFrame) -> DataFrame:
+def _accounts(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(
         "account_id", "customer_id", "bank_id", "account_type", "balance", "currency",
         "account_status",
         ms_to_ts("opened_at").alias("account_opened_at"),
         ms_to_ts("updated_at").alias("account_updated_at"),
-        *_tail(),
+        *_tail(), *extra,
     )
 
 
-def _legs(df: DataFrame) -> DataFrame:
+def _legs(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(
         "leg_id", "transaction_id", "direction", "account_id", "bank_id",
         "external_account_reference", "external_account_name", "amount", "currency",
-        *_tail(),
+        *_tail(), *extra,
     )
 
 
@@ -80,22 +80,48 @@ MODELS = {
 }
 
 
-def silver_changes(table: str, bronze: DataFrame, target: DataFrame | None = None, *,
-                   order_by: OrderSpec = LATEST_ORDER, strict_mark: bool = False,
-                   lookback: _dt.timedelta | None = None, mark=AUTO) -> DataFrame:
-    """The newest change per key among the bronze rows not yet in ``target``
-    (all of bronze when there is no target), projected to the silver columns.
-    Deletes are kept, so the caller decides how they apply. ``mark``: see
-    :func:`tidemark.operators.latest.new_rows`."""
+#: Order columns that a silver state keeps beside the silver columns
+#: (``ingested_at`` is one of those).
+STATE_EXTRA = tuple(c for c in LATEST_ORDER if c != "ingested_at")
+
+
+def newest_changes(table: str, rows: DataFrame, order_by: OrderSpec = LATEST_ORDER) -> DataFrame:
+    """The newest change per key of some bronze rows, deletes included, with
+    the silver columns and the order columns."""
     model = MODELS[table]
-    slice_, _ = new_rows(bronze, target, strict=strict_mark, lookback=lookback, mark=mark)
-    return model.project(latest_per_key(slice_, list(model.keys), order_by))
+    return model.project(latest_per_key(rows, list(model.keys), order_by), *STATE_EXTRA)
+
+
+def newer_of(table: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """Merge of a silver state with newest changes: the newer of both per key,
+    in whatever order changes arrive."""
+    keys = list(MODELS[table].keys)
+    return lambda state, changes: upsert_ordered(state, changes, keys)
+
+
+def silver_state(table: str, bronze: DataFrame, state: DataFrame | None = None, *, apply_deletes: bool = True,
+                 strict_mark: bool = False, lookback: _dt.timedelta | None = None, mark=AUTO) -> DataFrame:
+    """The newest change per key of ``bronze`` and an earlier ``state``: a
+    silver table that still has its deleted keys (as rows whose op is a delete)
+    and the order columns, so that a change which arrives late never wins over
+    a newer one, nor over a newer delete. With a state only the bronze rows that
+    :func:`new_rows` gives are read. ``apply_deletes=False`` drops deletes
+    before the merge, as the original does. Silver is :func:`live` of it."""
+    rows, _ = new_rows(bronze, state, strict=strict_mark, lookback=lookback, mark=mark)
+    changes = newest_changes(table, rows)
+    if not apply_deletes:
+        changes = drop_deleted(changes)
+    return changes if state is None else newer_of(table)(state, changes)
+
+
+def live(state: DataFrame) -> DataFrame:
+    """Silver of a state: the rows that are not deleted, the silver columns."""
+    return drop_deleted(state).drop(*STATE_EXTRA)
 
 
 def build_silver(table: str, bronze: DataFrame, target: DataFrame | None = None, *,
                  order_by: OrderSpec = LATEST_ORDER, apply_deletes: bool = True,
-                 strict_mark: bool = False, lookback: _dt.timedelta | None = None,
-                 mark=AUTO) -> DataFrame:
+                 strict_mark: bool = False, mark=AUTO) -> DataFrame:
     """Silver table for one captured table.
 
     ``target=None`` is a full refresh: latest change per key, deletes removed.
@@ -105,21 +131,19 @@ def build_silver(table: str, bronze: DataFrame, target: DataFrame | None = None,
     ``apply_deletes`` (default) lets a newest-change delete remove the target
     row; ``False`` is the original behaviour, where the delete is filtered out
     before the merge and the old row survives until a full refresh.
-    ``strict_mark=True`` uses the original ``> mark``; ``lookback`` re-reads a
-    window below the mark and then only lets newer changes win.
+    ``strict_mark=True`` uses the original ``> mark``. Rows that arrive below
+    the mark are not seen: see :func:`silver_state` and the pipeline's change
+    source.
     """
-    keys = list(MODELS[table].keys)
-    changes = silver_changes(table, bronze, target, order_by=order_by, strict_mark=strict_mark,
-                             lookback=lookback, mark=mark)
+    model = MODELS[table]
+    keys = list(model.keys)
+    rows, _ = new_rows(bronze, target, strict=strict_mark, mark=mark)
+    changes = model.project(latest_per_key(rows, keys, order_by))
     if target is None:
         return drop_deleted(changes)
     if not apply_deletes:
         changes = drop_deleted(changes)
-    if lookback is not None:
-        merged = upsert_ordered(target, changes, keys, order_by)
-    else:
-        merged = upsert(target, changes, keys)
-    return drop_deleted(merged)
+    return drop_deleted(upsert(target, changes, keys))
 
 
 def silver_transactions(bronze: DataFrame, target: DataFrame | None = None, **kw) -> DataFrame:
@@ -136,7 +160,3 @@ def silver_accounts(bronze: DataFrame, target: DataFrame | None = None, **kw) ->
 
 def silver_transaction_legs(bronze: DataFrame, target: DataFrame | None = None, **kw) -> DataFrame:
     return build_silver("transaction_legs", bronze, target, **kw)
-
-
-def all_models() -> Sequence[str]:
-    return list(MODELS)

@@ -87,13 +87,6 @@ ROW_FIELDS = {
     ],
 }
 
-KEYS = {
-    "transactions": ["transaction_id"],
-    "customers": ["customer_id"],
-    "accounts": ["account_id"],
-    "transaction_legs": ["leg_id"],
-    "banks": ["bank_id"],
-}
 # --- end of fixed values ----------------------------------------------------
 
 CHANGE_SCHEMAS = {t: _record(*f) for t, f in ROW_FIELDS.items()}
@@ -124,15 +117,5 @@ STREAM_ROW = StructType([
     StructField("value", BinaryType()),
 ])
 
-# Shape of a dead-letter record: the failed message plus failure details.
-DEAD_LETTER = StructType([
-    StructField("topic", StringType()),
-    StructField("value", BinaryType()),
-    StructField("offset", LongType()),
-    StructField("timestamp", TimestampType()),
-    StructField("failed_at", TimestampType()),
-    StructField("error_message", StringType()),
-])
-
 # Default total order for "latest change per key", newest first.
 LATEST_ORDER = ["ingested_at", "source_ts_ms", "source_offset"]

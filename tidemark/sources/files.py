@@ -1,85 +1,182 @@
-"""Incremental file loads and dead-letter output."""
+"""Incremental file loads, the change source over bronze, and dead-letter
+output."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Callable, Iterator
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from ..functions.cdc import CORRUPT
+from .commit import Unit, prune
 from .tables import PARTITION_COL, append_bronze, path_exists
 
 
 #: Staged files are loaded however old they are when they are first seen.
 MAX_FILE_AGE = "36500d"
+FILE_ROW = "path string, modificationTime timestamp, length long, content binary"
+REJECT = "file string, column string, value string, row string"
 
 
 def load_new_files(spark: SparkSession, source_dir: str, schema: StructType, target: str,
                    checkpoint: str, *, glob: str = "*.parquet", ignore_corrupt: bool = True,
                    table: str | None = None, max_files_per_trigger: int = 1000,
-                   recursive: bool = False) -> int:
+                   recursive: bool = False, rejects: str | None = None) -> int:
     """Load every parquet file of ``source_dir`` into the bronze table ``target``
     once.
 
-    A file-source stream run with ``availableNow``: the checkpoint remembers
-    which files were read, so a second run loads only files added since,
-    however old their modification time; the source files are left in place.
-    Each micro-batch is appended like an ingested one (:func:`append_bronze`,
-    to the catalog table ``table`` if given), so rows written by other means
-    stay readable beside it. Columns are matched by name against the declared
-    ``schema`` (case-insensitively, with the default
-    ``spark.sql.caseSensitive=false``); a missing column reads as NULL and an
-    extra one is ignored. Unreadable files are skipped (``ignore_corrupt``) and
-    listed by :func:`skipped_files`. ``recursive`` also reads files in
-    sub-folders; partition columns are then not discovered.
-
-    The names of the files that gave rows go to ``<checkpoint>_files``, one
-    folder per batch; a batch that finds its folder there was appended before
-    and is not appended again. A failure between the two writes repeats that
-    batch, which the latest-per-key logic downstream absorbs.
+    A stream over the file names run with ``availableNow``: the checkpoint
+    remembers which files were read, so a second run loads only files added
+    since, however old their modification time; the source files are left in
+    place. The files of a micro-batch are grouped by the types in their footers
+    (all at once if they agree, else by halves). Columns are matched by name
+    against the declared ``schema``, whatever their case; a missing column
+    reads as NULL and an extra one is ignored. A column of another type is
+    cast; a row with a value that cannot be cast is not loaded, and each such
+    value goes, with its file, column and whole row as JSON, to the reject table
+    (``rejects``, default ``<checkpoint>_rejects``: see :func:`read_rejects`).
+    Unreadable files are skipped (``ignore_corrupt``) and listed by
+    :func:`skipped_files`. ``recursive`` also reads files in sub-folders;
+    partition columns are then not discovered.
+
+    The rows of a micro-batch, its rejects and the names of the files that gave
+    rows become visible together and once (:class:`~.commit.Unit`): a batch
+    that is delivered again after a failure is not loaded again. Rows for the
+    catalog table ``table`` are appended to it instead, at least once.
     Returns the number of rows loaded by this run.
     """
-    stream = (spark.readStream.schema(schema)
-              .option("pathGlobFilter", glob)
-              .option("ignoreCorruptFiles", str(ignore_corrupt).lower())
-              .option("maxFileAge", MAX_FILE_AGE)
-              .option("maxFilesPerTrigger", str(max_files_per_trigger))
-              .option("recursiveFileLookup", str(recursive).lower())
-              .parquet(source_dir)
-              .withColumn("__file", F.col("_metadata.file_path")))
-    loaded = 0
+    rejects = rejects or f"{checkpoint.rstrip('/')}_rejects"
+    found = (spark.readStream.format("binaryFile").schema(FILE_ROW)
+             .option("pathGlobFilter", glob)
+             .option("maxFileAge", MAX_FILE_AGE)
+             .option("maxFilesPerTrigger", str(max_files_per_trigger))
+             .option("recursiveFileLookup", str(recursive).lower())
+             .load(source_dir).select("path"))
+    loaded, ledger = 0, f"{checkpoint.rstrip('/')}_units"
 
     def load(batch: DataFrame, batch_id: int) -> None:
         nonlocal loaded
-        done = f"{_files(checkpoint)}/batch={batch_id}"
-        if path_exists(spark, f"{done}/_SUCCESS"):
+        unit = Unit(spark, ledger, f"load-{batch_id}")
+        if unit.committed() is not None:
             return
-        seen = Observation(f"load_{batch_id}")
-        if PARTITION_COL in batch.columns:  # staged files may span many dates: see backfill_bronze
-            batch = batch.hint("rebalance", PARTITION_COL)
-        # at most the files of one batch are named; observed above the exchange,
-        # which an empty batch would otherwise remove together with its metrics
-        rows = batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("__file").alias("files"))
-        append_bronze(rows.drop("__file"), target, table)
-        loaded += seen.get["rows"]
-        names = spark.createDataFrame([(f,) for f in seen.get["files"]], "file string")
-        names.coalesce(1).write.mode("overwrite").parquet(done)
-
-    q = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        names = [r["path"] for r in batch.collect()]  # at most ``max_files_per_trigger`` names
+        rows = bad = None
+        for some, own in by_footer(spark, names, ignore_corrupt):
+            good, wrong = _conform(_read_files(spark, some, own, source_dir, recursive, ignore_corrupt), schema)
+            rows = good if rows is None else rows.unionByName(good)
+            if wrong is not None:
+                bad = wrong if bad is None else bad.unionByName(wrong)
+        count, files = 0, []
+        if rows is not None:
+            seen = Observation(f"load_{batch_id}")
+            if PARTITION_COL in rows.columns:  # staged files may span many dates: see backfill_bronze
+                rows = rows.hint("rebalance", PARTITION_COL)
+            # observed above the exchange, which an empty batch would otherwise
+            # remove together with its metrics
+            rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("__file").alias("files")).drop("__file")
+            append_bronze(rows, target if table else unit.stage(target), table)
+            count, files = seen.get["rows"], seen.get["files"]
+        if bad is not None:
+            bad.write.parquet(unit.stage(rejects))
+        names = spark.createDataFrame([(f,) for f in files], "file string")
+        names.coalesce(1).write.parquet(unit.stage(_files(checkpoint)))
+        unit.commit(rows=count)
+        prune(spark, ledger, "load-", batch_id)
+        loaded += count
+
+    q = found.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return loaded
 
 
+def by_footer(spark: SparkSession, names: list[str], ignore_corrupt: bool = True) -> Iterator[tuple[list[str], StructType]]:
+    """Groups of files whose columns have the same types, with their schema.
+    The footers of a group are read and merged in one job; files that do not
+    agree are halved. Files that cannot be read are left out."""
+    if not names:
+        return
+    try:
+        reader = spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", str(ignore_corrupt).lower())
+        yield names, reader.option("recursiveFileLookup", "true").parquet(*names).schema
+    except Exception as e:  # noqa: BLE001 - types that differ, or no readable footer
+        if len(names) == 1:
+            if ignore_corrupt and (isinstance(e, AnalysisException) or "FAILED_READ_FILE" in str(e) or "CANNOT_READ_FILE_FOOTER" in str(e)):
+                return
+            raise
+        half = len(names) // 2
+        yield from by_footer(spark, names[:half], ignore_corrupt)
+        yield from by_footer(spark, names[half:], ignore_corrupt)
+
+
+def _read_files(spark: SparkSession, names: list[str], own: StructType, source_dir: str, recursive: bool, ignore_corrupt: bool) -> DataFrame:
+    reader = spark.read.option("ignoreCorruptFiles", str(ignore_corrupt).lower())
+    if recursive:
+        reader = reader.schema(own).option("recursiveFileLookup", "true")
+    else:  # columns of partition folders count as columns of the file
+        reader = reader.option("mergeSchema", "true").option("basePath", source_dir)
+    return reader.parquet(*names).withColumn("__file", F.col("_metadata.file_path"))
+
+
+def _castable(df: DataFrame, name: str, kind: DataType) -> Column:
+    value = F.col(f"`{name}`")
+    try:
+        cast = value.try_cast(kind)
+        df.select(cast)
+        return cast
+    except AnalysisException:
+        text = F.to_json(value) if df.schema[name].dataType.typeName() in ("struct", "array", "map") else value.cast("string")
+        return text.try_cast(kind)
+
+
+def _conform(df: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame | None]:
+    """``(rows in the declared schema with their __file, rejects)``; no rejects
+    (None) if every column has its type."""
+    have = {c.lower(): c for c in df.columns if c != "__file"}
+    cols, casts = [], {}
+    for f in schema.fields:
+        own = have.get(f.name.lower())
+        if own is None:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif df.schema[own].dataType == f.dataType:
+            cols.append(F.col(f"`{own}`").alias(f.name))
+        else:
+            casts[f.name] = (own, _castable(df, own, f.dataType))
+            cols.append(casts[f.name][1].alias(f.name))
+    if not casts:
+        return df.select(*cols, "__file"), None
+    failed = {n: F.col(f"`{own}`").isNotNull() & cast.isNull() for n, (own, cast) in casts.items()}
+    any_failed = None
+    for c in failed.values():
+        any_failed = c if any_failed is None else any_failed | c
+    text = lambda own: (F.to_json(F.col(f"`{own}`")) if df.schema[own].dataType.typeName() in ("struct", "array", "map")
+                        else F.col(f"`{own}`").cast("string"))
+    each = F.array(*[F.when(failed[n], F.struct(F.lit(n).alias("column"), text(own).alias("value"))) for n, (own, _) in casts.items()])
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "__file"]))
+    bad = (df.filter(any_failed).select(F.col("__file").alias("file"), row.alias("row"), F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x"))
+             .select("file", "x.column", "x.value", "row"))
+    return df.filter(~any_failed).select(*cols, "__file"), bad
+
+
+def read_rejects(spark: SparkSession, checkpoint: str, rejects: str | None = None) -> DataFrame:
+    """``(file, column, value, row)`` of the values that kept rows from being
+    loaded."""
+    path = rejects or f"{checkpoint.rstrip('/')}_rejects"
+    return spark.read.schema(REJECT).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], REJECT)
+
+
 def _files(checkpoint: str) -> str:
     return f"{checkpoint.rstrip('/')}_files"
 
 
 def skipped_files(spark: SparkSession, source_dir: str, checkpoint: str, *, glob: str = "*.parquet",
                   recursive: bool = False) -> DataFrame:
-    """``(file)``: staged files that have given no rows: unreadable, empty, or
-    not loaded yet."""
+    """``(file)``: staged files that have given no rows: unreadable, empty, of
+    rejected rows only, or not loaded yet."""
     staged = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
               .option("recursiveFileLookup", str(recursive).lower()).load(source_dir).select(F.col("path").alias("file")))
     if not path_exists(spark, _files(checkpoint)):
@@ -89,6 +186,33 @@ def skipped_files(spark: SparkSession, source_dir: str, checkpoint: str, *, glob
     return staged.join(loaded.select(plain(F.col("file")).alias("__f")), plain(F.col("file")) == F.col("__f"), "left_anti")
 
 
+def follow_table(spark: SparkSession, path: str, schema: StructType, checkpoint: str,
+                 handle: Callable[[DataFrame, int], None], *, max_files_per_trigger: int | None = None) -> int:
+    """Hand every file of a parquet table that was not seen before to
+    ``handle(rows, batch)``, whatever times its rows or the file itself carry:
+    the table read as a change source. Files are told apart by name, so rows
+    that arrive late are neither missed nor read twice. One batch holds all new
+    files unless ``max_files_per_trigger`` is given. A batch whose handling
+    failed, or was not recorded, is handed over again with the same number and
+    files. Returns the number of batches."""
+    reader = (spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("maxFileAge", MAX_FILE_AGE))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    batches = 0
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        nonlocal batches
+        handle(batch, batch_id)
+        batches += 1
+
+    q = (reader.parquet(path).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return batches
+
+
 def write_quarantine(bad: DataFrame, path: str) -> None:
     """Append the raw text of malformed messages with their source position
     (the second half of :func:`tidemark.functions.cdc.split_corrupt`)."""

@@ -6,10 +6,11 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..schemas import BRONZE_SCHEMAS
 
@@ -33,7 +34,7 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """The numbers ``n`` of the folders ``<prefix><n>`` under ``path``, ascending."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -51,6 +52,15 @@ def ensure_bronze(spark: SparkSession, table: str, path: str) -> None:
     empty.write.mode("append").partitionBy(PARTITION_COL).parquet(path)
 
 
+def ensure_catalog_bronze(spark: SparkSession, table: str, name: str, using: str | None = None, location: str | None = None) -> None:
+    """Create the bronze table of ``table`` in a catalog as ``name`` when absent:
+    fixed schema, partitioned by ingestion date. ``using``: a table format
+    (default: the catalog's)."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in BRONZE_SCHEMAS[table].fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) {f'USING {using} ' if using else ''}PARTITIONED BY ({PARTITION_COL})"
+              + (f" LOCATION '{location}'" if location else ""))
+
+
 def read_bronze(spark: SparkSession, table: str, path: str) -> DataFrame:
     """Bronze with the declared schema; ``ingestion_date`` comes from partition
     discovery, so date predicates prune directories."""
@@ -58,10 +68,10 @@ def read_bronze(spark: SparkSession, table: str, path: str) -> DataFrame:
 
 
 def append_bronze(df: DataFrame, path: str, table: str | None = None) -> None:
-    """Append one batch to a bronze table, one directory per ingestion date.
-    With a catalog table name (``table``) the v2 ``writeTo().append()`` is used."""
+    """Append one batch to a bronze table, one directory per ingestion date, or
+    to the catalog table ``table``, matched by name."""
     if table is not None:
-        df.writeTo(table).append()
+        df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
         return
     df.write.mode("append").partitionBy(PARTITION_COL).parquet(path)
 
@@ -85,44 +95,6 @@ def publish(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def upsert_partitions(spark: SparkSession, path: str, changes: DataFrame, keys: list[str],
-                      part_col: str, *, op_col: str = "cdc_op", delete_op: str = "d") -> None:
-    """Key upsert into a parquet table partitioned by ``part_col`` (a function
-    of the key, so a key never changes partition) that rewrites only the
-    partitions the changes touch.
-
-    The changes are written once to ``<path>_changes``. The rows of the touched
-    partitions that no change replaces are kept, the live changes are added,
-    and the result is written with dynamic partition overwrite: Spark writes it
-    to a staging folder and swaps in only those partitions at commit, so an
-    incremental run costs O(touched partitions), not O(table). Rows are
-    rebalanced by partition, so a task opens few files and a large partition is
-    split over tasks. A change whose op is a delete (or NULL) removes its key; a
-    touched partition left without rows is removed. The names of the touched
-    partitions, at most as many as the table has folders, pass through the
-    driver and prune its scan.
-
-    The swap is per partition, not atomic across partitions; a run that fails
-    during commit is repaired by re-running it (its changes are idempotent) or
-    by a full refresh from bronze."""
-    staged = f"{path.rstrip('/')}_changes"
-    changes.write.mode("overwrite").parquet(staged)
-    changes = spark.read.schema(changes.schema).parquet(staged)
-    touched = [r[0] for r in changes.select(part_col).distinct().dropna().collect()]
-    if not touched:
-        return
-    target = spark.read.parquet(path)
-    keep = target.filter(F.col(part_col).isin(touched)).join(changes.select(*keys), on=keys, how="left_anti")
-    live = changes.filter(F.col(op_col) != F.lit(delete_op))
-    out = keep.unionByName(live.select(*target.columns))
-    seen = Observation("upsert_partitions")
-    (out.hint("rebalance", part_col).observe(seen, F.collect_set(part_col).alias("parts"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
-    # touched partitions the output leaves empty: every row was deleted
-    for value in set(touched).difference(seen.get["parts"]):
-        remove(spark, f"{path}/{part_col}={value}")
-
-
 class VersionedTable:
     """A keyed table that is rewritten as a whole on each run.
 
@@ -158,21 +130,133 @@ class VersionedTable:
         cur = self.current_path()
         return self.spark.read.parquet(cur) if cur else None
 
-    def write(self, df: DataFrame) -> str:
+    def write(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
         v = self.versions()
-        out = self.write_version(df, (v[-1] + 1) if v else 1)
+        out = self.write_version(df, (v[-1] + 1) if v else 1, partition_by)
         for old in self.versions()[: -self.keep]:
             remove(self.spark, f"{self.path}/v={old}")
         return out
 
-    def write_version(self, df: DataFrame, n: int) -> str:
+    def write_version(self, df: DataFrame, n: int, partition_by: list[str] | None = None) -> str:
         """Write version ``n``; a leftover of a failed attempt (no success
         marker, so never read) is replaced."""
         out = f"{self.path}/v={n}"
-        df.write.mode("overwrite").parquet(out)
+        df.write.mode("overwrite").partitionBy(*partition_by or []).parquet(out)
         return out
 
 
+class PartitionedTable:
+    """A keyed table stored by partitions (``part_col``, a function of the key,
+    so a key never changes partition), of which a run rewrites only those its
+    changes touch, all or nothing.
+
+    Run ``n`` writes to ``run=<n>/<part_col>=<value>`` and then, in one step,
+    ``_commits/<n>.json``: the schema and, for every partition folder, the run
+    that holds it. Readers take the newest commit, so a run that fails anywhere
+    leaves the table as it was, and its folder is replaced by the next attempt.
+    A read names exactly the folders of the commit. The folders that only older
+    commits than the last ``keep`` name are removed. A commit has one entry per
+    partition, which is all that passes through the driver. One writer at a
+    time is assumed.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, part_col: str, keep: int = 2):
+        self.spark, self.path, self.part_col, self.keep = spark, path.rstrip("/"), part_col, keep
+
+    def runs(self) -> list[int]:
+        """Numbers of the commits that are kept, ascending."""
+        fs, p = _fs(self.spark, f"{self.path}/_commits")
+        if not fs.exists(p):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def commit(self, run: int | None = None) -> dict | None:
+        """The newest commit (or that of ``run``): run, schema, parts, info."""
+        if run is None:
+            runs = self.runs()
+            if not runs:
+                return None
+            run = runs[-1]
+        return json.loads(read_text(self.spark, f"{self.path}/_commits/{run}.json"))
+
+    def _rows(self, commit: dict, names: list[str] | None = None) -> DataFrame:
+        schema = StructType.fromJson(commit["schema"])
+        parts = commit["parts"]
+        paths = [f"{self.path}/run={parts[n]}/{n}" for n in (parts if names is None else names) if n in parts]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        full = StructType([*schema.fields, StructField("run", IntegerType())])
+        return self.spark.read.schema(full).option("basePath", self.path).parquet(*paths).select(*schema.fieldNames())
+
+    def read(self) -> DataFrame | None:
+        found = self.commit()
+        return None if found is None else self._rows(found)
+
+    def _folders(self, root: str) -> list[str]:
+        fs, p = _fs(self.spark, root)
+        if not fs.exists(p):
+            return []
+        return [n for n in (st.getPath().getName() for st in fs.listStatus(p)) if n.startswith(f"{self.part_col}=")]
+
+    def _write(self, rows: DataFrame, path: str) -> list[str]:
+        rows.hint("rebalance", self.part_col).write.mode("overwrite").partitionBy(self.part_col).parquet(path)
+        return self._folders(path)
+
+    def write(self, rows: DataFrame, info: dict | None = None) -> int:
+        """Replace the whole table."""
+        last = self.commit()
+        run = (last["run"] if last else 0) + 1
+        names = self._write(rows, f"{self.path}/run={run}")
+        return self._commit(run, rows.schema, dict.fromkeys(names, run), info)
+
+    def replace(self, rows: DataFrame, touched: list[str], info: dict | None = None) -> int:
+        """Replace the partitions named ``touched`` (folder names) by ``rows``,
+        which hold rows of these partitions only; the others stay. Without
+        touched partitions nothing is written but the commit."""
+        last = self.commit()
+        run = last["run"] + 1
+        names = self._write(rows.select(*StructType.fromJson(last["schema"]).fieldNames()), f"{self.path}/run={run}") if touched else []
+        parts = {n: r for n, r in last["parts"].items() if n not in touched} | dict.fromkeys(names, run)
+        return self._commit(run, StructType.fromJson(last["schema"]), parts, info)
+
+    def touched(self, changes: DataFrame) -> tuple[DataFrame, list[str]]:
+        """``changes``, written once beside the table, and the names of the
+        partitions they touch."""
+        staged = f"{self.path}/_changes"
+        names = self._write(changes, staged)
+        return self.spark.read.schema(changes.schema).parquet(staged), names
+
+    def part(self, names: list[str]) -> DataFrame:
+        """The rows of some partitions."""
+        return self._rows(self.commit(), names)
+
+    def merge(self, changes: DataFrame, how: Callable[[DataFrame, DataFrame], DataFrame], info: dict | None = None) -> int:
+        """Rewrite the touched partitions as ``how(their rows, the changes)``;
+        the first merge makes the table. Returns the run."""
+        last = self.commit()
+        if last is None:
+            return self.write(how(changes.limit(0), changes), info)
+        staged, names = self.touched(changes)
+        if not names:
+            return last["run"]
+        return self.replace(how(self._rows(last, names), staged), names, info)
+
+    def _commit(self, run: int, schema: StructType, parts: dict[str, int], info: dict | None) -> int:
+        found = {"run": run, "schema": schema.jsonValue(), "parts": parts, "info": info or {}}
+        write_text(self.spark, f"{self.path}/_commits/{run}.json", json.dumps(found))
+        runs = self.runs()
+        kept = [self.commit(r) for r in runs[-self.keep:]]
+        needed = {(n, r) for c in kept for n, r in c["parts"].items()}
+        for old in runs[: -self.keep]:
+            gone = self.commit(old)["parts"]
+            for n, r in gone.items():
+                if (n, r) not in needed:
+                    remove(self.spark, f"{self.path}/run={r}/{n}")
+            remove(self.spark, f"{self.path}/_commits/{old}.json")
+        return run
+
+
 def merge_into(spark: SparkSession, table: str, updates: DataFrame, keys: list[str], *,
                delete_op: str | None = "d", op_col: str = "cdc_op") -> None:
     """Key upsert into a catalog table whose format supports ``MERGE INTO``
@@ -273,17 +357,35 @@ class HistoryTable:
         state, run, last = F.col("state"), F.col("run"), F.lit(found["run"])
         return self._rows(found).filter(((state == "closed") & (run <= last)) | ((state == "open") & (run == last))).drop("state", "run")
 
-    def write_run(self, rows: DataFrame) -> int:
+    def tagged(self, tag: str) -> int | None:
+        """The newest run, if it was committed under ``tag``."""
+        found = self._committed()
+        return found["run"] if found and found.get("tag") == tag else None
+
+    def open_at(self, run: int) -> DataFrame | None:
+        """The open set after an earlier run, None if it is gone."""
+        if not path_exists(self.spark, f"{self.path}/state=open/run={run}"):
+            return None
+        return self._rows(self._committed()).filter((F.col("state") == "open") & (F.col("run") == run)).drop("state", "run")
+
+    def closed_after(self, run: int) -> DataFrame:
+        """Versions closed by committed runs after ``run``."""
+        found = self._committed()
+        at = (F.col("state") == "closed") & (F.col("run") > run) & (F.col("run") <= found["run"])
+        return self._rows(found).filter(at).drop("state", "run")
+
+    def write_run(self, rows: DataFrame, tag: str | None = None) -> int:
         """Store one run's rows (the output of a ``snapshot_*_open`` step, or
-        of ``first_snapshot``) in a single write."""
+        of ``first_snapshot``) in a single write. ``tag``: who asked for it
+        (see :meth:`tagged`)."""
         run = self.last_run() + 1
         for state in ("open", "closed"):
             remove(self.spark, f"{self.path}/state={state}/run={run}")
         state = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
         (rows.withColumn("state", state).withColumn("run", F.lit(run))
              .write.mode("append").partitionBy("state", "run").parquet(self.path))
-        write_text(self.spark, f"{self.path}/_committed.json", json.dumps({"run": run, "schema": rows.schema.jsonValue()}))
-        for old in _numbers(self.spark, f"{self.path}/state=open", "run="):
+        write_text(self.spark, f"{self.path}/_committed.json", json.dumps({"run": run, "schema": rows.schema.jsonValue(), "tag": tag}))
+        for old in numbered(self.spark, f"{self.path}/state=open", "run="):
             if old <= run - self.keep:
                 remove(self.spark, f"{self.path}/state=open/run={old}")
         return run
