@@ -82,10 +82,10 @@ def test_chat_round_trip_and_rewriting_template(spark):
     assert out[None]["n_turns"] == 1
     assert chat.format_conversations(t.limit(0)).count() == 0
     numbered = lambda turns: f"{len(turns)}:" + "".join(x for _, x in turns)
-    assert any(r for _, r in chat.render_spans([("user", "a"), ("user", "b")], numbered))
+    assert any(r for *_, r in chat.render_spans([("user", "a"), ("user", "b")], numbered))
     first = lambda turns: "".join(f"[{i}]{x}" for i, (_, x) in enumerate(turns))
     turns = [("user", str(i)) for i in range(40)]
-    assert "".join(p for p, _ in chat.render_spans(turns, first)) == first(turns)
+    assert "".join(p for _, p, _ in chat.render_spans(turns, first)) == first(turns)
 
 
 CHAT_TEMPLATES = {
@@ -108,18 +108,37 @@ def test_chat_spans_equal_brute_force_prefixes(spark, name):
     for n in range(1, len(turns) + 1):
         a, b = template(turns[: n - 1]), template(turns[:n])
         keep = len(os.path.commonprefix([a, b]))
-        want.append((b[keep:], keep < len(a)))
+        want.append((keep, b[keep:], keep < len(a)))
     assert list(chat.render_spans(turns, template)) == want
     t = spark.createDataFrame([(1, i, *turn) for i, turn in enumerate(turns)], "conv_id long, turn long, role string, text string")
     got = chat.format_conversations(t, template).orderBy("seq").collect()
-    assert [(r["piece"], r["rewrites"]) for r in got] == want
+    assert [(r["start"], r["piece"], r["rewrites"]) for r in got] == want
+    assert all(r["end"] == r["start"] + len(r["piece"]) == len(template(turns[: r["seq"] + 1])) for r in got)
+    assert [r["role"] for r in got] == roles
 
 
-def test_chat_template_that_breaks_its_declaration_raises():
-    template = lambda turns: "".join(f"[{i}]{x}" for i, (_, x) in enumerate(turns))
-    template.local = True
-    with pytest.raises(ValueError, match="declares itself local"):
-        list(chat.render_spans([("user", str(i)) for i in range(40)], template))
+@pytest.mark.parametrize("name", [n for n in CHAT_TEMPLATES if n != "marked_turns"])
+@pytest.mark.parametrize("size", [5, 16, 40, 70])
+def test_chat_template_that_breaks_its_declaration_is_rendered_by_prefixes(name, size):
+    plain = CHAT_TEMPLATES[name]
+    declared = lambda turns: plain(turns)
+    declared.local = True
+    turns = [("assistant" if i % 2 else "user", f"{i} words") for i in range(size)]
+    assert list(chat.render_spans(turns, declared)) == list(chat.render_spans(turns, plain))
+
+
+def test_chat_of_a_local_template_takes_linear_time():
+    rendered = [0]
+
+    def counted(turns):
+        rendered[0] += len(turns)
+        return chat.marked_turns(turns)
+
+    counted.local = True
+    turns = [("assistant" if i % 2 else "user", f"{i} words") for i in range(5000)]
+    got = list(chat.render_spans(turns, counted))
+    assert "".join(p for _, p, _ in got) == chat.marked_turns(turns) and rendered[0] < 5000 * 20
+    assert all(start == end for (start, _, _), end in zip(got, np.cumsum([0, *[len(p) for _, p, _ in got]]).tolist()))
 
 
 # --- 3 -----------------------------------------------------------------------

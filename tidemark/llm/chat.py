@@ -8,15 +8,19 @@ turn is marked and its span starts where the outputs part.
 
 Turns of a conversation are streamed in order through one task, after a sort
 that can spill. Every prefix is rendered whole: the turns of a conversation are
-held until it ends, and its renders grow with the square of its length. Only
-for a template that declares itself local (``template.local = True``: each
-turn's piece is the same whatever turns stand before it) at most ``window``
-turns are rendered at a time. No run of turns can show that a template is
-local, so none is taken to be; one that is seen to break its declaration
-raises an error.
-
-Output: one row per turn with its piece of the formatted text. A conversation's
-text is its pieces in order, so no row holds a whole conversation.
+held until it ends, and its renders grow with the square of its length. For a
+template that declares itself local (``template.local = True``: each turn's
+piece is the same whatever turns stand before it) a turn is rendered after the
+last ``window`` turns only, and the declaration is put to the proof: at 16, 32,
+64, ... turns and at the end the whole prefix is rendered and compared with the
+pieces joined, which costs linear time in all. Where they part, the turns since
+the last proof, and all that follow, are rendered by whole prefixes. Nothing is
+given out before it is proved.
+
+Output: one row per turn with the span at which the consecutive outputs part,
+in the output after that turn, and the text there. Unless a turn rewrites
+history, a conversation's text is its pieces in order, so no row holds a whole
+conversation.
 
 Defined results: null role or text: empty; turns with the same number stand in
 order of role and text; repeated rows are turns of their own; a null
@@ -68,23 +72,64 @@ def common_prefix(a: str, b: str) -> int:
     return lo
 
 
-def render_spans(turns, template: Template, window: int = WINDOW) -> Iterator[tuple[str, bool]]:
-    """``(piece, rewrites)`` for each turn of one conversation, in order."""
+def render_spans(turns, template: Template, window: int = WINDOW) -> Iterator[tuple[int, str, bool]]:
+    """``(start, piece, rewrites)`` for each turn of one conversation, in order:
+    where the output with the turn parts from the one before it, what stands
+    from there on, and whether some of the earlier output was replaced."""
     seen: list[tuple[str, str]] = []
-    before, local = template([]), getattr(template, "local", False)
-    for turn in turns:
+    before = template([])
+
+    def by_prefix(turn) -> tuple[int, str, bool]:
+        nonlocal before
         seen.append(turn)
         now = template(seen)
         keep = common_prefix(before, now)
-        piece, rewrites = now[keep:], keep < len(before)
-        yield (before + piece if len(seen) == 1 and not rewrites else piece), rewrites
+        rewrites = keep < len(before)
+        start = 0 if len(seen) == 1 and not rewrites else keep
         before = now
-        if local and len(seen) >= window:
-            tail = seen[-(window // 2):]
-            short, shorter = template(tail), template(tail[:-1])
-            if rewrites or short != shorter + piece:
-                raise ValueError("the template declares itself local, but a turn's piece depends on the turns before it")
-            seen, before = tail, short
+        return start, now[start:], rewrites
+
+    stream = iter(turns)
+    if not getattr(template, "local", False):
+        yield from map(by_prefix, stream)
+        return
+    proved, text, held, size = 0, before, [], len(before)
+
+    def holds() -> bool:
+        return template(seen) == text + "".join(p for _, p, _ in held)
+
+    for turn in stream:
+        seen.append(turn)
+        tail = seen[-window:]
+        shorter, longer = template(tail[:-1]), template(tail)
+        piece = longer[len(shorter):]
+        if len(seen) == 1:
+            held.append((0, longer, False))
+            text, size = "", len(longer)
+        else:
+            held.append((size, piece, False))
+            size += len(piece)
+        count = len(seen)
+        broken = not longer.startswith(shorter)
+        if broken or count >= 16 and count & (count - 1) == 0:
+            if broken or not holds():
+                break
+            text += "".join(p for _, p, _ in held)
+            proved = len(seen)
+            yield from held
+            held = []
+    else:
+        if not held:
+            return
+        if holds():
+            yield from held
+            return
+    # the template is not local: whole prefixes from the last proof on
+    again = seen[proved:]
+    del seen[proved:]
+    before = template(seen)
+    yield from map(by_prefix, again)
+    yield from map(by_prefix, stream)
 
 
 def _conversations(batches) -> Iterator[tuple]:
@@ -97,7 +142,8 @@ def format_conversations(turns: DataFrame, template: Template = marked_turns, *,
                          conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                          text_col: str = "text") -> DataFrame:
     """``(conv_id, seq, role, start, end, piece, rewrites)``: each turn's place
-    in its conversation, its span in the formatted text and that text."""
+    in its conversation, its span in the text formatted up to it, and the text
+    of the span."""
     rows = turns.select(F.col(conv_col).cast("long").alias("c"), F.col(turn_col).alias("n"),
                         F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -113,17 +159,16 @@ def format_conversations(turns: DataFrame, template: Template = marked_turns, *,
         while row is not None:
             conv, state = row[0], {"row": row}
 
-            def own():
+            def own(roles):
                 """Turns of this conversation; leaves the next one's first row in ``state``."""
                 while state["row"] is not None and state["row"][0] == conv:
-                    state["role"] = state["row"][1]
+                    roles.append(state["row"][1])
                     yield state["row"][1], state["row"][2]
                     state["row"] = next(stream, None)
 
-            at = 0
-            for seq, (piece, rewrites) in enumerate(render_spans(own(), template, window)):
-                out.append((conv, seq, state["role"], at, at + len(piece), piece, rewrites))
-                at += len(piece)
+            roles: list[str] = []
+            for seq, (start, piece, rewrites) in enumerate(render_spans(own(roles), template, window)):
+                out.append((conv, seq, roles[seq], start, start + len(piece), piece, rewrites))
                 size += len(piece)
                 if size > 1 << 20:
                     yield _batch(out, types)
