@@ -13,11 +13,23 @@ from pyspark.sql import functions as F
 
 from ..config import scratch_path
 
-#: White space of the word patterns (space and tab to carriage return).
-SPACES = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 2_000_000
 
 
+#: Rows of texts in one Arrow batch.
+ARROW_ROWS = 1_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch to ``ARROW_ROWS`` (a lower
+    setting stays). Texts hold kilobytes: the default of 10,000 rows makes
+    batches of tens of megabytes, held off-heap by the JVM and by each Python
+    worker, and kept by their allocators afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: later steps
     start from the files, also after an executor is lost."""
@@ -32,10 +44,6 @@ def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
-def text_or_empty(col: str = "text"):
-    return F.coalesce(F.col(col).cast("string"), F.lit(""))
-
-
 def held_out(id_col: str, folds: int, fold: int):
     """Whether an id falls in the fold that labels are not learned from."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == fold, F.lit(False))

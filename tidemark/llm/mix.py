@@ -116,6 +116,17 @@ def emit(mixed: DataFrame, columns: list[str]) -> DataFrame:
     return mixed.filter("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*columns)
 
 
+def mixed_copies(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it; columns that are
+    named like the added ones keep their own values. Rows taken zero times,
+    among them empty texts of sources that are over their target, are left
+    out; a null source or text is as in :func:`systematic_mix`; an empty table
+    gives an empty result."""
+    hidden = {c: f"__own_{c}" for c in docs.columns if c in ADDED}
+    mixed = systematic_mix(docs.withColumnsRenamed(hidden), **options)
+    return emit(mixed, [hidden.get(c, c) for c in docs.columns]).withColumnsRenamed({v: k for k, v in hidden.items()})
+
+
 SQL = r"""
 WITH k AS (
   SELECT doc_id, source, COALESCE(LEN(REGEXP_EXTRACT_ALL(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
