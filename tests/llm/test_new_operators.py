@@ -203,16 +203,18 @@ def odd_texts(seed, rows):
 def test_collocations_equal_brute_force_over_several_tries(spark, most):
     rows = odd_texts(most, 300) + [(None, None), ("en", ""), ("en", "  "), ("xx", LONG)]
     df = spark.createDataFrame(rows, "lang string, text string").withColumns({"phrase": F.lit(1), "n": F.lit("x"), "words": F.lit(2)})
-    got = collocations.collocations(df.repartition(5), min_count=4, max_words=most, top=40, buckets=18, trie_bytes=500)
+    got = collocations.collocations(df.repartition(5), min_count=4, max_words=most, top=40, trie_bytes=500)
     assert sorted(map(tuple, got.collect())) == phrases(rows, 4, 40, most)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
 
-def test_collocations_with_crowded_buckets_and_empty_table(spark):
+def test_collocations_with_crowded_bit_maps_and_empty_table(spark, monkeypatch):
     rows = odd_texts(9, 200)
     df = spark.createDataFrame(rows, "lang string, text string")
-    # 256 buckets let nearly everything pass: more candidates, the same result
-    got = collocations.collocations(df, min_count=6, top=500, buckets=8)
+    # 256 bits let nearly everything pass: more phrases to look at, the same result
+    monkeypatch.setattr(collocations, "SMALLEST", 8)
+    monkeypatch.setattr(collocations, "LARGEST", 8)
+    got = collocations.collocations(df, min_count=6, top=500)
     assert sorted(map(tuple, got.collect())) == phrases(rows, 6, 500)
     assert collocations.collocations(df.limit(0)).count() == 0
 
@@ -236,11 +238,11 @@ def test_double_array_holds_exactly_its_keys():
     rng = random.Random(3)
     draw = lambda: bytes(rng.choice(b"abcdefgh \x00\xff") for _ in range(rng.randint(1, 7)))
     keys = sorted({draw() for _ in range(20_000)})
-    trie = double_array.build(keys)
+    trie = double_array.build_list(keys)
     assert all(trie.find(k) == e for k, e in zip(keys, trie.ends.tolist())) and len(set(trie.ends.tolist())) == len(keys)
     prefixes = {k[:j] for k in keys for j in range(len(k) + 1)}
     assert all((trie.find(k) >= 0) == (k in prefixes) for k in (draw() for _ in range(20_000)))
-    assert double_array.build([]).find(b"a") == -1
+    assert double_array.build_list([]).find(b"a") == -1
 
 
 # --- sentence pieces -----------------------------------------------------------------------
@@ -307,3 +309,35 @@ def test_op13_equals_the_library_and_odd_tables(spark):
     assert sentence_pieces.encode_texts(df.limit(0), MODEL).count() == 0
     nulls = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert {r["text"] for r in sentence_pieces.decode_ids(nulls, MODEL).collect()} == {""}
+
+
+# --- pipeline on odd tables ---------------------------------------------------------------
+
+def _tables(spark, path, rows):
+    import corpus_pipeline  # noqa: F401
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, size string, shard string, taken int")
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, toxic int, quality int").limit(0).write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([("i", None)], "item_id string, text string").write.parquet(f"{path}/benchmark.parquet")
+    return path
+
+
+def test_pipeline_runs_on_an_empty_table(spark, scratch):
+    import corpus_pipeline
+    out = corpus_pipeline.run(spark, _tables(spark, f"{scratch}/sf", []))
+    assert out.count() == 0 and {"doc_id", "size", "shard", "slot"} <= set(out.columns)
+
+
+def test_pipeline_stages_keep_columns_with_clashing_names(spark, scratch):
+    import corpus_pipeline
+    rows = [(i, f"text number {i} " * (i + 3), "en", "a" if i % 2 else None, 5, f"own{i}", "x", -i) for i in range(12)]
+    rows += [(None, None, None, None, None, "ownN", None, None), (3, "text number 3 " * 6, "en", "a", 5, "own3", "x", -3)]
+    sf = _tables(spark, f"{scratch}/sf", rows)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "size", "shard", "taken"], name
+    for r in docs.collect():  # the mix's values do not replace the documents' own
+        assert r["size"] == ("ownN" if r["doc_id"] is None else f"own{r['doc_id']}") and r["taken"] == (None if r["doc_id"] is None else -r["doc_id"])
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
+    assert out.count() == docs.count() and {r["law"] for r in out.collect()} <= {"bytes"}

@@ -1,15 +1,16 @@
 """Phrases whose words stand together more often than apart, by language.
 
 Level-wise mining in the Apriori way: every part of a frequent phrase is
-frequent. Each level hashes the phrases whose shorter parts passed into a fixed
-number of buckets with saturating counts (``buckets`` bytes in a task), which
-Spark sums; a bucket below ``min_count`` holds no frequent phrase, so dropping
-its phrases is safe, and the surviving buckets are a bit map of proven size.
-The phrases left, and all their parts, are the candidates.
-
-Candidates are put into double-array tries of at most about ``trie_bytes`` bytes
-of keys (as many as are needed), broadcast one after the other. In every block
-of text numpy moves the states of all word positions forward together, byte by
+frequent. Each level counts the 64-bit hashes of the phrases whose shorter parts
+passed, combined in each task and summed in Spark; a hash below ``min_count``
+belongs to no frequent phrase, so dropping it is safe. What passed is broadcast
+as a bit map of 64 bits for each hash, of 128 MB at most. Counts of longer
+phrases are kept by the hashes of their words, which a join turns back into
+words: the phrases that passed, and all their parts, are the candidates.
+
+Candidates are put into double-array tries of about ``trie_bytes`` bytes of keys
+(as many tries as are needed), broadcast one after the other. In every block of
+text numpy moves the states of all word positions forward together, byte by
 byte; states met at a word's end are binned into counts, and the counts of all
 tasks are summed in Spark. These exact counts of exact strings alone decide;
 hashing only ever adds candidates that turn out to be rare.
@@ -35,14 +36,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import _pow, cut, mix64
+from .common import _pow, bounded_batches, cut, mix64
 from .double_array import Trie, build
 
 MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
-BUCKETS = 24  # bits of a bucket's number
+#: Bit maps have this many bits for each hash, and 2 ** LARGEST bits at most.
+SPARSE, SMALLEST, LARGEST = 64, 20, 30
 SEGMENT = 1 << 18
+#: Hashes that a task combines before it hands them on.
+COMBINED = 400_000
 TRIE_BYTES = 16 << 20
-BLOCK = 1 << 20
+BLOCK = 1 << 19
+TEXTS = 500
 END, GAP = 10, 32
 #: Tab is a gap between words; these end a piece.
 FOLD = bytes.maketrans(b"\t.,;:!?\x0a\x0b\x0c\x0d", bytes([GAP]) + bytes([END]) * 10)
@@ -74,6 +79,13 @@ def _cuts(data: bytes, words: int, limit: int) -> Iterator[tuple[bytes, int]]:
     yield data[lo:], len(data) - lo
 
 
+def batch_blocks(batch: pa.RecordBatch, words: int) -> Iterator[tuple[str, bytes, int]]:
+    """Blocks of a batch of ``(lang, text)``, some hundred texts at a time."""
+    for lo in range(0, batch.num_rows, TEXTS):
+        part = batch.slice(lo, TEXTS)
+        yield from blocks(part.column(0).to_pylist(), part.column(1).to_pylist(), words)
+
+
 def blocks(langs: list, texts: list, words: int, limit: int = BLOCK) -> Iterator[tuple[str, bytes, int]]:
     """``(lang, block, own)`` of a batch; a block holds texts of one language."""
     by: dict[str, list[str]] = {}
@@ -128,17 +140,20 @@ class Line:
 # --- safe candidates ----------------------------------------------------------------
 
 class Sieve:
-    """Bit maps of the buckets that may hold frequent phrases, by length."""
+    """Bit maps of the hashes that passed, by phrase length."""
 
-    def __init__(self, bits: int, maps: list[np.ndarray] | None = None):
-        self.bits, self.maps = bits, maps or []
+    def __init__(self, maps: list[np.ndarray] | None = None):
+        self.maps = maps or []
 
-    def passes(self, level: int, bucket: np.ndarray) -> np.ndarray:
-        return (self.maps[level - 1][bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1 == 1
+    def passes(self, level: int, h: np.ndarray) -> np.ndarray:
+        bits = self.maps[level - 1]
+        place = _place(h, (len(bits) * 8).bit_length() - 1)
+        return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
-    def levels(self, line: Line, lang: str, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def levels(self, line: Line, lang: str, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """``(length, words at which a phrase begins whose parts all passed,
-        buckets of these phrases)`` up to the first length without a bit map."""
+        hashes of these phrases, hashes of all words)`` up to the first length
+        without a bit map."""
         n = len(line.start)
         if not n:
             return
@@ -146,7 +161,8 @@ class Sieve:
         pref = np.zeros(len(line.bytes) + 1, np.uint64)
         np.cumsum(line.bytes.astype(np.uint64) * p[: len(line.bytes)], out=pref[1:])
         word = mix64((pref[line.stop] - pref[line.start]) * inv[line.start] + (line.stop - line.start).astype(np.uint64))
-        h = word ^ np.uint64(zlib.crc32(lang.encode()) << 20)
+        word = mix64(word ^ np.uint64(zlib.crc32(lang.encode()) << 20))
+        h = word.copy()
         good = np.ones(n, bool)
         for level in range(1, most + 1):
             if level > 1:
@@ -156,136 +172,183 @@ class Sieve:
                 m = max(0, n - level + 1)
                 h[:m] = mix64(h[:m] * _MULT + word[n - m :])
             at = np.flatnonzero(good)
-            bucket = (mix64(h[at]) >> np.uint64(64 - self.bits)).astype(np.int64)
-            yield level, at, bucket
+            yield level, at, h[at], word
             if level > len(self.maps):
                 return
-            good[at] = self.passes(level, bucket)
+            good[at] = self.passes(level, h[at])
+
+
+def _place(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
 
 
-SEGMENTS = "segment int, data binary, lang string, n long"
+def _combined(rows: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Distinct hashes, the sums of their counts, and the other columns (equal
+    for equal hashes) of the first."""
+    h, n, *rest = map(np.concatenate, zip(*rows))
+    order = np.argsort(h, kind="stable")
+    h, n = h[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    return h[first], np.add.reduceat(n, first) if len(h) else n, *[x[order][first] for x in rest]
 
 
-def _batch(segments: list, data: list, langs: list, n: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(segments, pa.int32()), pa.array(data, pa.binary()), pa.array(langs, pa.string()),
-                                       pa.array(n, pa.int64())], names=["segment", "data", "lang", "n"])
+def _count(docs: DataFrame, sieve: Sieve, level: int) -> DataFrame:
+    """Counts ``(h, n, w1, w2, ...)`` of each task's phrases of one length: hash,
+    count and the hashes of the words; for single words also ``(h, lang, word)``,
+    each word once in a task, and ``(lang, n)``, the words of a language."""
+    shared = docs.sparkSession.sparkContext.broadcast(sieve.maps)
+    names = [f"w{i}" for i in range(1, level + 1)] if level > 1 else []
+    schema = pa.schema([("h", pa.int64()), ("n", pa.int64()), *[(w, pa.int64()) for w in names],
+                        *([("lang", pa.string()), ("word", pa.binary())] if level == 1 else [])])
+
+    def batch(size, **cols):
+        return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(size, f.type) for f in schema],
+                                          schema=schema)
+
+    def count(batches):
+        own, words, given, rows, size = Sieve(shared.value), {}, {}, [], 0
 
+        def emit(found):
+            for lo in range(0, len(found[0]), 1 << 17):
+                part = [np.ascontiguousarray(x[lo : lo + (1 << 17)]).view(np.int64) for x in found]
+                yield batch(len(part[0]), h=part[0], n=part[1], **dict(zip(names, part[2:])))
+
+        for b in batches:
+            for lang, block, mine in batch_blocks(b, level):
+                line = Line(block, mine)
+                words[lang] = words.get(lang, 0) + int(line.own.sum())
+                for length, at, h, word in own.levels(line, lang, level):
+                    if length < level:
+                        continue
+                    some = line.own[at]
+                    found, first, n = np.unique(h[some], return_index=True, return_counts=True)
+                    at = at[some][first]
+                    rows.append((found, n.astype(np.int64), *[word[at + i] for i in range(len(names))]))
+                    size += len(found)
+                    if level == 1:
+                        seen = given.get(lang, found[:0])
+                        new = seen[np.minimum(np.searchsorted(seen, found), len(seen) - 1)] != found if len(seen) else np.ones(len(found), bool)
+                        given[lang] = np.sort(np.concatenate([seen, found[new]]), kind="stable")
+                        whole, at = line.bytes.tobytes(), at[new]
+                        texts = [whole[x:y] for x, y in zip(line.start[at].tolist(), line.stop[at].tolist())]
+                        yield batch(len(at), h=found[new].view(np.int64), lang=[lang] * len(at), word=texts)
+                if size > COMBINED:
+                    rows = [_combined(rows)]
+                    size = len(rows[0][0])
+                    if size > COMBINED // 2:
+                        yield from emit(rows[0])
+                        rows, size = [], 0
+        if rows:
+            yield from emit(_combined(rows))
+        if level == 1 and words:
+            yield batch(len(words), n=list(words.values()), lang=list(words))
+
+    return docs.mapInArrow(count, ", ".join(f"{f.name} {'long' if f.type == pa.int64() else f.type}" for f in schema))
+
+
+def _place_of(h: str, bits: int):
+    return F.shiftrightunsigned(h, 64 - bits)
+
+
+def _bit_map(passing: DataFrame) -> np.ndarray:
+    """Bit map of the hashes, built by segments in Spark; only its bits come to
+    the driver."""
+    n = passing.count()
+    bits = min(LARGEST, max(SMALLEST, (SPARSE * n).bit_length()))
+    span = min(SEGMENT * 8, 1 << bits)  # bits of a segment
+    place = _place_of("h", bits)
+    rows = passing.select((place / span).cast("int").alias("segment"), (place % span).cast("int").alias("bit"))
+    ordered = rows.repartition("segment").sortWithinPartitions("segment")
+
+    def pack(batches):
+        now, held = None, None
+
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array(
+                [np.packbits(held, bitorder="little").tobytes()], pa.binary())], names=["segment", "bits"])
+
+        for b in batches:
+            segment, bit = b.column(0).to_numpy(), b.column(1).to_numpy()
+            cuts = np.flatnonzero(np.diff(segment)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(segment)]):
+                if hi > lo and segment[lo] != now:
+                    if now is not None:
+                        yield done()
+                    now, held = int(segment[lo]), np.zeros(span, bool)
+                held[bit[lo:hi]] = True
+        if now is not None:
+            yield done()
+
+    found = np.zeros((1 << bits) // 8, np.uint8)
+    for row in ordered.mapInArrow(pack, "segment int, bits binary").toLocalIterator():
+        part = np.frombuffer(row["bits"], np.uint8)
+        found[row["segment"] * (span // 8) :][: len(part)] = part
+    return found
+
+
+def _candidates(words: DataFrame, passing: dict[int, DataFrame]) -> DataFrame:
+    """``(lang, phrase)``: the phrases of two words or more that passed, and all
+    their parts. ``words``: ``(h, lang, word)``."""
+    found = None
+    for length, rows in passing.items():
+        rows = rows.select(*[f"w{i}" for i in range(1, length + 1)])
+        for i in range(1, length + 1):
+            own = words.select(F.col("h").alias(f"w{i}"), *(["lang"] if i == 1 else []), F.col("word").alias(f"s{i}"))
+            rows = rows.join(own, f"w{i}")
+        rows = rows.select("lang", F.array(*[f"s{i}" for i in range(1, length + 1)]).alias("words"))
+        found = rows if found is None else found.unionByName(rows)
+    parts = F.flatten(F.transform(F.sequence(F.lit(1), F.size("words")), lambda k: F.transform(
+        F.sequence(F.lit(1), F.size("words") - k + 1), lambda i: F.array_join(F.slice("words", i, k), " "))))
+    return found.select("lang", F.explode(parts).alias("phrase")).distinct()
+
+
+# --- exact counts ---------------------------------------------------------------------
 
 def _segments(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     for k in range(0, len(counts), SEGMENT):
         part = counts[k : k + SEGMENT]
         if part.any():
-            yield _batch([k // SEGMENT], [zlib.compress(part.tobytes(), 1)], [None], [None])
+            yield pa.RecordBatch.from_arrays([pa.array([k // SEGMENT], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
+                                             names=["segment", "data"])
 
 
-def _summed(parts: DataFrame, kind: str, most: int | None, finish, schema: str) -> DataFrame:
+def _summed(parts: DataFrame, finish, schema: str) -> DataFrame:
     """``finish(segment, counts)`` of the sums of each segment's counts over all
-    tasks, streamed; sums stay at ``most``."""
-    ordered = parts.filter("segment >= 0").select("segment", "data").repartition("segment").sortWithinPartitions("segment")
+    tasks, streamed."""
+    ordered = parts.repartition("segment").sortWithinPartitions("segment")
 
     def add(batches):
         now, total = None, None
         for b in batches:
             for segment, data in zip(b.column(0).to_pylist(), b.column(1)):
-                part = np.frombuffer(zlib.decompress(data.as_py()), kind)
+                part = np.frombuffer(zlib.decompress(data.as_py()), "<i8")
                 if segment != now:
                     if now is not None:
                         yield finish(now, total)
                     now, total = segment, np.zeros(len(part), np.int64)
                 total += part
-                if most:
-                    np.minimum(total, most, out=total)
         if now is not None:
             yield finish(now, total)
 
     return ordered.mapInArrow(add, schema)
 
 
-def _bit_map(docs: DataFrame, sieve: Sieve, level: int, min_count: int) -> tuple[np.ndarray, DataFrame]:
-    """The next bit map of the sieve, and rows with the words of each task's
-    languages."""
-    spark: SparkSession = docs.sparkSession
-    shared, bits = spark.sparkContext.broadcast(sieve.maps), sieve.bits
-    kind = "u1" if min_count < 256 else "<u4"
-
-    def count(batches):
-        held, words = np.zeros(1 << bits, kind), {}
-        own = Sieve(bits, shared.value)
-        for b in batches:
-            for lang, block, mine in blocks(b.column(0).to_pylist(), b.column(1).to_pylist(), level):
-                line = Line(block, mine)
-                words[lang] = words.get(lang, 0) + int(line.own.sum())
-                for length, at, bucket in own.levels(line, lang, level):
-                    if length == level:
-                        found, n = np.unique(bucket[line.own[at]], return_counts=True)
-                        held[found] = np.minimum(held[found] + n, min_count)
-        yield from _segments(held)
-        if words:
-            yield _batch([-1] * len(words), [None] * len(words), list(words), list(words.values()))
-
-    parts = cut(docs.mapInArrow(count, SEGMENTS), f"phrase-buckets-{level}")
-
-    def finish(segment, total):
-        return pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array(
-            [np.packbits(total >= min_count, bitorder="little").tobytes()], pa.binary())], names=["segment", "bits"])
-
-    found = np.zeros((1 << bits) // 8, np.uint8)
-    for row in _summed(parts, kind, min_count, finish, "segment int, bits binary").toLocalIterator():
-        part = np.frombuffer(row["bits"], np.uint8)
-        found[row["segment"] * (SEGMENT // 8) :][: len(part)] = part
-    shared.unpersist()
-    return found, parts
-
-
-def _proposed(docs: DataFrame, sieve: Sieve, most: int) -> DataFrame:
-    """``(lang, phrase)``: the candidates of two words or more, and all their
-    parts."""
-    shared, bits = docs.sparkSession.sparkContext.broadcast(sieve.maps), sieve.bits
-
-    def propose(batches):
-        own, held = Sieve(bits, shared.value), {}
-
-        def emit():
-            for lang, phrases in held.items():
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()),
-                                                  pa.array(list(phrases), pa.binary())], names=["lang", "phrase"])
-            held.clear()
-
-        for b in batches:
-            for lang, block, mine in blocks(b.column(0).to_pylist(), b.column(1).to_pylist(), most):
-                line = Line(block, mine)
-                phrases = held.setdefault(lang, set())
-                for length, at, bucket in own.levels(line, lang, most):
-                    if length > 1:
-                        at = at[own.passes(length, bucket) & line.own[at]]
-                        whole = line.bytes.tobytes()
-                        phrases.update([whole[a:z] for a, z in zip(line.start[at].tolist(), line.stop[at + length - 1].tolist())])
-            if sum(map(len, held.values())) > 200_000:
-                yield from emit()
-        yield from emit()
-
-    found = docs.mapInArrow(propose, "lang string, phrase binary").select("lang", F.col("phrase").cast("string").alias("phrase")).distinct()
-    words = F.split("phrase", " ", -1)
-    parts = F.flatten(F.transform(F.sequence(F.lit(1), F.size("words")), lambda k: F.transform(
-        F.sequence(F.lit(1), F.size("words") - k + 1), lambda i: F.array_join(F.slice("words", i, k), " "))))
-    return found.select("lang", words.alias("words")).select("lang", F.explode(parts).alias("phrase")).distinct()
-
-
-# --- exact counts ---------------------------------------------------------------------
-
-def _counted(docs: DataFrame, keys: list[tuple[str, str]], most: int) -> DataFrame:
+def _counted(docs: DataFrame, keys: DataFrame, most: int) -> DataFrame:
     """``(lang, phrase, f)`` of the keys, counted by one trie."""
     spark: SparkSession = docs.sparkSession
-    langs = {lang: k for k, lang in enumerate(sorted({lang for lang, _ in keys}))}
-    whole = sorted(f"{langs[lang]}\n{phrase}".encode("utf-8", "surrogatepass") for lang, phrase in keys)
-    trie: Trie = build(whole)
+    langs = {r["lang"]: k for k, r in enumerate(keys.select("lang").distinct().collect())}  # one row per language
+    numbers = spark.createDataFrame([(x, k) for x, k in langs.items()], "lang string, k int")
+    key = F.concat(F.col("k").cast("string").cast("binary"), F.lit(b"\n"), F.col("phrase").cast("binary"))
+    whole = keys.join(F.broadcast(numbers), "lang").select(key.alias("key")).orderBy("key").toArrow()["key"].combine_chunks()
+    _, bounds, data = whole.cast(pa.large_binary()).buffers()
+    bounds, data = np.frombuffer(bounds, np.int64)[: len(whole) + 1].copy(), np.frombuffer(data, np.uint8)
+    trie: Trie = build(data, bounds)
     start = {lang: trie.find(f"{k}\n".encode()) for lang, k in langs.items()}
-    bounds = np.cumsum([0, *map(len, whole)])
-    shared = spark.sparkContext.broadcast((trie.base, trie.check, trie.ends, start, list(langs), b"".join(whole), bounds))
+    shared = spark.sparkContext.broadcast((trie.base, trie.check, trie.ends, start, list(langs), data.tobytes(), bounds))
 
     def count(batches):
         base, check, ends, begin = shared.value[:4]
@@ -293,7 +356,7 @@ def _counted(docs: DataFrame, keys: list[tuple[str, str]], most: int) -> DataFra
         held, total = [], np.zeros(len(base), np.int64)
         size = 0
         for b in batches:
-            for lang, block, mine in blocks(b.column(0).to_pylist(), b.column(1).to_pylist(), most):
+            for lang, block, mine in batch_blocks(b, most):
                 if lang not in begin:
                     continue
                 line = Line(block, mine)
@@ -305,14 +368,14 @@ def _counted(docs: DataFrame, keys: list[tuple[str, str]], most: int) -> DataFra
                     then = line.bytes[at]
                     held.append(states[(then == GAP) | (then == END)])
                     size += len(held[-1])
-            if size > 1 << 22:
+            if size > 1 << 20:
                 total += np.bincount(np.concatenate(held), minlength=len(total))
                 held, size = [], 0
         if held:
             total += np.bincount(np.concatenate(held), minlength=len(total))
         yield from _segments(total[ends].astype("<i8"))
 
-    parts = cut(docs.mapInArrow(count, SEGMENTS), "phrase-counts")
+    parts = cut(docs.mapInArrow(count, "segment int, data binary"), "phrase-counts")
 
     def finish(segment, total):
         names, data, at = shared.value[4:]
@@ -322,30 +385,36 @@ def _counted(docs: DataFrame, keys: list[tuple[str, str]], most: int) -> DataFra
                                            pa.array([x.decode("utf-8", "surrogatepass") for _, x in pairs], pa.string()),
                                            pa.array(total[some], pa.int64())], names=["lang", "phrase", "f"])
 
-    done = cut(_summed(parts, "<i8", None, finish, "lang string, phrase string, f long"), "phrase-sums")
+    done = cut(_summed(parts, finish, "lang string, phrase string, f long"), "phrase-sums")
     shared.unpersist()
     return done
 
 
-def count_phrases(docs: DataFrame, *, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, buckets: int = BUCKETS,
-                  trie_bytes: int = TRIE_BYTES, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def count_phrases(docs: DataFrame, *, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, trie_bytes: int = TRIE_BYTES,
+                  lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(lang, phrase, f)`` of all frequent phrases of 2 to ``max_words`` words
     and of all their parts, and ``(lang, n)``, the words of each language."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     texts = _texts(docs, lang_col, text_col)
-    sieve, totals = Sieve(buckets), None
-    for level in range(1, max_words + 1):
-        found, parts = _bit_map(texts, sieve, level, min_count)
-        sieve.maps.append(found)
-        if totals is None:
-            totals = parts.filter("segment < 0").groupBy("lang").agg(F.sum("n").alias("n"))
-    keys = cut(_proposed(texts, sieve, max_words), "phrase-candidates")
+    raw = cut(_count(texts, Sieve(), 1), "phrase-words")
+    often = cut(raw.filter("h IS NOT NULL AND n IS NOT NULL").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+                .select("h"), "phrase-hashes-1")
+    words = cut(raw.filter("word IS NOT NULL").select("h", "lang", "word").distinct().join(often, "h", "left_semi")
+                .select("h", "lang", F.col("word").cast("string").alias("word")), "phrase-lexicon")
+    totals = raw.filter("h IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    sieve, passing = Sieve([_bit_map(often)]), {}
+    for level in range(2, max_words + 1):
+        ws = [f"w{i}" for i in range(1, level + 1)]
+        sums = _count(texts, sieve, level).groupBy(*ws).agg(F.sum("n").alias("n"), F.min("h").alias("h"))
+        passing[level] = cut(sums.filter(F.col("n") >= min_count).select("h", *ws), f"phrase-hashes-{level}")
+        sieve.maps.append(_bit_map(passing[level]))
+    keys = cut(_candidates(words, passing), "phrase-candidates")
     size = keys.agg(F.sum(F.octet_length("phrase") + F.octet_length("lang") + 1)).first()[0] or 0
     tries = max(1, -(-size // trie_bytes))
     counts = None
     for k in range(tries if size else 0):
-        mine = keys.filter(F.pmod(F.xxhash64("lang", "phrase"), F.lit(tries)) == k).toArrow()
-        part = _counted(texts, list(zip(mine["lang"].to_pylist(), mine["phrase"].to_pylist())), max_words)
+        part = _counted(texts, keys.filter(F.pmod(F.xxhash64("lang", "phrase"), F.lit(tries)) == k), max_words)
         counts = part if counts is None else counts.unionByName(part)
     if counts is None:
         counts = spark.createDataFrame([], "lang string, phrase string, f long")

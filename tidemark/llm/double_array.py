@@ -39,13 +39,11 @@ class Trie:
         return at
 
 
-def _edges(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _edges(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(parents, bytes, last)``: edges in order of their parents, the child of
     edge ``i`` being node ``i + 1``; ``last``: the node of each key."""
-    data = np.frombuffer(b"".join(keys), np.uint8)
-    size = np.fromiter(map(len, keys), np.int64, len(keys))
-    begin = np.cumsum(size) - size
-    node = np.zeros(len(keys), np.int32)
+    begin, size = bounds[:-1], np.diff(bounds)
+    node = np.zeros(len(size), np.int32)
     parents, symbols, total, level = [], [], 0, 0
     alive = np.flatnonzero(size > 0)
     while len(alive):
@@ -63,9 +61,14 @@ def _edges(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(parents), np.concatenate(symbols), node
 
 
-def build(keys: list[bytes]) -> Trie:
+def build_list(keys: list[bytes]) -> Trie:
     """The trie of sorted, distinct, non-empty keys."""
-    parents, symbols, last = _edges(keys)
+    return build(np.frombuffer(b"".join(keys), np.uint8), np.cumsum([0, *map(len, keys)]))
+
+
+def build(data: np.ndarray, bounds: np.ndarray) -> Trie:
+    """The trie of keys that stand in ``data`` end to end, cut at ``bounds``."""
+    parents, symbols, last = _edges(data, bounds)
     nodes = len(parents) + 1
     first = np.searchsorted(parents, np.arange(nodes), "left")
     count = np.searchsorted(parents, np.arange(nodes), "right") - first
