@@ -12,35 +12,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.config import data_dir, scratch_path
+from tidemark.llm.common import bounded_batches
 from tidemark.llm.decontaminate import keep_clean
-from tidemark.llm.mix import emit, systematic_mix
+from tidemark.llm.mix import mixed_copies
 from tidemark.llm.shard import histogram_shards
 from tidemark.llm.simhash import keep_one
 from tidemark.llm.toxicity import keep_mild
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score stays below the threshold."""
+    """Documents whose toxicity score stays below the threshold. Null and empty
+    texts have the score of the intercept and stay; repeated rows get one
+    verdict; an empty table, or one without labels, loses nothing."""
+    bounded_batches(spark)
     return keep_mild(docs, spark.read.parquet(data_dir(sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies. Null and empty texts are
+    copies of each other; of repeated ids one row stays; an empty table stays
+    empty."""
+    bounded_batches(spark)
     return keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
+    """Documents without a window of a benchmark item; all rows of an id share
+    the verdict. Null and empty texts have no words and stay."""
+    bounded_batches(spark)
     return keep_clean(docs, spark.read.parquet(data_dir(sf_dir, "benchmark")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, one row per copy."""
-    return emit(systematic_mix(docs), docs.columns)
+    """Documents as often as the mix takes them, one row per copy. A null
+    source is one of its own; columns named like the mix's own keep their
+    values."""
+    return mixed_copies(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with size, checksum, shard and slot."""
+    """Documents with size, checksum, shard and slot; columns of these names
+    are replaced. A null text has size 1 and checksum 0; rows that are alike are
+    rows of their own."""
+    bounded_batches(spark)
     return histogram_shards(docs)
 
 
