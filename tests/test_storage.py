@@ -2,9 +2,11 @@
 
 import datetime as dt
 import os
+import time
 
 from pyspark.sql import functions as F
 
+from tidemark.config import prune_scratch, scratch_path
 from tidemark.operators.asof import as_of_join
 from tidemark.operators.joins import left_join_fanout
 from tidemark.operators.latest import drop_replays
@@ -269,3 +271,13 @@ def test_a_load_delivered_again_is_not_loaded_again(spark, scratch, monkeypatch)
     monkeypatch.setattr(commit.Unit, "commit", done)
     assert load_new_files(spark, f"{scratch}/stage", schema, f"{scratch}/bronze", f"{scratch}/ck", recursive=True) == 0
     assert spark.read.schema(schema).parquet(f"{scratch}/bronze").count() == 6
+
+
+def test_old_scratch_tables_are_removed_and_new_ones_stay(spark):
+    old, new = scratch_path(spark, "prune-old"), scratch_path(spark, "prune-new")
+    for p in (old, new):
+        spark.range(3).write.parquet(p)
+    past = time.time() - 400 * 86400
+    os.utime(old.removeprefix("file:"), (past, past))
+    assert prune_scratch(spark, 300 * 24) >= 1
+    assert not os.path.exists(old.removeprefix("file:")) and spark.read.parquet(new).count() == 3

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -88,5 +89,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def prune_scratch(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Remove the scratch tables that nothing has written to for that long;
+    returns how many. A result DataFrame reads its scratch tables when it is
+    used, so they cannot go with the call that made them: jobs call this when
+    they begin, with more hours than any of them takes."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/tidemark")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    oldest = (time.time() - older_than_hours * 3600) * 1000
+    gone = [st.getPath() for st in fs.listStatus(root) if st.getModificationTime() < oldest]
+    for path in gone:
+        fs.delete(path, True)
+    return len(gone)
+
+
 def data_dir(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
