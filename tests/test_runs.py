@@ -17,7 +17,7 @@ from tidemark.plans.pipeline import (PipelineConfig, check_counts, read_gold, re
 from tidemark.schemas import BRONZE_SCHEMAS
 from tidemark.sources import commit
 from tidemark.sources.changes import read_changes
-from tidemark.sources.tables import HistoryTable, PartitionedTable, backfill_bronze, read_bronze
+from tidemark.sources.tables import HistoryTable, PartitionedTable, backfill_bronze, read_bronze, remove
 from tidemark.streaming import ingest
 from tidemark.streaming.ingest import ingest_batch, start_ingest
 
@@ -125,7 +125,7 @@ def test_processing_time_trigger_runs_batch_after_batch(spark, scratch):
     finally:
         q.stop()
     assert q.exception() is None and read_bronze(spark, "transactions", f"{scratch}/bronze/transactions").count() == n
-    assert {f"transactions-{i}.json" for i in (0, 1)} <= set(os.listdir(f"{scratch}/ck_units"))
+    assert {f"transactions-{i}.json" for i in (0, 1)} <= set(os.listdir(f"{scratch}/ck/_units"))
 
 
 def test_catalog_tables_are_created_and_appended_to(spark, scratch):
@@ -184,6 +184,10 @@ def test_gold_by_changes_equals_gold_anew_after_every_run(spark, scratch):
     assert [n for n, r in after["parts"].items() if before["parts"].get(n) != r] in (["gold_part=1"], [])
     parts = [read_silver(spark, cfg, "transactions"), read_history(spark, cfg, "accounts"), read_history(spark, cfg, "customers")]
     assert same(gold.fct_transactions(*parts, read_silver(spark, cfg, "transaction_legs")), read_gold(spark, cfg, "fct_transactions"))
+    # a silver table that is thrown away is built anew, and gold with it
+    remove(spark, cfg.path("silver", "transaction_legs"))
+    run_silver(spark, cfg), run_gold(spark, cfg)
+    assert same(gold.fct_transactions(*parts, read_silver(spark, cfg, "transaction_legs")), read_gold(spark, cfg, "fct_transactions"))
 
 
 def test_changed_since_names_the_earliest_time(spark):

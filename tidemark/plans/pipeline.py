@@ -307,7 +307,7 @@ def _gold_part(cfg: PipelineConfig):
 
 def fed(spark: SparkSession, cfg: PipelineConfig, table: str) -> list[int]:
     """Numbers of the change batches recorded for gold."""
-    return numbered(spark, cfg.path("_feed", table), "batch=")
+    return numbered(spark, cfg.path("silver", table, "_feed"), "batch=")
 
 
 def _feed(spark: SparkSession, cfg: PipelineConfig, store: SilverStore, changes: DataFrame, batch: int) -> None:
@@ -316,7 +316,7 @@ def _feed(spark: SparkSession, cfg: PipelineConfig, store: SilverStore, changes:
     and as they were. At most as many rows as the fact has partitions."""
     if store.table not in ("transactions", "transaction_legs"):
         return
-    path = cfg.path("_feed", store.table, f"batch={batch}")
+    path = f"{store.path}/_feed/batch={batch}"
     if path_exists(spark, f"{path}/_SUCCESS"):
         return  # delivered again: the state it was compared with is gone
     parts = changes.select(_gold_part(cfg))
@@ -460,9 +460,12 @@ def _reached(spark: SparkSession, cfg: PipelineConfig, last: dict, txn: DataFram
     if that cannot be told."""
     found = spark.createDataFrame([], f"{GOLD_PART} long")
     for table, seen in last["feed"].items():
-        new = [n for n in fed(spark, cfg, table) if not seen or n > seen[0]]
+        have = fed(spark, cfg, table)
+        if seen and (not have or have[-1] < seen[0]):
+            return None  # silver was built anew
+        new = [n for n in have if not seen or n > seen[0]]
         if new:
-            found = found.unionByName(spark.read.parquet(*[cfg.path("_feed", table, f"batch={n}") for n in new]))
+            found = found.unionByName(spark.read.parquet(*[cfg.path("silver", table, "_feed", f"batch={n}") for n in new]))
     since = {}
     for table, h in histories.items():
         run = last["snapshots"][table]

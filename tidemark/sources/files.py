@@ -55,7 +55,7 @@ def load_new_files(spark: SparkSession, source_dir: str, schema: StructType, tar
              .option("maxFilesPerTrigger", str(max_files_per_trigger))
              .option("recursiveFileLookup", str(recursive).lower())
              .load(source_dir).select("path"))
-    loaded, ledger = 0, f"{checkpoint.rstrip('/')}_units"
+    loaded, ledger = 0, f"{checkpoint.rstrip('/')}/_units"  # goes with the checkpoint, whose batch numbers it counts
 
     def load(batch: DataFrame, batch_id: int) -> None:
         nonlocal loaded
