@@ -638,7 +638,7 @@ def q_gold_incremental(spark, sf):
     cfg = PipelineConfig(root=root, run_at=fx.CHECK_RUN_2, gold_partitions="floor(transaction_id / 1000)",
                          silver_partitions={"transactions": "floor(transaction_id / 10000)"})
     acc, cus = fx.bronze_accounts(spark, sf), fx.bronze_customers(spark, sf)
-    txn, legs, banks = fx.bronze_transactions(spark, sf), _by_month(fx.bronze_transaction_legs(spark, sf)), fx.bronze_banks(spark, sf)
+    txn, legs, banks = fx.bronze_transactions(spark, sf), _by_year(fx.bronze_transaction_legs(spark, sf)), fx.bronze_banks(spark, sf)
     cut = lambda df: F.col("ingested_at") < ts_lit(fx.SNAPSHOT_CUT)
     waves = [{"accounts": acc.filter(cut(acc)), "customers": cus.filter(cut(cus)), "transactions": _on_time(txn),
               "transaction_legs": _on_time(legs), "banks": banks},
@@ -653,10 +653,10 @@ def q_gold_incremental(spark, sf):
     return read_gold(spark, cfg, "fct_transactions")
 
 
-def _by_month(df):
-    """Leg changes filed under their month: the fixture's legs span 2,500 days
+def _by_year(df):
+    """Leg changes filed under their year: the fixture's legs span 2,500 days
     of a few rows each, and a folder for each day is all that a run would write."""
-    return df.withColumn("ingestion_date", F.trunc("ingestion_date", "MONTH"))
+    return df.withColumn("ingestion_date", F.trunc("ingestion_date", "YEAR"))
 
 
 def _stage(df, table, path):
@@ -667,7 +667,7 @@ def _staged_run(spark, sf):
     root = scratch_path(spark, "pipeline")
     logs = {"accounts": fx.bronze_accounts(spark, sf), "customers": fx.bronze_customers(spark, sf),
             "transactions": fx.bronze_transactions(spark, sf),
-            "transaction_legs": _by_month(fx.bronze_transaction_legs(spark, sf)), "banks": fx.bronze_banks(spark, sf)}
+            "transaction_legs": _by_year(fx.bronze_transaction_legs(spark, sf)), "banks": fx.bronze_banks(spark, sf)}
     for table, df in logs.items():
         _stage(df, table, f"{root}/staged/{table}")
     # transactions use the partitioned silver layout (ids grow with time), the rest versioned tables
