@@ -268,3 +268,28 @@ def test_checks_of_a_run_scan_each_table_once(spark, scratch):
         write(spark, cfg, table, df.filter("source_offset % 9 = 0"))
     run_pipeline(spark, cfg)
     assert scans(check_counts(spark, cfg)) == 7  # four silver tables, banks, two histories
+
+
+def test_checks_of_a_run_are_kept_and_need_no_second_count(spark, scratch, monkeypatch):
+    cfg = PipelineConfig(root=f"{scratch}/lake", run_at=RUN_AT)
+    for table, df in logs(spark).items():
+        write(spark, cfg, table, df.filter("source_offset % 9 = 0"))
+    counted = run_pipeline(spark, cfg)["checks"]
+    monkeypatch.setattr(pipeline, "check_counts", lambda *a: pytest.fail("counted again"))
+    kept = pipeline.read_checks(spark, cfg)
+    assert scans(kept) == 1 and {r["check"]: r["n"] for r in kept.collect()} == counted
+
+
+def test_entries_of_fused_counts_are_numbers_and_made_in_generated_code(spark, scratch):
+    spark.sql("SELECT * FROM VALUES (1, 'a', 'debit', 7036874417.93D), (1, 'b', 'credit', 7036874417.95D), (2, 'b', 'debit', 0.01D), "
+              "(2, 'c', 'credit', 0.01D), (3, 'c', 'debit', 5e9D), (3, '3', 'credit', 5e9D), (CAST(NULL AS INT), 'd', 'debit', 7.0D) "
+              "AS t(k, mail, direction, amount)").write.parquet(f"{scratch}/t")
+    t = spark.read.parquet(f"{scratch}/t")
+    rules = [quality.Unique("k", "t", "k"), quality.Foreign("mail", "t", "mail", "t", "k"), quality.Unique("m", "t", "mail"),
+             quality.Foreign("self", "t", "k", "t", "k"), quality.Balance("bal", "t", "k")]
+    counts = quality.count_violations({"t": t}, rules)
+    assert {r[0]: r[1] for r in counts.collect()} == {"k": 3, "mail": 6, "m": 2, "self": 0, "bal": 2}
+    assert quality.violations_balance(t, "k").count() == 2
+    alone = quality.count_violations({"t": t}, [quality.Unique("k", "t", "k"), quality.Balance("bal", "t", "k")])
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan and "cast(k#" in plan and "as string" not in plan

@@ -500,10 +500,19 @@ def changed_since(before: DataFrame, opened: DataFrame, closed: DataFrame, key:
 
 def run_checks(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     """Constraint checks on silver, returned as violation counts (the
-    violating rows come from the same ``violations_*`` calls). At most one row
-    per check reaches the driver."""
+    violating rows come from the same ``violations_*`` calls), which are also
+    kept as a table (:func:`read_checks`). At most one row per check reaches the
+    driver."""
     counts = check_counts(spark, cfg)
-    return {} if counts is None else {r["check"]: r["n"] for r in counts.collect()}
+    if counts is None:
+        return {}
+    VersionedTable(spark, cfg.path("checks")).write(counts)
+    return {r["check"]: r["n"] for r in read_checks(spark, cfg).collect()}
+
+
+def read_checks(spark: SparkSession, cfg: PipelineConfig) -> DataFrame | None:
+    """``(check, n)`` as the last run counted them."""
+    return VersionedTable(spark, cfg.path("checks")).read()
 
 
 #: Unique columns, and (child, column, parent) of each foreign key.
