@@ -293,3 +293,38 @@ def test_entries_of_fused_counts_are_numbers_and_made_in_generated_code(spark, s
     alone = quality.count_violations({"t": t}, [quality.Unique("k", "t", "k"), quality.Balance("bal", "t", "k")])
     plan = alone._jdf.queryExecution().executedPlan().toString()
     assert "lambdafunction" not in plan and "cast(k#" in plan and "as string" not in plan
+
+
+# --- work that is done once ------------------------------------------------------------------
+
+def test_a_committed_batch_is_not_read_again_and_a_callers_cache_stays(spark, scratch):
+    msgs = fx.change_messages(spark, SF).persist()
+    kw = {"bronze_root": f"{scratch}/bronze", "dead_letter_root": f"{scratch}/dead", "at": AT, "ledger": f"{scratch}/units",
+          "topics": [topic_of("accounts"), topic_of("transactions")]}
+    try:
+        first = ingest_batch(msgs, 0, **kw)
+        assert msgs.storageLevel.useMemory
+    finally:
+        msgs.unpersist()
+    unread = msgs.filter(F.raise_error(F.lit("read again")).isNull())
+    seen = {}
+    assert ingest_batch(unread, 0, metrics=seen, **kw) == first == {"accounts": "ok", "transactions": "ok"}
+    assert seen == {t: spark.read.parquet(f"{scratch}/bronze/{t}").count() for t in first}
+
+
+@pytest.mark.parametrize("options", [{}, {"quarantine_root": "bad", "ledger": "units"}, {"parse_mode": "FAILFAST", "envelope": True}])
+def test_a_slice_is_parsed_once_and_written_unsorted(spark, scratch, monkeypatch, options):
+    options = {k: f"{scratch}/{v}" if k in ("quarantine_root", "ledger") else v for k, v in options.items()}
+    plans, real = [], ingest.append_bronze
+
+    def append(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        real(df, *args)
+
+    monkeypatch.setattr(ingest, "append_bronze", append)
+    msgs = fx.change_messages(spark, SF, envelope=options.get("envelope", False))
+    assert ingest_batch(msgs, 0, bronze_root=f"{scratch}/bronze", dead_letter_root=f"{scratch}/dead", at=AT, topics=[topic_of("transactions")],
+                        **options) == {"transactions": "ok"}
+    assert plans[0].count("InMemoryRelation") == 1
+    assert plans[0].index("ingestion_date") < plans[0].index("CollectMetrics")  # else the write sorts by the stamp
+    assert spark.read.parquet(f"{scratch}/bronze/transactions").count() == msgs.filter(F.col("topic") == topic_of("transactions")).count()
