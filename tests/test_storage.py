@@ -281,3 +281,24 @@ def test_old_scratch_tables_are_removed_and_new_ones_stay(spark):
     os.utime(old.removeprefix("file:"), (past, past))
     assert prune_scratch(spark, 300 * 24) >= 1
     assert not os.path.exists(old.removeprefix("file:")) and spark.read.parquet(new).count() == 3
+
+
+# --- exchanges that are not needed --------------------------------------------------------------
+
+def test_large_staged_files_of_few_dates_are_loaded_without_an_exchange(spark, scratch, monkeypatch):
+    from tidemark.sources import files
+    for i, day in enumerate(("2024-01-01", "2024-01-02")):
+        spark.range(50).selectExpr("CAST(id AS INT) AS bank_id", f"DATE '{day}' AS ingestion_date").coalesce(1).write.parquet(f"{scratch}/src/{i}")
+    plans, real = [], files.append_bronze
+
+    def append(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        real(df, *args)
+
+    monkeypatch.setattr(files, "append_bronze", append)
+    for n, (least, exchanged) in enumerate([(files.WHOLE_FILE, True), (1, False), (1 << 30, True)]):
+        monkeypatch.setattr(files, "WHOLE_FILE", least)
+        assert load_new_files(spark, f"{scratch}/src", BRONZE_SCHEMAS["banks"], f"{scratch}/t{n}", f"{scratch}/ck{n}", recursive=True) == 100
+        assert ("RebalancePartitions" in plans[-1]) == exchanged
+        found = spark.read.parquet(f"{scratch}/t{n}").groupBy("ingestion_date").count().collect()
+        assert sorted((str(r[0]), r[1]) for r in found) == [("2024-01-01", 50), ("2024-01-02", 50)]
