@@ -328,3 +328,18 @@ def test_a_slice_is_parsed_once_and_written_unsorted(spark, scratch, monkeypatch
     assert plans[0].count("InMemoryRelation") == 1
     assert plans[0].index("ingestion_date") < plans[0].index("CollectMetrics")  # else the write sorts by the stamp
     assert spark.read.parquet(f"{scratch}/bronze/transactions").count() == msgs.filter(F.col("topic") == topic_of("transactions")).count()
+
+
+def test_a_run_joins_the_legs_once_and_writes_silver_changes_once(spark, scratch, monkeypatch):
+    cfg = PipelineConfig(root=f"{scratch}/lake", run_at=RUN_AT)
+    for table, df in logs(spark).items():
+        write(spark, cfg, table, df.filter("source_offset % 9 = 0"))
+    joins, real = [], gold.left_join_fanout
+    monkeypatch.setattr(gold, "left_join_fanout", lambda *a, **k: joins.append(a) or real(*a, **k))
+    run_pipeline(spark, cfg)
+    assert len(joins) == 1
+    assert not [t for t in cfg.silver_tables if os.path.exists(cfg.path("silver", t, "_new"))]
+    args = read_silver(spark, cfg, "transactions"), read_history(spark, cfg, "accounts"), read_history(spark, cfg, "customers")
+    legs = read_silver(spark, cfg, "transaction_legs")
+    assert same(read_gold(spark, cfg, "fct_transactions"), gold.fct_transactions(*args, legs))
+    assert same(read_gold(spark, cfg, "gold_transactions_reporting"), gold.transactions_reporting(*args, legs))

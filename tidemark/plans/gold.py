@@ -127,10 +127,25 @@ def fct_transactions(transactions: DataFrame, accounts_history: DataFrame,
 
 def fct_from_as_of(tac: DataFrame, legs: DataFrame,
                    max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP) -> DataFrame:
-    """The fact from :func:`transactions_as_of` output (which a pipeline run
-    writes once and shares with the reporting model)."""
+    """The fact from :func:`transactions_as_of` output."""
     j = left_join_fanout(tac, _credit_legs(legs), ["transaction_id"], _fanout_limit(max_rows_per_group), ["leg_id"])
-    return j.select(
+    return fct_rows(j)
+
+
+def with_legs(tac: DataFrame, legs: DataFrame,
+              max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP) -> DataFrame:
+    """:func:`transactions_as_of` output with its credit legs, one row for each
+    (or one without), and the transaction's number of debit legs: what both
+    the fact (:func:`fct_rows`) and the reporting model (:func:`reporting_rows`)
+    are selected from. A pipeline run writes it once."""
+    debits = debit_legs(legs).groupBy("transaction_id").agg(F.count(F.lit(1)).cast("int").alias("__debits"))
+    return left_join_fanout(tac.join(debits, "transaction_id", "left"), _credit_legs(legs), ["transaction_id"],
+                            _fanout_limit(max_rows_per_group), ["leg_id"])
+
+
+def fct_rows(joined: DataFrame) -> DataFrame:
+    """The fact's columns of transactions joined with their credit legs."""
+    return joined.select(
         *TXN_COLS,
         F.col("a.account_id").alias("account_id"),
         F.col("a.account_type").alias("account_type_at_time"),
@@ -160,12 +175,14 @@ def transactions_reporting(transactions: DataFrame, accounts_history: DataFrame,
 
 def reporting_from_as_of(tac: DataFrame, legs: DataFrame,
                          max_rows_per_group: int | None = DEFAULT_MAX_ROWS_PER_GROUP) -> DataFrame:
-    debits = debit_legs(legs).groupBy("transaction_id").agg(F.count(F.lit(1)).cast("int").alias("__debits"))
-    limit = _fanout_limit(max_rows_per_group)
+    return reporting_rows(with_legs(tac, legs, max_rows_per_group))
+
+
+def reporting_rows(joined: DataFrame) -> DataFrame:
+    """The reporting model of :func:`with_legs` output: each row as often as its
+    transaction has debit legs (once if it has none)."""
     times = F.sequence(F.lit(1), F.coalesce("__debits", F.lit(1)))
-    j = left_join_fanout(tac.join(debits, "transaction_id", "left"), _credit_legs(legs), ["transaction_id"], limit, ["leg_id"])
-    j = j.withColumn("__n", F.explode(times))
-    return j.select(
+    return joined.withColumn("__n", F.explode(times)).select(
         *TXN_COLS,
         F.col("a.account_id").alias("account_id"),
         F.col("a.account_type").alias("account_type"),

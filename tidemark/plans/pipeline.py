@@ -277,12 +277,13 @@ def _changes(cfg: PipelineConfig, table: str, rows: DataFrame) -> DataFrame:
 
 def _merge_changes(spark: SparkSession, cfg: PipelineConfig, store: SilverStore, rows: DataFrame, batch: int) -> None:
     """One batch of new bronze rows. Merging it again changes nothing, as only
-    newer rows win. The newest changes are written once and read for the merge
-    and for the feed that gold follows."""
-    path = f"{store.path}/_new"
-    _changes(cfg, store.table, rows).write.mode("overwrite").parquet(path)
-    changes = spark.read.parquet(path)
-    if cfg.gold_partitions:
+    newer rows win. Where gold follows the changes too, they are written once
+    and read for both; else the merge is all that reads them."""
+    changes = _changes(cfg, store.table, rows)
+    if cfg.gold_partitions and store.table in FED:
+        path = f"{store.path}/_new"
+        changes.write.mode("overwrite").parquet(path)
+        changes = spark.read.parquet(path)
         _feed(spark, cfg, store, changes, batch)
     store.merge(changes)
 
@@ -298,6 +299,8 @@ def _silver_by_mark(spark: SparkSession, cfg: PipelineConfig, store: SilverStore
 
 
 GOLD_PART = "gold_part"
+#: Tables whose changes gold follows by partitions.
+FED = ("transactions", "transaction_legs")
 
 
 def _gold_part(cfg: PipelineConfig):
@@ -314,8 +317,6 @@ def _feed(spark: SparkSession, cfg: PipelineConfig, store: SilverStore, changes:
     """Record the fact partitions that a batch of changes reaches, before it is
     merged: those of its transactions, or of its legs' transactions as they are
     and as they were. At most as many rows as the fact has partitions."""
-    if store.table not in ("transactions", "transaction_legs"):
-        return
     path = f"{store.path}/_feed/batch={batch}"
     if path_exists(spark, f"{path}/_SUCCESS"):
         return  # delivered again: the state it was compared with is gone
@@ -359,12 +360,12 @@ def read_history(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFr
     return HistoryTable(spark, cfg.path("snapshots", table)).read()
 
 
-FACTS = {"fct_transactions": gold.fct_from_as_of, "gold_transactions_reporting": gold.reporting_from_as_of}
+FACTS = {"fct_transactions": gold.fct_rows, "gold_transactions_reporting": gold.reporting_rows}
 
 
 def run_gold(spark: SparkSession, cfg: PipelineConfig, ledger: RunLedger | None = None) -> dict[str, str]:
     """The gold models; dimensions side by side, then the fact and the
-    reporting table from one as-of join that is written once. With
+    reporting table from one as-of join and one join with the legs, written once. With
     ``gold_partitions`` see :func:`_run_facts`."""
     silver = {t: read_silver(spark, cfg, t) for t in cfg.silver_tables}
     snaps = {t: read_history(spark, cfg, t) for t in SNAPSHOTS}
@@ -399,12 +400,12 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig, ledger: RunLedger | None
         return out | stage("gold/facts", lambda: _run_facts(spark, cfg, *parts, legs))
 
     def work_table() -> str:
-        work = cfg.path("gold", "_work", "transactions_as_of")
-        gold.transactions_as_of(*parts, combined=None).write.mode("overwrite").parquet(work)
+        work = cfg.path("gold", "_work", "transactions_with_legs")
+        gold.with_legs(gold.transactions_as_of(*parts, combined=None), legs).write.mode("overwrite").parquet(work)
         return work
 
-    tac = spark.read.parquet(stage("gold/_work", work_table))
-    return out | side_by_side({n: (lambda n=n, make=make: stage(f"gold/{n}", lambda: put(n, make(tac, legs)))) for n, make in FACTS.items()})
+    joined = spark.read.parquet(stage("gold/_joined", work_table))
+    return out | side_by_side({n: (lambda n=n, make=make: stage(f"gold/{n}", lambda: put(n, make(joined)))) for n, make in FACTS.items()})
 
 
 def _run_facts(spark: SparkSession, cfg: PipelineConfig, txn: DataFrame, accounts: DataFrame, customers: DataFrame,
@@ -420,7 +421,7 @@ def _run_facts(spark: SparkSession, cfg: PipelineConfig, txn: DataFrame, account
     first run, or one whose earlier open set is gone, computes all."""
     stores = {n: PartitionedTable(spark, cfg.path("gold", n), GOLD_PART) for n in FACTS}
     histories = {t: HistoryTable(spark, cfg.path("snapshots", t)) for t in SNAPSHOTS}
-    now = {"feed": {t: fed(spark, cfg, t)[-1:] for t in ("transactions", "transaction_legs")},
+    now = {"feed": {t: fed(spark, cfg, t)[-1:] for t in FED},
            "snapshots": {t: h.last_run() for t, h in histories.items()}, "by": cfg.gold_partitions}
     done = [s.commit() for s in stores.values()]
     values = None
@@ -439,12 +440,12 @@ def _run_facts(spark: SparkSession, cfg: PipelineConfig, txn: DataFrame, account
                 s.replace(spark.createDataFrame([], "x int"), [], now)
             return {n: s.path for n, s in stores.items()}
         txn, legs = txn.filter(own.isin(values)), legs.filter(own.isin(values))
-    work = cfg.path("gold", "_work", "transactions_as_of")
-    gold.transactions_as_of(txn, accounts, customers, combined=None).write.mode("overwrite").parquet(work)
-    tac = spark.read.parquet(work)
+    work = cfg.path("gold", "_work", "transactions_with_legs")
+    gold.with_legs(gold.transactions_as_of(txn, accounts, customers, combined=None), legs).write.mode("overwrite").parquet(work)
+    joined = spark.read.parquet(work)
 
     def put(name: str) -> str:
-        rows = FACTS[name](tac, legs).withColumn(GOLD_PART, own)
+        rows = FACTS[name](joined).withColumn(GOLD_PART, own)
         if values is None:
             stores[name].write(rows, now)
         else:
