@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from tidemark.config import prune_scratch, scratch_path
 from tidemark.operators.asof import as_of_join
 from tidemark.operators.joins import left_join_fanout
-from tidemark.operators.latest import drop_replays
+from tidemark.operators.latest import drop_replays, upsert_newer, upsert_ordered
 from tidemark.operators.scd2 import first_snapshot, history_from_changes, snapshot_timestamp_open
 from tidemark.plans.pipeline import PipelineConfig, read_gold, read_skipped, run_pipeline
 from tidemark.schemas import BRONZE_SCHEMAS
 from tidemark.sources import commit, tables
 from tidemark.sources.files import load_new_files, read_rejects, skipped_files
-from tidemark.sources.tables import HistoryTable, PartitionedTable, VersionedTable, write_text
+from tidemark.sources.tables import HistoryTable, PackedTable, PartitionedTable, VersionedTable, write_text
 
 
 def _cur(spark, n, day):
@@ -302,3 +302,51 @@ def test_large_staged_files_of_few_dates_are_loaded_without_an_exchange(spark, s
         assert ("RebalancePartitions" in plans[-1]) == exchanged
         found = spark.read.parquet(f"{scratch}/t{n}").groupBy("ingestion_date").count().collect()
         assert sorted((str(r[0]), r[1]) for r in found) == [("2024-01-01", 50), ("2024-01-02", 50)]
+
+
+def test_many_small_partitions_share_folders(spark, scratch):
+    table = PackedTable(spark, f"{scratch}/p", "part")
+    rows = spark.range(3000).selectExpr("CAST(id AS INT) AS id", "'a' AS v", "id DIV 2 AS part", "'c' AS cdc_op")
+    whole = rows.unionByName(spark.sql("SELECT -1 AS id, 'a' AS v, CAST(NULL AS BIGINT) AS part, 'c' AS cdc_op"))
+    assert table.merge(whole, _kept) == 1
+    assert sum(x.startswith("part") for x in os.listdir(f"{scratch}/p/run=1")) <= 6 and len(table.commit()["parts"]) == 1501
+    # a run replaces what its changes reach, the null partition too, and nothing else
+    table.merge(_parts(spark, [(1, "b", 0, "u"), (2, "b", 1, "d"), (3, "b", 1, "d"), (-1, "b", None, "u"), (9000, "b", 4500, "c")]), _kept)
+    parts = table.commit()["parts"]
+    assert [n for n, r in parts.items() if r == 2] == ["part=0", "part=4500", "part=__HIVE_DEFAULT_PARTITION__"] and "part=1" not in parts
+    want = {i: "a" for i in range(3000) if i not in (2, 3)} | {1: "b", -1: "b", 9000: "b"}
+    assert {r.id: r.v for r in table.read().collect()} == want and table.read().count() == len(want)
+    assert sorted(r.id for r in table.part(["part=0", "part=700"]).collect()) == [0, 1, 1400, 1401]
+    # a folder of which less than half still counts is copied, and then removed
+    table.merge(spark.range(4, 400).selectExpr("CAST(id AS INT) AS id", "'c' AS v", "id DIV 2 AS part", "'u' AS cdc_op"), _kept)
+    want |= {i: "c" for i in range(4, 400)}
+    assert {r.id: r.v for r in table.read().collect()} == want and table.read().count() == len(want)
+    assert not [n for n, r in table.commit()["parts"].items() if r == 1 and table.commit()["packs"][n] == 0]
+    table.merge(_parts(spark, [(9000, "c", 4500, "u")]), _kept)
+    assert not os.path.exists(f"{scratch}/p/run=1/part_pack=0") and os.path.exists(f"{scratch}/p/run=1/part_pack=1")
+    assert {r.id: r.v for r in table.read().collect()} == want | {9000: "c"}
+
+
+def test_a_table_of_folders_is_read_and_packed_by_the_next_run(spark, scratch):
+    old = PartitionedTable(spark, f"{scratch}/p", "part")
+    old.merge(_parts(spark, [(1, "a", 0, "c"), (2, "a", 1, "c"), (3, "a", None, "c")]), _kept)
+    table = PackedTable(spark, f"{scratch}/p", "part")
+    assert sorted(r.id for r in table.read().collect()) == [1, 2, 3]
+    table.merge(_parts(spark, [(2, "b", 1, "u")]), _kept)
+    assert sorted(map(tuple, table.read().select("id", "v", "part").collect()), key=str) == [(1, "a", 0), (2, "b", 1), (3, "a", None)]
+    words = PackedTable(spark, f"{scratch}/w", "v")
+    words.merge(_parts(spark, [(1, "a/b", 0, "c"), (2, "c", 1, "c")]), _kept)
+    words.merge(_parts(spark, [(2, "c", 5, "u")]), _kept)
+    assert sorted(map(tuple, words.read().select("id", "v", "part").collect())) == [(1, "a/b", 0), (2, "c", 5)]
+
+
+def test_newer_rows_of_two_sides_are_those_that_ranking_finds(spark):
+    side = lambda n, shift: spark.range(n).selectExpr(
+        f"CASE WHEN id = 0 THEN NULL ELSE id + {shift} END AS k", f"'{shift}' AS v", "CASE WHEN id % 4 = 1 THEN NULL ELSE (id * 7) % 5 END AS ingested_at",
+        f"CASE WHEN id % 3 = {shift} THEN NULL ELSE (id * 5 + {shift}) % 4 END AS source_ts_ms", f"2 * id + {shift} AS source_offset")
+    t, u = side(60, 0), side(50, 1)
+    got = upsert_newer(t, u, ["k"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, upsert_ordered(t, u, ["k"]).collect())) and {"0", "1"} == {r.v for r in got.collect()}
+    tied = t.withColumn("v", F.lit("new"))
+    assert {r.v for r in upsert_newer(t, tied, ["k"]).collect()} == {"new"}
+    assert upsert_newer(t.limit(0), u, ["k"]).count() == 50 and upsert_newer(t, u.limit(0), ["k"]).count() == 60

@@ -133,3 +133,21 @@ def upsert_ordered(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     cols = target.columns
     both = target.select(*cols).unionByName(updates.select(*cols))
     return latest_per_key(both, keys, order_by)
+
+
+def upsert_newer(target: DataFrame, updates: DataFrame, keys: Sequence[str],
+                 order_by: Sequence[str] = LATEST_ORDER) -> DataFrame:
+    """:func:`upsert_ordered` of two sides that hold each key once (a NULL key
+    is a key): one join of them instead of ranking their rows, which sorts both
+    twice. Of rows that rank alike the update stays."""
+    _check_order(target, order_by)
+    cols, rank = target.columns, lambda side: F.struct(*[F.col(f"{side}.{c}") for c in order_by])
+    t = target.select(*cols, F.lit(True).alias("__has")).alias("t")
+    u = updates.select(*cols, F.lit(True).alias("__has")).alias("u")
+    on = None
+    for k in keys:
+        same = F.col(f"t.{k}").eqNullSafe(F.col(f"u.{k}"))
+        on = same if on is None else on & same
+    # structs compare field by field, NULL lowest: the order of the newest first, NULLS LAST
+    wins = F.col("t.__has").isNull() | (F.col("u.__has").isNotNull() & (rank("u") >= rank("t")))
+    return t.join(u, on, "full_outer").select(*[F.when(wins, F.col(f"u.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols])

@@ -33,7 +33,7 @@ from ..functions.time import max_ts, ts_lit, type_name
 from ..schemas import BRONZE_SCHEMAS
 from ..sources.commit import Unit
 from ..sources.files import follow_table, load_new_files, skipped_files
-from ..sources.tables import (HistoryTable, PartitionedTable, VersionedTable, ensure_bronze, path_exists,
+from ..sources.tables import (HistoryTable, PackedTable, VersionedTable, ensure_bronze, path_exists,
                               numbered, read_bronze, read_text, write_text)
 from . import gold
 from .silver import STATE_EXTRA, live, newer_of, newest_changes
@@ -165,7 +165,7 @@ class SilverStore:
     def __init__(self, spark: SparkSession, cfg: PipelineConfig, table: str):
         self.spark, self.table, self.path = spark, table, cfg.path("silver", table)
         self.expr = cfg.silver_partitions.get(table)
-        self.parts = PartitionedTable(spark, self.path, SILVER_PART)
+        self.parts = PackedTable(spark, self.path, SILVER_PART)
         self.versions = VersionedTable(spark, self.path)
         self.cfg = cfg
 
@@ -278,9 +278,15 @@ def _changes(cfg: PipelineConfig, table: str, rows: DataFrame) -> DataFrame:
 def _merge_changes(spark: SparkSession, cfg: PipelineConfig, store: SilverStore, rows: DataFrame, batch: int) -> None:
     """One batch of new bronze rows. Merging it again changes nothing, as only
     newer rows win. Where gold follows the changes too, they are written once
-    and read for both; else the merge is all that reads them."""
+    and read for both; else the merge is all that reads them. The first batch
+    is its own table: it is merged, and gold reads it there."""
     changes = _changes(cfg, store.table, rows)
     if cfg.gold_partitions and store.table in FED:
+        if store.read() is None:
+            # cut off in between, it is delivered again and meets itself: the same partitions
+            store.merge(changes)
+            _feed(spark, cfg, store, store.read(), batch, first=True)
+            return
         path = f"{store.path}/_new"
         changes.write.mode("overwrite").parquet(path)
         changes = spark.read.parquet(path)
@@ -313,15 +319,16 @@ def fed(spark: SparkSession, cfg: PipelineConfig, table: str) -> list[int]:
     return numbered(spark, cfg.path("silver", table, "_feed"), "batch=")
 
 
-def _feed(spark: SparkSession, cfg: PipelineConfig, store: SilverStore, changes: DataFrame, batch: int) -> None:
+def _feed(spark: SparkSession, cfg: PipelineConfig, store: SilverStore, changes: DataFrame, batch: int, first: bool = False) -> None:
     """Record the fact partitions that a batch of changes reaches, before it is
-    merged: those of its transactions, or of its legs' transactions as they are
-    and as they were. At most as many rows as the fact has partitions."""
+    merged (unless it is the ``first``): those of its transactions, or of its
+    legs' transactions as they are and as they were. At most as many rows as the
+    fact has partitions."""
     path = f"{store.path}/_feed/batch={batch}"
     if path_exists(spark, f"{path}/_SUCCESS"):
         return  # delivered again: the state it was compared with is gone
     parts = changes.select(_gold_part(cfg))
-    state = store.read() if store.table == "transaction_legs" else None
+    state = store.read() if store.table == "transaction_legs" and not first else None
     if state is not None:
         parts = parts.unionByName(state.join(changes.select("leg_id"), "leg_id", "left_semi").select(_gold_part(cfg)))
     parts.distinct().write.mode("overwrite").parquet(path)
@@ -419,7 +426,7 @@ def _run_facts(spark: SparkSession, cfg: PipelineConfig, txn: DataFrame, account
     transactions may see another version. Only partitions that hold such rows
     are computed and replaced, all or nothing; without any, none is written. The
     first run, or one whose earlier open set is gone, computes all."""
-    stores = {n: PartitionedTable(spark, cfg.path("gold", n), GOLD_PART) for n in FACTS}
+    stores = {n: PackedTable(spark, cfg.path("gold", n), GOLD_PART) for n in FACTS}
     histories = {t: HistoryTable(spark, cfg.path("snapshots", t)) for t in SNAPSHOTS}
     now = {"feed": {t: fed(spark, cfg, t)[-1:] for t in FED},
            "snapshots": {t: h.last_run() for t, h in histories.items()}, "by": cfg.gold_partitions}
@@ -439,7 +446,8 @@ def _run_facts(spark: SparkSession, cfg: PipelineConfig, txn: DataFrame, account
             for s in stores.values():
                 s.replace(spark.createDataFrame([], "x int"), [], now)
             return {n: s.path for n, s in stores.items()}
-        txn, legs = txn.filter(own.isin(values)), legs.filter(own.isin(values))
+        some = F.broadcast(spark.createDataFrame([(v,) for v in values], f"{GOLD_PART} long"))
+        txn, legs = (df.withColumn(GOLD_PART, own).join(some, GOLD_PART, "left_semi").drop(GOLD_PART) for df in (txn, legs))
     work = cfg.path("gold", "_work", "transactions_with_legs")
     gold.with_legs(gold.transactions_as_of(txn, accounts, customers, combined=None), legs).write.mode("overwrite").parquet(work)
     joined = spark.read.parquet(work)
@@ -586,5 +594,5 @@ def read_gold(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
     if cfg.gold_mode != "overwrite":
         return spark.read.parquet(p)
     if cfg.gold_partitions and name in FACTS:
-        return PartitionedTable(spark, p, GOLD_PART).read().drop(GOLD_PART)
+        return PackedTable(spark, p, GOLD_PART).read().drop(GOLD_PART)
     return VersionedTable(spark, p).read()

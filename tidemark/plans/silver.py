@@ -18,7 +18,7 @@ from ..operators.latest import (
     latest_per_key,
     new_rows,
     upsert,
-    upsert_ordered,
+    upsert_newer,
 )
 from ..schemas import LATEST_ORDER
 
@@ -94,9 +94,9 @@ def newest_changes(table: str, rows: DataFrame, order_by: OrderSpec = LATEST_ORD
 
 def newer_of(table: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
     """Merge of a silver state with newest changes: the newer of both per key,
-    in whatever order changes arrive."""
+    in whatever order changes arrive. Both hold each key once."""
     keys = list(MODELS[table].keys)
-    return lambda state, changes: upsert_ordered(state, changes, keys)
+    return lambda state, changes: upsert_newer(state, changes, keys)
 
 
 def silver_state(table: str, bronze: DataFrame, state: DataFrame | None = None, *, apply_deletes: bool = True,
