@@ -323,6 +323,35 @@ def test_token_blocks_hold_the_tokenizers_ids(spark, odd, none):
     assert len(got) == len(texts) and token_blocks.token_table(none, path).count() == 0
 
 
+ALPHABET = ["a", "B", "Z", "é", "É", "ß", "ÿ", "Þ", "×", "÷", "1", "23", "'", "'s", "'RE", "<", "|", "<|endoftext|>", "-", "_", "...", "$", " ", "  ",
+            "\n", "\t", "\r", "\x0b", "\x1c", "\xa0", "\u0301", "H\u0331", "İ", "Σ", "日本", "ﬁ", "’s", "ª", "µ", "½", "\u212a", "e\u0301",
+            "longlonglonglongword", "LONGLONGLONGLONGÉ", "</w>", "w>", " the", "\x00", "\x7f", "\x85", "\u1100", "\u1161"]
+
+
+@pytest.mark.parametrize("chunk", [64, 1 << 20])
+def test_encoder_gives_the_tokenizers_ids_and_learns_each_piece_once(monkeypatch, chunk):
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+    path = P.path("word_bpe_49k.json")
+    tk, enc = Tokenizer.from_file(path), token_blocks.Encoder(path)
+    rng = np.random.default_rng(8)
+    texts = [None, "", *("".join(rng.choice(ALPHABET, rng.integers(0, 30))) for _ in range(3000)), "ab cdé " * 100, "x" * 300, "É" * 500 + " z'", " "]
+    run = lambda some: [ids.tolist() for all_ids, lens in enc.encode_all(pa.array(some, pa.string())) for ids in np.split(all_ids, np.cumsum(lens)[:-1])]
+    monkeypatch.setattr(token_blocks, "CHUNK_BYTES", chunk)
+    assert run(texts) == [tk.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    enc.clear()
+    # the case of letters and the marks around a word make no pieces of their own
+    run(["The word, (the WORD) Été été. The word"] * 2)
+    assert enc.n == 1 + len({"the", "word", ",", "(", ")", "été", "."})
+
+
+def test_range_coder_finds_rare_ids_in_full_cells():
+    # most ids as rare as can be, so many share a cell of the probabilities
+    rng = np.random.default_rng(4)
+    ids = np.concatenate([np.arange(49_000), np.where(rng.random(1 << 18) < 0.9, 7, rng.integers(0, 49_000, 1 << 18))]).astype(np.uint32)
+    assert (range_coder.decode_block(range_coder.encode_block(ids)) == ids).all()
+
+
 # --- 10 ----------------------------------------------------------------------
 
 def test_shards_are_even_and_gapless(spark, odd, none):
