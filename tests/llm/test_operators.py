@@ -345,6 +345,23 @@ def test_encoder_gives_the_tokenizers_ids_and_learns_each_piece_once(monkeypatch
     assert enc.n == 1 + len({"the", "word", ",", "(", ")", "été", "."})
 
 
+def test_tasks_of_a_worker_share_its_encoder(spark):
+    P = pytest.importorskip("public_tokenizers")
+    path = P.path("word_bpe_49k.json")
+
+    def known(batches):
+        for b in batches:
+            before = token_blocks.encoder(path).n
+            for _ in token_blocks.encoder(path).encode_all(b.column(1).cast(pa.string())):
+                pass
+            yield pa.RecordBatch.from_arrays([pa.array([os.getpid()]), pa.array([before])], names=["pid", "n"])
+
+    rows = spark.range(60).selectExpr("id", "concat('word', id) AS text").coalesce(1)
+    first, again = (rows.mapInArrow(known, "pid long, n long").collect() for _ in range(2))
+    if first[-1].pid == again[0].pid:  # Spark may use another worker
+        assert again[0].n > first[0].n
+
+
 def test_range_coder_finds_rare_ids_in_full_cells():
     # most ids as rare as can be, so many share a cell of the probabilities
     rng = np.random.default_rng(4)

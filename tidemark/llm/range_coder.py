@@ -206,14 +206,16 @@ def decode_block(block: bytes) -> np.ndarray:
         return np.zeros(0, np.uint32)
     alphabet = np.cumsum(np.frombuffer(zlib.decompress(body[:named]), "<u4"), dtype=np.uint32)
     lens = np.frombuffer(body, "<u4", lanes, named)
-    words = np.frombuffer(body, "<u2", count, named + 4 * lanes).astype(np.uint64)
-    at = np.cumsum(lens, dtype=np.int64) - lens
+    # words of the lanes side by side, as they are used
+    words = np.zeros((int(lens.max()), lanes), np.uint16)
+    words.T[np.arange(len(words)) < lens[:, None]] = np.frombuffer(body, "<u2", count, named + 4 * lanes)
+    words, at = words.ravel(), np.arange(lanes)
     steps = -(-n // lanes)
     m = _Models(size, lanes)
     low, width, code = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64), np.zeros(lanes, np.uint64)
     for _ in range(4):
-        code = code << WORD | words[at]
-        at = at + 1
+        code = code << WORD | words.take(at)
+        at = at + lanes
     out = np.zeros((steps, lanes), np.int64)
     for i in range(steps):
         m.predict()
@@ -228,7 +230,7 @@ def decode_block(block: bytes) -> np.ndarray:
             now, w, place = low.take(due), width.take(due), at.take(due)
             w = np.where(short, (~now + np.uint64(1)) & (BOTTOM - np.uint64(1)), w)
             code[due] = code.take(due) << WORD | words.take(place)
-            at[due] = place + 1
+            at[due] = place + lanes
             now, w = now << WORD, w << WORD
             low[due], width[due] = now, w
             more, short = _due(now, w)

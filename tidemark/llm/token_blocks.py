@@ -94,14 +94,14 @@ class Pieces:
 
     def find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         at = self._first(one, two)
-        row = self.slot[at]
-        left = np.flatnonzero((self.one[row] != one) | (self.two[row] != two))
+        row = self.slot.take(at).astype(np.int64)
+        left = np.flatnonzero((self.one.take(row) != one) | (self.two.take(row) != two))
         left = left[row[left] > 0]
         while len(left):
             at[left] = at[left] + 1 & len(self.slot) - 1
             row[left] = now = self.slot[at[left]]
             left = left[(now > 0) & ((self.one[now] != one[left]) | (self.two[now] != two[left]))]
-        return self.known[row]
+        return self.known.take(row)
 
     def _place(self, rows: np.ndarray) -> None:
         at = self._first(self.one[rows], self.two[rows])
@@ -218,10 +218,10 @@ class Encoder:
         """Numbers of the pieces of a chunk, and each piece's first byte."""
         raw = np.zeros(len(c.data) + 16, np.uint8)
         raw[: len(c.data)] = c.data
-        kind = self.kind[raw]
-        n, low = len(c.data), raw
+        look = lambda table: np.frombuffer(bytearray(raw).translate(table.tobytes()), np.uint8)
+        n, kind, low = len(c.data), look(self.kind), raw
         if self.last is not None:
-            low = LOW[raw]
+            low = look(LOW)
             at = np.flatnonzero(raw == 0xC3)
             if len(at):  # the letters from U+00C0 to U+00FF
                 b = raw[at + 1]
@@ -261,10 +261,10 @@ class Encoder:
             at, start_in, size_in = slice(None), start, size
         if len(start_in):
             eight = np.lib.stride_tricks.as_strided(low.view(np.uint8)[:8].view("<u8"), (n + 9,), (1,))
-            one = eight[start_in] & FIRST_BYTES[np.minimum(size_in, 8)]
+            one = eight.take(start_in) & FIRST_BYTES[np.minimum(size_in, 8)]
             two = np.zeros(len(one), np.uint64)
             long = np.flatnonzero(size_in > 8)
-            two[long] = eight[start_in[long] + 8] & FIRST_BYTES[size_in[long] - 8]
+            two[long] = eight.take(start_in[long] + 8) & FIRST_BYTES[size_in[long] - 8]
             got = self.short.find(one, two)
             lost = np.flatnonzero(got == 0)
             if len(lost):
@@ -283,10 +283,11 @@ class Encoder:
         number, start = self._numbers(c)
         stop = np.searchsorted(start, c.offs[1:])
         number = np.insert(number, stop, 0)
-        size = self.size[number]
+        size = self.size.take(number)
         ends = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[number] - ends + size, size) + np.arange(ends[-1])]
-        return ids, np.diff(ends[stop + np.arange(len(stop))], prepend=0)
+        at = np.repeat(self.start.take(number) - ends + size, size)
+        at += np.arange(ends[-1])
+        return self.flat.take(at), np.diff(ends[stop + np.arange(len(stop))], prepend=0)
 
     def encode_all(self, texts: pa.Array):
         """What :meth:`encode` returns for consecutive texts, chunk by chunk. A
@@ -310,6 +311,15 @@ class Encoder:
 
 _encoders: dict[tuple[str, int], Encoder] = {}
 
+
+def encoder(path: str, end_id: int = END_ID) -> Encoder:
+    """This worker's encoder, kept from task to task. Tasks call it by its name:
+    a function sent to them would bring an empty copy of the dictionary."""
+    if (path, end_id) not in _encoders:
+        _encoders[path, end_id] = Encoder(path, end_id=end_id)
+    return _encoders[path, end_id]
+
+
 BLOCKS = "part int, block int, n_ids long, docs array<long>, sizes array<long>, data binary"
 
 
@@ -323,8 +333,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = EN
     rows = rows.repartitionByRange("id", F.xxhash64("text", "row")).sortWithinPartitions("id", F.xxhash64("text", "row"))
 
     def pack(batches):
-        coder = _encoders.get((tokenizer, end_id)) or Encoder(tokenizer, end_id=end_id)
-        _encoders[tokenizer, end_id] = coder
+        coder = encoder(tokenizer, end_id)
         part, block = TaskContext.get().partitionId(), 0
         own: list[np.ndarray] = []
         ids: list = []
