@@ -219,6 +219,48 @@ def test_collocations_with_crowded_bit_maps_and_empty_table(spark, monkeypatch):
     assert collocations.collocations(df.limit(0)).count() == 0
 
 
+def test_collocations_read_texts_twice_however_many_tries(spark):
+    rows = odd_texts(5, 200)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, "lang string, text string").mapInArrow(counted, "lang string, text string")
+    got = collocations.collocations(df, min_count=3, top=500, trie_bytes=20)
+    assert sorted(map(tuple, got.collect())) == phrases(rows, 3, 500)
+    assert read.value == 2 * len(rows)
+
+
+@pytest.mark.parametrize("most", [3, 4])
+def test_collocations_whose_keys_need_several_integers(spark, monkeypatch, most):
+    rows = odd_texts(7, 200)
+    monkeypatch.setattr(collocations, "SPACE", 1 << 12)
+    monkeypatch.setattr(collocations, "PART", 300)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    got = collocations.collocations(df, min_count=4, max_words=most, top=500)
+    assert sorted(map(tuple, got.collect())) == phrases(rows, 4, 500, most)
+
+
+def test_phrase_keys_are_exact():
+    rng = np.random.default_rng(2)
+    for numbers, words, space in ((5, 3, 1 << 64), (300, 4, 1 << 20), ((1 << 31) - 2, 3, 1 << 64)):
+        kind = collocations.Keys(numbers, words, space)
+        ids = rng.integers(0, numbers, 1000, endpoint=True).astype(np.uint64)
+        at = np.arange(1000 - words + 1)
+        cols = kind.pack(ids, at)
+        assert all((x == ids[at + i].astype(np.int64)).all() for i, x in enumerate(kind.unpack(cols)))
+        assert all((x == y).all() for x, y in zip(kind.columns(kind.runs(cols)), cols))
+    # keys that share a hash stay apart
+    h, a, b = (np.array(x, np.uint64) for x in ([7, 7, 7, 7, 3], [1, 2, 1, 2, 9], [1, 1, 1, 5, 0]))
+    for n, want in ((None, [1, 2, 1, 1]), (np.arange(1, 6), [5, 4, 2, 4])):
+        run, sums = collocations._combined([h, a, b], n)
+        assert [x.tolist() for x in run] == [[3, 7, 7, 7], [9, 1, 2, 2], [0, 1, 1, 5]]
+        assert sums.tolist() == want
+
+
 def test_blocks_of_long_texts_keep_every_phrase():
     rng = random.Random(1)
     text = "".join(rng.choice(["ab", "c", "ddd"]) + rng.choice([" ", "  ", " ", "\t", ". "]) for _ in range(3000)) + "y" * 500 + " ab c"

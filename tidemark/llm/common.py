@@ -131,6 +131,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def unmix64(x: np.ndarray) -> np.ndarray:
+    """Values that ``mix64`` turns into ``x``."""
+    x = x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))
+    x = x * np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
+    x = (x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))) * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+    return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
+
+
 @dataclass
 class Words:
     """Words of a chunk: byte range, 64-bit hash and number of the text each
