@@ -14,6 +14,17 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def own_views():
+    """Temporary views of a module's tests end with it: any database lists them."""
+    yield
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    for t in s.catalog.listTables() if s else []:
+        if t.isTemporary:
+            s.catalog.dropTempView(t.name)
+
+
 @pytest.fixture()
 def scratch(spark):
     from tidemark.config import scratch_path
